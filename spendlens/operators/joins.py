@@ -22,12 +22,17 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 2_000_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                       materialize: bool = False) -> DataFrame:
     """Broadcast hint only when ``df`` has at most ``max_rows`` rows.
 
-    The check is a bounded count (``limit(max_rows + 1)``), so it never scans
-    more than the bound past the first partitions that fill it.
+    The check is a bounded count (``limit(max_rows + 1)``).  With
+    ``materialize`` the side is first checkpointed to the shared checkpoint
+    folder, so neither the check nor the join recomputes its (long) lineage.
     """
+    if materialize:
+        from ..session import cut_lineage
+        df = cut_lineage(df)
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
@@ -105,23 +110,34 @@ def update_from_lookup(df: DataFrame, ref: DataFrame, key: str,
 
 def fill_from_reference(df: DataFrame, ref: DataFrame, key: str,
                         cols: Sequence[str] | None = None,
-                        max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                        max_rows: int = BROADCAST_MAX_ROWS,
+                        materialize: bool = False) -> DataFrame:
     """Fill nulls of ``cols`` from a per-key reference (J-6, J-7):
     ``coalesce(df.c, ref.c)``.  A null key finds nothing."""
     cols = [c for c in (cols or ref.columns) if c != key and c in df.columns and c in ref.columns]
     if not cols:
         return df
     r = broadcast_if_small(ref.select(F.col(key).alias("_k"),
-                                      *[F.col(c).alias(f"_r_{c}") for c in cols]), max_rows)
+                                      *[F.col(c).alias(f"_r_{c}") for c in cols]), max_rows,
+                           materialize)
     out = df.join(r, df[key] == r["_k"], "left")
     return out.select(*[F.coalesce(df[c], F.col(f"_r_{c}")).alias(c) if c in cols else df[c]
                         for c in df.columns])
 
 
-def restrict_to_overlap(df: DataFrame, other: DataFrame, key: str = "campaign_id") -> DataFrame:
-    """Rows of ``df`` whose key also occurs in ``other`` (J-9, left semi join)."""
-    keys = other.select(F.col(key).alias("_k")).where(F.col("_k").isNotNull()).distinct()
-    return df.join(keys, df[key] == keys["_k"], "left_semi")
+def restrict_to_overlap(df: DataFrame, other: DataFrame,
+                        keys: str | Sequence[str] = "campaign_id") -> DataFrame:
+    """Rows of ``df`` whose (non-null) key also occurs in ``other`` (J-9, left
+    semi join; the key set is deduplicated with partial aggregation first)."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    ks = other.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+    for i in range(len(keys)):
+        ks = ks.where(F.col(f"_k{i}").isNotNull())
+    ks = ks.distinct()
+    cond = F.lit(True)
+    for i, k in enumerate(keys):
+        cond = cond & (df[k] == ks[f"_k{i}"])
+    return df.join(ks, cond, "left_semi")
 
 
 def missing_in_dim(fact: DataFrame, dim: DataFrame, key: str = "campaign_id") -> DataFrame:

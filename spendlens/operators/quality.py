@@ -157,6 +157,21 @@ def apply_row_filters(df: DataFrame, conditions: Mapping[str, Column]) -> DataFr
     return reduce(lambda d, c: d.where(c), conditions.values(), df)
 
 
+def _freshness_row(df: DataFrame, s: SourceSpec, now) -> DataFrame:
+    fr = check_freshness(df, now, s.loaded_at, s.warn_after_hours, s.error_after_hours, s.name)
+    return fr.select(F.lit("freshness").alias("check"), "table_name",
+                     F.lit(s.loaded_at).alias("column_name"),
+                     F.lit(0).cast("bigint").alias("n_violations"), "status")
+
+
+def _schema_gap(s: SourceSpec) -> DataFrame:
+    """A source without its load-time column cannot be checked for freshness:
+    reported as a ``schema`` error row (no Spark job)."""
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    return spark.createDataFrame([("schema", s.name, s.loaded_at, 1, "error")], REPORT_SCHEMA)
+
+
 def source_report(tables: Mapping[str, DataFrame], specs: Sequence[SourceSpec], now
                   ) -> DataFrame:
     """One report over all sources: freshness, not_null and unique per column.
@@ -168,11 +183,10 @@ def source_report(tables: Mapping[str, DataFrame], specs: Sequence[SourceSpec],
         if s.name not in tables:
             continue
         df = tables[s.name]
-        fr = check_freshness(df, now, s.loaded_at, s.warn_after_hours, s.error_after_hours,
-                             s.name)
-        parts.append(fr.select(F.lit("freshness").alias("check"), "table_name",
-                               F.lit(s.loaded_at).alias("column_name"),
-                               F.lit(0).cast("bigint").alias("n_violations"), "status"))
+        if s.loaded_at not in df.columns:
+            parts.append(_schema_gap(s))
+        else:
+            parts.append(_freshness_row(df, s, now))
         if s.not_null:
             nc = null_counts(df, s.not_null)
             parts.append(nc.select(F.lit("not_null").alias("check"),

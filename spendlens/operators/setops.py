@@ -14,10 +14,18 @@ def union_by_name(*dfs: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)
 
 
-def common_ids(a: DataFrame, b: DataFrame, key: str = "campaign_id") -> DataFrame:
+def common_ids(a: DataFrame, b: DataFrame, keys: str | Sequence[str] = "campaign_id"
+               ) -> DataFrame:
     """Distinct non-null keys present in both tables (U-3)."""
-    return (a.select(key).where(F.col(key).isNotNull())
-            .intersect(b.select(key).where(F.col(key).isNotNull())))
+    keys = [keys] if isinstance(keys, str) else list(keys)
+
+    def nn(df: DataFrame) -> DataFrame:
+        out = df.select(*keys)
+        for k in keys:
+            out = out.where(F.col(k).isNotNull())
+        return out
+
+    return nn(a).intersect(nn(b))
 
 
 def present(df: DataFrame, cols: Sequence[str]) -> list[str]:

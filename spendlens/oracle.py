@@ -228,3 +228,202 @@ def mart_ctes(grain: str = "country") -> tuple[str, ...]:
 
 def mart_sql(grain: str = "country") -> str:
     return with_fixtures(*mart_ctes(grain), body="SELECT * FROM mart")
+
+
+# ------------------------------------------------------------ id / NA helpers
+def duck_fix_id(x: str) -> str:
+    t = f"regexp_replace(CAST({x} AS VARCHAR), '^\\s+|\\s+$', '', 'g')"
+    t = f"(CASE WHEN {t} IN ('<NA>', 'nan', 'None', '') THEN NULL ELSE {t} END)"
+    t = f"regexp_replace(regexp_replace({t}, '\\.000000$', ''), '\\.0$', '')"
+    t = (f"(CASE WHEN contains(lower({t}), 'e') THEN CAST(CAST(round_even(TRY_CAST({t} AS "
+         f"DECIMAL(38,10)), 0) AS DECIMAL(38,0)) AS VARCHAR) ELSE {t} END)")
+    return f"nullif(regexp_replace({t}, '[^0-9]', '', 'g'), '')"
+
+
+def duck_na(x: str) -> str:
+    return (f"CASE WHEN lower(CAST({x} AS VARCHAR)) IN ('<<nan>>', 'nan', 'none', '<na>', '', "
+            f"'unknown') THEN NULL ELSE CAST({x} AS VARCHAR) END")
+
+
+def duck_unknown(x: str) -> str:
+    return f"CASE WHEN {x} NOT IN ('unknown', 'Unknown', 'UNKNOWN') THEN {x} END"
+
+
+ALL_LEADS_M = (*SALES_M, "total_fake_leads")
+ATTRS = ("campaign_period_budget_category", "country_code", "channel_3", "channel_4",
+         "channel_5")
+CH = ("channel_3", "channel_4", "channel_5")
+
+
+def duck_mode_ref(src: str, key: str, name: str) -> tuple[str, ...]:
+    """Per key the mode of each attribute (ties -> smallest) as CTE ``name``."""
+    ctes = [f"""{name}_keys AS (SELECT DISTINCT {key} FROM {src} WHERE {key} IS NOT NULL)"""]
+    for a in ATTRS:
+        ctes.append(f"""{name}_{a} AS (
+  SELECT {key}, v AS {a} FROM (
+    SELECT {key}, v, row_number() OVER (PARTITION BY {key} ORDER BY n DESC, v ASC) AS rn
+    FROM (SELECT {key}, {a} AS v, count(*) AS n FROM {src}
+          WHERE {key} IS NOT NULL AND {a} IS NOT NULL GROUP BY {key}, {a})) WHERE rn = 1
+)""")
+    joins = " ".join(f"LEFT JOIN {name}_{a} USING ({key})" for a in ATTRS)
+    ctes.append(f"""{name} AS (SELECT {key}, {', '.join(ATTRS)} FROM {name}_keys {joins})""")
+    return tuple(ctes)
+
+
+def duck_fill(src: str, ref_id: str, ref_name: str, out: str, cols: tuple[str, ...]) -> str:
+    sel1 = ", ".join(f"coalesce(s.{c}, r.{c}) AS {c}" if c in ATTRS else f"s.{c}" for c in cols)
+    sel2 = ", ".join(f"coalesce(s.{c}, r.{c}) AS {c}" if c in ATTRS else f"s.{c}" for c in cols)
+    return f"""{out} AS (
+  SELECT {sel2} FROM (
+    SELECT {sel1} FROM {src} s LEFT JOIN {ref_id} r ON s.campaign_id = r.campaign_id) s
+  LEFT JOIN {ref_name} r ON s.campaign_name = r.campaign_name
+)"""
+
+
+def duck_maps(src: str, out: str, cols: tuple[str, ...]) -> str:
+    s1 = ", ".join("coalesce(s.campaign_name, m.m_name) AS campaign_name" if c == "campaign_name"
+                   else f"s.{c}" for c in cols)
+    s2 = ", ".join("coalesce(s.campaign_id, m.m_id) AS campaign_id" if c == "campaign_id"
+                   else f"s.{c}" for c in cols)
+    return f"""{out} AS (
+  SELECT {s2} FROM (SELECT {s1} FROM {src} s LEFT JOIN id2name m ON s.campaign_id = m.campaign_id) s
+  LEFT JOIN name2id m ON s.campaign_name = m.campaign_name
+)"""
+
+
+WEB_P_COLS = ("date", "country_code", "campaign_id", "total_spend_eur", *WEB_M, "campaign_name",
+              "campaign_period_budget_category", *CH)
+LEADS_P_COLS = ("date", "country_code", "campaign_id", "campaign_name", *CH, "total_spend",
+                *ALL_LEADS_M)
+
+PREP_CTES = (
+    f"""chp_nn AS (
+  SELECT {duck_fix_id('campaign_id')} AS campaign_id, {duck_clean('campaign_name')} AS campaign_name,
+         campaign_period_budget_category,
+         {', '.join(f"{duck_unknown(duck_clean(c))} AS {c}" for c in CH)}
+  FROM channels
+)""",
+    """chp_lk AS (SELECT campaign_id, min(channel_3) AS l3, min(channel_4) AS l4, min(channel_5) AS l5
+  FROM chp_nn GROUP BY campaign_id)""",
+    """chp_rep AS (
+  SELECT n.campaign_id, n.campaign_name, n.campaign_period_budget_category,
+         coalesce(n.channel_3, k.l3, 'unknown') AS channel_3,
+         coalesce(n.channel_4, k.l4, 'unknown') AS channel_4,
+         coalesce(n.channel_5, k.l5, 'unknown') AS channel_5
+  FROM chp_nn n LEFT JOIN chp_lk k ON n.campaign_id = k.campaign_id
+)""",
+    """chp AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY campaign_id ORDER BY channel_3 ASC NULLS LAST,
+        channel_4 ASC NULLS LAST, channel_5 ASC NULLS LAST, campaign_name ASC NULLS LAST,
+        campaign_period_budget_category ASC NULLS LAST) AS rn FROM chp_rep) WHERE rn = 1
+)""",
+    f"""web_p AS (
+  SELECT w.date, w.country_code, {duck_fix_id('w.campaign_id')} AS campaign_id, w.total_spend_eur,
+         {', '.join('w.' + m for m in WEB_M)}, c.campaign_name, c.campaign_period_budget_category,
+         c.channel_3, c.channel_4, c.channel_5
+  FROM web w LEFT JOIN chp c ON {duck_fix_id('w.campaign_id')} IS NOT DISTINCT FROM c.campaign_id
+)""",
+    f"""leads_p AS (
+  SELECT date, country_code, {duck_fix_id('campaign_id')} AS campaign_id,
+         {duck_clean('campaign_name')} AS campaign_name,
+         {', '.join(f'{duck_clean(c)} AS {c}' for c in CH)}, total_spend, {', '.join(ALL_LEADS_M)}
+  FROM leads
+)""",
+)
+
+
+def _na_select(src: str, cols: tuple[str, ...]) -> str:
+    norm = ("campaign_id", "campaign_name", *ATTRS)
+    return ", ".join(f"{duck_na(c)} AS {c}" if c in norm else c for c in cols)
+
+
+IMPUTE_CTES = PREP_CTES + (
+    f"web_n AS (SELECT {_na_select('web_p', WEB_P_COLS)} FROM web_p)",
+    f"leads_n AS (SELECT {_na_select('leads_p', LEADS_P_COLS)} FROM leads_p)",
+    """pairs AS (SELECT DISTINCT campaign_id, campaign_name FROM (
+    SELECT campaign_id, campaign_name FROM leads_n UNION ALL
+    SELECT campaign_id, campaign_name FROM web_n)
+  WHERE campaign_id IS NOT NULL AND campaign_name IS NOT NULL)""",
+    """id2name AS (SELECT campaign_id, min(campaign_name) AS m_name FROM pairs
+  GROUP BY campaign_id HAVING count(*) = 1)""",
+    """name2id AS (SELECT campaign_name, min(campaign_id) AS m_id FROM pairs
+  GROUP BY campaign_name HAVING count(*) = 1)""",
+    duck_maps("web_n", "web_m", WEB_P_COLS),
+    duck_maps("leads_n", "leads_m", LEADS_P_COLS),
+    f"""attr_all AS (SELECT campaign_id, campaign_name, {', '.join(a for a in ATTRS if a in LEADS_P_COLS)}
+  FROM leads_m UNION ALL BY NAME SELECT campaign_id, campaign_name, {', '.join(ATTRS)} FROM web_m)""",
+) + duck_mode_ref("attr_all", "campaign_id", "ref_id") + duck_mode_ref(
+    "attr_all", "campaign_name", "ref_name") + (
+    duck_fill("web_m", "ref_id", "ref_name", "web_f", WEB_P_COLS),
+    duck_fill("leads_m", "ref_id", "ref_name", "leads_f", LEADS_P_COLS),
+)
+
+CHANNEL_CASE = ("CASE channel_3 WHEN 'fb' THEN 'Facebook' WHEN 'bing-search' THEN 'Bing Search' "
+                "WHEN 'bing-shopping' THEN 'Bing Shopping' WHEN 'search' THEN 'Search' "
+                "WHEN 'search-shopping' THEN 'Search Shopping' WHEN 'max' THEN 'Max' "
+                "ELSE 'Unknown' END")
+COUNTRY_CASE = ("CASE country_code WHEN 'ES' THEN 'Spain' WHEN 'GB' THEN 'United Kingdom' "
+                "WHEN 'IE' THEN 'Ireland' WHEN 'CH' THEN 'Switzerland' ELSE 'Unknown' END")
+
+
+def duck_derive(src: str, out: str, pathway: str, spend: str) -> str:
+    parts = "string_split(channel_5, '_')"
+    n = f"len({parts})"
+    return f"""{out} AS (
+  SELECT *, '{pathway}' AS pathway, {spend} AS spend_value,
+         coalesce(contains(lower(campaign_name), 'test'), false) AS test,
+         {CHANNEL_CASE} AS channel,
+         CASE WHEN {n} >= 3 THEN {parts}[-2] WHEN {n} = 2 THEN {parts}[2] END AS channel_6,
+         CASE WHEN {n} >= 3 THEN {parts}[-1] END AS channel_7,
+         {COUNTRY_CASE} AS country_name,
+         year(date) AS year, month(date) AS month, weekofyear(date) AS week,
+         dayofyear(date) AS day_of_year,
+         CAST(date - CAST((isodow(date) - 2 + 7) % 7 AS INTEGER) AS DATE) AS week_start
+  FROM {src}
+)"""
+
+
+INDEX = ("date", "country_code", "campaign_id", "pathway", "spend_value", "country_name", "year",
+         "month", "week", "day_of_year", "week_start", "channel", "channel_3", "channel_4",
+         "channel_5", "channel_6", "channel_7", "test")
+WEB_STAGE = {"nb_of_sessions": "sessions", "nb_of_signups": "signups",
+             "nb_of_orders": "orders", "nb_of_poslite_items_ordered": "poslite_items_ordered"}
+LEADS_STAGE = {"total_impressions": "impressions", "total_clicks": "clicks",
+               "total_leads": "leads", "total_sqls": "sqls",
+               "total_meeting_done": "meeting_done", "total_signed_leads": "signed_leads",
+               "total_pos_lite_deals": "pos_lite_deals", "total_fake_leads": "fake_leads"}
+
+
+def duck_long(src: str, stages: dict) -> str:
+    return " UNION ALL ".join(
+        f"SELECT {', '.join(INDEX)}, '{st}' AS funnel_stage, CAST({m} AS DOUBLE) AS metric_value "
+        f"FROM {src}" for m, st in stages.items())
+
+
+def duck_wide(src: str, out: str, stages: dict) -> str:
+    nn = " AND ".join(f"{c} IS NOT NULL" for c in INDEX)
+    sums = ", ".join(f"coalesce(sum(CAST({m} AS DOUBLE)), 0) AS {st}" for m, st in stages.items())
+    return (f"{out} AS (SELECT {', '.join(INDEX)}, {sums} FROM {src} WHERE {nn} "
+            f"GROUP BY {', '.join(INDEX)})")
+
+
+EXTRACT_CTES = IMPUTE_CTES + (
+    duck_derive("web_f", "web_d", "Website (Self-Service)", "total_spend_eur"),
+    duck_derive("leads_f", "leads_d", "Contact Form (Sales-Assisted)", "total_spend"),
+    duck_wide("web_d", "web_w", WEB_STAGE),
+    duck_wide("leads_d", "leads_w", LEADS_STAGE),
+    "all_wide AS (SELECT * FROM web_w UNION ALL BY NAME SELECT * FROM leads_w)",
+)
+GRAIN = ("date", "country_code", "campaign_id", "pathway", "channel")
+FINAL_M = ("spend_value", "orders", "poslite_items_ordered", "sessions", "signups", "clicks",
+           "fake_leads", "impressions", "leads", "meeting_done", "pos_lite_deals",
+           "signed_leads", "sqls")
+FINAL_D = ("country_name", "channel_3", "channel_4", "channel_5", "channel_6", "channel_7", "test")
+ORDER_STRUCT = "{" + ", ".join(f"'o{i}': {c}" for i, c in enumerate(
+    c for c in INDEX if c not in GRAIN)) + "}"
+FINAL_SQL = with_fixtures(*EXTRACT_CTES, body=f"""
+SELECT {', '.join(GRAIN)}, {', '.join(f'arg_min({d}, {ORDER_STRUCT}) AS {d}' for d in FINAL_D)},
+       {', '.join(f'max({m}) AS {m}' for m in FINAL_M)}
+FROM all_wide WHERE {' AND '.join(f'{g} IS NOT NULL' for g in GRAIN)}
+GROUP BY {', '.join(GRAIN)}""")

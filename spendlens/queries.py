@@ -1,13 +1,43 @@
-"""The registered queries (see ``registry``)."""
+"""The registered queries (see ``registry``).
+
+Every query reads the driver tables (through the fixture builders) in full;
+SQL texts come from ``oracle``.  Queries whose semantics SQL cannot state in
+DuckDB are registered without oracle text (rows-only check).
+"""
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import oracle as O
+from .functions import (add_calendar_columns, campaign_key, cast_id, clean_string, fill_unknown,
+                        fix_campaign_id, name_slug, normalize_country, normalize_na, null_sentinel,
+                        nullif_blank, remove_spaced_letters, surrogate_key, unknown_to_null)
+from .functions.derive import SALES_PATHWAY, WEB_PATHWAY
+from .operators import aggregates as A
+from .operators import dims as D
+from .operators import joins as J
+from .operators import kpi as K
+from .operators import quality as Q
+from .operators import setops as U
+from .operators import windows as W
+from .operators.reshape import LEADS_STAGES, WEB_STAGES
+from .plans import extract as X
+from .plans import impute as I
+from .plans.facts import dim_campaign_channels, fct_leads, fct_web
+from .plans.incremental import incremental_refresh, write_target
 from .plans.mart import build_mart
 from .registry import register
-from .sources import fixtures as fx
+from .session import scratch_path
+from .sources import catalog, fixtures as fx
+from .sources.io import read_source, read_table, write_csv
+from .sources.schemas import CHANNELS
+
+with_fixtures = O.with_fixtures
 
 
 def sources(spark: SparkSession, sf_dir: str):
@@ -15,13 +45,672 @@ def sources(spark: SparkSession, sf_dir: str):
             fx.channels(spark, sf_dir))
 
 
+def mart(spark, sf_dir, grain="country"):
+    web, leads, ch = sources(spark, sf_dir)
+    return build_mart(web, leads, ch, grain=grain)
+
+
+def imputed(spark, sf_dir):
+    web, leads, ch = sources(spark, sf_dir)
+    return I.impute_campaigns(I.prepare_web(web, ch), I.prepare_leads(leads))
+
+
+def extract(spark, sf_dir):
+    w, l, _ = imputed(spark, sf_dir)
+    return X.build_extract(w, l)
+
+
+# ------------------------------------------------------------------ the mart
 @register("mart_country", O.mart_sql("country"))
 def mart_country(spark: SparkSession, sf_dir: str) -> DataFrame:
-    web, leads, ch = sources(spark, sf_dir)
-    return build_mart(web, leads, ch, grain="country")
+    return mart(spark, sf_dir, "country")
 
 
 @register("mart_campaign", O.mart_sql("campaign"))
 def mart_campaign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mart(spark, sf_dir, "campaign")
+
+
+@register("combine_funnels", with_fixtures(*O.mart_ctes(), body="SELECT * FROM combined"))
+def combine_funnels(spark, sf_dir):
+    web, leads, _ = sources(spark, sf_dir)
+    return J.combine_funnels(fct_web(web), fct_leads(leads))
+
+
+@register("dim_channels", with_fixtures(*O.DIM_CTES, body="SELECT * FROM dim"))
+def dim_channels(spark, sf_dir):
+    return dim_campaign_channels(fx.channels(spark, sf_dir))
+
+
+# --------------------------------------------------------- column functions
+_DIRTY = """CASE p_partkey % 6
+  WHEN 0 THEN '  ' || upper(p_type) || '  P r o s p e c t i n g__' || p_brand
+  WHEN 1 THEN p_brand || ' pos   lite ' || p_type
+  WHEN 2 THEN 'Demand - Gen ' || p_type
+  WHEN 3 THEN 'bing search ' || lower(p_brand)
+  WHEN 4 THEN 'search shopping  ' || p_type || ' _ '
+  ELSE chr(9) || p_name || ' ' || chr(9) || '- c_' END"""
+
+
+def _dirty_text(part: DataFrame):
+    m = F.col("p_partkey") % 6
+    return (F.when(m == 0, F.concat(F.lit("  "), F.upper("p_type"),
+                                     F.lit("  P r o s p e c t i n g__"), F.col("p_brand")))
+            .when(m == 1, F.concat("p_brand", F.lit(" pos   lite "), "p_type"))
+            .when(m == 2, F.concat(F.lit("Demand - Gen "), "p_type"))
+            .when(m == 3, F.concat(F.lit("bing search "), F.lower("p_brand")))
+            .when(m == 4, F.concat(F.lit("search shopping  "), "p_type", F.lit(" _ ")))
+            .otherwise(F.concat(F.lit("\t"), "p_name", F.lit(" \t- c_"))))
+
+
+_CLEAN = O.duck_clean("raw_text")
+
+
+@register("clean_text", f"""
+SELECT p_partkey, raw_text, {_CLEAN} AS cleaned, nullif(trim({_CLEAN}), '') AS cleaned_or_null,
+       lower(regexp_replace(trim({_CLEAN}), '\\s+', '_', 'g')) AS slug,
+       CAST(p_partkey AS VARCHAR) || '__' || coalesce(nullif(lower(regexp_replace(trim({_CLEAN}),
+            '\\s+', '_', 'g')), ''), 'unknown') AS campaign_key,
+       upper(trim(p_brand)) AS brand_code
+FROM (SELECT p_partkey, p_brand, {_DIRTY} AS raw_text FROM part)""")
+def clean_text(spark, sf_dir):
+    part = read_table(spark, sf_dir, "part")
+    t = part.select("p_partkey", "p_brand", _dirty_text(part).alias("raw_text"))
+    return t.select("p_partkey", "raw_text", clean_string("raw_text").alias("cleaned"),
+                    nullif_blank(clean_string("raw_text")).alias("cleaned_or_null"),
+                    name_slug("raw_text").alias("slug"),
+                    campaign_key(F.col("p_partkey").cast("string"), name_slug("raw_text"))
+                    .alias("campaign_key"),
+                    normalize_country("p_brand").alias("brand_code"))
+
+
+@register("remove_spaced_letters")
+def spaced_letters(spark, sf_dir):
+    part = read_table(spark, sf_dir, "part")
+    raw = F.concat(F.lit("p o s lite "), F.concat_ws(" ", F.split(F.col("p_brand"), "")))
+    return part.select("p_partkey", raw.alias("raw_text"),
+                       remove_spaced_letters(raw).alias("joined"))
+
+
+_RAW_ID = """CASE p_partkey % 8
+  WHEN 0 THEN CAST(p_partkey AS VARCHAR)
+  WHEN 1 THEN CAST(p_partkey AS VARCHAR) || '.0'
+  WHEN 2 THEN '  ' || CAST(p_partkey AS VARCHAR) || '.000000 '
+  WHEN 3 THEN substr(CAST(p_partkey AS VARCHAR), 1, 1) || '.' || substr(CAST(p_partkey AS VARCHAR), 2, 100) || 'e' || CAST(length(CAST(p_partkey AS VARCHAR)) - 1 AS VARCHAR)
+  WHEN 4 THEN upper(substr(CAST(p_partkey AS VARCHAR), 1, 1) || '.' || substr(CAST(p_partkey AS VARCHAR), 2, 100) || 'e' || CAST(length(CAST(p_partkey AS VARCHAR)) - 1 AS VARCHAR))
+  WHEN 5 THEN CASE WHEN p_partkey % 16 = 5 THEN 'nan' ELSE 'None' END
+  WHEN 6 THEN 'te' || CAST(p_partkey AS VARCHAR) || 't'
+  ELSE split_part(p_name, ' ', 1) || CAST(p_partkey AS VARCHAR) END"""
+RAW_IDS_CTE = f"raw_ids AS (SELECT p_partkey, {_RAW_ID} AS raw_id FROM part)"
+
+
+@register("fix_ids", f"""WITH {RAW_IDS_CTE}
+SELECT p_partkey, raw_id, {O.duck_fix_id('raw_id')} AS campaign_id FROM raw_ids""")
+def fix_ids(spark, sf_dir):
+    return fx.raw_ids(spark, sf_dir).withColumn("campaign_id", fix_campaign_id("raw_id"))
+
+
+_NA_RAW = """CASE p_partkey % 8 WHEN 0 THEN 'nan' WHEN 1 THEN 'None' WHEN 2 THEN '<NA>'
+  WHEN 3 THEN '' WHEN 4 THEN 'UNKNOWN' WHEN 5 THEN NULL WHEN 6 THEN '  ' || p_brand || ' '
+  ELSE 'Unknown' END"""
+
+
+@register("normalize_na", f"""
+SELECT p_partkey, raw_value, {O.duck_na('raw_value')} AS na_normalized,
+       {O.duck_unknown('raw_value')} AS unknown_null,
+       coalesce({O.duck_unknown('raw_value')}, 'unknown') AS unknown_filled,
+       coalesce(CAST({O.duck_na('raw_value')} AS VARCHAR), '<<NaN>>') AS sentinel,
+       nullif(trim(raw_value), '') AS blank_null, trim(CAST(raw_value AS VARCHAR)) AS id_cast
+FROM (SELECT p_partkey, {_NA_RAW} AS raw_value FROM part)""")
+def normalize_na_q(spark, sf_dir):
+    part = read_table(spark, sf_dir, "part")
+    m = F.col("p_partkey") % 8
+    raw = (F.when(m == 0, "nan").when(m == 1, "None").when(m == 2, "<NA>").when(m == 3, "")
+           .when(m == 4, "UNKNOWN").when(m == 5, F.lit(None).cast("string"))
+           .when(m == 6, F.concat(F.lit("  "), "p_brand", F.lit(" "))).otherwise("Unknown"))
+    t = part.select("p_partkey", raw.alias("raw_value"))
+    return t.select("p_partkey", "raw_value", normalize_na("raw_value").alias("na_normalized"),
+                    unknown_to_null("raw_value").alias("unknown_null"),
+                    fill_unknown(unknown_to_null("raw_value")).alias("unknown_filled"),
+                    null_sentinel(normalize_na("raw_value")).alias("sentinel"),
+                    nullif_blank("raw_value").alias("blank_null"),
+                    cast_id("raw_value").alias("id_cast"))
+
+
+@register("calendar", """
+SELECT o_orderkey, d AS date, year(d) AS year, month(d) AS month, monthname(d) AS month_name,
+       day(d) AS day, isodow(d) AS day_of_week, dayname(d) AS day_name,
+       dayofyear(d) AS day_of_year, weekofyear(d) AS week, isoyear(d) AS iso_year,
+       quarter(d) AS quarter, CAST(d - CAST((isodow(d) - 2 + 7) % 7 AS INTEGER) AS DATE) AS week_start
+FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders)""")
+def calendar(spark, sf_dir):
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey",
+                                                   F.col("o_orderdate").cast("date").alias("date"))
+    return add_calendar_columns(o, "date")
+
+
+@register("channel_viz", with_fixtures(*O.PREP_CTES, O.duck_derive(
+    "web_p", "web_v", WEB_PATHWAY, "total_spend_eur"), body="""
+SELECT date, country_code, campaign_id, test, channel, channel_6, channel_7, country_name
+FROM web_v"""))
+def channel_viz(spark, sf_dir):
+    web, _, ch = sources(spark, sf_dir)
+    d = X.add_country_name(X.derive_channel_viz(I.prepare_web(web, ch)))
+    return d.select("date", "country_code", "campaign_id", "test", "channel", "channel_6",
+                    "channel_7", "country_name")
+
+
+# ------------------------------------------------------------ dims / joins
+@register("prepared_channels", with_fixtures(*O.PREP_CTES, body="SELECT * FROM chp"))
+def prepared_channels(spark, sf_dir):
+    return I.prepare_channels(fx.channels(spark, sf_dir))
+
+
+@register("first_last_by_campaign", with_fixtures(body="""
+SELECT campaign_id,
+       arg_min(country_code, {'a': date, 'b': coalesce(country_code, '')})
+           FILTER (WHERE country_code IS NOT NULL) AS first_country,
+       arg_min(total_spend_eur, {'a': date, 'b': coalesce(country_code, '')}) AS first_spend,
+       arg_max(country_code, {'a': date, 'b': coalesce(country_code, '')})
+           FILTER (WHERE country_code IS NOT NULL) AS last_country,
+       arg_max(total_spend_eur, {'a': date, 'b': coalesce(country_code, '')}) AS last_spend
+FROM web GROUP BY campaign_id"""))
+def first_last_by_campaign(spark, sf_dir):
+    web = fx.web_orders(spark, sf_dir)
+    order = ["date", F.coalesce("country_code", F.lit(""))]
+    first = D.first_non_null(web, "campaign_id", ["country_code", "total_spend_eur"], order)
+    last = D.last_non_null(web, "campaign_id", ["country_code", "total_spend_eur"], order)
+    return (first.withColumnsRenamed({"country_code": "first_country",
+                                      "total_spend_eur": "first_spend"})
+            .join(last.withColumnsRenamed({"country_code": "last_country",
+                                           "total_spend_eur": "last_spend"}), "campaign_id"))
+
+
+@register("attach_channels", with_fixtures(*O.PREP_CTES, body="SELECT * FROM web_p"))
+def attach_channels(spark, sf_dir):
+    web, _, ch = sources(spark, sf_dir)
+    return I.prepare_web(web, ch)
+
+
+@register("update_from_lookup", with_fixtures(*O.PREP_CTES, f"""lk AS (
+  SELECT {O.duck_fix_id('campaign_id')} AS campaign_id,
+         max({O.duck_clean('campaign_name')}) AS campaign_name,
+         max({O.duck_clean('channel_3')}) AS channel_3, max({O.duck_clean('channel_4')}) AS channel_4,
+         max({O.duck_clean('channel_5')}) AS channel_5
+  FROM channels GROUP BY 1)""", body=f"""
+SELECT l.date, l.country_code, l.campaign_id,
+       coalesce(k.campaign_name, l.campaign_name) AS campaign_name,
+       coalesce(k.channel_3, l.channel_3) AS channel_3, coalesce(k.channel_4, l.channel_4) AS channel_4,
+       coalesce(k.channel_5, l.channel_5) AS channel_5, l.total_spend, {', '.join('l.' + m for m in O.ALL_LEADS_M)}
+FROM leads_p l LEFT JOIN lk k ON l.campaign_id = k.campaign_id"""))
+def update_from_lookup(spark, sf_dir):
+    _, leads, ch = sources(spark, sf_dir)
+    staged = ch.select(fix_campaign_id("campaign_id").alias("campaign_id"),
+                       *[clean_string(c).alias(c) for c in
+                         ("campaign_name", "channel_3", "channel_4", "channel_5")])
+    lookup = A.reconcile_max(staged, ["campaign_id"],
+                             ["campaign_name", "channel_3", "channel_4", "channel_5"])
+    return J.update_from_lookup(I.prepare_leads(leads), lookup, "campaign_id")
+
+
+@register("overlap_rows", with_fixtures(body="""
+SELECT * FROM web w WHERE EXISTS (
+  SELECT 1 FROM leads l WHERE l.campaign_id = w.campaign_id AND l.date = w.date)"""))
+def overlap_rows(spark, sf_dir):
+    web, leads, _ = sources(spark, sf_dir)
+    return J.restrict_to_overlap(web, leads, ["campaign_id", "date"])
+
+
+@register("common_campaign_days", with_fixtures(body="""
+SELECT campaign_id, date FROM web WHERE campaign_id IS NOT NULL AND date IS NOT NULL
+INTERSECT SELECT campaign_id, date FROM leads WHERE campaign_id IS NOT NULL AND date IS NOT NULL"""))
+def common_campaign_days(spark, sf_dir):
+    web, leads, _ = sources(spark, sf_dir)
+    return U.common_ids(web, leads, ["campaign_id", "date"])
+
+
+@register("referential", with_fixtures(*O.DIM_CTES, RAW_IDS_CTE, body=f"""
+SELECT * FROM (SELECT p_partkey, raw_id, {O.duck_fix_id('raw_id')} AS campaign_id FROM raw_ids) f
+WHERE campaign_id IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM dim d WHERE d.campaign_id = f.campaign_id)"""))
+def referential(spark, sf_dir):
+    ids = fx.raw_ids(spark, sf_dir).withColumn("campaign_id", fix_campaign_id("raw_id"))
+    return Q.check_referential(ids, dim_campaign_channels(fx.channels(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- imputation
+@register("campaign_maps", with_fixtures(*O.IMPUTE_CTES, body="""
+SELECT 'id_to_name' AS direction, campaign_id AS map_key, m_name AS map_value FROM id2name
+UNION ALL SELECT 'name_to_id', campaign_name, m_id FROM name2id"""))
+def campaign_maps(spark, sf_dir):
+    web, leads, ch = sources(spark, sf_dir)
+    cols = [I.KEY_ID, I.KEY_NAME, *I.ATTR_COLS]
+    w = I.normalize_frame(I.prepare_web(web, ch), cols)
+    l = I.normalize_frame(I.prepare_leads(leads), cols)
+    i2n, n2i = I.campaign_maps(l, w)
+    return (i2n.select(F.lit("id_to_name").alias("direction"), F.col(I.KEY_ID).alias("map_key"),
+                       F.col("_name").alias("map_value"))
+            .unionByName(n2i.select(F.lit("name_to_id").alias("direction"),
+                                    F.col(I.KEY_NAME).alias("map_key"),
+                                    F.col("_id").alias("map_value"))))
+
+
+@register("reference_by_id", with_fixtures(*O.IMPUTE_CTES, body="SELECT * FROM ref_id"))
+def reference_by_id(spark, sf_dir):
+    return imputed(spark, sf_dir)[2]
+
+
+@register("reference_by_name", with_fixtures(*O.IMPUTE_CTES, body="SELECT * FROM ref_name"))
+def reference_by_name(spark, sf_dir):
     web, leads, ch = sources(spark, sf_dir)
-    return build_mart(web, leads, ch, grain="campaign")
+    cols = [I.KEY_ID, I.KEY_NAME, *I.ATTR_COLS]
+    w = I.normalize_frame(I.prepare_web(web, ch), cols)
+    l = I.normalize_frame(I.prepare_leads(leads), cols)
+    i2n, n2i = I.campaign_maps(l, w)
+    w, l = I.apply_campaign_maps(w, i2n, n2i), I.apply_campaign_maps(l, i2n, n2i)
+    return A.build_reference(l, w, I.KEY_NAME, I.ATTR_COLS)
+
+
+@register("impute_web", with_fixtures(*O.IMPUTE_CTES, body="SELECT * FROM web_f"))
+def impute_web(spark, sf_dir):
+    return imputed(spark, sf_dir)[0]
+
+
+@register("impute_leads", with_fixtures(*O.IMPUTE_CTES, body="SELECT * FROM leads_f"))
+def impute_leads(spark, sf_dir):
+    return imputed(spark, sf_dir)[1]
+
+
+# ------------------------------------------------------------ reshape / grain
+_EXTRACT = O.EXTRACT_CTES
+
+
+@register("web_long", with_fixtures(*_EXTRACT, body=O.duck_long("web_d", O.WEB_STAGE)))
+def web_long(spark, sf_dir):
+    return extract(spark, sf_dir)["web_long"]
+
+
+@register("leads_long", with_fixtures(*_EXTRACT, body=O.duck_long("leads_d", O.LEADS_STAGE)))
+def leads_long(spark, sf_dir):
+    return extract(spark, sf_dir)["leads_long"]
+
+
+@register("web_wide", with_fixtures(*_EXTRACT, body="SELECT * FROM web_w"))
+def web_wide(spark, sf_dir):
+    return extract(spark, sf_dir)["web_wide"]
+
+
+@register("all_wide", with_fixtures(*_EXTRACT, body="SELECT * FROM all_wide"))
+def all_wide(spark, sf_dir):
+    return extract(spark, sf_dir)["all_wide"]
+
+
+@register("final_grain", O.FINAL_SQL)
+def final_grain(spark, sf_dir):
+    return extract(spark, sf_dir)["final"]
+
+
+def _final_cte_sql(body: str) -> str:
+    head, select = O.FINAL_SQL.rsplit("\nSELECT ", 1)
+    return head + ",\nfinal AS (SELECT " + select + ")\n" + body
+
+
+@register("grain_duplicates", _final_cte_sql("""
+SELECT f.* FROM final f JOIN (SELECT campaign_id, date, pathway FROM final
+  GROUP BY ALL HAVING count(*) > 1) d
+  ON f.campaign_id IS NOT DISTINCT FROM d.campaign_id AND f.date IS NOT DISTINCT FROM d.date
+ AND f.pathway IS NOT DISTINCT FROM d.pathway"""))
+def grain_duplicates(spark, sf_dir):
+    return W.duplicate_rows(extract(spark, sf_dir)["final"], X.DUPLICATE_KEY)
+
+
+@register("grain_duplicate_groups", _final_cte_sql("""
+SELECT campaign_id, date, pathway, count(*) AS n_rows FROM final
+GROUP BY ALL HAVING count(*) > 1"""))
+def grain_duplicate_groups(spark, sf_dir):
+    return A.duplicate_groups(extract(spark, sf_dir)["final"], X.DUPLICATE_KEY)
+
+
+# ----------------------------------------------------------------- profiling
+def _profile_sql(src: str, key: str, other: str) -> str:
+    unp = " UNION ALL ".join(
+        f"SELECT coalesce(CAST({key} AS VARCHAR), '<<NaN>>') AS {key}, '{c}' AS profile_col, "
+        f"coalesce(CAST({c} AS VARCHAR), '<<NaN>>') AS v FROM {src}" for c in O.CH)
+    return f"""
+SELECT v.{key}, v.profile_col, v.col_values, v.col_nunique,
+       o.{other}_values, o.{other}_nunique
+FROM (SELECT {key}, profile_col, string_agg(v, '|' ORDER BY v) AS col_values,
+             count(*) AS col_nunique
+      FROM (SELECT DISTINCT * FROM ({unp})) GROUP BY {key}, profile_col) v
+LEFT JOIN (SELECT {key}, string_agg(x, '|' ORDER BY x) AS {other}_values,
+                  count(*) AS {other}_nunique
+           FROM (SELECT DISTINCT coalesce(CAST({key} AS VARCHAR), '<<NaN>>') AS {key},
+                        coalesce(CAST({other} AS VARCHAR), '<<NaN>>') AS x FROM {src})
+           GROUP BY {key}) o ON v.{key} = o.{key}"""
+
+
+@register("profile_leads_by_id", with_fixtures(*O.PREP_CTES, body=_profile_sql(
+    "leads_p", "campaign_id", "campaign_name")))
+def profile_leads_by_id(spark, sf_dir):
+    leads = I.prepare_leads(fx.leads_funnel(spark, sf_dir))
+    return A.profile_by(leads, "campaign_id", ["channel_3", "channel_4", "channel_5"],
+                        "campaign_name", sep="|")
+
+
+@register("profile_channels_by_name", with_fixtures(body=_profile_sql(
+    "channels", "campaign_name", "campaign_id")))
+def profile_channels_by_name(spark, sf_dir):
+    return A.profile_by(fx.channels(spark, sf_dir), "campaign_name",
+                        ["channel_3", "channel_4", "channel_5"], "campaign_id", sep="|")
+
+
+@register("name_id_cardinality", with_fixtures(body="""
+SELECT campaign_name, string_agg(campaign_id, '|' ORDER BY campaign_id) AS campaign_id_values,
+       count(*) AS campaign_id_nunique
+FROM (SELECT DISTINCT coalesce(campaign_name, '<<NaN>>') AS campaign_name,
+             coalesce(campaign_id, '<<NaN>>') AS campaign_id FROM channels)
+GROUP BY campaign_name"""))
+def name_id_cardinality(spark, sf_dir):
+    return A.cardinality(fx.channels(spark, sf_dir), "campaign_name", "campaign_id", sep="|")
+
+
+@register("bijection", with_fixtures(body="""
+SELECT direction, key, n_partners FROM (
+  SELECT 'id_to_name' AS direction, campaign_id AS key, count(*) AS n_partners
+  FROM (SELECT DISTINCT trim(campaign_id) AS campaign_id, campaign_name FROM channels
+        WHERE campaign_id IS NOT NULL AND campaign_name IS NOT NULL) GROUP BY campaign_id
+  UNION ALL
+  SELECT 'name_to_id', campaign_name, count(*)
+  FROM (SELECT DISTINCT trim(campaign_id) AS campaign_id, campaign_name FROM channels
+        WHERE campaign_id IS NOT NULL AND campaign_name IS NOT NULL) GROUP BY campaign_name)
+WHERE n_partners > 1"""))
+def bijection(spark, sf_dir):
+    ch = fx.channels(spark, sf_dir).withColumn("campaign_id", cast_id("campaign_id"))
+    return Q.check_bijection(ch)
+
+
+# ------------------------------------------------- history / reconciliation
+HISTORY_CTE = f"""history AS (
+  SELECT date, country_code, campaign_id,
+         CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_discount AS DECIMAL(4,2)))
+              AS DECIMAL(18,4)) AS total_spend_eur,
+         CAST(sum(l_quantity) * 100 AS BIGINT) AS impressions,
+         CAST(date AS TIMESTAMP) + INTERVAL 30 HOUR AS _etl_loaded_at
+  FROM fact_lines WHERE l_returnflag <> 'R' AND l_linestatus = 'F' GROUP BY date, country_code, campaign_id
+  UNION ALL
+  SELECT date, country_code, campaign_id,
+         CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_discount AS DECIMAL(4,2)))
+              AS DECIMAL(18,4)),
+         CAST(sum(l_quantity) * 100 AS BIGINT), CAST(date AS TIMESTAMP) + INTERVAL 54 HOUR
+  FROM fact_lines WHERE l_returnflag <> 'R' GROUP BY date, country_code, campaign_id
+)"""
+
+
+@register("reconcile_max", with_fixtures(HISTORY_CTE, body="""
+SELECT campaign_id, date, country_code, max(total_spend_eur) AS total_spend_eur,
+       max(impressions) AS impressions
+FROM history GROUP BY campaign_id, date, country_code"""))
+def reconcile_max(spark, sf_dir):
+    h = fx.web_load_history(spark, sf_dir)
+    return A.reconcile_max(h, ["campaign_id", "date", "country_code"],
+                           ["total_spend_eur", "impressions"])
+
+
+@register("snapshot_history", with_fixtures(HISTORY_CTE, """hist_changed AS (
+  SELECT *, (lag(_etl_loaded_at) OVER w IS NULL
+             OR lag(total_spend_eur) OVER w IS DISTINCT FROM total_spend_eur
+             OR lag(impressions) OVER w IS DISTINCT FROM impressions) AS changed
+  FROM history WINDOW w AS (PARTITION BY campaign_id, date, country_code ORDER BY _etl_loaded_at))""",
+    "kept AS (SELECT * EXCLUDE (changed) FROM hist_changed WHERE changed)", body="""
+SELECT *, _etl_loaded_at AS valid_from,
+       lead(_etl_loaded_at) OVER (PARTITION BY campaign_id, date, country_code
+                                  ORDER BY _etl_loaded_at) AS valid_to,
+       lead(_etl_loaded_at) OVER (PARTITION BY campaign_id, date, country_code
+                                  ORDER BY _etl_loaded_at) IS NULL AS is_current,
+       md5(concat_ws('|', coalesce(CAST(campaign_id AS VARCHAR), '<null>'),
+                     coalesce(CAST(date AS VARCHAR), '<null>'),
+                     coalesce(CAST(country_code AS VARCHAR), '<null>'),
+                     coalesce(CAST(_etl_loaded_at AS VARCHAR), '<null>'))) AS snapshot_key
+FROM kept"""))
+def snapshot_history(spark, sf_dir):
+    h = fx.web_load_history(spark, sf_dir)
+    s = W.snapshot(h, ["campaign_id", "date", "country_code"], "_etl_loaded_at",
+                   ["total_spend_eur", "impressions"])
+    return s.withColumn("snapshot_key", surrogate_key("campaign_id", "date", "country_code",
+                                                      "_etl_loaded_at"))
+
+
+# ----------------------------------------------------------------------- KPI
+def _success_frame(final: DataFrame) -> DataFrame:
+    """Spend and success per final row: deals for the sales path, orders for web."""
+    return final.select("*", F.col("spend_value").alias("spend"),
+                        F.coalesce(F.col("pos_lite_deals"), F.col("orders")).alias("success"))
+
+
+_SUCCESS = ("final_s AS (SELECT *, spend_value AS spend, coalesce(pos_lite_deals, orders) "
+            "AS success FROM final)")
+
+
+def _cac_sql(by: str, where: str = "") -> str:
+    return _final_cte_sql("").rstrip() + f""",
+{_SUCCESS}
+SELECT {by}, sum(spend) AS total_spend, sum(success) AS total_success,
+       CASE WHEN coalesce(CAST(sum(success) AS DOUBLE), 0) > 0
+            THEN coalesce(CAST(sum(spend) AS DOUBLE), 0) / CAST(sum(success) AS DOUBLE) END AS cac
+FROM final_s {where} GROUP BY {by}"""
+
+
+_OVERLAP_WHERE = """WHERE campaign_id IN (SELECT campaign_id FROM final_s
+  WHERE pathway = 'Website (Self-Service)' INTERSECT SELECT campaign_id FROM final_s
+  WHERE pathway = 'Contact Form (Sales-Assisted)')"""
+
+
+@register("cac_by_pathway_overlap", _cac_sql("pathway", _OVERLAP_WHERE))
+def cac_by_pathway_overlap(spark, sf_dir):
+    f = _success_frame(extract(spark, sf_dir)["final"])
+    both = U.common_ids(f.where(F.col("pathway") == WEB_PATHWAY),
+                        f.where(F.col("pathway") == SALES_PATHWAY), ["campaign_id"])
+    return K.segment_cac(J.restrict_to_overlap(f, both, ["campaign_id"]), ["pathway"])
+
+
+@register("cac_by_test", _cac_sql("test"))
+def cac_by_test(spark, sf_dir):
+    return K.segment_cac(_success_frame(extract(spark, sf_dir)["final"]), ["test"])
+
+
+@register("cac_by_channel", _cac_sql("pathway, channel, channel_3"))
+def cac_by_channel(spark, sf_dir):
+    return K.segment_cac(_success_frame(extract(spark, sf_dir)["final"]),
+                         ["pathway", "channel", "channel_3"])
+
+
+@register("compare_pathways", _cac_sql("pathway").replace(
+    "\nSELECT pathway, sum(spend)", ",\ncac AS (SELECT pathway, sum(spend)", 1) + """)
+SELECT cac_a, cac_b, coalesce(cac_b, 0) / nullif(cac_a, 0) AS times_better,
+       1.0 - coalesce(cac_a, 0) / nullif(cac_b, 0) AS gain
+FROM (SELECT max(CASE WHEN pathway = 'Contact Form (Sales-Assisted)' THEN cac END) AS cac_a,
+             max(CASE WHEN pathway = 'Website (Self-Service)' THEN cac END) AS cac_b FROM cac)""")
+def compare_pathways(spark, sf_dir):
+    cac = K.segment_cac(_success_frame(extract(spark, sf_dir)["final"]), ["pathway"])
+    return K.compare_segments(cac, "pathway", SALES_PATHWAY, WEB_PATHWAY)
+
+
+_MART = "mart_rows AS (SELECT * FROM mart)"
+
+
+def _mart_sql(body: str) -> str:
+    return O.with_fixtures(*O.mart_ctes("country"), body=body)
+
+
+@register("conversion_leads_meetings", _mart_sql("""
+SELECT channel_3, sum(meeting_done) AS sum_meeting_done, sum(leads) AS sum_leads,
+       coalesce(CAST(sum(meeting_done) AS DOUBLE), 0) / nullif(CAST(sum(leads) AS DOUBLE), 0)
+         AS conversion
+FROM mart GROUP BY channel_3"""))
+def conversion_leads_meetings(spark, sf_dir):
+    return K.conversion(mart(spark, sf_dir), "meeting_done", "leads", ["channel_3"])
+
+
+_STEPS = ("impressions", "clicks", "leads", "sqls", "meeting_done", "signed_leads",
+          "pos_lite_deals")
+
+
+@register("step_conversion", _mart_sql(" UNION ALL ".join(
+    f"""SELECT country_code, '{a}' AS from_step, '{b}' AS to_step,
+       CAST(sum({a}) AS DOUBLE) AS from_total, CAST(sum({b}) AS DOUBLE) AS to_total,
+       coalesce(CAST(sum({b}) AS DOUBLE), 0) / nullif(CAST(sum({a}) AS DOUBLE), 0) AS rate
+FROM mart GROUP BY country_code""" for a, b in zip(_STEPS, _STEPS[1:]))))
+def step_conversion(spark, sf_dir):
+    return K.step_conversion(mart(spark, sf_dir), list(_STEPS), ["country_code"])
+
+
+@register("spend_per_lead", _mart_sql("""
+SELECT country_code, sum(total_spend_sales) AS sum_total_spend_sales, sum(leads) AS sum_leads,
+       coalesce(CAST(sum(total_spend_sales) AS DOUBLE), 0) / nullif(CAST(sum(leads) AS DOUBLE), 0)
+         AS cost_per_lead
+FROM mart GROUP BY country_code"""))
+def spend_per_lead(spark, sf_dir):
+    return K.conversion(mart(spark, sf_dir), "total_spend_sales", "leads", ["country_code"],
+                        name="cost_per_lead")
+
+
+@register("top_campaigns", _mart_sql("""
+SELECT campaign_id, campaign_name, sum(total_spend_web) AS total_spend_web,
+       sum(total_spend_sales) AS total_spend_sales
+FROM mart GROUP BY campaign_id, campaign_name
+ORDER BY coalesce(sum(total_spend_web), 0) + coalesce(sum(total_spend_sales), 0) DESC,
+         campaign_id LIMIT 20"""))
+def top_campaigns(spark, sf_dir):
+    t = A.segment_totals(mart(spark, sf_dir), ["campaign_id", "campaign_name"],
+                         {"total_spend_web": "total_spend_web",
+                          "total_spend_sales": "total_spend_sales"})
+    total = F.coalesce("total_spend_web", F.lit(0)) + F.coalesce("total_spend_sales", F.lit(0))
+    return W.top_n(t, [total.desc(), F.col("campaign_id").asc()], 20)
+
+
+# ------------------------------------------------------------------- quality
+@register("check_monotonic", _mart_sql(f"""
+SELECT * FROM (SELECT *, concat_ws(',', {', '.join(
+    f"CASE WHEN {b} > {a} THEN '{b}>{a}' END" for a, b in zip(_STEPS, _STEPS[1:]))})
+    AS broken_steps FROM mart) WHERE broken_steps <> ''"""))
+def check_monotonic(spark, sf_dir):
+    return Q.check_monotonic(mart(spark, sf_dir), list(_STEPS))
+
+
+_OUTLIERS = {"sessions": 10000, "impressions": 100000, "cac_per_pos_lite_deal": 1000}
+
+
+@register("flag_outliers", _mart_sql(f"""
+SELECT * FROM (SELECT *, concat_ws(',', {', '.join(
+    f"CASE WHEN {c} >= {t} THEN '{c}' END" for c, t in _OUTLIERS.items())}) AS outlier_metrics
+  FROM mart) WHERE outlier_metrics <> ''"""))
+def flag_outliers(spark, sf_dir):
+    return Q.flag_outliers(mart(spark, sf_dir), _OUTLIERS)
+
+
+@register("check_broken_funnel", _mart_sql("""
+SELECT * FROM mart WHERE (coalesce(impressions, 0) > 0 OR coalesce(pos_lite_deals, 0) > 0)
+  AND (clicks IS NULL OR leads IS NULL OR sqls IS NULL OR meeting_done IS NULL)"""))
+def check_broken_funnel(spark, sf_dir):
+    return Q.check_broken_funnel(mart(spark, sf_dir), "impressions",
+                                 ["clicks", "leads", "sqls", "meeting_done"], "pos_lite_deals")
+
+
+@register("check_alignment", _mart_sql("""
+SELECT *, CASE WHEN coalesce(total_spend_web, 0) <> 0 THEN 'spend_without_metrics'
+               ELSE 'metrics_without_spend' END AS misalignment
+FROM mart WHERE (coalesce(total_spend_web, 0) <> 0)
+             <> (coalesce(sessions, 0) <> 0 OR coalesce(orders, 0) <> 0)"""))
+def check_alignment(spark, sf_dir):
+    return Q.check_alignment(mart(spark, sf_dir), "total_spend_web", ["sessions", "orders"])
+
+
+@register("check_predicates", _mart_sql("""
+SELECT *, 'deals_within_signed' AS "check" FROM mart WHERE NOT (pos_lite_deals <= signed_leads)
+UNION ALL SELECT *, 'non_negative_spend' FROM mart WHERE NOT (total_spend_web >= 0)"""))
+def check_predicates(spark, sf_dir):
+    m = mart(spark, sf_dir)
+    return (Q.check_predicate(m, "deals_within_signed",
+                              F.col("pos_lite_deals") <= F.col("signed_leads"))
+            .unionByName(Q.check_predicate(m, "non_negative_spend",
+                                           F.col("total_spend_web") >= 0)))
+
+
+@register("accepted_values", with_fixtures(*O.PREP_CTES, body="""
+SELECT * FROM chp WHERE campaign_period_budget_category IS NOT NULL
+  AND campaign_period_budget_category NOT IN ('alwayson', 'flight', 'abs', 'max')"""))
+def accepted_values(spark, sf_dir):
+    return Q.check_accepted(I.prepare_channels(fx.channels(spark, sf_dir)),
+                            "campaign_period_budget_category",
+                            ["alwayson", "flight", "abs", "max"])
+
+
+@register("null_counts", with_fixtures(*O.PREP_CTES, body=" UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, CAST(sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) "
+    f"AS n_null FROM web_p" for c in O.WEB_P_COLS)))
+def null_counts(spark, sf_dir):
+    web, _, ch = sources(spark, sf_dir)
+    w = I.prepare_web(web, ch)
+    return Q.null_counts(w, w.columns)
+
+
+_NOW = dt.datetime(2001, 8, 2, 20, 0, 0)
+
+
+def _report_sql() -> str:
+    parts = []
+    for t in ("web", "leads"):
+        parts.append(f"""SELECT 'freshness' AS "check", '{t}' AS table_name,
+  '_etl_loaded_at' AS column_name, CAST(0 AS BIGINT) AS n_violations,
+  CASE WHEN max(ts) IS NULL THEN 'error'
+       WHEN (epoch(TIMESTAMP '{_NOW}') - epoch(max(ts))) / 3600.0 >= 24 THEN 'error'
+       WHEN (epoch(TIMESTAMP '{_NOW}') - epoch(max(ts))) / 3600.0 >= 12 THEN 'warn'
+       ELSE 'pass' END AS status
+FROM (SELECT CAST(date AS TIMESTAMP) + INTERVAL 30 HOUR AS ts FROM {t})""")
+        for c in ("date", "country_code", "campaign_id"):
+            parts.append(f"""SELECT 'not_null', '{t}', '{c}',
+  CAST(sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT),
+  CASE WHEN sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) > 0 THEN 'error' ELSE 'pass' END
+FROM {t}""")
+    parts.append("""SELECT 'schema', 'channels', '_etl_loaded_at', CAST(1 AS BIGINT), 'error'""")
+    parts.append("""SELECT 'not_null', 'channels', 'campaign_id',
+  CAST(sum(CASE WHEN campaign_id IS NULL THEN 1 ELSE 0 END) AS BIGINT),
+  CASE WHEN sum(CASE WHEN campaign_id IS NULL THEN 1 ELSE 0 END) > 0 THEN 'error' ELSE 'pass' END
+FROM channels""")
+    parts.append("""SELECT 'unique', 'channels', 'campaign_id', count(*),
+  CASE WHEN count(*) > 0 THEN 'error' ELSE 'pass' END
+FROM (SELECT campaign_id FROM channels GROUP BY campaign_id HAVING count(*) > 1)""")
+    return with_fixtures(body="\nUNION ALL\n".join(parts))
+
+
+@register("source_report", _report_sql())
+def source_report(spark, sf_dir):
+    web, leads, ch = sources(spark, sf_dir)
+    tables = {"web_orders": fx.with_loaded_at(web), "leads_funnel": fx.with_loaded_at(leads),
+              "channels": ch}
+    rep = Q.source_report(tables, catalog.SOURCES, _NOW)
+    return rep.withColumn("table_name", F.when(F.col("table_name") == "web_orders", "web")
+                          .when(F.col("table_name") == "leads_funnel", "leads")
+                          .otherwise(F.col("table_name")))
+
+
+# ------------------------------------------------------- incremental / io
+@register("incremental_refresh", O.mart_sql("country"))
+def incremental(spark, sf_dir):
+    """Build the mart as it stood 30 days before the newest data, write it as
+    the target, then run one incremental refresh (7-day lookback merge)."""
+    web, leads, ch = sources(spark, sf_dir)
+    newest = A.high_water_mark(web, "date")
+    cutoff = newest - dt.timedelta(days=30)
+    old = build_mart(web.where(F.col("date") < F.lit(cutoff)),
+                     leads.where(F.col("date") < F.lit(cutoff)), ch)
+    target = write_target(spark, old, scratch_path(spark, f"mart_target_{uuid.uuid4().hex}"))
+    return incremental_refresh(spark, target, web, leads, ch, lookback_days=7)
+
+
+@register("csv_roundtrip", with_fixtures(*O.PREP_CTES, body="SELECT * FROM chp"))
+def csv_roundtrip(spark, sf_dir):
+    """Prepared channels written as ``;`` CSV and read back with the declared schema."""
+    path = scratch_path(spark, f"channels_csv_{uuid.uuid4().hex}")
+    write_csv(I.prepare_channels(fx.channels(spark, sf_dir)).coalesce(1), path, sep=";")
+    return read_source(spark, path, CHANNELS, fmt="csv", sep=";")
