@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import fill_unknown, unknown_to_null
-from .joins import BROADCAST_MAX_ROWS, broadcast_if_small
 
 
 def _order_struct(order: Sequence[str | Column]) -> Column:
@@ -63,23 +62,33 @@ def dedupe_dim(df: DataFrame, key: str, order: Sequence[str | Column]) -> DataFr
 def repair_channels(df: DataFrame, key: str = "campaign_id",
                     cols: Sequence[str] = ("channel_3", "channel_4", "channel_5"),
                     ids: Sequence[str] | None = None, fill: bool = True,
-                    order: Sequence[str | Column] | None = None,
-                    max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                    order: Sequence[str | Column] | None = None) -> DataFrame:
     """Repair missing channels of a campaign from its other rows (M-1).
 
-    ``unknown`` spellings -> null; per key the first non-null value (A-1) fills
-    the nulls of rows whose key is in ``ids`` (all keys when ``ids`` is None,
-    P-12); remaining nulls become ``unknown`` when ``fill``.
+    ``unknown`` spellings -> null; per key the first non-null value (A-1, in
+    ``order``; smallest value without one) fills the nulls of rows whose key is
+    in ``ids`` (all keys when ``ids`` is None, P-12); remaining nulls become
+    ``unknown`` when ``fill``.
+
+    This is a dimension-table operator (a few rows per campaign id): the
+    per-key value is a window over the key, which shares its exchange with the
+    dedupe window that usually follows (``dedupe_dim``), so no lookup join and
+    no extra job are planned.
     """
     cleaned = df.withColumns({c: unknown_to_null(c) for c in cols})
-    lookup = first_non_null(cleaned, key, cols, order)
-    lookup = broadcast_if_small(
-        lookup.select(F.col(key).alias("_k"), *[F.col(c).alias(f"_l_{c}") for c in cols]),
-        max_rows)
-    joined = cleaned.join(lookup, cleaned[key] == lookup["_k"], "left")
-    in_scope = F.lit(True) if ids is None else cleaned[key].isin(list(ids))
+    w = Window.partitionBy(key)
+    if order:
+        o = [F.col(x) if isinstance(x, str) else x for x in order]
+        w_ordered = w.orderBy(*[c.asc_nulls_last() for c in o]).rowsBetween(
+            Window.unboundedPreceding, Window.unboundedFollowing)
+        per_key = {c: F.first(F.col(c), ignorenulls=True).over(w_ordered) for c in cols}
+    else:
+        per_key = {c: F.min(c).over(w) for c in cols}
+    in_scope = F.col(key).isNotNull()
+    if ids is not None:
+        in_scope = in_scope & F.col(key).isin(list(ids))
     out = {}
     for c in cols:
-        v = F.when(in_scope, F.coalesce(cleaned[c], F.col(f"_l_{c}"))).otherwise(cleaned[c])
+        v = F.when(in_scope, F.coalesce(F.col(c), per_key[c])).otherwise(F.col(c))
         out[c] = fill_unknown(v) if fill else v
-    return joined.select(*[out[c].alias(c) if c in out else cleaned[c] for c in df.columns])
+    return cleaned.withColumns(out)

@@ -51,33 +51,49 @@ def combine_funnels(web: DataFrame, leads: DataFrame,
                     keys: Sequence[str] = ("date", "campaign_id", "country_code"),
                     nullable_keys: Sequence[str] = ("country_code",),
                     web_rank: str = "total_spend_eur",
-                    leads_rank: str = "total_spend") -> DataFrame:
+                    leads_rank: str = "total_spend",
+                    unmatched: str = "keep") -> DataFrame:
     """Full outer combination of the two funnels on ``keys`` (J-2).
 
     Keys not in ``nullable_keys`` use plain equality (null never matches);
-    ``nullable_keys`` match null to null.  Output: the keys (coalesced) plus all
-    non-key columns of both sides.  When a side holds several rows for one key,
-    its row with the highest ``coalesce(rank, 0)`` is kept (ties: by content),
-    so duplicate keys are reconciled, never paired.  Plan: one hash aggregate
-    over the tagged union (partial aggregation before the exchange).
+    ``nullable_keys`` match null to null.  Output: the keys plus all non-key
+    columns of both sides.  When a side holds several rows for one key, its
+    row with the highest ``coalesce(rank, 0)`` is kept (ties: by content), so
+    duplicate keys are reconciled, never paired.
+
+    Rows with a null strict key cannot match.  ``unmatched="keep"`` keeps each
+    of them as its own row (like the join); ``"best"`` keeps, per side and
+    per remaining key values, only the row with the highest rank (what the
+    mart's ranking makes of them).
+
+    Plan: one hash aggregate over the tagged union, partial aggregation before
+    the exchange, one scan of each input.  Unmatchable rows get a unique
+    group discriminator, so they spread evenly instead of hashing to the one
+    partition of the null key.
     """
     strict = [k for k in keys if k not in nullable_keys]
     w_cols = [c for c in web.columns if c not in keys]
     l_cols = [c for c in leads.columns if c not in keys]
-    matchable = F.lit(True)
+    unmatchable = F.lit(False)
     for k in strict:
-        matchable = matchable & F.col(k).isNotNull()
-
-    def tag(df: DataFrame, cols: list[str], rank: str, name: str) -> DataFrame:
-        return df.select(*keys, F.struct(F.coalesce(F.col(rank), F.lit(0)).alias("_rank"),
-                                         *cols).alias(name))
-
-    w, l = tag(web, w_cols, web_rank, "_w"), tag(leads, l_cols, leads_rank, "_l")
-    keyed = (w.where(matchable).unionByName(l.where(matchable), allowMissingColumns=True)
-             .groupBy(*keys)
-             .agg(F.max("_w").alias("_w"), F.max("_l").alias("_l")))
-    unkeyed = w.where(~matchable).unionByName(l.where(~matchable), allowMissingColumns=True)
-    both = keyed.unionByName(unkeyed)
+        unmatchable = unmatchable | F.col(k).isNull()
+
+    def tag(df: DataFrame, cols: list[str], rank: str, name: str, side: str) -> DataFrame:
+        if unmatched == "keep":
+            u = F.when(unmatchable, F.monotonically_increasing_id().cast("string"))
+        elif unmatched == "best":
+            u = F.when(unmatchable, F.lit(side))
+        else:
+            raise ValueError(f"unknown unmatched mode {unmatched!r}")
+        return df.select(*keys, u.alias("_u"),
+                         F.struct(F.coalesce(F.col(rank), F.lit(0)).alias("_rank"),
+                                  *cols).alias(name))
+
+    w = tag(web, w_cols, web_rank, "_w", "w")
+    l = tag(leads, l_cols, leads_rank, "_l", "l")
+    both = (w.unionByName(l, allowMissingColumns=True)
+            .groupBy(*keys, "_u")
+            .agg(F.max("_w").alias("_w"), F.max("_l").alias("_l")))
     return both.select(*keys, *[F.col(f"_w.{c}").alias(c) for c in w_cols],
                        *[F.col(f"_l.{c}").alias(c) for c in l_cols])
 
@@ -88,8 +104,10 @@ def attach_dim(facts: DataFrame, dim: DataFrame, key: str = "campaign_id",
 
     The dimension must be unique per key (see ``dims.dedupe_dim``) or facts
     fan out.  ``null_safe`` matches a null key to a null key (pandas merge).
+    The dimension is materialised once (checkpoint), its row count bounded,
+    and only then broadcast; a larger dimension stays a shuffle join.
     """
-    d = broadcast_if_small(dim.withColumnRenamed(key, "_dim_key"), max_rows)
+    d = broadcast_if_small(dim.withColumnRenamed(key, "_dim_key"), max_rows, materialize=True)
     cond = (facts[key].eqNullSafe(d["_dim_key"]) if null_safe
             else facts[key] == d["_dim_key"])
     return facts.join(d, cond, "left").drop("_dim_key")

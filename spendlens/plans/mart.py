@@ -4,9 +4,11 @@ throughput KPIs (J-2 .. J-4, W-1, W-2, P-6, P-7, F-19 .. F-24, K-1 .. K-4).
 Plan (grain="country", the default): one hash aggregate combines the funnels
 per (date, campaign_id, country_code) with partial aggregation, the deduped
 channel dimension is broadcast after a bounded size check, the rest are
-narrow projections.  Because the combination already yields one row per key,
-the reference's two ranking windows and its second full outer join are no-ops
-at this grain and are skipped (only rows without campaign id still need them).
+narrow projections.  Because the combination already yields the best row per
+key and side, the reference's two ranking windows and its second full outer
+join are no-ops at this grain and are not planned.  Rows without campaign id
+never match; per (date, country) and side their best row is kept, which is
+what the reference's ranking keeps of them.
 
 grain="campaign" reproduces the reference's literal ranking per
 (campaign_id, campaign_name, date) across countries, followed by the null-safe
@@ -122,14 +124,13 @@ def build_mart(web: DataFrame, leads: DataFrame, channels: DataFrame | None = No
     """
     if dim is None:
         dim = dim_campaign_channels(channels)
-    combined = combine_funnels(fct_web(web, since), fct_leads(leads, since))
-    enriched = enrich(combined, dim)
     if grain == "country":
-        keyed = enriched.where(F.col("campaign_id").isNotNull())
-        rest = recombine_best(enriched.where(F.col("campaign_id").isNull()),
-                              ("campaign_id", "campaign_name", "date", "country_code"))
-        best = keyed.unionByName(rest)
+        # One row per (date, campaign, country) and side already is the ranking's
+        # answer at this grain: rows without id keep their best row per side.
+        best = enrich(combine_funnels(fct_web(web, since), fct_leads(leads, since),
+                                      unmatched="best"), dim)
     elif grain == "campaign":
+        enriched = enrich(combine_funnels(fct_web(web, since), fct_leads(leads, since)), dim)
         best = recombine_best(enriched, ("campaign_id", "campaign_name", "date"))
     else:
         raise ValueError(f"unknown grain {grain!r}")
