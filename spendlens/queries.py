@@ -714,3 +714,11 @@ def csv_roundtrip(spark, sf_dir):
     path = scratch_path(spark, f"channels_csv_{uuid.uuid4().hex}")
     write_csv(I.prepare_channels(fx.channels(spark, sf_dir)).coalesce(1), path, sep=";")
     return read_source(spark, path, CHANNELS, fmt="csv", sep=";")
+
+
+@register("stream_mart", O.mart_sql("country"))
+def stream_mart_q(spark, sf_dir):
+    """The mart produced by the streaming job from date-ordered fact drops."""
+    from .streaming.mart_stream import stream_mart
+    web, leads, ch = sources(spark, sf_dir)
+    return stream_mart(spark, web, leads, ch)
