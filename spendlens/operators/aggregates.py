@@ -37,6 +37,13 @@ def build_reference(a: DataFrame, b: DataFrame, key: str, attrs: Sequence[str])
             .groupBy(key).agg(*[mode_non_null(c).alias(c) for c in present]))
 
 
+def count_distinct(c, approx: bool = False, rsd: float = 0.01) -> Column:
+    """Distinct count (A-9); ``approx`` uses HyperLogLog++ (fixed memory per
+    group, mergeable partial aggregates) for very large groups."""
+    col = F.col(c) if isinstance(c, str) else c
+    return F.approx_count_distinct(col, rsd) if approx else F.count_distinct(col)
+
+
 def distinct_values(c, sep: str | None = None) -> Column:
     """Sorted distinct values with null shown as ``<<NaN>>`` (A-10); joined by
     ``sep`` when given."""

@@ -18,8 +18,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Upper bound of rows for a side to be broadcast (dimension tables, maps).
-BROADCAST_MAX_ROWS = 2_000_000
+# Upper bound of rows for a side to be broadcast (dimension tables, maps keyed
+# by campaign): at a few hundred bytes per row this keeps a broadcast in the
+# tens of megabytes per executor.
+BROADCAST_MAX_ROWS = 250_000
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,

@@ -45,3 +45,17 @@ def require_columns(df: DataFrame, required: Sequence[str], what: str = "input")
     if miss:
         raise KeyError(f"Missing required columns in {what}: {miss}")
     return df
+
+
+def point_lookup(df: DataFrame, **equals) -> DataFrame:
+    """Equality filter, e.g. one campaign on one day (P-11).  Literal values
+    reach the parquet scan as pushed filters (and prune date partitions)."""
+    cond = F.lit(True)
+    for c, v in equals.items():
+        cond = cond & (F.col(c) == F.lit(v))
+    return df.where(cond)
+
+
+def drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key columns are all non-null (P-14, ``dropna(subset=...)``)."""
+    return df.na.drop(how="any", subset=list(keys))
