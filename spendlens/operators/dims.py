@@ -46,6 +46,17 @@ def last_non_null(df: DataFrame, key: str, cols: Sequence[str],
     return df.groupBy(key).agg(*aggs)
 
 
+def first_last_non_null(df: DataFrame, key: str, cols: Sequence[str],
+                        order: Sequence[str | Column]) -> DataFrame:
+    """``first_<c>`` and ``last_<c>`` of every column in one aggregate (A-1, A-4)."""
+    o = _order_struct(order)
+    aggs = []
+    for c in cols:
+        oc = F.when(F.col(c).isNotNull(), o)
+        aggs += [F.min_by(F.col(c), oc).alias(f"first_{c}"), F.max_by(F.col(c), oc).alias(f"last_{c}")]
+    return df.groupBy(key).agg(*aggs)
+
+
 def dedupe_dim(df: DataFrame, key: str, order: Sequence[str | Column]) -> DataFrame:
     """Keep the first row per key in ``order`` (ascending, nulls last) (A-2).
 

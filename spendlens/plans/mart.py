@@ -17,14 +17,13 @@ full outer join of the web and sales winners.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ids import campaign_key
 from ..functions.text import clean_string, name_slug, nullif_blank
 from ..operators.joins import attach_dim, combine_funnels
 from ..operators.kpi import with_kpis
-from ..operators.windows import best_by
 from ..sources.schemas import CHANNEL_COLS, WEB_METRICS
 from .facts import dim_campaign_channels, fct_leads, fct_web
 
@@ -73,35 +72,33 @@ def enrich(combined: DataFrame, dim: DataFrame) -> DataFrame:
         *WEB_SIDE, *SALES_SIDE)
 
 
-def _side_only(df: DataFrame, keep: tuple, drop: tuple) -> DataFrame:
-    return df.select(*KEY_DIMS, *keep, *[F.lit(None).cast(df.schema[c].dataType).alias(c)
-                                          for c in drop])
-
-
 def recombine_best(enriched: DataFrame, partition: tuple) -> DataFrame:
     """Best web row and best sales row per ``partition``, recombined with a
     full outer join on date, campaign_id (=), campaign_name and country_code
     (null-safe); keys/dims coalesced, web metrics from the web winner and
     sales metrics from the sales winner (W-1, W-2, J-4, D-1 .. D-3).
 
-    Rows without campaign id can never match, so their winners are a plain
-    union instead of a join.
+    Both rankings are computed in one window pass (one exchange, reused by
+    both winner sets).  Each side holds one row per partition, so the join
+    never pairs more than one row with one row; rows without campaign id can
+    never match and leave the join as unmatched rows of their side.
     """
-    w = best_by(enriched, partition, "total_spend_eur", TIEBREAK)
-    s = best_by(enriched, partition, "total_spend", TIEBREAK)
-    keyed = F.col("campaign_id").isNotNull()
-    wk, sk = w.where(keyed).alias("w"), s.where(keyed).alias("s")
+    order_w = [F.coalesce(F.col("total_spend_eur"), F.lit(0)).desc()]
+    order_s = [F.coalesce(F.col("total_spend"), F.lit(0)).desc()]
+    ties = [F.col(t).asc_nulls_last() for t in TIEBREAK]
+    win = Window.partitionBy(*partition)
+    ranked = enriched.select("*", F.row_number().over(win.orderBy(*order_w, *ties)).alias("_rw"),
+                             F.row_number().over(win.orderBy(*order_s, *ties)).alias("_rs"))
+    w = ranked.where(F.col("_rw") == 1).alias("w")
+    s = ranked.where(F.col("_rs") == 1).alias("s")
     cond = ((F.col("w.date") == F.col("s.date"))
             & (F.col("w.campaign_id") == F.col("s.campaign_id"))
             & F.col("w.campaign_name").eqNullSafe(F.col("s.campaign_name"))
             & F.col("w.country_code").eqNullSafe(F.col("s.country_code")))
-    joined = wk.join(sk, cond, "full").select(
+    return w.join(s, cond, "full").select(
         *[F.coalesce(F.col(f"w.{c}"), F.col(f"s.{c}")).alias(c) for c in KEY_DIMS],
         *[F.col(f"w.{c}").alias(c) for c in WEB_SIDE],
         *[F.col(f"s.{c}").alias(c) for c in SALES_SIDE])
-    unkeyed = (_side_only(w.where(~keyed), WEB_SIDE, SALES_SIDE)
-               .unionByName(_side_only(s.where(~keyed), SALES_SIDE, WEB_SIDE)))
-    return joined.unionByName(unkeyed)
 
 
 def finalize(best: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import oracle as O
@@ -32,7 +32,7 @@ from .plans.facts import dim_campaign_channels, fct_leads, fct_web
 from .plans.incremental import incremental_refresh, write_target
 from .plans.mart import build_mart
 from .registry import register
-from .session import scratch_path
+from .session import cut_lineage, scratch_path
 from .sources import catalog, fixtures as fx
 from .sources.io import read_source, read_table, write_csv
 from .sources.schemas import CHANNELS
@@ -218,12 +218,11 @@ FROM web GROUP BY campaign_id"""))
 def first_last_by_campaign(spark, sf_dir):
     web = fx.web_orders(spark, sf_dir)
     order = ["date", F.coalesce("country_code", F.lit(""))]
-    first = D.first_non_null(web, "campaign_id", ["country_code", "total_spend_eur"], order)
-    last = D.last_non_null(web, "campaign_id", ["country_code", "total_spend_eur"], order)
-    return (first.withColumnsRenamed({"country_code": "first_country",
-                                      "total_spend_eur": "first_spend"})
-            .join(last.withColumnsRenamed({"country_code": "last_country",
-                                           "total_spend_eur": "last_spend"}), "campaign_id"))
+    out = D.first_last_non_null(web, "campaign_id", ["country_code", "total_spend_eur"], order)
+    return out.withColumnsRenamed({"first_country_code": "first_country",
+                                   "first_total_spend_eur": "first_spend",
+                                   "last_country_code": "last_country",
+                                   "last_total_spend_eur": "last_spend"})
 
 
 @register("attach_channels", with_fixtures(*O.PREP_CTES, body="SELECT * FROM web_p"))
@@ -361,7 +360,9 @@ SELECT f.* FROM final f JOIN (SELECT campaign_id, date, pathway FROM final
   ON f.campaign_id IS NOT DISTINCT FROM d.campaign_id AND f.date IS NOT DISTINCT FROM d.date
  AND f.pathway IS NOT DISTINCT FROM d.pathway"""))
 def grain_duplicates(spark, sf_dir):
-    return W.duplicate_rows(extract(spark, sf_dir)["final"], X.DUPLICATE_KEY)
+    # the final table is read twice (count + semi join): materialise it once
+    final = cut_lineage(extract(spark, sf_dir)["final"])
+    return W.duplicate_rows(final, X.DUPLICATE_KEY)
 
 
 @register("grain_duplicate_groups", _final_cte_sql("""
@@ -507,10 +508,17 @@ _OVERLAP_WHERE = """WHERE campaign_id IN (SELECT campaign_id FROM final_s
 
 @register("cac_by_pathway_overlap", _cac_sql("pathway", _OVERLAP_WHERE))
 def cac_by_pathway_overlap(spark, sf_dir):
-    f = _success_frame(extract(spark, sf_dir)["final"])
-    both = U.common_ids(f.where(F.col("pathway") == WEB_PATHWAY),
-                        f.where(F.col("pathway") == SALES_PATHWAY), ["campaign_id"])
-    return K.segment_cac(J.restrict_to_overlap(f, both, ["campaign_id"]), ["pathway"])
+    """CAC per pathway over campaigns present in both pathways (K-7, J-9).
+
+    Totals are first reduced to one row per (campaign, pathway); the overlap
+    test then runs on that small table (at most two rows per campaign), so
+    the final table is read once and no hot campaign lands in one task.
+    """
+    f = _success_frame(extract(spark, sf_dir)["final"]).where(F.col("campaign_id").isNotNull())
+    per = A.segment_totals(f, ["campaign_id", "pathway"], {"spend": "spend", "success": "success"})
+    both = (per.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("campaign_id")))
+            .where(F.col("_n") == 2))
+    return K.segment_cac(both, ["pathway"])
 
 
 @register("cac_by_test", _cac_sql("test"))
