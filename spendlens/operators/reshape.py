@@ -54,16 +54,32 @@ def long_to_wide(long_df: DataFrame, index: Sequence[str], stages: Sequence[str]
 
     A cell with rows whose values are all null is 0; a stage without any row
     for an index tuple is null.  Rows with a null index column are dropped
-    (``pivot_table`` behaviour) unless ``drop_null_keys=False``.  The explicit
-    stage list avoids the extra distinct-values job of ``pivot``.
+    (``pivot_table`` behaviour) unless ``drop_null_keys=False``.
+
+    Written as conditional aggregates over the explicit stage list: one hash
+    aggregate with partial aggregation and one exchange (the ``pivot`` API
+    plans a second aggregation and shuffle for this).
     """
     index = [c for c in index if c in long_df.columns]
-    src = long_df
-    if drop_null_keys:
-        for c in index:
-            src = src.where(F.col(c).isNotNull())
-    piv = (src.groupBy(*index).pivot(stage_col, list(stages))
-           .agg(F.sum(value_col).alias("s"), F.count(F.lit(1)).alias("n")))
-    return piv.select(*index, *[F.when(F.col(f"{s}_n") > 0, F.coalesce(F.col(f"{s}_s"),
-                                                                       F.lit(0.0))).alias(s)
-                                for s in stages])
+    src = long_df.na.drop(how="any", subset=index) if drop_null_keys else long_df
+    st, v = F.col(stage_col), F.col(value_col)
+    aggs = []
+    for s in stages:
+        hit = st == F.lit(s)
+        aggs.append(F.when(F.count(F.when(hit, F.lit(1))) > 0,
+                           F.coalesce(F.sum(F.when(hit, v)), F.lit(0.0))).alias(s))
+    return src.groupBy(*index).agg(*aggs)
+
+
+def facts_to_wide(df: DataFrame, index: Sequence[str], stages: Mapping[str, str],
+                  drop_null_keys: bool = True) -> DataFrame:
+    """``long_to_wide(to_long(df, index, stages), index, stage names)`` without
+    materialising the long rows: every index group holds every stage, so each
+    cell is ``coalesce(sum(metric), 0)`` (R-1 + R-2 fused)."""
+    index = [c for c in index if c in df.columns]
+    present = [m for m in stages if m in df.columns]
+    src = df.na.drop(how="any", subset=index) if drop_null_keys else df
+    return src.groupBy(*index).agg(*[
+        F.coalesce(F.sum(F.col(m).cast("string").try_cast("double")
+                         if dict(df.dtypes)[m] == "string" else F.col(m).cast("double")),
+                   F.lit(0.0)).alias(stages[m]) for m in present])

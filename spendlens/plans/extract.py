@@ -2,9 +2,9 @@
 tables, and the final per-grain table (F-9 .. F-15, R-1 .. R-3, A-5, A-6,
 A-14, U-2, P-9, P-15, P-16, S-5, S-6, Q-8).
 
-Plan: everything up to the final table is narrow except the two pivots
-(hash aggregates on the 18 index columns, partial aggregation first) and the
-final grain aggregate.
+Plan: everything up to the final table is narrow except the two wide tables
+(one hash aggregate each on the 18 index columns, partial aggregation first,
+computed straight from the derived facts) and the final grain aggregate.
 """
 
 from __future__ import annotations
@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from ..functions.derive import (SALES_PATHWAY, WEB_PATHWAY, add_calendar_columns, channel_label,
                                 country_name, keep_or_overwrite, split_channel, test_flag)
 from ..operators.aggregates import max_by_grain
-from ..operators.reshape import FUNNEL_INDEX, LEADS_STAGES, WEB_STAGES, long_to_wide, to_long
+from ..operators.reshape import (FUNNEL_INDEX, LEADS_STAGES, WEB_STAGES, facts_to_wide,
+                                  long_to_wide, to_long)
 from ..operators.setops import present, require_columns, union_by_name
 from ..sources.io import write_csv
 
@@ -66,15 +67,20 @@ def _spend_value(df: DataFrame, prefer: tuple[str, str]) -> F.Column:
     return F.lit(None).cast("double")
 
 
-def prep_long(df: DataFrame, pathway: str, stages: dict, spend_prefer: tuple[str, str]
-              ) -> DataFrame:
-    """Long funnel table of one source (R-1a/R-1b, P-8, P-15, P-16)."""
+def prep_frame(df: DataFrame, pathway: str, spend_prefer: tuple[str, str]) -> DataFrame:
+    """The derived source before unpivoting: lower-case headers, parsed date,
+    pathway and spend_value (P-8, P-15, P-16, Q-10)."""
     d = df.toDF(*[c.strip().lower() for c in df.columns])
     require_columns(d, ["date", "campaign_id"], pathway)
     d = d.withColumns({"date": d["date"].try_cast("date"), "pathway": F.lit(pathway),
                        "spend_value": _spend_value(d, spend_prefer)})
-    require_columns(d, FUNNEL_INDEX, pathway)
-    return to_long(d, FUNNEL_INDEX, stages)
+    return require_columns(d, FUNNEL_INDEX, pathway)
+
+
+def prep_long(df: DataFrame, pathway: str, stages: dict, spend_prefer: tuple[str, str]
+              ) -> DataFrame:
+    """Long funnel table of one source (R-1a/R-1b, P-8, P-15, P-16)."""
+    return to_long(prep_frame(df, pathway, spend_prefer), FUNNEL_INDEX, stages)
 
 
 def prep_web_long(web: DataFrame) -> DataFrame:
@@ -100,9 +106,17 @@ def final_grain(all_wide: DataFrame) -> DataFrame:
 
 
 def build_extract(web: DataFrame, leads: DataFrame) -> dict[str, DataFrame]:
-    """All notebook outputs from imputed web and leads facts."""
-    wl, ll = prep_web_long(derive_all(web)), prep_leads_long(derive_all(leads))
-    ww, lw = to_wide(wl, WEB_STAGES), to_wide(ll, LEADS_STAGES)
+    """All notebook outputs from imputed web and leads facts.
+
+    The wide tables are computed straight from the derived facts (the pivot of
+    an unpivot is a group-by), so the long rows are only produced for the long
+    outputs themselves.
+    """
+    wd = prep_frame(derive_all(web), WEB_PATHWAY, ("total_spend_eur", "total_spend"))
+    ld = prep_frame(derive_all(leads), SALES_PATHWAY, ("total_spend", "total_spend_eur"))
+    wl, ll = to_long(wd, FUNNEL_INDEX, WEB_STAGES), to_long(ld, FUNNEL_INDEX, LEADS_STAGES)
+    ww, lw = facts_to_wide(wd, FUNNEL_INDEX, WEB_STAGES), facts_to_wide(ld, FUNNEL_INDEX,
+                                                                       LEADS_STAGES)
     all_wide = union_by_name(ww, lw)
     return {"web_long": wl, "leads_long": ll, "web_wide": ww, "leads_wide": lw,
             "all_long": union_by_name(wl, ll), "all_wide": all_wide,

@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -58,7 +59,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, name) if "://" not in base else f"{base.rstrip('/')}/{name}"
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into the shared checkpoint folder (survives executor loss).
+
+    The plan is persisted first so that the checkpoint files are written from
+    the blocks computed by the materialising job instead of a second run of
+    the whole plan; the blocks are released once the files exist.
+    """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist(blocking=False)
