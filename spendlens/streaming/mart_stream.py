@@ -8,9 +8,9 @@ mart table:
 * the dates to recompute start at the oldest date of the batch, but never
   before ``max(target.date) - lookback_days``: older rows are late beyond the
   reference's 7-day lookback and are dropped, exactly like a 7-day watermark;
-* the mart for those dates is rebuilt from the landing table (a batch read,
-  partition pruned on ``date``) and merged into the target through a staging
-  folder (``plans.incremental``), so a retried batch is idempotent;
+* the mart for those dates is rebuilt from the landing table (a batch read)
+  and merged into the touched months of the target through a staging folder
+  (``plans.incremental``), so a retried batch is idempotent;
 * the first batch on an empty target builds the whole mart.
 
 State lives in the landing folder, the target table and the stream
@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.aggregates import high_water_mark
-from ..plans.incremental import MART_KEY, merge_by_key, write_target
+from ..plans.incremental import (MART_KEY, merge_by_key, read_target, swap_in, target_window,
+                                 write_target)
 from ..plans.mart import build_mart
 from ..session import scratch_path
 from ..sources.schemas import LEADS_FUNNEL, WEB_ORDERS
@@ -54,7 +55,7 @@ def to_landing(web: DataFrame, leads: DataFrame) -> DataFrame:
 
 def _target_exists(spark: SparkSession, path: str) -> bool:
     try:
-        spark.read.parquet(path).limit(1).count()
+        spark.read.parquet(path)
         return True
     except Exception:  # noqa: BLE001 - missing path
         return False
@@ -72,15 +73,11 @@ def refresh_from_landing(spark: SparkSession, batch: DataFrame, landing_dir: str
     if not _target_exists(spark, target_path):
         write_target(spark, build_mart(web, leads, channels), target_path)
         return
-    target = spark.read.parquet(target_path)
-    hwm = high_water_mark(target)
+    hwm = high_water_mark(read_target(spark, target_path))
     since = oldest if hwm is None else max(oldest, hwm - dt.timedelta(days=lookback_days))
     new = build_mart(web, leads, channels, since=since)
-    window = target.where(F.col("date") >= F.lit(since))
-    stage = scratch_path(spark, f"mart_stream_stage_{uuid.uuid4().hex}")
-    write_target(spark, merge_by_key(window, new, MART_KEY), stage)
-    (spark.read.parquet(stage).repartitionByRange("date", "campaign_id").write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(target_path))
+    swap_in(spark, merge_by_key(target_window(spark, target_path, since), new, MART_KEY),
+            target_path)
 
 
 def run_mart_stream(spark: SparkSession, landing_dir: str, channels: DataFrame,
@@ -113,4 +110,4 @@ def stream_mart(spark: SparkSession, web: DataFrame, leads: DataFrame, channels:
     q = run_mart_stream(spark, landing, channels, target, f"{base}/checkpoint",
                         max_files_per_trigger=1)
     q.awaitTermination()
-    return spark.read.parquet(target)
+    return read_target(spark, target)
