@@ -89,3 +89,26 @@ def test_remove_spaced_letters_query_matches_python(spark, sf_small):
     out = entry.queries()["remove_spaced_letters"](spark, sf_small).collect()
     pat = regex.compile(r"(?<=\b\p{L})\s+(?=\p{L}\b)")
     assert out and all(pat.sub("", r["raw_text"]) == r["joined"] for r in out)
+
+
+def test_csv_crlf_seed_shape(spark, tmp_path):
+    """A seed-shaped CSV: header, CRLF line ends, no final newline, 18-digit ids."""
+    from spendlens.sources import read_source, schemas
+    p = tmp_path / "channels.csv"
+    p.write_bytes(b"campaign_id,campaign_name,campaign_period_budget_category,channel_3,"
+                  b"channel_4,channel_5\r\n120211151098440066,fb_ie_x,alwayson,fb,"
+                  b"fb prospecting,fb prospecting landing\r\n391180926,bing_x ,,bing-search,"
+                  b"bing-search prospecting,")
+    df = read_source(spark, str(p), schemas.CHANNELS)
+    got = [tuple(r) for r in df.orderBy("campaign_id").collect()]
+    assert got == [("120211151098440066", "fb_ie_x", "alwayson", "fb", "fb prospecting",
+                    "fb prospecting landing"),
+                   ("391180926", "bing_x ", None, "bing-search", "bing-search prospecting",
+                    None)]
+
+
+def test_point_lookup_pushes_filters(spark, sf_small):
+    from spendlens.operators.setops import point_lookup
+    o = spark.read.parquet(f"{sf_small}/orders.parquet")
+    plan = point_lookup(o, o_orderkey=1)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(o_orderkey), EqualTo(o_orderkey,1)]" in plan
