@@ -68,10 +68,12 @@ def combine_funnels(web: DataFrame, leads: DataFrame,
     per remaining key values, only the row with the highest rank (what the
     mart's ranking makes of them).
 
-    Plan: one hash aggregate over the tagged union, partial aggregation before
-    the exchange, one scan of each input.  Unmatchable rows get a unique
-    group discriminator, so they spread evenly instead of hashing to the one
-    partition of the null key.
+    Plan: one aggregate over the tagged union, partial aggregation before the
+    exchange, one scan of each input.  In ``keep`` mode an unmatchable row is
+    grouped by its own content (side + all columns), identical copies are
+    counted and re-expanded afterwards: deterministic under task retries, no
+    row lost, and such rows spread over partitions instead of piling into the
+    one partition that hashes the null key.
     """
     strict = [k for k in keys if k not in nullable_keys]
     w_cols = [c for c in web.columns if c not in keys]
@@ -79,23 +81,27 @@ def combine_funnels(web: DataFrame, leads: DataFrame,
     unmatchable = F.lit(False)
     for k in strict:
         unmatchable = unmatchable | F.col(k).isNull()
+    if unmatched not in ("keep", "best"):
+        raise ValueError(f"unknown unmatched mode {unmatched!r}")
 
     def tag(df: DataFrame, cols: list[str], rank: str, name: str, side: str) -> DataFrame:
+        payload = F.struct(F.coalesce(F.col(rank), F.lit(0)).alias("_rank"), *cols)
         if unmatched == "keep":
-            u = F.when(unmatchable, F.monotonically_increasing_id().cast("string"))
-        elif unmatched == "best":
-            u = F.when(unmatchable, F.lit(side))
+            u = F.when(unmatchable, F.to_json(F.struct(F.lit(side).alias("_side"),
+                                                       *[F.col(k) for k in keys], *cols)))
         else:
-            raise ValueError(f"unknown unmatched mode {unmatched!r}")
-        return df.select(*keys, u.alias("_u"),
-                         F.struct(F.coalesce(F.col(rank), F.lit(0)).alias("_rank"),
-                                  *cols).alias(name))
+            u = F.when(unmatchable, F.lit(side))
+        return df.select(*keys, u.alias("_u"), payload.alias(name))
 
     w = tag(web, w_cols, web_rank, "_w", "w")
     l = tag(leads, l_cols, leads_rank, "_l", "l")
     both = (w.unionByName(l, allowMissingColumns=True)
             .groupBy(*keys, "_u")
-            .agg(F.max("_w").alias("_w"), F.max("_l").alias("_l")))
+            .agg(F.max("_w").alias("_w"), F.max("_l").alias("_l"),
+                 F.count(F.lit(1)).alias("_n")))
+    if unmatched == "keep":
+        copies = F.when(F.col("_u").isNotNull(), F.col("_n")).otherwise(F.lit(1))
+        both = both.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), copies.cast("int"))))
     return both.select(*keys, *[F.col(f"_w.{c}").alias(c) for c in w_cols],
                        *[F.col(f"_l.{c}").alias(c) for c in l_cols])
 
