@@ -172,11 +172,43 @@ def _schema_gap(s: SourceSpec) -> DataFrame:
     return spark.createDataFrame([("schema", s.name, s.loaded_at, 1, "error")], REPORT_SCHEMA)
 
 
+def _table_profile(df: DataFrame, s: SourceSpec, now) -> DataFrame:
+    """Freshness and not-null counts of one source in a single aggregate."""
+    now_c = F.lit(now).cast("timestamp_ntz").cast("timestamp")
+    aggs = [F.sum(F.when(F.col(c).isNull(), 1).otherwise(0)).cast("bigint").alias(f"_nn_{c}")
+            for c in s.not_null]
+    fresh = s.loaded_at in df.columns
+    if fresh:
+        aggs.append(F.max(F.col(s.loaded_at).cast("timestamp_ntz")).alias("_newest"))
+    one = df.agg(*aggs) if aggs else df.sparkSession.range(1).select(F.lit(0).alias("_x"))
+    rows = []
+    if fresh:
+        age = (F.unix_timestamp(now_c) - F.unix_timestamp(F.col("_newest").cast("timestamp"))
+               ) / 3600.0
+        status = (F.when(F.col("_newest").isNull(), "error")
+                  .when(age >= s.error_after_hours, "error")
+                  .when(age >= s.warn_after_hours, "warn").otherwise("pass"))
+        rows.append(F.struct(F.lit("freshness").alias("check"), F.lit(s.loaded_at).alias("column_name"),
+                             F.lit(0).cast("bigint").alias("n_violations"), status.alias("status")))
+    for c in s.not_null:
+        n = F.col(f"_nn_{c}")
+        rows.append(F.struct(F.lit("not_null").alias("check"), F.lit(c).alias("column_name"),
+                             n.alias("n_violations"),
+                             F.when(n > 0, "error").otherwise("pass").alias("status")))
+    out = one.select(F.explode(F.array(*rows)).alias("r")).select(
+        F.col("r.check"), F.lit(s.name).alias("table_name"), F.col("r.column_name"),
+        F.col("r.n_violations"), F.col("r.status"))
+    return out if rows else out.limit(0)
+
+
 def source_report(tables: Mapping[str, DataFrame], specs: Sequence[SourceSpec], now
                   ) -> DataFrame:
     """One report over all sources: freshness, not_null and unique per column.
 
-    Columns: check, table_name, column_name, n_violations, status.
+    Columns: check, table_name, column_name, n_violations, status.  Freshness
+    and not-null counts of a table come from one aggregate (one scan); each
+    unique test is one partial-aggregated group-by.  A source without its
+    load-time column gets a ``schema`` error row instead of a freshness row.
     """
     parts = []
     for s in specs:
@@ -185,15 +217,8 @@ def source_report(tables: Mapping[str, DataFrame], specs: Sequence[SourceSpec],
         df = tables[s.name]
         if s.loaded_at not in df.columns:
             parts.append(_schema_gap(s))
-        else:
-            parts.append(_freshness_row(df, s, now))
-        if s.not_null:
-            nc = null_counts(df, s.not_null)
-            parts.append(nc.select(F.lit("not_null").alias("check"),
-                                   F.lit(s.name).alias("table_name"), "column_name",
-                                   F.col("n_null").alias("n_violations"),
-                                   F.when(F.col("n_null") > 0, "error").otherwise("pass")
-                                   .alias("status")))
+        if s.not_null or s.loaded_at in df.columns:
+            parts.append(_table_profile(df, s, now))
         for u in s.unique:
             dup = check_unique(df, [u]).agg(F.count(F.lit(1)).alias("n"))
             parts.append(dup.select(F.lit("unique").alias("check"),
