@@ -81,25 +81,20 @@ def repair_channels(df: DataFrame, key: str = "campaign_id",
     in ``ids`` (all keys when ``ids`` is None, P-12); remaining nulls become
     ``unknown`` when ``fill``.
 
-    This is a dimension-table operator (a few rows per campaign id): the
-    per-key value is a window over the key, which shares its exchange with the
-    dedupe window that usually follows (``dedupe_dim``), so no lookup join and
-    no extra job are planned.
+    The per-key values come from a partially aggregated group-by (a key with
+    a third of all rows is reduced map-side) joined back on the key; the
+    lookup has one row per key, so Spark's size estimate or AQE decides
+    between a broadcast and a skew-split shuffle join.
     """
     cleaned = df.withColumns({c: unknown_to_null(c) for c in cols})
-    w = Window.partitionBy(key)
-    if order:
-        o = [F.col(x) if isinstance(x, str) else x for x in order]
-        w_ordered = w.orderBy(*[c.asc_nulls_last() for c in o]).rowsBetween(
-            Window.unboundedPreceding, Window.unboundedFollowing)
-        per_key = {c: F.first(F.col(c), ignorenulls=True).over(w_ordered) for c in cols}
-    else:
-        per_key = {c: F.min(c).over(w) for c in cols}
-    in_scope = F.col(key).isNotNull()
+    lookup = first_non_null(cleaned, key, cols, order)
+    lookup = lookup.select(F.col(key).alias("_k"), *[F.col(c).alias(f"_l_{c}") for c in cols])
+    joined = cleaned.join(lookup, cleaned[key] == lookup["_k"], "left")
+    in_scope = cleaned[key].isNotNull()
     if ids is not None:
-        in_scope = in_scope & F.col(key).isin(list(ids))
+        in_scope = in_scope & cleaned[key].isin(list(ids))
     out = {}
     for c in cols:
-        v = F.when(in_scope, F.coalesce(F.col(c), per_key[c])).otherwise(F.col(c))
+        v = F.when(in_scope, F.coalesce(cleaned[c], F.col(f"_l_{c}"))).otherwise(cleaned[c])
         out[c] = fill_unknown(v) if fill else v
-    return cleaned.withColumns(out)
+    return joined.select(*[out[c].alias(c) if c in out else cleaned[c] for c in df.columns])
