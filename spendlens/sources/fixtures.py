@@ -11,7 +11,7 @@ operator runs over whole tables and its work grows with them:
 * leads_funnel: returned lines per order date x country x campaign, names null,
   dirty channel text.
 
-The same definitions exist as DuckDB SQL in ``spendlens.plans.oracle``.
+The same definitions exist as DuckDB SQL in ``spendlens.oracle``.
 """
 
 from __future__ import annotations
@@ -48,7 +48,7 @@ def channels(spark: SparkSession, sf_dir: str, n_campaigns: int = N_CAMPAIGNS) -
     k, ty, c3 = F.col("k"), F.col("ty"), F.col("c3")
     ks = k.cast("string")
     is_test = (k % 10) == 3
-    clean = base.select(
+    clean = F.struct(
         ks.alias("campaign_id"),
         F.concat(c3, F.lit("_gb_"), ty, F.lit("_prospecting"),
                  F.when(is_test, "_convgoaltest").otherwise(""), F.lit("_"), ks)
@@ -59,7 +59,7 @@ def channels(spark: SparkSession, sf_dir: str, n_campaigns: int = N_CAMPAIGNS) -
         F.concat(c3, F.lit(" prospecting")).alias("channel_4"),
         F.concat(c3, F.lit(" prospecting "), ty).alias("channel_5"),
     )
-    dirty = base.select(
+    dirty = F.struct(
         F.concat(F.lit(" "), ks, F.lit(" ")).alias("campaign_id"),
         F.concat(F.lit(" "), F.upper(c3), F.lit(" _gb_"), ty, F.lit("__P r o s p e c t i n g"),
                  F.when(is_test, "_convgoalTest ").otherwise(""), F.lit("_"), ks)
@@ -69,7 +69,8 @@ def channels(spark: SparkSession, sf_dir: str, n_campaigns: int = N_CAMPAIGNS) -
         F.concat(c3, F.lit("  prospecting ")).alias("channel_4"),
         F.when(k % 11 != 0, F.concat(c3, F.lit("  prospecting "), ty)).alias("channel_5"),
     )
-    return clean.unionByName(dirty)
+    # one aggregation of part, two rows (clean + dirty) per campaign
+    return base.select(F.explode(F.array(clean, dirty)).alias("r")).select("r.*")
 
 
 def _fact_lines(spark: SparkSession, sf_dir: str, returned: bool, n_campaigns: int) -> DataFrame:
@@ -138,20 +139,31 @@ def with_loaded_at(df: DataFrame, hours_after: int = 30) -> DataFrame:
 
 def web_load_history(spark: SparkSession, sf_dir: str, n_campaigns: int = N_CAMPAIGNS) -> DataFrame:
     """Two loads of the web fact: a first, partial load (finished lines only)
-    one day after the date and a restated full load two days after it."""
+    one day after the date and a restated full load two days after it.
+
+    Both loads come from one conditional aggregation (one scan); a first-load
+    row exists only where the key had finished lines."""
     q = F.col("l_quantity")
-    lines = _fact_lines(spark, sf_dir, False, n_campaigns)
-    out = []
-    for version, cond in ((1, F.col("l_linestatus") == "F"), (2, F.lit(True))):
-        out.append(
-            lines.where(cond)
-            .groupBy("date", "country_code", "campaign_id")
-            .agg(_money(F.col("l_extendedprice"), F.col("l_discount")).alias("total_spend_eur"),
-                 (F.sum(q) * 100).cast("bigint").alias("impressions"))
-            .withColumn("_etl_loaded_at",
-                        F.col("date").cast("timestamp_ntz")
-                        + F.make_dt_interval(F.lit(version), F.lit(6))))
-    return out[0].unionByName(out[1])
+    done = F.col("l_linestatus") == "F"
+    amount = F.col("l_extendedprice").cast("decimal(12,2)") * F.col("l_discount").cast("decimal(4,2)")
+    agg = (_fact_lines(spark, sf_dir, False, n_campaigns)
+           .groupBy("date", "country_code", "campaign_id")
+           .agg(F.count(F.when(done, 1)).alias("_n1"),
+                F.sum(F.when(done, amount)).cast("decimal(18,4)").alias("_s1"),
+                (F.sum(F.when(done, q)) * 100).cast("bigint").alias("_i1"),
+                F.sum(amount).cast("decimal(18,4)").alias("_s2"),
+                (F.sum(q) * 100).cast("bigint").alias("_i2")))
+    loads = F.array(
+        F.struct(F.lit(1).alias("v"), F.col("_n1").alias("n"), F.col("_s1").alias("s"),
+                 F.col("_i1").alias("i")),
+        F.struct(F.lit(2).alias("v"), F.lit(1).cast("bigint").alias("n"), F.col("_s2").alias("s"),
+                 F.col("_i2").alias("i")))
+    return (agg.select("date", "country_code", "campaign_id", F.explode(loads).alias("l"))
+            .where(F.col("l.n") > 0)
+            .select("date", "country_code", "campaign_id",
+                    F.col("l.s").alias("total_spend_eur"), F.col("l.i").alias("impressions"),
+                    (F.col("date").cast("timestamp_ntz")
+                     + F.make_dt_interval(F.col("l.v"), F.lit(6))).alias("_etl_loaded_at")))
 
 
 def raw_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
