@@ -112,3 +112,20 @@ def test_point_lookup_pushes_filters(spark, sf_small):
     o = spark.read.parquet(f"{sf_small}/orders.parquet")
     plan = point_lookup(o, o_orderkey=1)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(o_orderkey), EqualTo(o_orderkey,1)]" in plan
+
+
+def test_run_daily_order_and_outputs(spark, sf_small):
+    from spendlens.plans.daily import run_daily
+    web, leads, ch = _sources(spark, sf_small)
+    base = scratch_path(spark, f"daily_{uuid.uuid4().hex}")
+    paths = {k: f"{base}/{k}" for k in ("report", "web_history", "leads_history", "mart")}
+    write_target(spark, build_mart(web, leads, ch), paths["mart"])
+    now = dt.datetime(2001, 8, 3, 0, 0)
+    out = run_daily(spark, fx.with_loaded_at(web), fx.with_loaded_at(leads), ch, paths, now)
+    assert out["report"].count() == 11
+    assert out["mart"].count() == build_mart(web, leads, ch).count()
+    assert out["web_history"].count() == web.count()
+    # a second identical load adds no new snapshot version
+    again = run_daily(spark, fx.with_loaded_at(web), fx.with_loaded_at(leads), ch, paths, now)
+    assert again["web_history"].count() == web.count()
+    assert again["web_history"].where("is_current").count() == web.count()
