@@ -7,9 +7,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import imatch
+from . import chat, hostrules, imatch, lattice, pu, raking, rollup, simhash, spm, tokenbin
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_imatch_fingerprints": imatch.query,
+    "op2_chat_format": chat.query,
+    "op3_token_rollup": rollup.query,
+    "op4_raked_mix": raking.query,
+    "op5_sentencepiece": spm.query,
+    "op6_host_rules": hostrules.query,
+    "op7_simhash_gray": simhash.query,
+    "op8_lattice_lm": lattice.query,
+    "op9_pu_quality": pu.query,
+    "op10_token_files": tokenbin.query,
+}
+ORACLE: dict[str, str] = {
+    "op2_chat_format": chat.SQL,
+    "op3_token_rollup": rollup.SQL,
+    "op6_host_rules": hostrules.SQL,
 }
-ORACLE: dict[str, str] = {}

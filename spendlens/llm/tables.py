@@ -51,3 +51,13 @@ def crc_bucket(col: str | Column, n: int) -> Column:
     """crc32 of a number written as text, modulo n (null: bucket of the empty text)."""
     c = F.col(col) if isinstance(col, str) else col
     return F.crc32(F.coalesce(c.cast("string"), F.lit("")).cast("binary")) % F.lit(n)
+
+
+def words(col: str | Column) -> Column:
+    """Words of a text, in order (null: none)."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.array_remove(F.split(F.coalesce(c, F.lit("")), SPACE_CLASS + "+"), "")
+
+
+def word_count(col: str | Column) -> Column:
+    return F.size(words(col)).cast("long")
