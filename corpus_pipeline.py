@@ -38,7 +38,10 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their piece ids and the number of these."""
-    return spm.encode(docs).withColumn("n_pieces", F.size("piece_ids").cast("long"))
+    out = spm.encode(docs)
+    ids = out.columns[-1]
+    n, = tables.fresh(out, "n_pieces")
+    return out.withColumn(n, F.size(ids).cast("long"))
 
 
 STAGES = [

@@ -50,7 +50,7 @@ LONG_WORD = 48
 class LatticeParams:
     vocabulary: str = ""          # path of a SentencePiece model; empty: the public 32k pieces
     held_out_of: int = 10
-    iterations: int = 2
+    iterations: int = 3
     share: float = 0.0005
     max_broadcast: int = 2_000_000
     smoothing: float = 0.1
