@@ -53,10 +53,10 @@ _MULTI = re.compile(rb"([#*$%&!?~=+_-])\1")
 @dataclass(frozen=True)
 class PUParams:
     held_out_of: int = 5
-    max_fit: int = 30_000
+    max_fit: int = 15_000
     default_prior: float = 0.8
     threshold: float = 0.3
-    epochs: int = 400
+    epochs: int = 300
     rate: float = 0.05
     decay: float = 1e-4
     beta: float = 0.0

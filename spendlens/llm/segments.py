@@ -15,7 +15,7 @@ from itertools import repeat
 import numpy as np
 
 #: Distinct segments held at a time, segments gathered at a time, segments encoded as one text.
-HELD, AT_ONCE, JOINED = 600_000, 1_000_000, 500
+HELD, AT_ONCE, JOINED = 300_000, 500_000, 500
 
 
 class SegmentEncoder:
