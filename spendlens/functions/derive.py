@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._util import as_col
+from .text import strip_ws
 
 # channel_3 code -> display label (anything else -> "Unknown").
 CHANNEL_LABELS = {
@@ -109,9 +110,18 @@ def parse_date(c, *formats: str) -> Column:
     return F.coalesce(*[F.try_to_date(col.cast("string"), F.lit(f)) for f in formats])
 
 
+# Fixed value: spellings of a number; anything else is no number.
+NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+
+
 def parse_number(c) -> Column:
-    """Tolerant numeric parse to double: bad values -> null."""
-    return as_col(c).try_cast("double")
+    """Tolerant numeric parse to double: text that is no plain decimal or
+    scientific number (``nan``, ``10d``, ``0x1p3``) and NaN become null;
+    spellings of infinity keep their sign."""
+    t = F.lower(strip_ws(as_col(c).cast("string")))
+    value = F.when(t.rlike(NUMBER), t.try_cast("double"))
+    return (value.when(t.isin("inf", "+inf", "infinity", "+infinity"), F.lit(float("inf")))
+            .when(t.isin("-inf", "-infinity"), F.lit(float("-inf"))))
 
 
 def guarded_ratio(num, den) -> Column:

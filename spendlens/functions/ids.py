@@ -39,6 +39,13 @@ def campaign_key(campaign_id, slug) -> Column:
 
 
 def surrogate_key(*cols) -> Column:
-    """Deterministic, null-safe md5 key over the given columns."""
-    parts = [F.coalesce(as_col(c).cast("string"), F.lit(KEY_NULL)) for c in cols]
+    """Deterministic, null-safe md5 key over the given columns.
+
+    Every part carries its length, so values that hold the separator cannot
+    run into each other; a null has no length.
+    """
+    parts = []
+    for c in cols:
+        t = as_col(c).cast("string")
+        parts.append(F.coalesce(F.concat(F.char_length(t).cast("string"), F.lit(":"), t), F.lit(KEY_NULL)))
     return F.md5(F.concat_ws("|", *parts))

@@ -27,7 +27,7 @@ TERM_REPAIRS = (
     (r"d\s*e\s*m\s*a\s*n\s*d\s*[-_ ]*\s*g\s*e\s*n", "demandgen"),
     (r"p\s*o\s*s\s*[-_ ]*\s*l\s*i\s*t\s*e", "pos-lite"),
 )
-# Separator and prefix repairs, in application order, after the term repairs.
+# Fixed separator and prefix repairs, in application order, after the term repairs.
 SEPARATOR_REPAIRS = (
     (r"\s*-\s*", "-"),
     (r"\s*_\s*", "_"),
@@ -38,9 +38,13 @@ SEPARATOR_REPAIRS = (
 )
 
 
+# White space of any alphabet, and the four separators U+001C..U+001F.
+WS = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+
+
 def strip_ws(c) -> Column:
     """Remove leading and trailing white space of any kind (not only blanks)."""
-    return F.regexp_replace(as_col(c), r"^\s+|\s+$", "")
+    return F.regexp_replace(as_col(c), f"^{WS}+|{WS}+$", "")
 
 
 def clean_string(c) -> Column:
@@ -50,7 +54,7 @@ def clean_string(c) -> Column:
     normalise separators to ``-``/``_``, fix search prefixes, squeeze and strip
     ``_``.  Null stays null; the function is idempotent.
     """
-    t = F.regexp_replace(strip_ws(F.lower(as_col(c))), r"\s+", " ")
+    t = F.regexp_replace(strip_ws(F.lower(as_col(c))), f"{WS}+", " ")
     for pattern, repl in TERM_REPAIRS + SEPARATOR_REPAIRS:
         t = F.regexp_replace(t, pattern, repl)
     return F.regexp_replace(t, r"^_+|_+$", "")
@@ -58,7 +62,7 @@ def clean_string(c) -> Column:
 
 def remove_spaced_letters(c) -> Column:
     """Delete white space between single letters: ``p o s lite`` -> ``pos lite``."""
-    return F.regexp_replace(as_col(c), r"(?<=\b\p{L})\s+(?=\p{L}\b)", "")
+    return F.regexp_replace(as_col(c), rf"(?U)(?<=\b\p{{L}}){WS}+(?=\p{{L}}\b)", "")
 
 
 def normalize_country(c) -> Column:

@@ -20,21 +20,34 @@ def mode_non_null(c) -> Column:
     return F.mode(F.col(c) if isinstance(c, str) else c, deterministic=True)
 
 
-def build_reference(a: DataFrame, b: DataFrame, key: str, attrs: Sequence[str]) -> DataFrame:
+def build_reference(a: DataFrame, b: DataFrame | None, key: str, attrs: Sequence[str],
+                    weight: str | None = None) -> DataFrame:
     """Per key, the mode of every attribute over the union of two tables (A-8).
 
-    Tables may lack some attributes (missing -> null); null keys are dropped.
+    Tables may lack some attributes (missing -> null); null keys are dropped;
+    ties -> smallest value; ``weight`` names a column that says how many rows a
+    row stands for.  Two aggregates: rows are counted by (key, attribute,
+    value), map-side first, then the best value of each attribute is taken from
+    these counts.
     """
-    present = [c for c in attrs if c in a.columns or c in b.columns]
-    parts = [df.select(key, *[c for c in present if c in df.columns])
-             for df in (a, b) if key in df.columns]
-    if not parts or not present:
+    tables = [t for t in (a, b) if t is not None and key in t.columns]
+    present = [c for c in attrs if any(c in t.columns for t in tables)]
+    if not tables or not present:
         raise ValueError(f"no key {key!r} or attributes to build a reference from")
-    allrows = parts[0]
+    n = F.lit(1).cast("long") if weight is None else F.col(weight)
+    parts = [t.select(key, *[c for c in present if c in t.columns], n.alias("_n")) for t in tables]
+    rows = parts[0]
     for p in parts[1:]:
-        allrows = allrows.unionByName(p, allowMissingColumns=True)
-    return (allrows.where(F.col(key).isNotNull())
-            .groupBy(key).agg(*[mode_non_null(c).alias(c) for c in present]))
+        rows = rows.unionByName(p, allowMissingColumns=True)
+    counted = (rows.where(F.col(key).isNotNull())
+               .unpivot([key, "_n"], list(present), "_attr", "_value")
+               .groupBy(key, "_attr", "_value").agg(F.sum("_n").alias("_n")))
+    order = F.struct(-F.col("_n"), F.col("_value"))
+
+    def best(c: str) -> Column:
+        hit = (F.col("_attr") == c) & F.col("_value").isNotNull()
+        return F.min_by("_value", F.when(hit, order)).alias(c)
+    return counted.groupBy(key).agg(*[best(c) for c in present])
 
 
 def count_distinct(c, approx: bool = False, rsd: float = 0.01) -> Column:

@@ -15,38 +15,31 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Upper bound of rows for a side to be broadcast (dimension tables, maps keyed
-# by campaign): at a few hundred bytes per row this keeps a broadcast in the
-# tens of megabytes per executor.
+# Bounds of a side to be broadcast (dimension tables, maps keyed by campaign).
 BROADCAST_MAX_ROWS = 250_000
+BROADCAST_MAX_BYTES = 64 << 20
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                       materialize: bool = False) -> DataFrame:
-    """Broadcast hint only when ``df`` has at most ``max_rows`` rows.
-
-    The check is a bounded count (``limit(max_rows + 1)``).  With
-    ``materialize`` the side is first checkpointed to the shared checkpoint
-    folder, so neither the check nor the join recomputes its (long) lineage.
+                       materialize: bool = False, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast hint only when ``df`` has at most ``max_rows`` rows and
+    ``max_bytes`` bytes of text.
+
+    The check reads at most ``max_rows + 1`` rows.  With ``materialize`` the
+    side is first checkpointed to the shared checkpoint folder, so neither the
+    check nor the join recomputes its (long) lineage.  Without the hint the
+    facts would be shuffled before AQE could see that the other side is small.
     """
     if materialize:
         from ..session import cut_lineage
         df = cut_lineage(df)
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def null_safe_cond(left: DataFrame, right: DataFrame, plain: Sequence[str] = (),
-                   null_safe: Sequence[str] = ()) -> Column:
-    cond = F.lit(True)
-    for c in plain:
-        cond = cond & (left[c] == right[c])
-    for c in null_safe:
-        cond = cond & left[c].eqNullSafe(right[c])
-    return cond
+    text = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 16 for c in df.columns]
+    size = (df.limit(max_rows + 1).select(sum(text, F.lit(0)).alias("b"))
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("b")).first())
+    return F.broadcast(df) if size.n <= max_rows and (size.b or 0) <= max_bytes else df
 
 
 def combine_funnels(web: DataFrame, leads: DataFrame,
@@ -60,8 +53,9 @@ def combine_funnels(web: DataFrame, leads: DataFrame,
     Keys not in ``nullable_keys`` use plain equality (null never matches);
     ``nullable_keys`` match null to null.  Output: the keys plus all non-key
     columns of both sides.  When a side holds several rows for one key, its
-    row with the highest ``coalesce(rank, 0)`` is kept (ties: by content), so
-    duplicate keys are reconciled, never paired.
+    row with the highest ``coalesce(rank, 0)`` is kept (ties: smallest content,
+    column by column, nulls last, as the mart's ranking does), so duplicate keys
+    are reconciled, never paired; ``repeated_keys`` reports what was set aside.
 
     Rows with a null strict key cannot match.  ``unmatched="keep"`` keeps each
     of them as its own row (like the join); ``"best"`` keeps, per side and
@@ -85,7 +79,8 @@ def combine_funnels(web: DataFrame, leads: DataFrame,
         raise ValueError(f"unknown unmatched mode {unmatched!r}")
 
     def tag(df: DataFrame, cols: list[str], rank: str, name: str, side: str) -> DataFrame:
-        payload = F.struct(F.coalesce(F.col(rank), F.lit(0)).alias("_rank"), *cols)
+        ordered = [x for i, c in enumerate(cols) for x in (F.col(c).isNull().alias(f"_n{i}"), F.col(c))]
+        payload = F.struct((-F.coalesce(F.col(rank), F.lit(0))).alias("_rank"), *ordered)
         if unmatched == "keep":
             u = F.when(unmatchable, F.to_json(F.struct(F.lit(side).alias("_side"),
                                                        *[F.col(k) for k in keys], *cols)))
@@ -97,7 +92,7 @@ def combine_funnels(web: DataFrame, leads: DataFrame,
     l = tag(leads, l_cols, leads_rank, "_l", "l")
     both = (w.unionByName(l, allowMissingColumns=True)
             .groupBy(*keys, "_u")
-            .agg(F.max("_w").alias("_w"), F.max("_l").alias("_l"),
+            .agg(F.min("_w").alias("_w"), F.min("_l").alias("_l"),
                  F.count(F.lit(1)).alias("_n")))
     if unmatched == "keep":
         copies = F.when(F.col("_u").isNotNull(), F.col("_n")).otherwise(F.lit(1))
@@ -106,6 +101,16 @@ def combine_funnels(web: DataFrame, leads: DataFrame,
                        *[F.col(f"_l.{c}").alias(c) for c in l_cols])
 
 
+def repeated_keys(df: DataFrame, keys: Sequence[str] = ("date", "campaign_id", "country_code"),
+                  strict: Sequence[str] = ("date", "campaign_id")) -> DataFrame:
+    """Keys of one funnel that hold several rows, with the number of rows that
+    ``combine_funnels`` sets aside for each (``n_aside``)."""
+    known = df
+    for k in strict:
+        known = known.where(F.col(k).isNotNull())
+    return (known.groupBy(*keys).agg((F.count(F.lit(1)) - 1).alias("n_aside")).where("n_aside > 0"))
+
+
 def attach_dim(facts: DataFrame, dim: DataFrame, key: str = "campaign_id",
                null_safe: bool = False, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Left join facts -> dimension on ``key`` (J-1, J-3).
@@ -128,7 +133,8 @@ def update_from_lookup(df: DataFrame, ref: DataFrame, key: str,
     ``DataFrame.update`` semantics): ``coalesce(ref.c, df.c)``."""
     cols = [c for c in (cols or ref.columns) if c != key and c in df.columns and c in ref.columns]
     r = broadcast_if_small(ref.select(F.col(key).alias("_k"),
-                                      *[F.col(c).alias(f"_r_{c}") for c in cols]), max_rows)
+                                      *[F.col(c).alias(f"_r_{c}") for c in cols]), max_rows,
+                           materialize=True)
     out = df.join(r, df[key] == r["_k"], "left")
     return out.select(*[F.coalesce(F.col(f"_r_{c}"), df[c]).alias(c) if c in cols else df[c]
                         for c in df.columns])

@@ -157,13 +157,6 @@ def apply_row_filters(df: DataFrame, conditions: Mapping[str, Column]) -> DataFr
     return reduce(lambda d, c: d.where(c), conditions.values(), df)
 
 
-def _freshness_row(df: DataFrame, s: SourceSpec, now) -> DataFrame:
-    fr = check_freshness(df, now, s.loaded_at, s.warn_after_hours, s.error_after_hours, s.name)
-    return fr.select(F.lit("freshness").alias("check"), "table_name",
-                     F.lit(s.loaded_at).alias("column_name"),
-                     F.lit(0).cast("bigint").alias("n_violations"), "status")
-
-
 def _schema_gap(s: SourceSpec) -> DataFrame:
     """A source without its load-time column cannot be checked for freshness:
     reported as a ``schema`` error row (no Spark job)."""

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.derive import parse_number
+
 # Source metric -> funnel stage name, in source order.
 WEB_STAGES = {
     "nb_of_sessions": "sessions",
@@ -31,6 +33,15 @@ FUNNEL_INDEX = ("date", "country_code", "campaign_id", "pathway", "spend_value",
                 "test")
 
 
+def _metric(df: DataFrame, name: str) -> Column:
+    """A metric as a number: text is parsed, NaN counts as no value."""
+    kind = dict(df.dtypes)[name]
+    if kind == "string":
+        return parse_number(name)
+    value = F.col(name).cast("double")
+    return F.when(~F.isnan(value), value) if kind in ("double", "float") else value
+
+
 def to_long(df: DataFrame, ids: Sequence[str], stages: Mapping[str, str],
             stage_col: str = "funnel_stage", value_col: str = "metric_value") -> DataFrame:
     """Unpivot the metrics present in ``df`` to (stage, value) rows (R-1, R-3).
@@ -40,10 +51,7 @@ def to_long(df: DataFrame, ids: Sequence[str], stages: Mapping[str, str],
     """
     present = [m for m in stages if m in df.columns]
     ids = [c for c in ids if c in df.columns]
-    prepared = df.select(*ids, *[F.col(m).cast("string").try_cast("double").alias(stages[m])
-                                 if dict(df.dtypes)[m] == "string"
-                                 else F.col(m).cast("double").alias(stages[m])
-                                 for m in present])
+    prepared = df.select(*ids, *[_metric(df, m).alias(stages[m]) for m in present])
     return prepared.unpivot(ids, [stages[m] for m in present], stage_col, value_col)
 
 
@@ -80,6 +88,4 @@ def facts_to_wide(df: DataFrame, index: Sequence[str], stages: Mapping[str, str]
     present = [m for m in stages if m in df.columns]
     src = df.na.drop(how="any", subset=index) if drop_null_keys else df
     return src.groupBy(*index).agg(*[
-        F.coalesce(F.sum(F.col(m).cast("string").try_cast("double")
-                         if dict(df.dtypes)[m] == "string" else F.col(m).cast("double")),
-                   F.lit(0.0)).alias(stages[m]) for m in present])
+        F.coalesce(F.sum(_metric(df, m)), F.lit(0.0)).alias(stages[m]) for m in present])

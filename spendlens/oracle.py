@@ -7,13 +7,21 @@ views; ``duck_clean`` spells the text normaliser as nested ``regexp_replace``.
 
 from __future__ import annotations
 
-from .functions.text import SEPARATOR_REPAIRS, TERM_REPAIRS
+# White space of any alphabet, spelled for this engine's patterns.
+DUCK_WS = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
 def duck_clean(x: str) -> str:
-    t = f"regexp_replace(lower({x}), '^\\s+|\\s+$', '', 'g')"
-    t = f"regexp_replace({t}, '\\s+', ' ', 'g')"
-    for pattern, repl in TERM_REPAIRS + SEPARATOR_REPAIRS:
+    """The text normaliser, rule by rule (stated here on its own)."""
+    t = f"regexp_replace(lower({x}), '^{DUCK_WS}+|{DUCK_WS}+$', '', 'g')"
+    t = f"regexp_replace({t}, '{DUCK_WS}+', ' ', 'g')"
+    spaced = lambda word: " *".join(word)
+    for pattern, repl in (
+            (spaced("prospecting"), "prospecting"), (spaced("shopping"), "shopping"), (spaced("landing"), "landing"),
+            (spaced("demand") + "[-_ ]* *" + spaced("gen"), "demandgen"),
+            (spaced("pos") + " *[-_ ]* *" + spaced("lite"), "pos-lite"),
+            (" *- *", "-"), (" *_ *", "_"), (" ", "_"), ("bing_search_+", "bing-search_"),
+            ("search_shopping_+", "search-shopping_"), ("_+", "_")):
         t = f"regexp_replace({t}, '{pattern}', '{repl}', 'g')"
     return f"regexp_replace({t}, '^_+|_+$', '', 'g')"
 
@@ -232,7 +240,7 @@ def mart_sql(grain: str = "country") -> str:
 
 # ------------------------------------------------------------ id / NA helpers
 def duck_fix_id(x: str) -> str:
-    t = f"regexp_replace(CAST({x} AS VARCHAR), '^\\s+|\\s+$', '', 'g')"
+    t = f"regexp_replace(CAST({x} AS VARCHAR), '^{DUCK_WS}+|{DUCK_WS}+$', '', 'g')"
     t = f"(CASE WHEN {t} IN ('<NA>', 'nan', 'None', '') THEN NULL ELSE {t} END)"
     t = f"regexp_replace(regexp_replace({t}, '\\.000000$', ''), '\\.0$', '')"
     t = (f"(CASE WHEN contains(lower({t}), 'e') THEN CAST(CAST(round_even(TRY_CAST({t} AS "

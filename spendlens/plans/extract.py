@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from ..functions.derive import (SALES_PATHWAY, WEB_PATHWAY, add_calendar_columns, channel_label,
                                 country_name, keep_or_overwrite, split_channel, test_flag)
 from ..operators.aggregates import max_by_grain
-from ..operators.reshape import (FUNNEL_INDEX, LEADS_STAGES, WEB_STAGES, facts_to_wide,
-                                  long_to_wide, to_long)
+from ..operators.quality import assert_unique
+from ..operators.reshape import FUNNEL_INDEX, LEADS_STAGES, WEB_STAGES, facts_to_wide, to_long
 from ..operators.setops import present, require_columns, union_by_name
 from ..sources.io import write_csv
 
@@ -77,25 +77,6 @@ def prep_frame(df: DataFrame, pathway: str, spend_prefer: tuple[str, str]) -> Da
     return require_columns(d, FUNNEL_INDEX, pathway)
 
 
-def prep_long(df: DataFrame, pathway: str, stages: dict, spend_prefer: tuple[str, str]
-              ) -> DataFrame:
-    """Long funnel table of one source (R-1a/R-1b, P-8, P-15, P-16)."""
-    return to_long(prep_frame(df, pathway, spend_prefer), FUNNEL_INDEX, stages)
-
-
-def prep_web_long(web: DataFrame) -> DataFrame:
-    return prep_long(web, WEB_PATHWAY, WEB_STAGES, ("total_spend_eur", "total_spend"))
-
-
-def prep_leads_long(leads: DataFrame) -> DataFrame:
-    return prep_long(leads, SALES_PATHWAY, LEADS_STAGES, ("total_spend", "total_spend_eur"))
-
-
-def to_wide(long_df: DataFrame, stages: dict, drop_null_keys: bool = True) -> DataFrame:
-    return long_to_wide(long_df, FUNNEL_INDEX, list(stages.values()),
-                        drop_null_keys=drop_null_keys)
-
-
 def final_grain(all_wide: DataFrame) -> DataFrame:
     """Column-wise max per (date, country, campaign, pathway, channel); dims from
     the first row in pivot-index order (A-5, A-6, P-9)."""
@@ -123,7 +104,13 @@ def build_extract(web: DataFrame, leads: DataFrame) -> dict[str, DataFrame]:
             "final": final_grain(all_wide)}
 
 
-def write_extract(outputs: dict[str, DataFrame], folder: str) -> None:
-    """Long/wide tables as ``;`` CSV (S-5) and the final table as ``,`` CSV (S-6)."""
+def write_extract(outputs: dict[str, DataFrame], folder: str, unique: tuple = GRAIN) -> None:
+    """Long/wide tables as ``;`` CSV (S-5) and the final table as ``,`` CSV (S-6).
+
+    Nothing is written unless the final table is unique on ``unique`` (those of
+    its columns that the table has; Q-8)."""
+    if "final" in outputs:
+        final = outputs["final"]
+        assert_unique(final, [c for c in unique if c in final.columns])
     for name, df in outputs.items():
         write_csv(df, f"{folder.rstrip('/')}/{name}", sep="," if name == "final" else ";")

@@ -55,10 +55,15 @@ def fct_web(web: DataFrame, since=None) -> DataFrame:
     return out.where(F.col("date") >= F.lit(since)) if since is not None else out
 
 
-def fct_leads(leads: DataFrame, since=None, with_fake: bool = False) -> DataFrame:
-    """Sales-assisted fact with normalised keys and cleaned channels (P-5)."""
+def fct_leads(leads: DataFrame, since=None, with_fake: bool = False, clean: bool = True) -> DataFrame:
+    """Sales-assisted fact with normalised keys and cleaned channels (P-5).
+
+    ``clean=False`` carries the raw channels as ``l_<channel>`` instead: the
+    mart cleans only those that the dimension cannot supply.
+    """
     metrics = [m for m in LEADS_METRICS if m != "total_fake_leads" or with_fake]
     out = leads.select("date", normalize_country("country_code").alias("country_code"),
                        cast_id("campaign_id").alias("campaign_id"), "total_spend", *metrics,
-                       *[clean_string(c).alias(f"l_{c}_clean") for c in CHANNEL_COLS])
+                       *[clean_string(c).alias(f"l_{c}_clean") if clean else F.col(c).alias(f"l_{c}")
+                         for c in CHANNEL_COLS])
     return out.where(F.col("date") >= F.lit(since)) if since is not None else out

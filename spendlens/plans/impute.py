@@ -7,10 +7,12 @@ then id from the already filled name); two attribute references (mode per id,
 mode per name) are built *before* any fill; attributes are filled by id, then
 by name.
 
-Scale: the maps and references have one row per campaign id or name; they are
-built with partial aggregation and joined broadcast behind a bounded size
-check.  The normalised, mapped facts are read four times, so their lineage is
-cut once with a reliable checkpoint in the session's checkpoint folder.
+Scale: both facts are reduced once to a summary, the row count of every
+combination of id, name and attributes.  The maps come from the summary, the
+maps are applied to the summary, and the references are modes over it weighted by
+its counts.  Only the summary, the maps and the references are materialised;
+each fact is read once more for the fill itself, through joins with these small
+tables (broadcast behind a size check), and is never written.
 """
 
 from __future__ import annotations
@@ -67,11 +69,23 @@ def normalize_frame(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.withColumns({c: normalize_na(c) for c in cols if c in df.columns})
 
 
-def campaign_maps(a: DataFrame, b: DataFrame) -> tuple[DataFrame, DataFrame]:
+def summarize(frames: Sequence[DataFrame], attrs: Sequence[str] = ATTR_COLS) -> DataFrame:
+    """Row count ``n`` of every (id, name, attributes) over all frames; columns
+    that a frame lacks count as null."""
+    cols = [KEY_ID, KEY_NAME, *attrs]
+    parts = [df.select(*[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in cols])
+             for df in frames]
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+    return rows.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
+
+
+def campaign_maps(a: DataFrame, b: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """id->name where the id has exactly one name; name->id where the name has
     exactly one id; judged separately over distinct non-null pairs (M-2)."""
     parts = [df.select(KEY_ID, KEY_NAME) for df in (a, b)
-             if KEY_ID in df.columns and KEY_NAME in df.columns]
+             if df is not None and KEY_ID in df.columns and KEY_NAME in df.columns]
     pairs = parts[0]
     for p in parts[1:]:
         pairs = pairs.unionByName(p)
@@ -102,28 +116,32 @@ def apply_campaign_maps(df: DataFrame, id_to_name: DataFrame, name_to_id: DataFr
                       else step1[c] for c in cols]))
 
 
-def impute_campaigns(web: DataFrame, leads: DataFrame, attrs: Sequence[str] = ATTR_COLS,
-                     materialize: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
+def references(frames: Sequence[DataFrame], attrs: Sequence[str] = ATTR_COLS
+               ) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(id->name, name->id, attributes by id, attributes by name) of normalised
+    frames, all from one summary (M-2 .. M-4)."""
+    summary = cut_lineage(summarize(frames, attrs))
+    id_to_name, name_to_id = map(cut_lineage, campaign_maps(summary))
+    mapped = cut_lineage(apply_campaign_maps(summary, id_to_name, name_to_id))
+    return (id_to_name, name_to_id, *[cut_lineage(build_reference(mapped, None, k, attrs, weight="n"))
+                                      for k in (KEY_ID, KEY_NAME)])
+
+
+def normalized(web: DataFrame, leads: DataFrame, attrs: Sequence[str] = ATTR_COLS) -> list[DataFrame]:
+    return [normalize_frame(df, [KEY_ID, KEY_NAME, *attrs]) for df in (web, leads)]
+
+
+def impute_campaigns(web: DataFrame, leads: DataFrame, attrs: Sequence[str] = ATTR_COLS
+                     ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The whole fill pass over prepared web and leads (M-7).
 
     Returns (web, leads, ref_by_id); ``ref_by_id`` is the exported
     id -> attributes map (M-6).
     """
-    cols = [KEY_ID, KEY_NAME, *attrs]
-    w, l = normalize_frame(web, cols), normalize_frame(leads, cols)
-    if materialize:
-        w, l = cut_lineage(w), cut_lineage(l)
-    id_to_name, name_to_id = campaign_maps(l, w)
-    if materialize:
-        id_to_name, name_to_id = cut_lineage(id_to_name), cut_lineage(name_to_id)
-    w, l = apply_campaign_maps(w, id_to_name, name_to_id), apply_campaign_maps(l, id_to_name,
-                                                                            name_to_id)
-    ref_by_id = build_reference(l, w, KEY_ID, attrs)
-    ref_by_name = build_reference(l, w, KEY_NAME, attrs)
-    if materialize:
-        ref_by_id, ref_by_name = cut_lineage(ref_by_id), cut_lineage(ref_by_name)
-    w = fill_from_reference(fill_from_reference(w, ref_by_id, KEY_ID, attrs),
-                            ref_by_name, KEY_NAME, attrs)
-    l = fill_from_reference(fill_from_reference(l, ref_by_id, KEY_ID, attrs),
-                            ref_by_name, KEY_NAME, attrs)
-    return w, l, ref_by_id
+    frames = normalized(web, leads, attrs)
+    id_to_name, name_to_id, by_id, by_name = references(frames, attrs)
+
+    def fill(df: DataFrame) -> DataFrame:
+        df = apply_campaign_maps(df, id_to_name, name_to_id)
+        return fill_from_reference(fill_from_reference(df, by_id, KEY_ID, attrs), by_name, KEY_NAME, attrs)
+    return fill(frames[0]), fill(frames[1]), by_id

@@ -1,48 +1,38 @@
 """Campaign performance mart: both funnels at daily grain with CAC and
 throughput KPIs (J-2 .. J-4, W-1, W-2, P-6, P-7, F-19 .. F-24, K-1 .. K-4).
 
-Plan (grain="country", the default): one hash aggregate combines the funnels
-per (date, campaign_id, country_code) with partial aggregation, the deduped
-channel dimension is broadcast after a bounded size check, the rest are
-narrow projections.  Because the combination already yields the best row per
-key and side, the reference's two ranking windows and its second full outer
-join are no-ops at this grain and are not planned.  Rows without campaign id
-never match; per (date, country) and side their best row is kept, which is
-what the reference's ranking keeps of them.
+Plan (grain="country", the default): one aggregate combines the funnels per
+(date, campaign_id, country_code) with partial aggregation before the exchange.
+All text work (name, slug, key, channels) is done on the deduped channel
+dimension, one row per campaign, before the join; a fact row pays for its own
+channel text only where the dimension has no value.  Because the combination
+already yields the best row per key and side, the reference's two ranking
+windows and its second full outer join are no-ops at this grain and are not
+planned.  Rows without campaign id never match; per (date, country) and side
+their best row is kept, which is what the reference's ranking keeps of them.
 
 grain="campaign" reproduces the reference's literal ranking per
-(campaign_id, campaign_name, date) across countries, followed by the null-safe
-full outer join of the web and sales winners.
+(campaign_id, campaign_name, date) across countries: one more aggregate takes
+the web winner and the sales winner of a key together, and one or two rows come
+out of it, as the null-safe full outer join of the winners would give.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ids import campaign_key
 from ..functions.text import clean_string, name_slug, nullif_blank
 from ..operators.joins import attach_dim, combine_funnels
 from ..operators.kpi import with_kpis
+from ..operators.reshape import LEADS_STAGES, WEB_STAGES
 from ..sources.schemas import CHANNEL_COLS, WEB_METRICS
 from .facts import dim_campaign_channels, fct_leads, fct_web
 
-# Source metric -> mart column name.
-WEB_RENAMES = {
-    "nb_of_sessions": "sessions",
-    "nb_of_signups": "signups",
-    "nb_of_orders": "orders",
-    "nb_of_poslite_items_ordered": "poslite_items_ordered",
-}
-SALES_RENAMES = {
-    "total_impressions": "impressions",
-    "total_clicks": "clicks",
-    "total_leads": "leads",
-    "total_sqls": "sqls",
-    "total_meeting_done": "meeting_done",
-    "total_signed_leads": "signed_leads",
-    "total_pos_lite_deals": "pos_lite_deals",
-}
+# The mart's names of the metrics are the stage names; fake leads are not part of it.
+WEB_RENAMES = WEB_STAGES
+SALES_RENAMES = {m: s for m, s in LEADS_STAGES.items() if s != "fake_leads"}
 KEY_DIMS = ("date", "country_code", "campaign_id", "campaign_key", "campaign_name",
             "campaign_period_budget_category", *CHANNEL_COLS)
 WEB_SIDE = ("total_spend_eur", *WEB_METRICS)
@@ -53,52 +43,68 @@ MART_COLUMNS = (*KEY_DIMS, *WEB_RENAMES.values(), *SALES_RENAMES.values(),
                 "cac_per_pos_lite_order_web", "web_funnel_throughput", "sales_funnel_throughput")
 
 
+def text_dim(dim: DataFrame) -> DataFrame:
+    """The deduped dimension with everything that is derived from its text:
+    campaign name, key suffix, trimmed category and non-blank channels.  The
+    dimension's text is already clean (``stg_channels``)."""
+    name = F.col("campaign_name")
+    return dim.select(
+        "campaign_id",
+        campaign_key(F.lit(""), name_slug(name)).alias("_d_suffix"),
+        nullif_blank(name).alias("_d_name"),
+        F.trim("campaign_period_budget_category").cast("string").alias("campaign_period_budget_category"),
+        *[nullif_blank(F.col(c)).alias(f"_d_{c}") for c in CHANNEL_COLS])
+
+
 def enrich(combined: DataFrame, dim: DataFrame) -> DataFrame:
     """Resolve campaign name, key, budget category and channels from the
     dimension, falling back to the lead-side channels (J-3, F-19 .. F-22)."""
-    d = dim.select("campaign_id",
-                   clean_string("campaign_name").alias("_d_name"),
-                   F.trim("campaign_period_budget_category").cast("string")
-                   .alias("campaign_period_budget_category"),
-                   *[clean_string(c).alias(f"_d_{c}") for c in CHANNEL_COLS])
-    r = attach_dim(combined, d, "campaign_id")
+    r = attach_dim(combined, text_dim(dim), "campaign_id")
+    unknown = F.lit("__unknown")
     return r.select(
         "date", "country_code", "campaign_id",
-        campaign_key(F.col("campaign_id"), name_slug(F.col("_d_name"))).alias("campaign_key"),
-        nullif_blank(F.col("_d_name")).alias("campaign_name"),
+        F.concat("campaign_id", F.coalesce("_d_suffix", unknown)).alias("campaign_key"),
+        F.col("_d_name").alias("campaign_name"),
         "campaign_period_budget_category",
-        *[F.coalesce(nullif_blank(F.col(f"_d_{c}")), nullif_blank(F.col(f"l_{c}_clean"))).alias(c)
-          for c in CHANNEL_COLS],
+        *[F.coalesce(F.col(f"_d_{c}"), nullif_blank(clean_string(f"l_{c}"))).alias(c) for c in CHANNEL_COLS],
         *WEB_SIDE, *SALES_SIDE)
 
 
+def _order_key(rank: str) -> F.Column:
+    """Sort key of the ranking as a struct whose smallest value wins: highest
+    ``coalesce(rank, 0)``, then TIEBREAK ascending with nulls last."""
+    parts = [(-F.coalesce(F.col(rank), F.lit(0))).alias("r")]
+    for i, t in enumerate(TIEBREAK):
+        parts += [F.col(t).isNull().alias(f"n{i}"), F.col(t).alias(f"v{i}")]
+    return F.struct(*parts)
+
+
 def recombine_best(enriched: DataFrame, partition: tuple) -> DataFrame:
-    """Best web row and best sales row per ``partition``, recombined with a
-    full outer join on date, campaign_id (=), campaign_name and country_code
-    (null-safe); keys/dims coalesced, web metrics from the web winner and
-    sales metrics from the sales winner (W-1, W-2, J-4, D-1 .. D-3).
-
-    Both rankings are computed in one window pass (one exchange, reused by
-    both winner sets).  Each side holds one row per partition, so the join
-    never pairs more than one row with one row; rows without campaign id can
-    never match and leave the join as unmatched rows of their side.
+    """Best web row and best sales row per ``partition``, recombined as a full
+    outer join on date, campaign_id (=), campaign_name and country_code
+    (null-safe) would do it; keys/dims coalesced, web metrics from the web winner
+    and sales metrics from the sales winner (W-1, W-2, J-4, D-1 .. D-3).
+
+    One aggregate holds both winners of a key; they share date, id and name, so
+    they match where the countries agree and date and id are known, and then
+    they are one row, else two.
     """
-    order_w = [F.coalesce(F.col("total_spend_eur"), F.lit(0)).desc()]
-    order_s = [F.coalesce(F.col("total_spend"), F.lit(0)).desc()]
-    ties = [F.col(t).asc_nulls_last() for t in TIEBREAK]
-    win = Window.partitionBy(*partition)
-    ranked = enriched.select("*", F.row_number().over(win.orderBy(*order_w, *ties)).alias("_rw"),
-                             F.row_number().over(win.orderBy(*order_s, *ties)).alias("_rs"))
-    w = ranked.where(F.col("_rw") == 1).alias("w")
-    s = ranked.where(F.col("_rs") == 1).alias("s")
-    cond = ((F.col("w.date") == F.col("s.date"))
-            & (F.col("w.campaign_id") == F.col("s.campaign_id"))
-            & F.col("w.campaign_name").eqNullSafe(F.col("s.campaign_name"))
-            & F.col("w.country_code").eqNullSafe(F.col("s.country_code")))
-    return w.join(s, cond, "full").select(
-        *[F.coalesce(F.col(f"w.{c}"), F.col(f"s.{c}")).alias(c) for c in KEY_DIMS],
-        *[F.col(f"w.{c}").alias(c) for c in WEB_SIDE],
-        *[F.col(f"s.{c}").alias(c) for c in SALES_SIDE])
+    row = F.struct(*KEY_DIMS, *WEB_SIDE, *SALES_SIDE)
+    best = enriched.groupBy(*[F.col(c).alias(f"_p_{c}") for c in partition]).agg(
+        F.min_by(row, _order_key("total_spend_eur")).alias("w"),
+        F.min_by(row, _order_key("total_spend")).alias("s"))
+    types = {f.name: f.dataType for f in enriched.schema.fields}
+    w, s = F.col("w"), F.col("s")
+    meet = (w["date"].isNotNull() & w["campaign_id"].isNotNull()
+            & w["country_code"].eqNullSafe(s["country_code"]))
+
+    def out(dims, web, sales):
+        return F.struct(*[dims(c).alias(c) for c in KEY_DIMS],
+                        *[(web[c] if web is not None else F.lit(None).cast(types[c])).alias(c) for c in WEB_SIDE],
+                        *[(sales[c] if sales is not None else F.lit(None).cast(types[c])).alias(c) for c in SALES_SIDE])
+    rows = F.when(meet, F.array(out(lambda c: F.coalesce(w[c], s[c]), w, s))).otherwise(
+        F.array(out(lambda c: w[c], w, None), out(lambda c: s[c], None, s)))
+    return best.select(F.explode(rows).alias("x")).select("x.*")
 
 
 def finalize(best: DataFrame) -> DataFrame:
@@ -124,10 +130,10 @@ def build_mart(web: DataFrame, leads: DataFrame, channels: DataFrame | None = No
     if grain == "country":
         # One row per (date, campaign, country) and side already is the ranking's
         # answer at this grain: rows without id keep their best row per side.
-        best = enrich(combine_funnels(fct_web(web, since), fct_leads(leads, since),
+        best = enrich(combine_funnels(fct_web(web, since), fct_leads(leads, since, clean=False),
                                       unmatched="best"), dim)
     elif grain == "campaign":
-        enriched = enrich(combine_funnels(fct_web(web, since), fct_leads(leads, since)), dim)
+        enriched = enrich(combine_funnels(fct_web(web, since), fct_leads(leads, since, clean=False)), dim)
         best = recombine_best(enriched, ("campaign_id", "campaign_name", "date"))
     else:
         raise ValueError(f"unknown grain {grain!r}")

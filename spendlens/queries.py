@@ -29,7 +29,7 @@ from .operators.reshape import LEADS_STAGES, WEB_STAGES
 from .plans import extract as X
 from .plans import impute as I
 from .plans.facts import dim_campaign_channels, fct_leads, fct_web
-from .plans.incremental import incremental_refresh, write_target
+from .plans.incremental import build_target, incremental_refresh, read_target, write_target
 from .plans.mart import build_mart
 from .registry import register
 from .session import cut_lineage, scratch_path
@@ -124,7 +124,15 @@ def clean_text(spark, sf_dir):
                     normalize_country("p_brand").alias("brand_code"))
 
 
-@register("remove_spaced_letters")
+# Split on white space; a blank goes where both neighbours are single letters.
+@register("remove_spaced_letters", r"""
+SELECT p_partkey, raw_text,
+       array_to_string(list_transform(range(1, len(w) + 1), lambda i: w[i] || CASE
+           WHEN i = len(w) THEN ''
+           WHEN regexp_matches(w[i], '^(.*[^\p{L}\p{N}_])?\p{L}$') AND regexp_matches(w[i + 1], '^\p{L}([^\p{L}\p{N}_].*)?$') THEN ''
+           ELSE ' ' END), '') AS joined
+FROM (SELECT p_partkey, raw_text, string_split(raw_text, ' ') AS w
+      FROM (SELECT p_partkey, 'p o s lite ' || array_to_string(string_split(p_brand, ''), ' ') AS raw_text FROM part))""")
 def spaced_letters(spark, sf_dir):
     part = read_table(spark, sf_dir, "part")
     raw = F.concat(F.lit("p o s lite "), F.concat_ws(" ", F.split(F.col("p_brand"), "")))
@@ -283,10 +291,7 @@ SELECT 'id_to_name' AS direction, campaign_id AS map_key, m_name AS map_value FR
 UNION ALL SELECT 'name_to_id', campaign_name, m_id FROM name2id"""))
 def campaign_maps(spark, sf_dir):
     web, leads, ch = sources(spark, sf_dir)
-    cols = [I.KEY_ID, I.KEY_NAME, *I.ATTR_COLS]
-    w = I.normalize_frame(I.prepare_web(web, ch), cols)
-    l = I.normalize_frame(I.prepare_leads(leads), cols)
-    i2n, n2i = I.campaign_maps(l, w)
+    i2n, n2i = I.campaign_maps(I.summarize(I.normalized(I.prepare_web(web, ch), I.prepare_leads(leads))))
     return (i2n.select(F.lit("id_to_name").alias("direction"), F.col(I.KEY_ID).alias("map_key"),
                        F.col("_name").alias("map_value"))
             .unionByName(n2i.select(F.lit("name_to_id").alias("direction"),
@@ -302,12 +307,7 @@ def reference_by_id(spark, sf_dir):
 @register("reference_by_name", with_fixtures(*O.IMPUTE_CTES, body="SELECT * FROM ref_name"))
 def reference_by_name(spark, sf_dir):
     web, leads, ch = sources(spark, sf_dir)
-    cols = [I.KEY_ID, I.KEY_NAME, *I.ATTR_COLS]
-    w = I.normalize_frame(I.prepare_web(web, ch), cols)
-    l = I.normalize_frame(I.prepare_leads(leads), cols)
-    i2n, n2i = I.campaign_maps(l, w)
-    w, l = I.apply_campaign_maps(w, i2n, n2i), I.apply_campaign_maps(l, i2n, n2i)
-    return A.build_reference(l, w, I.KEY_NAME, I.ATTR_COLS)
+    return I.references(I.normalized(I.prepare_web(web, ch), I.prepare_leads(leads)))[3]
 
 
 @register("impute_web", with_fixtures(*O.IMPUTE_CTES, body="SELECT * FROM web_f"))
@@ -457,26 +457,32 @@ def reconcile_max(spark, sf_dir):
                            ["total_spend_eur", "impressions"])
 
 
+def _key_part(x: str) -> str:
+    t = f"CAST({x} AS VARCHAR)"
+    return f"coalesce(length({t}) || ':' || {t}, '<null>')"
+
+
+_SNAPSHOT_KEY = "md5(concat_ws('|', " + ", ".join(
+    _key_part(c) for c in ("campaign_id", "date", "country_code", "_etl_loaded_at")) + "))"
+
+
 @register("snapshot_history", with_fixtures(HISTORY_CTE, """hist_changed AS (
   SELECT *, (lag(_etl_loaded_at) OVER w IS NULL
              OR lag(total_spend_eur) OVER w IS DISTINCT FROM total_spend_eur
              OR lag(impressions) OVER w IS DISTINCT FROM impressions) AS changed
   FROM history WINDOW w AS (PARTITION BY campaign_id, date, country_code ORDER BY _etl_loaded_at))""",
-    "kept AS (SELECT * EXCLUDE (changed) FROM hist_changed WHERE changed)", body="""
+    "kept AS (SELECT * EXCLUDE (changed) FROM hist_changed WHERE changed)", body=f"""
 SELECT *, _etl_loaded_at AS valid_from,
        lead(_etl_loaded_at) OVER (PARTITION BY campaign_id, date, country_code
                                   ORDER BY _etl_loaded_at) AS valid_to,
        lead(_etl_loaded_at) OVER (PARTITION BY campaign_id, date, country_code
                                   ORDER BY _etl_loaded_at) IS NULL AS is_current,
-       md5(concat_ws('|', coalesce(CAST(campaign_id AS VARCHAR), '<null>'),
-                     coalesce(CAST(date AS VARCHAR), '<null>'),
-                     coalesce(CAST(country_code AS VARCHAR), '<null>'),
-                     coalesce(CAST(_etl_loaded_at AS VARCHAR), '<null>'))) AS snapshot_key
+       {_SNAPSHOT_KEY} AS snapshot_key
 FROM kept"""))
 def snapshot_history(spark, sf_dir):
     h = fx.web_load_history(spark, sf_dir)
     s = W.snapshot(h, ["campaign_id", "date", "country_code"], "_etl_loaded_at",
-                   ["total_spend_eur", "impressions"])
+                   ["total_spend_eur", "impressions"], required=["campaign_id", "date"])
     return s.withColumn("snapshot_key", surrogate_key("campaign_id", "date", "country_code",
                                                       "_etl_loaded_at"))
 
@@ -516,8 +522,9 @@ def cac_by_pathway_overlap(spark, sf_dir):
     """
     f = _success_frame(extract(spark, sf_dir)["final"]).where(F.col("campaign_id").isNotNull())
     per = A.segment_totals(f, ["campaign_id", "pathway"], {"spend": "spend", "success": "success"})
-    both = (per.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("campaign_id")))
-            .where(F.col("_n") == 2))
+    has = lambda path: F.max(F.when(F.col("pathway") == path, 1)).over(Window.partitionBy("campaign_id"))
+    both = (per.withColumns({"_web": has(WEB_PATHWAY), "_sales": has(SALES_PATHWAY)})
+            .where((F.col("_web") == 1) & (F.col("_sales") == 1)))
     return K.segment_cac(both, ["pathway"])
 
 
@@ -543,7 +550,6 @@ def compare_pathways(spark, sf_dir):
     return K.compare_segments(cac, "pathway", SALES_PATHWAY, WEB_PATHWAY)
 
 
-_MART = "mart_rows AS (SELECT * FROM mart)"
 
 
 def _mart_sql(body: str) -> str:
@@ -703,30 +709,103 @@ def source_report(spark, sf_dir):
 
 
 # ------------------------------------------------------- incremental / io
+def _built_before(spark, sf_dir, web, leads, ch) -> str:
+    """A target built from the given facts; returns its path."""
+    path = scratch_path(spark, f"mart_target_{uuid.uuid4().hex}")
+    build_target(spark, path, web, leads, ch)
+    return path
+
+
 @register("incremental_refresh", O.mart_sql("country"))
 def incremental(spark, sf_dir):
-    """Build the mart as it stood 30 days before the newest data, write it as
-    the target, then run one incremental refresh (7-day lookback merge)."""
+    """Build the mart as it stood 30 days before the newest data, then run one
+    incremental refresh."""
+    web, leads, ch = sources(spark, sf_dir)
+    cutoff = A.high_water_mark(web, "date") - dt.timedelta(days=30)
+    target = _built_before(spark, sf_dir, web.where(F.col("date") < F.lit(cutoff)),
+                           leads.where(F.col("date") < F.lit(cutoff)), ch)
+    return incremental_refresh(spark, target, web, leads, ch, lookback_days=7)
+
+
+@register("incremental_late_rows", O.mart_sql("country"))
+def incremental_late_rows(spark, sf_dir):
+    """Whole keys that arrive long after their date: at first every seventh
+    campaign lacks all rows older than 60 days."""
+    web, leads, ch = sources(spark, sf_dir)
+    cutoff = A.high_water_mark(web, "date") - dt.timedelta(days=60)
+    there = (F.col("date") >= F.lit(cutoff)) | (F.col("campaign_id").cast("int") % 7 != 0)
+    target = _built_before(spark, sf_dir, web.where(there), leads.where(there), ch)
+    return incremental_refresh(spark, target, web, leads, ch, lookback_days=7)
+
+
+@register("incremental_partial_country", O.mart_sql("country"))
+def incremental_partial_country(spark, sf_dir):
+    """Some countries' rows change, others of the same campaign and day do not;
+    rows that are in the target by mistake (doubled spend, a country that goes
+    away) are replaced with their day."""
     web, leads, ch = sources(spark, sf_dir)
-    newest = A.high_water_mark(web, "date")
-    cutoff = newest - dt.timedelta(days=30)
-    old = build_mart(web.where(F.col("date") < F.lit(cutoff)),
-                     leads.where(F.col("date") < F.lit(cutoff)), ch)
-    target = write_target(spark, old, scratch_path(spark, f"mart_target_{uuid.uuid4().hex}"))
+    wrong = F.when(F.trim("country_code") == "GB", F.lit("XX")).otherwise(F.col("country_code"))
+    old_web = web.withColumn("country_code", F.when(F.col("nb_of_orders") == 1, wrong).otherwise(F.col("country_code")))
+    target = _built_before(spark, sf_dir, old_web, leads.where(F.col("total_leads") > 10), ch)
     return incremental_refresh(spark, target, web, leads, ch, lookback_days=7)
 
 
+@register("incremental_schema_change", O.mart_sql("country"))
+def incremental_schema_change(spark, sf_dir):
+    """A target with an older schema (one column missing, one too many, one of
+    another type) takes the new one; read back from the target's own path."""
+    web, leads, ch = sources(spark, sf_dir)
+    cutoff = A.high_water_mark(web, "date") - dt.timedelta(days=30)
+    path = _built_before(spark, sf_dir, web.where(F.col("date") < F.lit(cutoff)),
+                         leads.where(F.col("date") < F.lit(cutoff)), ch)
+    older = scratch_path(spark, f"mart_older_{uuid.uuid4().hex}")
+    write_target(spark, read_target(spark, path).drop("channel_5").withColumn("old_note", F.lit("x"))
+                 .withColumn("sessions", F.col("sessions").cast("int")), older)
+    incremental_refresh(spark, older, web, leads, ch, lookback_days=7)   # no date table: all dates
+    return read_target(spark, older)
+
+
 @register("csv_roundtrip", with_fixtures(*O.PREP_CTES, body="SELECT * FROM chp"))
 def csv_roundtrip(spark, sf_dir):
     """Prepared channels written as ``;`` CSV and read back with the declared schema."""
     path = scratch_path(spark, f"channels_csv_{uuid.uuid4().hex}")
-    write_csv(I.prepare_channels(fx.channels(spark, sf_dir)).coalesce(1), path, sep=";")
+    write_csv(I.prepare_channels(fx.channels(spark, sf_dir)), path, sep=";")
+    return read_source(spark, path, CHANNELS, fmt="csv", sep=";")
+
+
+@register("csv_roundtrip_raw", with_fixtures(body="""
+SELECT campaign_id, campaign_name || ' "x"; y' AS campaign_name, campaign_period_budget_category,
+       channel_3, channel_4, channel_5 FROM channels"""))
+def csv_roundtrip_raw(spark, sf_dir):
+    """The raw dirty channels (blanks at both ends, quotes and separators inside),
+    columns written in another order."""
+    path = scratch_path(spark, f"channels_raw_{uuid.uuid4().hex}")
+    raw = fx.channels(spark, sf_dir).withColumn("campaign_name", F.concat("campaign_name", F.lit(' "x"; y')))
+    write_csv(raw.select(*reversed(raw.columns)), path, sep=";")
     return read_source(spark, path, CHANNELS, fmt="csv", sep=";")
 
 
+@register("csv_roundtrip_final", O.FINAL_SQL)
+def csv_roundtrip_final(spark, sf_dir):
+    """The final table written as the export writes it, read back with its schema."""
+    path = scratch_path(spark, f"final_csv_{uuid.uuid4().hex}")
+    final = extract(spark, sf_dir)["final"]
+    write_csv(final, path)
+    return read_source(spark, path, final.schema, fmt="csv")
+
+
 @register("stream_mart", O.mart_sql("country"))
 def stream_mart_q(spark, sf_dir):
     """The mart produced by the streaming job from date-ordered fact drops."""
     from .streaming.mart_stream import stream_mart
     web, leads, ch = sources(spark, sf_dir)
     return stream_mart(spark, web, leads, ch)
+
+
+@register("stream_late_file", O.mart_sql("country"))
+def stream_late_file(spark, sf_dir):
+    """As above, but the oldest drop arrives last, and each campaign's rows are
+    spread over the drops, so every day is completed by a later file."""
+    from .streaming.mart_stream import stream_mart
+    web, leads, ch = sources(spark, sf_dir)
+    return stream_mart(spark, web, leads, ch, late=True)

@@ -42,11 +42,15 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the session.
 
-    ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (local tests) a fresh scratch folder is created.
+    ``spark.checkpoint.dir`` is read from the session.  Where it is unset, a
+    local master (tests) gets a fresh scratch folder; on a cluster, where a
+    folder of the driver's machine would not be seen by the executors, that is
+    an error.
     """
     path = spark.conf.get(CHECKPOINT_CONF, None)
     if not path:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError(f"{CHECKPOINT_CONF} is unset: name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="spendlens-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, path)
     spark.sparkContext.setCheckpointDir(path)

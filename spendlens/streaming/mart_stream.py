@@ -5,34 +5,31 @@ union: ``source`` = ``web`` | ``leads``).  A file stream picks up new drops;
 ``foreachBatch`` turns each micro-batch into one incremental refresh of the
 mart table:
 
-* the dates to recompute start at the oldest date of the batch, but never
-  before ``max(target.date) - lookback_days``: older rows are late beyond the
-  reference's 7-day lookback and are dropped, exactly like a 7-day watermark;
-* the mart for those dates is rebuilt from the landing table (a batch read)
-  and merged into the touched months of the target through a staging folder
-  (``plans.incremental``), so a retried batch is idempotent;
-* the first batch on an empty target builds the whole mart.
-
-State lives in the landing folder, the target table and the stream
-checkpoint, all on shared storage; nothing is kept in executor memory across
-batches, so the job survives executor and driver restarts.
+* the rows of the batch are first stored in the stream's own fact table, in a
+  partition (month, batch): a retried batch replaces its own rows;
+* the batch recomputes exactly the dates it touched, however old they are, from
+  the stored rows of those months (partition pruning), which hold this batch and
+  the earlier ones only; rows of files that later batches will bring are not
+  seen before;
+* the rebuilt dates replace the same dates in the target
+  (``plans.incremental.replace_dates``), so a retry gives the same table.
+
+State lives in the fact table, the target table and the stream checkpoint, all
+on shared storage; nothing is kept in executor memory across batches, so the
+job survives executor and driver restarts.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.aggregates import high_water_mark
-from ..plans.incremental import (MART_KEY, merge_by_key, read_target, swap_in, target_window,
-                                 write_target)
+from ..plans.incremental import on_dates, path_exists, read_target, replace_dates, write_target
 from ..plans.mart import build_mart
-from ..session import scratch_path
+from ..session import cut_lineage, scratch_path
 from ..sources.schemas import LEADS_FUNNEL, WEB_ORDERS
 
 WEB_COLS = [f.name for f in WEB_ORDERS.fields]
@@ -53,45 +50,47 @@ def to_landing(web: DataFrame, leads: DataFrame) -> DataFrame:
     return u.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def _target_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path)
-        return True
-    except Exception:  # noqa: BLE001 - missing path
-        return False
+def store_batch(batch: DataFrame, epoch: int, facts_dir: str) -> None:
+    """Add the rows of one micro-batch; the same batch again replaces itself."""
+    (batch.withColumns({"month": F.trunc("date", "month"), "batch": F.lit(epoch).cast("long")})
+     .repartition("month", "campaign_id")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("month", "batch").parquet(facts_dir))
 
 
-def refresh_from_landing(spark: SparkSession, batch: DataFrame, landing_dir: str,
-                         channels: DataFrame, target_path: str, lookback_days: int = 7) -> None:
-    """One micro-batch: recompute and merge the affected dates."""
-    oldest = batch.agg(F.min("date")).first()[0]
-    if oldest is None:
+def refresh_batch(spark: SparkSession, batch: DataFrame, epoch: int, channels: DataFrame,
+                  target_path: str, facts_dir: str) -> None:
+    """One micro-batch: store it, then recompute and replace the dates it touched."""
+    dates = [r[0] for r in batch.select("date").distinct().collect()]   # one value per day
+    if not dates:
         return
-    landing = spark.read.schema(landing_schema()).parquet(landing_dir)
-    web = landing.where(F.col("source") == "web").select(*WEB_COLS)
-    leads = landing.where(F.col("source") == "leads").select(*LEADS_COLS)
-    if not _target_exists(spark, target_path):
-        write_target(spark, build_mart(web, leads, channels), target_path)
-        return
-    hwm = high_water_mark(read_target(spark, target_path))
-    since = oldest if hwm is None else max(oldest, hwm - dt.timedelta(days=lookback_days))
-    new = build_mart(web, leads, channels, since=since)
-    swap_in(spark, merge_by_key(target_window(spark, target_path, since), new, MART_KEY),
-            target_path)
+    store_batch(batch, epoch, facts_dir)
+    schema = landing_schema().add("month", T.DateType()).add("batch", T.LongType())
+    months = {None if d is None else d.replace(day=1) for d in dates}
+    stored = on_dates(on_dates(spark.read.schema(schema).parquet(facts_dir), months, "month"), dates)
+    stored = stored.where(F.col("batch") <= epoch)
+    web = stored.where(F.col("source") == "web").select(*WEB_COLS)
+    leads = stored.where(F.col("source") == "leads").select(*LEADS_COLS)
+    new = build_mart(web, leads, channels)
+    if path_exists(spark, target_path):
+        replace_dates(spark, target_path, new, dates)
+    else:
+        write_target(spark, new, target_path)
 
 
 def run_mart_stream(spark: SparkSession, landing_dir: str, channels: DataFrame,
-                    target_path: str, checkpoint_path: str, lookback_days: int = 7,
+                    target_path: str, checkpoint_path: str,
                     max_files_per_trigger: int | None = None, available_now: bool = True):
     """Start the stream; with ``available_now`` it processes every landed file
     and stops.  Returns the StreamingQuery."""
+    facts_dir = f"{target_path.rstrip('/')}_facts"
     reader = spark.readStream.schema(landing_schema())
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(landing_dir)
     writer = (stream.writeStream
-              .foreachBatch(lambda b, _epoch: refresh_from_landing(
-                  spark, b, landing_dir, channels, target_path, lookback_days))
+              .foreachBatch(lambda b, epoch: refresh_batch(
+                  spark, b, epoch, channels, target_path, facts_dir))
               .option("checkpointLocation", checkpoint_path))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime="1 minute")
@@ -99,15 +98,24 @@ def run_mart_stream(spark: SparkSession, landing_dir: str, channels: DataFrame,
 
 
 def stream_mart(spark: SparkSession, web: DataFrame, leads: DataFrame, channels: DataFrame,
-                n_drops: int = 3) -> DataFrame:
-    """Land the facts as ``n_drops`` date-ordered file drops, run the stream to
-    completion and return the resulting mart table."""
+                n_drops: int = 3, late: bool = False) -> DataFrame:
+    """Land the facts as ``n_drops`` drops, run the stream to completion and
+    return the resulting mart table.
+
+    Each drop is landed and processed before the next one.  Drops are ranges of
+    the date, in order; with ``late`` the newest comes first and a third of the
+    campaigns of every range come one drop late.
+    """
     base = scratch_path(spark, f"mart_stream_{uuid.uuid4().hex}")
-    landing = os.path.join(base, "landing") if "://" not in base else f"{base}/landing"
-    (to_landing(web, leads).repartitionByRange(n_drops, "date")
-     .write.mode("overwrite").parquet(landing))
-    target = f"{base}/target"
-    q = run_mart_stream(spark, landing, channels, target, f"{base}/checkpoint",
-                        max_files_per_trigger=1)
-    q.awaitTermination()
+    landing, target = f"{base}/landing", f"{base}/target"
+    rows = cut_lineage(to_landing(web, leads))
+    ends = rows.agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()
+    days = (ends.hi - ends.lo).days + 1
+    part = F.least(F.floor(F.date_diff("date", F.lit(ends.lo)) * n_drops / days), F.lit(n_drops - 1))
+    if late:
+        part = (n_drops - 1 - part) + F.when(F.pmod(F.xxhash64("campaign_id"), F.lit(3)) == 0, 1).otherwise(0)
+    rows = rows.withColumn("_drop", part.cast("int"))
+    for k in range(n_drops + late):
+        rows.where(F.col("_drop") == k).drop("_drop").write.mode("append").parquet(landing)
+        run_mart_stream(spark, landing, channels, target, f"{base}/checkpoint").awaitTermination()
     return read_target(spark, target)

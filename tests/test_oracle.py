@@ -33,4 +33,5 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_has_oracle_or_brute_force_test():
-    assert set(QUERIES) - set(ORACLE) == {"remove_spaced_letters"}
+    """The training-data queries without SQL are tested in tests/llm."""
+    assert {n for n in set(QUERIES) - set(ORACLE) if not n.startswith("op") and n != "pipeline"} == set()
