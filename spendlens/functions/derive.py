@@ -107,7 +107,7 @@ def parse_date(c, *formats: str) -> Column:
     col = as_col(c)
     if not formats:
         return col.try_cast("date")
-    return F.coalesce(*[F.try_to_date(col.cast("string"), F.lit(f)) for f in formats])
+    return F.coalesce(*[F.try_to_date(col.cast("string"), f) for f in formats])
 
 
 # Fixed value: spellings of a number; anything else is no number.

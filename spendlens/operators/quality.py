@@ -123,13 +123,15 @@ def flag_outliers(df: DataFrame, thresholds: Mapping[str, float]) -> DataFrame:
         F.col("outlier_metrics") != "")
 
 
-def check_bijection(df: DataFrame, id_col: str = "campaign_id",
+def check_bijection(*frames: DataFrame, id_col: str = "campaign_id",
                     name_col: str = "campaign_name") -> DataFrame:
-    """Id->name and name->id pairs that are not one-to-one (Q-14).
+    """Id->name and name->id pairs that are not one-to-one over all given tables
+    together (Q-14); tables without both columns are passed over.
 
     Output: direction, key, n_partners over distinct non-null pairs.
     """
-    pairs = df.select(id_col, name_col).where(
+    parts = [f.select(id_col, name_col) for f in frames if {id_col, name_col} <= set(f.columns)]
+    pairs = reduce(lambda a, b: a.unionByName(b), parts).where(
         F.col(id_col).isNotNull() & F.col(name_col).isNotNull()).distinct()
     by_id = (pairs.groupBy(F.col(id_col).alias("key")).agg(F.count(F.lit(1)).alias("n_partners"))
              .where("n_partners > 1").withColumn("direction", F.lit("id_to_name")))
@@ -139,17 +141,20 @@ def check_bijection(df: DataFrame, id_col: str = "campaign_id",
     return by_id.unionByName(by_name).select("direction", "key", "n_partners")
 
 
+def schema_gaps(df: DataFrame, expected: T.StructType) -> list[tuple[str, str]]:
+    """(column, problem) for every difference between a table schema and its
+    declared one (Q-15); both kinds of timestamp count as one type."""
+    def kind(t: T.DataType) -> str:
+        return t.simpleString().replace("timestamp_ntz", "timestamp")
+    have = {f.name: kind(f.dataType) for f in df.schema.fields}
+    return [(f.name, f"missing column {f.name}" if f.name not in have else
+             f"column {f.name}: {have[f.name]} != {kind(f.dataType)}")
+            for f in expected.fields if have.get(f.name) != kind(f.dataType)]
+
+
 def check_schema(df: DataFrame, expected: T.StructType) -> list[str]:
     """Differences between a table schema and its declared schema (Q-15)."""
-    have = {f.name: f.dataType for f in df.schema.fields}
-    problems = []
-    for f in expected.fields:
-        if f.name not in have:
-            problems.append(f"missing column {f.name}")
-        elif have[f.name] != f.dataType:
-            problems.append(f"column {f.name}: {have[f.name].simpleString()} "
-                            f"!= {f.dataType.simpleString()}")
-    return problems
+    return [problem for _, problem in schema_gaps(df, expected)]
 
 
 def apply_row_filters(df: DataFrame, conditions: Mapping[str, Column]) -> DataFrame:
@@ -157,12 +162,10 @@ def apply_row_filters(df: DataFrame, conditions: Mapping[str, Column]) -> DataFr
     return reduce(lambda d, c: d.where(c), conditions.values(), df)
 
 
-def _schema_gap(s: SourceSpec) -> DataFrame:
-    """A source without its load-time column cannot be checked for freshness:
-    reported as a ``schema`` error row (no Spark job)."""
-    from pyspark.sql import SparkSession
-    spark = SparkSession.getActiveSession()
-    return spark.createDataFrame([("schema", s.name, s.loaded_at, 1, "error")], REPORT_SCHEMA)
+def _schema_rows(df: DataFrame, s: SourceSpec) -> list[DataFrame]:
+    """One ``schema`` error row per differing column (no Spark job)."""
+    gaps = [("schema", s.name, column, 1, "error") for column, _ in schema_gaps(df, s.schema)]
+    return [df.sparkSession.createDataFrame(gaps, REPORT_SCHEMA)] if gaps else []
 
 
 def _table_profile(df: DataFrame, s: SourceSpec, now) -> DataFrame:
@@ -196,20 +199,25 @@ def _table_profile(df: DataFrame, s: SourceSpec, now) -> DataFrame:
 
 def source_report(tables: Mapping[str, DataFrame], specs: Sequence[SourceSpec], now
                   ) -> DataFrame:
-    """One report over all sources: freshness, not_null and unique per column.
+    """One report over all sources: schema, accepted values (a warning),
+    freshness, not_null and unique per column.
 
     Columns: check, table_name, column_name, n_violations, status.  Freshness
     and not-null counts of a table come from one aggregate (one scan); each
     unique test is one partial-aggregated group-by.  A source without its
-    load-time column gets a ``schema`` error row instead of a freshness row.
+    load-time column gets its ``schema`` error row instead of a freshness row.
     """
     parts = []
     for s in specs:
         if s.name not in tables:
             continue
         df = tables[s.name]
-        if s.loaded_at not in df.columns:
-            parts.append(_schema_gap(s))
+        parts += _schema_rows(df, s)
+        for c, values in s.accepted_values.items():
+            bad = check_accepted(df, c, values).agg(F.count(F.lit(1)).alias("n"))
+            parts.append(bad.select(F.lit("accepted").alias("check"), F.lit(s.name).alias("table_name"),
+                                    F.lit(c).alias("column_name"), F.col("n").alias("n_violations"),
+                                    F.when(F.col("n") > 0, "warn").otherwise("pass").alias("status")))
         if s.not_null or s.loaded_at in df.columns:
             parts.append(_table_profile(df, s, now))
         for u in s.unique:

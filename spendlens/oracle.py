@@ -39,8 +39,8 @@ ch_base AS (
          CASE k % 7 WHEN 0 THEN 'fb' WHEN 1 THEN 'bing-search' WHEN 2 THEN 'bing-shopping'
               WHEN 3 THEN 'search' WHEN 4 THEN 'search-shopping' WHEN 5 THEN 'max'
               ELSE 'demandgen' END AS c3
-  FROM (SELECT p_partkey % 60 AS k, min_by(lower(p_type), p_partkey) AS ty
-        FROM part GROUP BY p_partkey % 60)
+  FROM (SELECT p_partkey // 10 AS k, min_by(lower(p_type), p_partkey) AS ty
+        FROM part GROUP BY p_partkey // 10)
 ),
 channels AS (
   SELECT CAST(k AS VARCHAR) AS campaign_id,
@@ -53,7 +53,7 @@ channels AS (
   FROM ch_base
   UNION ALL
   SELECT ' ' || CAST(k AS VARCHAR) || ' ',
-         ' ' || upper(c3) || ' _gb_' || ty || '__P r o s p e c t i n g'
+         chr(160) || upper(c3) || chr(160) || '_gb_' || ty || '__P r o s p e c t i n g'
             || CASE WHEN k % 10 = 3 THEN '_convgoalTest ' ELSE '' END || '_' || CAST(k AS VARCHAR),
          CASE k % 3 WHEN 0 THEN 'alwayson' END,
          c3 || ' ', c3 || '  prospecting ',
@@ -62,14 +62,16 @@ channels AS (
 ),
 fact_lines AS (
   SELECT CAST(o_orderdate AS DATE) AS date, {COUNTRY} AS country_code,
-         CAST(l_partkey % 60 AS VARCHAR) AS campaign_id, l_returnflag, l_extendedprice,
+         l_partkey // 10 AS k,
+         CASE WHEN l_partkey % 97 <> 0 THEN CAST(l_partkey // 10 AS VARCHAR) END AS campaign_id, l_returnflag, l_extendedprice,
          l_discount, l_tax, l_quantity, l_linestatus, l_linenumber
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
 ),
 web AS (
   SELECT date, country_code, campaign_id,
-         CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_discount AS DECIMAL(4,2)))
-              AS DECIMAL(18,4)) AS total_spend_eur,
+         CAST(CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_discount AS DECIMAL(4,2)))
+              AS DECIMAL(18,4)) - CASE WHEN campaign_id IS NOT NULL AND sum(l_linenumber) % 17 = 0
+              THEN 100000 ELSE 0 END AS DECIMAL(18,4)) AS total_spend_eur,
          CAST(sum(l_quantity) * 10 AS BIGINT) AS nb_of_sessions,
          CAST(sum(l_quantity) AS BIGINT) AS nb_of_signups,
          count(*) AS nb_of_orders,
@@ -78,21 +80,25 @@ web AS (
   FROM fact_lines WHERE l_returnflag <> 'R' GROUP BY date, country_code, campaign_id
 ),
 leads AS (
-  SELECT date, country_code, campaign_id, CAST(NULL AS VARCHAR) AS campaign_name,
-         'Search ' AS channel_3, 'search  prospecting' AS channel_4,
-         'search  prospecting  Generic ' AS channel_5,
+  SELECT date, country_code, campaign_id, campaign_name, channel_3, channel_4, channel_5,
          CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_tax AS DECIMAL(4,2)))
               AS DECIMAL(18,4)) AS total_spend,
          CAST(sum(l_quantity) * 100 AS BIGINT) AS total_impressions,
-         CAST(sum(l_quantity) * 10 AS BIGINT) AS total_clicks,
+         CASE WHEN sum(l_linenumber) % 11 <> 0 THEN CAST(sum(l_quantity) * 10 AS BIGINT) END AS total_clicks,
          CAST(sum(l_quantity) AS BIGINT) AS total_leads,
          CAST(sum(l_linenumber) AS BIGINT) AS total_sqls,
          count(*) AS total_meeting_done,
          CAST(sum(CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END) AS BIGINT) AS total_signed_leads,
-         CAST(sum(CASE WHEN l_linestatus = 'F' AND l_tax > 0.04 THEN 1 ELSE 0 END) AS BIGINT)
+         CAST(CASE WHEN sum(l_linenumber) % 13 = 0 THEN count(*)
+                   ELSE sum(CASE WHEN l_linestatus = 'F' AND l_tax > 0.04 THEN 1 ELSE 0 END) END AS BIGINT)
             AS total_pos_lite_deals,
          CAST(sum(CASE WHEN l_tax = 0 THEN 1 ELSE 0 END) AS BIGINT) AS total_fake_leads
-  FROM fact_lines WHERE l_returnflag = 'R' GROUP BY date, country_code, campaign_id
+  FROM (SELECT *, CASE WHEN k % 4 = 0 THEN 'Lead  Campaign_' || CAST(k AS VARCHAR) END AS campaign_name,
+               CASE k % 3 WHEN 0 THEN 'Search ' WHEN 1 THEN 'fb' END AS channel_3,
+               CASE k % 3 WHEN 0 THEN 'search  prospecting' WHEN 1 THEN 'fb' || chr(160) || 'prospecting' END AS channel_4,
+               CASE k % 3 WHEN 0 THEN 'search  prospecting  Generic ' WHEN 1 THEN 'fb prospecting Video' END AS channel_5
+        FROM fact_lines WHERE l_returnflag = 'R')
+  GROUP BY date, country_code, campaign_id, campaign_name, channel_3, channel_4, channel_5
 )"""
 
 
@@ -157,6 +163,10 @@ def _order(rank: str) -> str:
 def mart_ctes(grain: str = "country") -> tuple[str, ...]:
     part = ("campaign_id, campaign_name, date, country_code" if grain == "country"
             else "campaign_id, campaign_name, date")
+    # Without an id a one-sided group would also give a row without any metric
+    # at the country grain; these are not produced (README).
+    real = ("campaign_id IS NOT NULL OR coalesce(nb_of_orders, total_meeting_done) IS NOT NULL"
+            if grain == "country" else "true")
     return DIM_CTES + (
         f"""fct_web AS (
   SELECT date, upper(trim(country_code)) AS country_code,
@@ -210,7 +220,7 @@ def mart_ctes(grain: str = "country") -> tuple[str, ...]:
    AND w.campaign_name IS NOT DISTINCT FROM s.campaign_name
    AND w.country_code IS NOT DISTINCT FROM s.country_code
 )""",
-        """mart AS (
+        f"""mart AS (
   SELECT date, country_code, campaign_id, campaign_key, campaign_name,
          campaign_period_budget_category, channel_3, channel_4, channel_5,
          nb_of_sessions AS sessions, nb_of_signups AS signups, nb_of_orders AS orders,
@@ -229,7 +239,7 @@ def mart_ctes(grain: str = "country") -> tuple[str, ...]:
            / nullif(CAST(nb_of_sessions AS DOUBLE), 0) AS web_funnel_throughput,
          coalesce(CAST(total_pos_lite_deals AS DOUBLE), 0)
            / nullif(CAST(total_impressions AS DOUBLE), 0) AS sales_funnel_throughput
-  FROM max_spend_rows
+  FROM max_spend_rows WHERE {real}
 )""",
     )
 

@@ -17,7 +17,7 @@ from . import oracle as O
 from .functions import (add_calendar_columns, campaign_key, cast_id, clean_string, fill_unknown,
                         fix_campaign_id, name_slug, normalize_country, normalize_na, null_sentinel,
                         nullif_blank, remove_spaced_letters, surrogate_key, unknown_to_null)
-from .functions.derive import SALES_PATHWAY, WEB_PATHWAY
+from .functions.derive import SALES_PATHWAY, WEB_PATHWAY, parse_date, parse_number
 from .operators import aggregates as A
 from .operators import dims as D
 from .operators import joins as J
@@ -466,16 +466,20 @@ _SNAPSHOT_KEY = "md5(concat_ws('|', " + ", ".join(
     _key_part(c) for c in ("campaign_id", "date", "country_code", "_etl_loaded_at")) + "))"
 
 
-@register("snapshot_history", with_fixtures(HISTORY_CTE, """hist_changed AS (
+# Rows without campaign id are no versions of each other: their content keeps them apart.
+_APART = "CASE WHEN campaign_id IS NULL THEN concat_ws('|', total_spend_eur, impressions) END"
+
+
+@register("snapshot_history", with_fixtures(HISTORY_CTE, f"""hist_changed AS (
   SELECT *, (lag(_etl_loaded_at) OVER w IS NULL
              OR lag(total_spend_eur) OVER w IS DISTINCT FROM total_spend_eur
              OR lag(impressions) OVER w IS DISTINCT FROM impressions) AS changed
-  FROM history WINDOW w AS (PARTITION BY campaign_id, date, country_code ORDER BY _etl_loaded_at))""",
+  FROM history WINDOW w AS (PARTITION BY campaign_id, date, country_code, {_APART} ORDER BY _etl_loaded_at))""",
     "kept AS (SELECT * EXCLUDE (changed) FROM hist_changed WHERE changed)", body=f"""
 SELECT *, _etl_loaded_at AS valid_from,
-       lead(_etl_loaded_at) OVER (PARTITION BY campaign_id, date, country_code
+       lead(_etl_loaded_at) OVER (PARTITION BY campaign_id, date, country_code, {_APART}
                                   ORDER BY _etl_loaded_at) AS valid_to,
-       lead(_etl_loaded_at) OVER (PARTITION BY campaign_id, date, country_code
+       lead(_etl_loaded_at) OVER (PARTITION BY campaign_id, date, country_code, {_APART}
                                   ORDER BY _etl_loaded_at) IS NULL AS is_current,
        {_SNAPSHOT_KEY} AS snapshot_key
 FROM kept"""))
@@ -687,6 +691,9 @@ FROM (SELECT CAST(date AS TIMESTAMP) + INTERVAL 30 HOUR AS ts FROM {t})""")
   CASE WHEN sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) > 0 THEN 'error' ELSE 'pass' END
 FROM {t}""")
     parts.append("""SELECT 'schema', 'channels', '_etl_loaded_at', CAST(1 AS BIGINT), 'error'""")
+    parts.append("""SELECT 'accepted', 'channels', 'campaign_period_budget_category', count(*),
+  CASE WHEN count(*) > 0 THEN 'warn' ELSE 'pass' END
+FROM channels WHERE campaign_period_budget_category NOT IN ('alwayson', 'flight', 'abs', 'max')""")
     parts.append("""SELECT 'not_null', 'channels', 'campaign_id',
   CAST(sum(CASE WHEN campaign_id IS NULL THEN 1 ELSE 0 END) AS BIGINT),
   CASE WHEN sum(CASE WHEN campaign_id IS NULL THEN 1 ELSE 0 END) > 0 THEN 'error' ELSE 'pass' END
@@ -708,6 +715,130 @@ def source_report(spark, sf_dir):
                           .otherwise(F.col("table_name")))
 
 
+@register("not_null_rows", with_fixtures(body="""
+SELECT *, concat_ws(',', CASE WHEN country_code IS NULL THEN 'country_code' END,
+                    CASE WHEN campaign_id IS NULL THEN 'campaign_id' END) AS failed_columns
+FROM leads WHERE country_code IS NULL OR campaign_id IS NULL"""))
+def not_null_rows(spark, sf_dir):
+    return Q.check_not_null(fx.leads_funnel(spark, sf_dir), ["country_code", "campaign_id"])
+
+
+@register("referential_facts", with_fixtures(*O.DIM_CTES, body="""
+SELECT * FROM web WHERE campaign_id IS NOT NULL AND campaign_id NOT IN (
+  SELECT campaign_id FROM dim WHERE CAST(campaign_id AS BIGINT) % 7 <> 0)"""))
+def referential_facts(spark, sf_dir):
+    """Web rows whose campaign is not in a dimension that lacks every seventh campaign."""
+    dim = dim_campaign_channels(fx.channels(spark, sf_dir)).where(F.col("campaign_id").cast("bigint") % 7 != 0)
+    return Q.check_referential(fx.web_orders(spark, sf_dir), dim)
+
+
+@register("bijection_all_tables", with_fixtures(*O.PREP_CTES, "all_pairs AS (" + " UNION ".join(
+    f"SELECT campaign_id, campaign_name FROM {t} WHERE campaign_id IS NOT NULL AND campaign_name IS NOT NULL"
+    for t in ("chp", "web_p", "leads_p")) + ")", body="""
+SELECT 'id_to_name' AS direction, campaign_id AS key, count(*) AS n_partners FROM all_pairs
+GROUP BY campaign_id HAVING count(*) > 1
+UNION ALL SELECT 'name_to_id', campaign_name, count(*) FROM all_pairs
+GROUP BY campaign_name HAVING count(*) > 1"""))
+def bijection_all_tables(spark, sf_dir):
+    web, leads, ch = sources(spark, sf_dir)
+    return Q.check_bijection(I.prepare_channels(ch), I.prepare_web(web, ch), I.prepare_leads(leads))
+
+
+# ------------------------------------------------ repeats, tolerant parsing
+_LOADS = f"""loads AS (SELECT date, country_code, campaign_id, total_spend_eur, impressions AS n_views
+  FROM history)"""
+
+
+def _loads(spark, sf_dir) -> DataFrame:
+    """Both loads of the web fact as they come: keys repeat, ids may be null."""
+    h = fx.web_load_history(spark, sf_dir)
+    return h.select("date", "country_code", "campaign_id", "total_spend_eur", F.col("impressions").alias("n_views"))
+
+
+@register("combine_repeats", with_fixtures(HISTORY_CTE, _LOADS, """w AS (
+  SELECT * EXCLUDE (rn) FROM (SELECT *, CASE WHEN campaign_id IS NULL THEN 1 ELSE row_number() OVER (
+      PARTITION BY date, country_code, campaign_id
+      ORDER BY coalesce(total_spend_eur, 0) DESC, total_spend_eur ASC NULLS LAST, n_views ASC NULLS LAST) END AS rn
+    FROM loads) WHERE rn = 1)""", """l AS (
+  SELECT date, country_code, campaign_id, total_spend, total_leads FROM leads)""", body="""
+SELECT coalesce(w.date, l.date) AS date, coalesce(w.campaign_id, l.campaign_id) AS campaign_id,
+       coalesce(w.country_code, l.country_code) AS country_code, w.total_spend_eur, w.n_views,
+       l.total_spend, l.total_leads
+FROM w FULL OUTER JOIN l ON w.date = l.date AND w.campaign_id = l.campaign_id
+ AND w.country_code IS NOT DISTINCT FROM l.country_code"""))
+def combine_repeats(spark, sf_dir):
+    """J-2 with repeated keys and rows without id: best row per key and side,
+    every row without id for itself."""
+    leads = fx.leads_funnel(spark, sf_dir).select("date", "country_code", "campaign_id", "total_spend", "total_leads")
+    return J.combine_funnels(_loads(spark, sf_dir), leads)
+
+
+@register("repeated_keys", with_fixtures(HISTORY_CTE, _LOADS, body="""
+SELECT date, campaign_id, country_code, count(*) - 1 AS n_aside FROM loads
+WHERE date IS NOT NULL AND campaign_id IS NOT NULL GROUP BY ALL HAVING count(*) > 1"""))
+def repeated_keys(spark, sf_dir):
+    return J.repeated_keys(_loads(spark, sf_dir))
+
+
+@register("parse_numbers", """
+SELECT p_partkey, raw, CASE p_partkey % 9 WHEN 0 THEN p_partkey + 0.5 WHEN 4 THEN p_partkey * 1000.0
+  WHEN 6 THEN -p_partkey * 1.0 WHEN 7 THEN 'infinity'::DOUBLE WHEN 8 THEN 0.25 END::DOUBLE AS number
+FROM (SELECT p_partkey, CASE p_partkey % 9 WHEN 0 THEN p_partkey || '.5' WHEN 1 THEN 'nan' WHEN 2 THEN p_partkey || 'd'
+  WHEN 3 THEN '' WHEN 4 THEN p_partkey || 'E3' WHEN 5 THEN '0x' || p_partkey
+  WHEN 6 THEN ' -' || p_partkey || chr(160) WHEN 7 THEN 'Infinity' ELSE '.25' END AS raw FROM part)""")
+def parse_numbers(spark, sf_dir):
+    part = read_table(spark, sf_dir, "part")
+    k, m = F.col("p_partkey").cast("string"), F.col("p_partkey") % 9
+    raw = (F.when(m == 0, F.concat(k, F.lit(".5"))).when(m == 1, "nan").when(m == 2, F.concat(k, F.lit("d")))
+           .when(m == 3, "").when(m == 4, F.concat(k, F.lit("E3"))).when(m == 5, F.concat(F.lit("0x"), k))
+           .when(m == 6, F.concat(F.lit(" -"), k, F.lit("\u00a0"))).when(m == 7, "Infinity").otherwise(".25"))
+    return part.select("p_partkey", raw.alias("raw"), parse_number(raw).alias("number"))
+
+
+@register("parse_dates", """
+SELECT o_orderkey, raw, CASE o_orderkey % 5 WHEN 0 THEN d WHEN 1 THEN d WHEN 2 THEN d END AS parsed
+FROM (SELECT o_orderkey, d, CASE o_orderkey % 5 WHEN 0 THEN strftime(d, '%Y-%m-%d') WHEN 1 THEN strftime(d, '%d/%m/%Y')
+  WHEN 2 THEN strftime(d, '%Y%m%d') WHEN 3 THEN strftime(d, '%Y-13-%d') ELSE 'n/a' END AS raw
+  FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders))""")
+def parse_dates(spark, sf_dir):
+    d, m = F.col("o_orderdate").cast("date"), F.col("o_orderkey") % 5
+    raw = (F.when(m == 0, F.date_format(d, "yyyy-MM-dd")).when(m == 1, F.date_format(d, "dd/MM/yyyy"))
+           .when(m == 2, F.date_format(d, "yyyyMMdd")).when(m == 3, F.date_format(d, "yyyy-'13'-dd")).otherwise("n/a"))
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", raw.alias("raw"))
+    return o.withColumn("parsed", parse_date("raw", "yyyy-MM-dd", "dd/MM/yyyy", "yyyyMMdd"))
+
+
+_EXISTING = ("CASE WHEN CAST(campaign_id AS BIGINT) % 2 = 0 THEN true END AS old_test, "
+             "CASE WHEN CAST(campaign_id AS BIGINT) % 3 = 0 THEN 'Old' END AS old_channel")
+
+
+@register("derive_keep_or_overwrite", with_fixtures(*O.PREP_CTES, body=f"""
+SELECT campaign_id, coalesce(old_test, t) AS test_kept, coalesce(old_channel, c) AS channel_kept,
+       t AS test_over, c AS channel_over
+FROM (SELECT campaign_id, {_EXISTING}, coalesce(contains(lower(campaign_name), 'test'), false) AS t,
+             {O.CHANNEL_CASE} AS c FROM chp)"""))
+def derive_keep_or_overwrite(spark, sf_dir):
+    """Existing test and channel columns are filled where null, or replaced."""
+    n = F.col("campaign_id").cast("bigint")
+    ch = I.prepare_channels(fx.channels(spark, sf_dir)).withColumns({
+        "test": F.when(n % 2 == 0, F.lit(True)), "channel": F.when(n % 3 == 0, F.lit("Old"))})
+    kept = X.derive_channel_viz(ch).select("campaign_id", F.col("test").alias("test_kept"),
+                                           F.col("channel").alias("channel_kept"))
+    over = X.derive_channel_viz(ch, overwrite=True).select("campaign_id", F.col("test").alias("test_over"),
+                                                           F.col("channel").alias("channel_over"))
+    return kept.join(over, "campaign_id")
+
+
+@register("top_profiles", with_fixtures(*O.PREP_CTES, body="SELECT * FROM (" + _profile_sql(
+    "leads_p", "campaign_id", "campaign_name") + """)
+ORDER BY campaign_name_nunique DESC NULLS LAST, col_nunique DESC NULLS LAST, campaign_id, profile_col LIMIT 30"""))
+def top_profiles(spark, sf_dir):
+    """The first 30 profiles in the report's order: most values first."""
+    prof = profile_leads_by_id(spark, sf_dir)
+    return W.top_n(prof, [F.desc_nulls_last("campaign_name_nunique"), F.desc_nulls_last("col_nunique"),
+                          F.asc("campaign_id"), F.asc("profile_col")], 30)
+
+
 # ------------------------------------------------------- incremental / io
 def _built_before(spark, sf_dir, web, leads, ch) -> str:
     """A target built from the given facts; returns its path."""

@@ -5,11 +5,16 @@ public.  These builders derive sources with the reference's schemas (and its
 kinds of dirt) from ``part``, ``lineitem``, ``orders`` and ``customer`` so every
 operator runs over whole tables and its work grows with them:
 
-* channels: ``n_campaigns`` campaigns, derived by grouping *all* parts on
-  ``p_partkey % n_campaigns``; every campaign twice (clean + dirty row).
-* web_orders: non-returned lines per order date x customer country x campaign.
-* leads_funnel: returned lines per order date x country x campaign, names null,
-  dirty channel text.
+* channels: one campaign for every ten part keys, so their number grows with the
+  data; every campaign twice (clean + dirty row; the dirty one has spaced-out
+  words, case, blanks and no-break spaces).
+* web_orders: non-returned lines per order date x customer country x campaign;
+  some lines have no campaign id, some days a negative spend.
+* leads_funnel: returned lines per order date x country x campaign, with a name
+  for every fourth campaign and dirty channel text for two of three; lines
+  without campaign id keep their name and channels, so a day and country may
+  hold several rows without id.  Some rows lack clicks or have more deals than
+  signed leads.
 
 The same definitions exist as DuckDB SQL in ``spendlens.oracle``.
 """
@@ -21,7 +26,8 @@ from pyspark.sql import functions as F
 
 from .io import read_table
 
-N_CAMPAIGNS = 60
+# Part keys of one campaign.
+PARTS_PER_CAMPAIGN = 10
 # channel_3 codes chosen by campaign number modulo 7.
 CHANNEL_CODES = ("fb", "bing-search", "bing-shopping", "search", "search-shopping", "max",
                  "demandgen")
@@ -32,6 +38,10 @@ def _country(nationkey: Column) -> Column:
     return (F.when(k == 0, " es ").when(k == 1, "GB").when(k == 2, "ie").when(k == 3, "CH"))
 
 
+def _campaign(partkey: Column) -> Column:
+    return F.floor(partkey / PARTS_PER_CAMPAIGN).cast("bigint")
+
+
 def _c3(k: Column) -> Column:
     m = k % 7
     expr = F.when(m == 0, CHANNEL_CODES[0])
@@ -40,9 +50,9 @@ def _c3(k: Column) -> Column:
     return expr.otherwise(CHANNEL_CODES[-1])
 
 
-def channels(spark: SparkSession, sf_dir: str, n_campaigns: int = N_CAMPAIGNS) -> DataFrame:
+def channels(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_type")
-    base = (part.groupBy((F.col("p_partkey") % n_campaigns).alias("k"))
+    base = (part.groupBy(_campaign(F.col("p_partkey")).alias("k"))
             .agg(F.min_by(F.lower("p_type"), "p_partkey").alias("ty"))
             .withColumn("c3", _c3(F.col("k"))))
     k, ty, c3 = F.col("k"), F.col("ty"), F.col("c3")
@@ -61,7 +71,7 @@ def channels(spark: SparkSession, sf_dir: str, n_campaigns: int = N_CAMPAIGNS) -
     )
     dirty = F.struct(
         F.concat(F.lit(" "), ks, F.lit(" ")).alias("campaign_id"),
-        F.concat(F.lit(" "), F.upper(c3), F.lit(" _gb_"), ty, F.lit("__P r o s p e c t i n g"),
+        F.concat(F.lit("\u00a0"), F.upper(c3), F.lit("\u00a0_gb_"), ty, F.lit("__P r o s p e c t i n g"),
                  F.when(is_test, "_convgoalTest ").otherwise(""), F.lit("_"), ks)
         .alias("campaign_name"),
         F.when(k % 3 == 0, "alwayson").alias("campaign_period_budget_category"),
@@ -73,7 +83,7 @@ def channels(spark: SparkSession, sf_dir: str, n_campaigns: int = N_CAMPAIGNS) -
     return base.select(F.explode(F.array(clean, dirty)).alias("r")).select("r.*")
 
 
-def _fact_lines(spark: SparkSession, sf_dir: str, returned: bool, n_campaigns: int) -> DataFrame:
+def _fact_lines(spark: SparkSession, sf_dir: str, returned: bool) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem")
     li = li.where(F.col("l_returnflag") == "R") if returned else li.where(F.col("l_returnflag") != "R")
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
@@ -82,7 +92,9 @@ def _fact_lines(spark: SparkSession, sf_dir: str, returned: bool, n_campaigns: i
             .join(cust, F.col("o_custkey") == F.col("c_custkey"))
             .select(F.col("o_orderdate").cast("date").alias("date"),
                     _country(F.col("c_nationkey")).alias("country_code"),
-                    (F.col("l_partkey") % n_campaigns).cast("string").alias("campaign_id"),
+                    _campaign(F.col("l_partkey")).alias("k"),
+                    F.when(F.col("l_partkey") % 97 != 0, _campaign(F.col("l_partkey")).cast("string"))
+                    .alias("campaign_id"),
                     "l_extendedprice", "l_discount", "l_tax", "l_quantity", "l_linestatus",
                     "l_linenumber"))
 
@@ -95,39 +107,40 @@ def _count_if(cond: Column) -> Column:
     return F.sum(F.when(cond, 1).otherwise(0)).cast("bigint")
 
 
-def web_orders(spark: SparkSession, sf_dir: str, n_campaigns: int = N_CAMPAIGNS) -> DataFrame:
+def web_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = F.col("l_quantity")
-    return (_fact_lines(spark, sf_dir, False, n_campaigns)
+    return (_fact_lines(spark, sf_dir, False)
             .groupBy("date", "country_code", "campaign_id")
-            .agg(_money(F.col("l_extendedprice"), F.col("l_discount")).alias("total_spend_eur"),
+            .agg((_money(F.col("l_extendedprice"), F.col("l_discount"))
+                  - F.when(F.col("campaign_id").isNotNull() & (F.sum("l_linenumber") % 17 == 0), 100000)
+                  .otherwise(0)).cast("decimal(18,4)").alias("total_spend_eur"),
                  (F.sum(q) * 10).cast("bigint").alias("nb_of_sessions"),
                  F.sum(q).cast("bigint").alias("nb_of_signups"),
                  F.count(F.lit(1)).alias("nb_of_orders"),
                  _count_if(F.col("l_linestatus") == "F").alias("nb_of_poslite_items_ordered")))
 
 
-def leads_funnel(spark: SparkSession, sf_dir: str, n_campaigns: int = N_CAMPAIGNS) -> DataFrame:
-    q, tax = F.col("l_quantity"), F.col("l_tax")
+def leads_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q, tax, k = F.col("l_quantity"), F.col("l_tax"), F.col("k")
     done = F.col("l_linestatus") == "F"
-    return (_fact_lines(spark, sf_dir, True, n_campaigns)
-            .groupBy("date", "country_code", "campaign_id")
+    m = k % 3
+    lines = _fact_lines(spark, sf_dir, True).withColumns({
+        "campaign_name": F.when(k % 4 == 0, F.concat(F.lit("Lead  Campaign_"), k.cast("string"))),
+        "channel_3": F.when(m == 0, "Search ").when(m == 1, "fb"),
+        "channel_4": F.when(m == 0, "search  prospecting").when(m == 1, "fb\u00a0prospecting"),
+        "channel_5": F.when(m == 0, "search  prospecting  Generic ").when(m == 1, "fb prospecting Video")})
+    return (lines.groupBy("date", "country_code", "campaign_id", "campaign_name", "channel_3", "channel_4",
+                          "channel_5")
             .agg(_money(F.col("l_extendedprice"), tax).alias("total_spend"),
                  (F.sum(q) * 100).cast("bigint").alias("total_impressions"),
-                 (F.sum(q) * 10).cast("bigint").alias("total_clicks"),
+                 F.when(F.sum("l_linenumber") % 11 != 0, (F.sum(q) * 10).cast("bigint")).alias("total_clicks"),
                  F.sum(q).cast("bigint").alias("total_leads"),
                  F.sum("l_linenumber").cast("bigint").alias("total_sqls"),
                  F.count(F.lit(1)).alias("total_meeting_done"),
                  _count_if(done).alias("total_signed_leads"),
-                 _count_if(done & (tax > 0.04)).alias("total_pos_lite_deals"),
-                 _count_if(tax == 0).alias("total_fake_leads"))
-            .select("date", "country_code", "campaign_id",
-                    F.lit(None).cast("string").alias("campaign_name"),
-                    F.lit("Search ").alias("channel_3"),
-                    F.lit("search  prospecting").alias("channel_4"),
-                    F.lit("search  prospecting  Generic ").alias("channel_5"),
-                    "total_spend", "total_impressions", "total_clicks", "total_leads",
-                    "total_sqls", "total_meeting_done", "total_signed_leads",
-                    "total_pos_lite_deals", "total_fake_leads"))
+                 F.when(F.sum("l_linenumber") % 13 == 0, _count_if(tax >= 0))
+                 .otherwise(_count_if(done & (tax > 0.04))).alias("total_pos_lite_deals"),
+                 _count_if(tax == 0).alias("total_fake_leads")))
 
 
 def with_loaded_at(df: DataFrame, hours_after: int = 30) -> DataFrame:
@@ -137,7 +150,7 @@ def with_loaded_at(df: DataFrame, hours_after: int = 30) -> DataFrame:
         (F.col("date").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(hours_after))))
 
 
-def web_load_history(spark: SparkSession, sf_dir: str, n_campaigns: int = N_CAMPAIGNS) -> DataFrame:
+def web_load_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two loads of the web fact: a first, partial load (finished lines only)
     one day after the date and a restated full load two days after it.
 
@@ -146,7 +159,7 @@ def web_load_history(spark: SparkSession, sf_dir: str, n_campaigns: int = N_CAMP
     q = F.col("l_quantity")
     done = F.col("l_linestatus") == "F"
     amount = F.col("l_extendedprice").cast("decimal(12,2)") * F.col("l_discount").cast("decimal(4,2)")
-    agg = (_fact_lines(spark, sf_dir, False, n_campaigns)
+    agg = (_fact_lines(spark, sf_dir, False)
            .groupBy("date", "country_code", "campaign_id")
            .agg(F.count(F.when(done, 1)).alias("_n1"),
                 F.sum(F.when(done, amount)).cast("decimal(18,4)").alias("_s1"),
