@@ -167,6 +167,9 @@ def mart_ctes(grain: str = "country") -> tuple[str, ...]:
     # at the country grain; these are not produced (README).
     real = ("campaign_id IS NOT NULL OR coalesce(nb_of_orders, total_meeting_done) IS NOT NULL"
             if grain == "country" else "true")
+    # A row of the other side never stands in for a side that has rows of its own.
+    web_first, sales_first = (("nb_of_orders IS NULL, ", "total_meeting_done IS NULL, ")
+                              if grain == "country" else ("", ""))
     return DIM_CTES + (
         f"""fct_web AS (
   SELECT date, upper(trim(country_code)) AS country_code,
@@ -206,8 +209,8 @@ def mart_ctes(grain: str = "country") -> tuple[str, ...]:
   FROM combined c LEFT JOIN dim d ON c.campaign_id = d.campaign_id
 )""",
         f"""windowed AS (
-  SELECT *, row_number() OVER (PARTITION BY {part} ORDER BY {_order('total_spend_eur')}) AS web_rank,
-            row_number() OVER (PARTITION BY {part} ORDER BY {_order('total_spend')}) AS sales_rank
+  SELECT *, row_number() OVER (PARTITION BY {part} ORDER BY {web_first}{_order('total_spend_eur')}) AS web_rank,
+            row_number() OVER (PARTITION BY {part} ORDER BY {sales_first}{_order('total_spend')}) AS sales_rank
   FROM enriched
 )""",
         f"""max_spend_rows AS (

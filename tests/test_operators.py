@@ -185,3 +185,44 @@ def test_quality_checks(spark):
     assert fr["status"] == "warn"
     assert Q.check_freshness(ts, dt.datetime(2024, 1, 2, 1), "ts").first()["status"] == "error"
     assert U.missing_columns(df, ["impressions", "x"]) == ["x"]
+
+
+def test_required_columns_raise_and_row_filters(spark):
+    import pytest
+    df = spark.createDataFrame([(1, "a"), (2, None), (3, "c")], "n int, t string")
+    with pytest.raises(Exception, match="missing"):
+        U.require_columns(df, ["n", "missing"], "table")
+    kept = Q.apply_row_filters(df, {"big": F.col("n") > 1, "named": F.col("t").isNotNull()})
+    assert rows(kept) == [(3, "c")]
+
+
+def test_staging_keeps_other_columns(spark):
+    from spendlens.plans.facts import stg_leads_funnel, stg_web_orders
+    web = spark.createDataFrame([(" 17 ", D1, 5)], "campaign_id string, date date, total_spend_eur int")
+    assert rows(stg_web_orders(web)) == [("17", D1, 5)]
+    leads = spark.createDataFrame([(" 17 ", "P o s Lite", "Search ", None, "a - b", 3)],
+                                  "campaign_id string, campaign_name string, channel_3 string, channel_4 string, "
+                                  "channel_5 string, total_leads int")
+    assert rows(stg_leads_funnel(leads)) == [("17", "pos-lite", "search", None, "a-b", 3)]
+
+
+def test_white_space_of_any_alphabet(spark):
+    from spendlens.functions import clean_string, remove_spaced_letters
+    df = spark.createDataFrame([("\u00a0bing\u00a0search x", "pos\u2003lite", "p\u00a0o s lite")], "a string, b string, c string")
+    assert rows(df.select(clean_string("a"), clean_string("b"), remove_spaced_letters("c"))) == [
+        ("bing-search_x", "pos-lite", "pos lite")]
+
+
+def test_equal_spend_keeps_the_smallest_content(spark):
+    """One tie order for the combination and the ranking."""
+    web = spark.createDataFrame([(D1, "1", "GB", 5, 9), (D1, "1", "GB", 5, 1), (D1, "1", "GB", 5, None)],
+                                "date date, campaign_id string, country_code string, total_spend_eur int, s int")
+    leads = spark.createDataFrame([], "date date, campaign_id string, country_code string, total_spend int")
+    assert [r.s for r in J.combine_funnels(web, leads).collect()] == [1]
+    assert rows(J.repeated_keys(web)) == [(D1, "1", "GB", 2)]
+
+
+def test_surrogate_key_parts_do_not_run_together(spark):
+    from spendlens.functions import surrogate_key
+    df = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), (None, "c"), ("<null>", "c")], "x string, y string")
+    assert df.select(surrogate_key("x", "y").alias("k")).distinct().count() == 4
