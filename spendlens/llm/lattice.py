@@ -82,6 +82,8 @@ class Lattice:
         self.logp, self.bytes = logp, bytes_
         self.longest = max(map(len, texts))
         keys, ids = [], []
+        # Places of the hashes of all beginnings of pieces: where no piece goes on, a search ends.
+        self.begins = np.zeros(1 << 22, bool)
         for n in range(1, self.longest + 1):
             some = [(i, t) for i, t in enumerate(texts) if len(t) == n]
             if some:
@@ -89,14 +91,25 @@ class Lattice:
                 h = np.zeros(len(some), np.uint64)
                 for j in range(n):
                     h = self._step(h, codes[:, j])
+                    self.begins[self._place(h)] = True
                 keys.append(h)
                 ids += [i for i, _ in some]
         key, ids = np.concatenate(keys), np.array(ids)
-        order = np.argsort(key)
-        self.key, self.ids = key[order], ids[order]
-        assert len(np.unique(self.key)) == len(self.key), "two pieces share a hash"
-        self.filter = np.zeros(1 << 22, bool)
-        self.filter[(self.key >> np.uint64(42)).astype(np.int64)] = True
+        assert len(np.unique(key)) == len(key), "two pieces share a hash"
+        # Open tables by the upper bits of the hash: a piece whose place is taken
+        # goes to a further table.
+        self.tables = []
+        while len(key):
+            place = self._place(key)
+            _, first = np.unique(place, return_index=True)
+            table = np.full(1 << 22, -1, np.int32)
+            table[place[first]] = np.arange(len(first))
+            self.tables.append((table, key[first], ids[first]))
+            key, ids = np.delete(key, first), np.delete(ids, first)
+
+    @staticmethod
+    def _place(h: np.ndarray) -> np.ndarray:
+        return (h >> np.uint64(42)).astype(np.int64)
 
     @classmethod
     def _step(cls, h: np.ndarray, codes: np.ndarray) -> np.ndarray:
@@ -107,11 +120,16 @@ class Lattice:
     def _lookup(self, h: np.ndarray) -> np.ndarray:
         """Piece of a hash, or -1."""
         out = np.full(len(h), -1, np.int64)
-        some = np.flatnonzero(self.filter[(h >> np.uint64(42)).astype(np.int64)])
-        if len(some):
-            at = np.minimum(np.searchsorted(self.key, h[some]), len(self.key) - 1)
-            hit = self.key[at] == h[some]
-            out[some[hit]] = self.ids[at[hit]]
+        rest, place = np.arange(len(h)), self._place(h)
+        for table, key, ids in self.tables:
+            at = table[place[rest]]
+            there = at >= 0
+            at, rest = at[there], rest[there]
+            hit = key[at] == h[rest]
+            out[rest[hit]] = ids[at[hit]]
+            rest = rest[~hit]
+            if not len(rest):
+                break
         return out
 
     def _edges(self, codes: np.ndarray):
@@ -120,16 +138,20 @@ class Lattice:
         n, size = codes.shape
         edges, bare = [], []
         for s in range(size):
-            h = np.zeros(n, np.uint64)
+            rows, h = np.arange(n), np.zeros(n, np.uint64)
             for e in range(s + 1, min(size, s + self.longest) + 1):
-                h = self._step(h, codes[:, e - 1])
+                h = self._step(h, codes[rows, e - 1])
+                if e > s + 1:
+                    on = self.begins[self._place(h)]
+                    rows, h = rows[on], h[on]
+                    if not len(rows):
+                        break
                 piece = self._lookup(h)
-                rows = np.flatnonzero(piece >= 0)
-                if len(rows):
-                    edges.append((s, e, rows, piece[rows]))
-                if e == s + 1 and len(rows) < n:
-                    rows = np.flatnonzero(piece < 0)
-                    bare.append((s, rows, codes[rows, s]))
+                found = piece >= 0
+                if found.any():
+                    edges.append((s, e, rows[found], piece[found]))
+                if e == s + 1 and not found.all():
+                    bare.append((s, rows[~found], codes[rows[~found], s]))
         return edges, bare
 
     def _bytes_of(self, chars: np.ndarray):
@@ -165,7 +187,10 @@ class Lattice:
         alpha = np.full((size + 1, n), -np.inf)
         alpha[0] = 0
         for s, e, rows, lp, _ in sorted(steps, key=lambda x: x[0]):
-            alpha[e, rows] = np.logaddexp(alpha[e, rows], alpha[s, rows] + lp)
+            if len(rows) == n:
+                np.logaddexp(alpha[e], alpha[s] + lp, out=alpha[e])
+            else:
+                alpha[e, rows] = np.logaddexp(alpha[e, rows], alpha[s, rows] + lp)
         total = alpha[size]
         if expected is not None:
             beta = np.full((size + 1, n), -np.inf)
@@ -191,6 +216,10 @@ def tokens(text: str | None) -> list[str]:
     return [w.decode("utf-8", "surrogatepass") for w in raw]
 
 
+def _strings(words: list[bytes]) -> pa.Array:
+    return pa.array(words, pa.binary()).cast(pa.string())
+
+
 def _bytes_tokens(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
@@ -204,7 +233,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def out():
         keys = list(docs)
-        return pa.RecordBatch.from_pydict({"word": pa.array([k.decode("utf-8", "surrogatepass") for k in keys], pa.string()),
+        return pa.RecordBatch.from_pydict({"word": _strings(keys),
                                            "trained": pa.array([trained.get(k, 0) for k in keys], pa.int64()),
                                            "docs": pa.array(list(docs.values()), pa.int64())})
     for batch in batches:
@@ -219,11 +248,23 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out()
 
 
+def _larger(batches: Iterator[pa.RecordBatch], rows: int = 100_000) -> Iterator[pa.RecordBatch]:
+    """Batches joined to ``rows`` rows: larger groups of words of one length."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        held.append(b)
+        if sum(x.num_rows for x in held) >= rows:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _expected(model, n: int):
     def run(batches):
         lattice = Lattice(*model.value)
         total = np.zeros(n)
-        for b in batches:
+        for b in _larger(batches):
             total += lattice.run(b.column(0).to_pylist(), b.column(1).to_numpy().astype(float))[1]
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"piece": pa.array(at, pa.int32()), "mass": pa.array(total[at], pa.float64())})
@@ -233,7 +274,7 @@ def _expected(model, n: int):
 def _word_scores(model):
     def run(batches):
         lattice = Lattice(*model.value)
-        for b in batches:
+        for b in _larger(batches):
             lp = lattice.run(b.column(0).to_pylist())[0] / math.log(10)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(lp, pa.float64())], ["word", "trained", "docs", "logp"])
     return run
@@ -261,50 +302,44 @@ SUMS = "doc_id long, held_out boolean, row long, n_tokens long, n_known long, ba
 
 
 def _document_sums(shared):
-    """One row per document with the sums over frequent words, then one row for
+    """One row per document with the sums over frequent words, and one row for
     each of its other words."""
     names = [x.strip().split(" ")[0] for x in SUMS.split(",")]
     kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.string(), pa.int64())
 
+    def batch(n: int, **given) -> pa.RecordBatch:
+        cols = [given[c] if c in given else pa.nulls(n, k) for c, k in zip(names, kinds)]
+        return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(cols, kinds)], names)
+
     def run(batches):
         known = shared.value
         from pyspark import TaskContext
         row = TaskContext.get().partitionId() << 40
-        out = [[] for _ in kinds]
-
-        def batch():
-            done = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names)
-            for c in out:
-                c.clear()
-            return done
+        docs, at, rare, often = [], [], [], []
         for b in batches:
             for doc_id, held, text in zip(*(c.to_pylist() for c in b.columns)):
                 bag = Counter(_bytes_tokens(text))
-                n, seen, base, score, rest = 1, 0, 0.0, 0.0, 0
+                seen, base, score = 0, 0.0, 0.0
+                rest = len(rare)
                 for w, times in bag.items():
-                    n += times
                     v = known.get(w)
                     if v is None:
-                        rest += 1
-                        out[0].append(None)
-                        out[1].append(None)
-                        out[2].append(row)
-                        out[3].append(0)
-                        out[4].append(0)
-                        out[5].append(0.0)
-                        out[6].append(0.0)
-                        out[7].append(w.decode("utf-8", "surrogatepass"))
-                        out[8].append(times)
+                        rare.append(w)
+                        often.append(times)
                     else:
                         seen += times * v[0]
                         base += times * v[1]
                         score += times * v[2]
-                for c, x in zip(out, (doc_id, held, row, n, seen, base, score, None, 0)):
-                    c.append(x)
+                at += [row] * (len(rare) - rest)
+                docs.append((doc_id, held, row, bag.total() + 1, seen, base, score))
                 row += 1
-                if len(out[0]) >= 20_000:
-                    yield batch()
-        yield batch()
+                if len(rare) >= 50_000:
+                    yield batch(len(rare), row=at, word=_strings(rare), times=often)
+                    at, rare, often = [], [], []
+            if docs:
+                yield batch(len(docs), **dict(zip(names, zip(*docs))))
+                docs = []
+        yield batch(len(rare), row=at, word=_strings(rare), times=often)
     return run
 
 
