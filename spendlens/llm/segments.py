@@ -26,9 +26,10 @@ class SegmentEncoder:
     def __init__(self, encode: Callable[[list[str]], list], weight: np.ndarray, size: Callable[[str], int],
                  joins: Callable[[str], bool], held: int = HELD):
         self.encode, self.weight, self.length, self.joins, self.held = encode, weight, size, joins, held
-        self._clear()
+        self.clear()
 
-    def _clear(self):
+    def clear(self):
+        """Give the store's memory back (tasks do so when they end)."""
         self.slot: dict[str, int] = {}
         self.flat = np.zeros(1 << 16, np.uint32)
         self.used = 0
@@ -66,7 +67,7 @@ class SegmentEncoder:
         if len(unknown):
             new = list(dict.fromkeys(segments[i] for i in unknown.tolist()))
             if len(self.slot) + len(new) > self.held and self.slot:
-                self._clear()
+                self.clear()
                 unknown, new = np.arange(len(segments)), list(dict.fromkeys(segments))
             self._add(new)
             at[unknown] = np.fromiter((self.slot[segments[i]] for i in unknown.tolist()), np.int64, len(unknown))

@@ -29,6 +29,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -264,6 +265,7 @@ def _digests(path: str):
             rows = [(d, len(t), len(ids), int(is_byte[ids].sum()), zlib.crc32(ids.astype("<u4").tobytes()), same,
                      c.decode(ids.tolist()) == c.plain(t)) for d, t, (ids, same) in zip(doc_ids, texts, c.encode(texts))]
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(list(zip(*rows)) or [()] * 7, kinds)], names)
+        c.encoder.clear()
     return run
 
 
@@ -278,9 +280,11 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     name, = fresh(docs, "piece_ids")
 
     @F.pandas_udf("array<int>")
-    def run(texts):
-        import pandas as pd
-        return pd.Series([ids.astype(np.int32) for ids, _ in codec(path).encode([t or "" for t in texts])], dtype=object)
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        c = codec(path)
+        for texts in batches:
+            yield pd.Series([ids.astype(np.int32) for ids, _ in c.encode([t or "" for t in texts])], dtype=object)
+        c.encoder.clear()
     return docs.withColumn(name, run(F.col("text")))
 
 
@@ -290,8 +294,7 @@ def decode(encoded: DataFrame, ids_col: str = "piece_ids", path: str | None = No
     name, = fresh(encoded, "decoded")
 
     @F.pandas_udf("string")
-    def run(ids):
-        import pandas as pd
+    def run(ids: pd.Series) -> pd.Series:
         return pd.Series([None if x is None else codec(path).decode(list(x)) for x in ids], dtype=object)
     return encoded.withColumn(name, run(F.col(ids_col)))
 
