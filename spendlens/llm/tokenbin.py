@@ -72,7 +72,7 @@ class ByteEncoder:
             weight[i] = len(added[i].encode()) if i in added else len(text)
         # A segment that begins with a blank may stand behind one that ends with none.
         self.segments = SegmentEncoder(self._encode, weight, lambda x: len(x.encode("utf-8")),
-                                       lambda x: x[0] in BLANKS and x[-1] not in BLANKS)
+                                       lambda x: x[0] in BLANKS and x[-1] not in BLANKS, held=450_000)
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
