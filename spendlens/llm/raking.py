@@ -2,11 +2,14 @@
 
 The token mass of the corpus is summed into cells (source, lang, topic).
 Raking scales the cell weights to the target shares of one dimension after the
-other until the marginals of all dimensions agree with their targets.  A
-document of a cell is then kept with probability (weight / mass) of the cell,
-divided by the largest such ratio, so that no probability exceeds one and the
-expected token shares of the sample are the raked weights.  Keeping is decided
-by a hash of the document id: every run and every retry decides alike.
+other until the marginals of all dimensions agree with their targets.  The size
+of the sample is a parameter (``keep``, a share of the tokens): a document of a
+cell is kept with probability min(1, c * weight / mass), and the cells below one
+are raked to what the full cells leave of the targets, so the expected token
+shares of the sample are the raked weights.  A category whose target is more
+than all its tokens is kept whole, however few they are; it takes nothing from
+the sample of the others.  Keeping is decided by a hash of the document id:
+every run and every retry decides alike.
 
 Only cells are raked, never documents.  Their number is checked: up to
 ``SMALL_CELLS`` they are raked in one partition without any exchange and sent to
@@ -36,6 +39,8 @@ SMALL_CELLS = 50_000
 SWEEPS, SWEEPS_PER_STEP, TOLERANCE = 60, 6, 1e-9
 #: Flattening exponents of the query: a category with share s gets a target in proportion to s ** exponent.
 FLATTEN = {"source": 0.5, "lang": 0.7, "topic": 0.8}
+#: Share of the tokens that the sample has (the expected value).
+KEEP = 0.5
 
 
 def form_topic(text: Column) -> Column:
@@ -59,12 +64,40 @@ def flattened(cell: DataFrame, exponents: dict[str, float] = FLATTEN) -> dict[st
             .select("value", F.pow("m", F.lit(e)).alias("share")) for d, e in exponents.items()}
 
 
+def _factors(parts: DataFrame) -> dict[str, float]:
+    """For every ``dim`` the factor by which the sum of least(room, factor * share) is one
+    (beyond the sum of the rooms: infinite)."""
+    found: dict[str, float] = {}
+    while True:
+        f = reduce(lambda e, d: e.when(F.col("dim") == d, F.lit(found[d])), found, F.when(F.lit(False), F.lit(0.0)))
+        full = F.col("room") <= F.coalesce(f, F.lit(0.0)) * F.col("share")
+        sums = (parts.groupBy("dim").agg(F.sum(F.when(full, F.col("room")).otherwise(0.0)).alias("held"),
+                                         F.sum(F.when(~full, F.col("share")).otherwise(0.0)).alias("free")).collect())
+        # The sum is concave in the factor, so these steps only rise and end with the last part that fills up.
+        now = {r["dim"]: max(1.0 - r["held"], 0.0) / r["free"] if r["free"] > 0 else float("inf") for r in sums}
+        if all(x <= found.get(d, -1.0) * (1 + 1e-12) for d, x in now.items()):
+            return found
+        found = {d: max(x, found.get(d, 0.0)) for d, x in now.items()}
+
+
+def _scale(held: Column, free: Column, to: Column) -> Column:
+    """Factor of a category's weights towards its target, with ``held`` in full cells and ``free`` in others."""
+    return (F.when((free > 0) & (to > held), (to - held) / free).when(to < held + free, to / (held + free))
+            .otherwise(F.lit(1.0)))
+
+
 def rake(cell: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS,
-         tolerance: float = TOLERANCE) -> DataFrame:
+         tolerance: float = TOLERANCE, keep: float | None = None) -> DataFrame:
     """The cells with their raked ``weight`` (all weights sum to one).
 
     ``targets`` has a table (value, share) for each dimension; shares need not
-    sum to one."""
+    sum to one.  ``keep`` is the share of the tokens (of cells with targets) that
+    the sample shall have: then no weight exceeds the ``room`` of its cell, which
+    is the cell's mass as a share of the sample.  A category whose target exceeds
+    its room is taken whole, and the other targets of the dimension rise in
+    proportion.  Without ``keep`` the room is infinite."""
+    if keep is not None and not 0 < keep <= 1:
+        raise ValueError(f"keep is a share above 0 and up to 1, not {keep}")
     rows = cell.select(*DIMS, "mass", "docs")
     for d, t in targets.items():
         t = t.groupBy(F.col("value").alias("value")).agg(F.sum("share").cast("double").alias(f"to_{d}"))
@@ -75,38 +108,57 @@ def rake(cell: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS,
                    "raking-cells")
     small = rows.limit(SMALL_CELLS + 1).count() <= SMALL_CELLS
     rows = rows.coalesce(1) if small else rows
-    # Targets of categories that have weight, scaled to one.
+    size = None if keep is None else keep * (rows.agg(F.sum("weight")).first()[0] or 1.0)
+    room = F.lit(float("inf")) if size is None else F.col("weight") / F.lit(size)
+    rows = rows.withColumn("room", F.when(F.col("weight") > 0, room).otherwise(F.lit(0.0)))
+    # Targets of categories that have weight, scaled to one within their room.
+    goals = reduce(DataFrame.unionByName, [
+        rows.where("weight > 0").groupBy(d).agg(F.max(f"to_{d}").alias("share"), F.sum("room").alias("room"))
+        .select(F.lit(d).alias("dim"), "share", "room") for d in targets])
+    factors = _factors(written(goals, "raking-goals"))
     for d in targets:
-        of = Window.partitionBy(d)
-        first = F.row_number().over(of.orderBy(*DIMS)) == 1
-        live = F.sum("weight").over(of) > 0
-        rows = rows.withColumn("once", F.when(first & live, F.col(f"to_{d}")))
-        total = rows.agg(F.sum("once")).first()[0]
-        rows = rows.withColumn(f"to_{d}", F.col(f"to_{d}") / F.lit(total or 1.0)).drop("once")
+        rows = rows.withColumn(f"to_{d}", F.least(F.col(f"to_{d}") * F.lit(factors.get(d, 1.0)),
+                                                  F.sum("room").over(Window.partitionBy(d))))
+    taken = F.least("weight", "room")
     done = 0
     while True:
         for _ in range(SWEEPS_PER_STEP):
             for d in targets:
-                have = F.sum("weight").over(Window.partitionBy(d))
-                rows = rows.withColumn("weight", F.when(have > 0, F.col("weight") * F.col(f"to_{d}") / have)
-                                       .otherwise(F.lit(0.0)))
+                # Full cells keep to their room; the others share what is left of the target.  A full
+                # cell is scaled with its category, so it may come below its room again.
+                of, full = Window.partitionBy(d), F.col("weight") >= F.col("room")
+                held = F.sum(F.when(full, F.col("room")).otherwise(0.0)).over(of)
+                free = F.sum(F.when(full, 0.0).otherwise(F.col("weight"))).over(of)
+                sums = F.array(F.struct(held.alias("held"), free.alias("free"), F.col(f"to_{d}").alias("to")))
+                by = F.transform(sums, lambda x: _scale(x["held"], x["free"], x["to"]))[0]
+                rows = rows.withColumn("weight", F.when(F.col("weight") > 0, F.col("weight") * by).otherwise(F.lit(0.0)))
         rows = written(rows, "raking-step")
         done += SWEEPS_PER_STEP
         gaps = [F.max(F.abs(F.col(f"have_{d}") - F.col(f"to_{d}"))) for d in targets]
         seen = rows.coalesce(1) if small else rows
         for d in targets:
-            seen = seen.withColumn(f"have_{d}", F.sum("weight").over(Window.partitionBy(d)))
+            seen = seen.withColumn(f"have_{d}", F.sum(taken).over(Window.partitionBy(d)))
         gap = seen.where("weight > 0").agg(F.greatest(*gaps, F.lit(0.0)).alias("gap")).first()["gap"] or 0.0
         if gap <= tolerance or done >= sweeps:
-            return rows.select(*DIMS, "mass", "docs", "weight")
+            break
         rows = rows.coalesce(1) if small else rows
+    if keep is not None:
+        # The sample has its size whatever gap is left.
+        last = _factors(rows.where("weight > 0").select(F.lit("all").alias("dim"), F.col("weight").alias("share"), "room"))
+        rows = rows.withColumn("weight", F.when(F.col("weight") > 0, F.least(
+            F.col("weight") * F.lit(last.get("all", 1.0)), F.col("room"))).otherwise(F.lit(0.0)))
+    return rows.select(*DIMS, "mass", "docs", "room", "weight")
 
 
 def probabilities(raked: DataFrame) -> DataFrame:
-    """The cells with the probability ``keep_p`` of their documents."""
+    """The cells with the probability ``keep_p`` of their documents: the share of
+    its room that a cell fills.  Cells raked without a sample size get the largest
+    probabilities that keep all marginals, so one rare cell may make them small."""
     ratio = F.when(F.col("mass") > 0, F.col("weight") / F.col("mass")).otherwise(F.lit(0.0))
-    top = raked.agg(F.max(ratio)).first()[0] or 1.0
-    return raked.withColumn("keep_p", ratio / F.lit(top))
+    sized = F.col("room") < F.lit(float("inf"))
+    top = raked.agg(F.max(F.when(~sized, ratio))).first()[0] or 1.0
+    filled = F.when(F.col("room") > 0, F.least(F.col("weight") / F.col("room"), F.lit(1.0))).otherwise(F.lit(0.0))
+    return raked.withColumn("keep_p", F.when(sized, filled).otherwise(ratio / F.lit(top)))
 
 
 def uniform(id_col: Column, seed: int) -> Column:
@@ -127,13 +179,14 @@ def with_probability(docs: DataFrame, chances: DataFrame, keys: dict[str, Column
 
 
 def mix(docs: DataFrame, topic: Column | None = None, targets: dict[str, DataFrame] | None = None,
-        seed: int = 17) -> DataFrame:
+        seed: int = 17, keep: float = KEEP) -> DataFrame:
     """The sampled rows of ``docs`` (all its columns), with target shares
-    ``targets`` or the flattened shares of the corpus."""
+    ``targets`` or the flattened shares of the corpus; ``keep`` is the expected
+    share of the tokens in the sample."""
     keys = {"source": F.col("source"), "lang": F.col("lang"), "topic": form_topic(F.col("text")) if topic is None else topic}
     tokens = docs.select(*[keys[d].alias(d) for d in DIMS], word_count("text").alias("tokens"))
     cell = written(cells(tokens), "cells")
-    chances = probabilities(rake(cell, targets or flattened(cell)))
+    chances = probabilities(rake(cell, targets or flattened(cell), keep=keep))
     p, = fresh(docs, "keep_p")
     return (with_probability(docs, chances, keys, p)
             .where(uniform(F.col("doc_id"), seed) < F.col(p)).drop(p))
@@ -145,6 +198,6 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = written(docs.select("doc_id", "source", "lang", form_topic(F.col("text")).alias("topic"),
                                  word_count("text").alias("tokens")), "mix-tokens")
     cell = written(cells(tokens), "cells")
-    chances = probabilities(rake(cell, flattened(cell)))
+    chances = probabilities(rake(cell, flattened(cell), keep=KEEP))
     out = with_probability(tokens, chances, {d: F.col(d) for d in DIMS}, "keep_p")
     return out.where(uniform(F.col("doc_id"), 17) < F.col("keep_p"))

@@ -195,6 +195,27 @@ def test_mix_keeps_by_hash_and_by_chunks_alike(spark, docs, monkeypatch):
     assert 0 < len(kept) < docs.count()
 
 
+def test_one_small_source_does_not_set_the_sample_size(spark, docs):
+    d = docs.select("doc_id", "source", "lang", "text")
+    d = d.unionByName(spark.createDataFrame([(-77, "one-document source", "en", "only three words")], d.schema))
+    tokens = d.select("doc_id", "source", "lang", raking.form_topic(F.col("text")).alias("topic"),
+                      raking.word_count("text").alias("tokens")).cache()
+    kept = {r.doc_id for r in raking.mix(d).collect()}
+    share = sum(r.tokens for r in tokens.collect() if r.doc_id in kept) / sum(r.tokens for r in tokens.collect())
+    assert -77 in kept and abs(share - raking.KEEP) < 0.1
+
+
+def test_full_cells_leave_their_targets_to_the_others(spark):
+    cells = [("a", "en", "x", 600.0, 6), ("a", "de", "x", 300.0, 3), ("b", "en", "x", 90.0, 3), ("c", "de", "x", 10.0, 1)]
+    df = spark.createDataFrame(cells, "source string, lang string, topic string, mass double, docs long")
+    targets = {"source": {"a": 1.0, "b": 1.0, "c": 1.0}, "lang": {"en": 1.0, "de": 1.0}, "topic": {"x": 1.0}}
+    tables = {d: spark.createDataFrame(list(t.items()), "value string, share double") for d, t in targets.items()}
+    rows = raking.probabilities(raking.rake(df, tables, keep=0.4)).collect()
+    got = {(r.source, r.lang): r.keep_p * r.mass for r in rows}
+    # Of 400 tokens b and c, whose targets exceed them, give all 100; a gives 300, so that en and de have 200 each.
+    assert np.allclose([got["b", "en"], got["c", "de"], got["a", "en"], got["a", "de"]], [90, 10, 110, 190], atol=1e-4)
+
+
 def test_mix_edge_rows(edge, empty):
     got = raking.mix(edge)
     assert got.columns == edge.columns
