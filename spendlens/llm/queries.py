@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, hostrules, imatch, lattice, pu, raking, rollup, simhash, spm, tokenbin
+from . import chat, collocations, hostrules, imatch, lattice, pu, raking, rollup, simhash, spm, tokenbin
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_imatch_fingerprints": imatch.query,
@@ -20,9 +20,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lattice_lm": lattice.query,
     "op9_pu_quality": pu.query,
     "op10_token_files": tokenbin.query,
+    "op13_phrase_stripes": collocations.query,
 }
 ORACLE: dict[str, str] = {
     "op2_chat_format": chat.SQL,
     "op3_token_rollup": rollup.SQL,
     "op6_host_rules": hostrules.SQL,
+    "op13_phrase_stripes": collocations.SQL,
 }
