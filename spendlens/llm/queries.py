@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, collocations, hostrules, imatch, lattice, maintext, pu, raking, rollup, simhash, spm, tokenbin
+from . import alignment, chat, collocations, hostrules, imatch, lattice, maintext, pu, raking, rollup, simhash, spm, tokenbin
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_imatch_fingerprints": imatch.query,
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lattice_lm": lattice.query,
     "op9_pu_quality": pu.query,
     "op10_token_files": tokenbin.query,
+    "op11_token_alignment": alignment.query,
     "op12_main_text": maintext.query,
     "op13_phrase_stripes": collocations.query,
 }
