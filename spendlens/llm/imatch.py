@@ -10,8 +10,8 @@ any length have subsets in which they keep only a few terms.
 
 The fingerprint is the hex text of the full signature (64 bit) and of the
 subset signatures (16 bit each, 0 for an empty subset).  The likeness of two
-fingerprints is the share of equal signatures among those that are not empty in
-both; equal fingerprints have likeness 1.
+fingerprints is the share of equal signatures among those that at least one of
+them has (not empty); equal fingerprints have likeness 1.
 
 Lexicon size: a term of the lexicon has df >= N * exp(-idf_max), and all df add
 up to N times the mean number of distinct terms per document; so there are at
@@ -112,12 +112,12 @@ def likeness(a: str, b: str) -> float:
 
 # ---------------------------------------------------------------- lexicon
 
-def _frequent_candidates(share: float):
-    """Terms that reach ``share`` of the documents of some chunk.
+def _frequent_candidates(least: int, total: int):
+    """Terms whose share of the documents of some chunk is at least least / total.
 
-    A term with df >= share * N reaches share * n in at least one chunk of n
-    documents, so no term of the band is missed, and the many rare terms are
-    never shuffled.
+    A term in ``least`` of all ``total`` documents has such a share in at least one
+    chunk (in whole numbers: c * total >= least * n), so no term of the band is
+    missed however the table is cut, and the many rare terms are never shuffled.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, n = Counter(), 0
@@ -126,9 +126,9 @@ def _frequent_candidates(share: float):
                 df.update(terms_of(text))
                 n += 1
                 if len(df) >= CHUNK_TERMS:
-                    yield pa.RecordBatch.from_pydict({"term": [t for t, c in df.items() if c >= share * n]})
+                    yield pa.RecordBatch.from_pydict({"term": pa.array([t for t, c in df.items() if c * total >= least * n], pa.string())})
                     df, n = Counter(), 0
-        yield pa.RecordBatch.from_pydict({"term": pa.array([t for t, c in df.items() if c >= share * n], pa.string())})
+        yield pa.RecordBatch.from_pydict({"term": pa.array([t for t, c in df.items() if c * total >= least * n], pa.string())})
     return run
 
 
@@ -156,22 +156,26 @@ def _all_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                       "df": pa.array(list(df.values()), pa.int64())})
 
 
+def band(n: int, p: IMatchParams) -> tuple[int, int]:
+    """Smallest and largest document frequency of the band among ``n`` documents, in whole numbers."""
+    eps = 1e-9 * max(1, n)
+    return math.ceil(n * math.exp(-p.idf_max) - eps), math.floor(n * math.exp(-p.idf_min) + eps)
+
+
 def lexicon(docs: DataFrame, text_col: str = "text", p: IMatchParams = IMatchParams()) -> DataFrame:
     """(term, df) of the terms whose inverse document frequency is in the band,
     counted over all documents."""
     texts = docs.select(F.col(text_col).alias("text"))
     n = docs.count()
-    low, high = n * math.exp(-p.idf_max), n * math.exp(-p.idf_min)
-    cand = texts.mapInArrow(_frequent_candidates(math.exp(-p.idf_max)), "term string").distinct()
+    least, most = band(n, p)
+    cand = texts.mapInArrow(_frequent_candidates(least, n), "term string").distinct()
     got = [r.term for r in cand.limit(p.max_broadcast + 1).collect()]
     if len(got) <= p.max_broadcast:
         shared = docs.sparkSession.sparkContext.broadcast(frozenset(got))
         counted = texts.mapInArrow(_counts_of(shared), "term string, df long")
     else:
         counted = texts.mapInArrow(_all_counts, "term string, df long")
-    eps = 1e-9 * max(1, n)
-    return (counted.groupBy("term").agg(F.sum("df").alias("df"))
-            .where((F.col("df") >= low - eps) & (F.col("df") <= high + eps)))
+    return counted.groupBy("term").agg(F.sum("df").alias("df")).where(F.col("df").between(least, most))
 
 
 # ---------------------------------------------------------------- fingerprints

@@ -48,6 +48,28 @@ def test_imatch_equals_brute_force(spark, docs, max_broadcast):
     assert got == sorted(imatch_brute(rows, p))
 
 
+@pytest.mark.parametrize("n", [1000, 2000])
+def test_imatch_lexicon_and_fingerprints_do_not_depend_on_partitions_or_path(spark, n):
+    """Documents whose terms lie at, just under and just over both ends of the band, cut in different ways."""
+    text = F.concat_ws(" ", *[F.when(F.col("id") % k == 0, F.concat(F.lit(f"t{k}x"), (F.col("id") % 3).cast("string")))
+                              for k in (2, 5, 7, 50, 100, 333, 334, 499, 500, 501, 999, 1000)],
+                       F.concat(F.lit("own"), "id"))
+    base = spark.range(n).select(F.col("id").alias("doc_id"), text.alias("text"))
+    p = imatch.IMatchParams(draws=2, levels=6)
+    rows = [(r.doc_id, r.text) for r in base.collect()]
+    want = sorted(imatch_brute(rows, p))
+    low, high = imatch.band(n, p)
+    assert low == n // 1000 and high == n // 5
+    terms = None
+    for parts, bound in ((1, 3_000_000), (8, 3_000_000), (51, 3_000_000), (8, 0)):
+        df = base.repartition(parts)
+        q = imatch.IMatchParams(draws=2, levels=6, max_broadcast=bound)
+        lex = sorted((r.term, r.df) for r in imatch.lexicon(df, p=q).collect())
+        terms = terms or lex
+        assert lex == terms
+        assert sorted(tuple(r) for r in imatch.fingerprints_with_edits(df, p=q).collect()) == want
+
+
 def test_imatch_signature_does_not_depend_on_order_and_empty_is_zero():
     s = imatch.Signer(imatch.IMatchParams())
     h = [imatch.term_hash(t) for t in "a b c d".split()]
