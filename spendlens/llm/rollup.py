@@ -9,7 +9,9 @@ also move a document to another source, language or tokenizer version.
 tokenizer), as one partition of a table.  A commit replaces exactly the
 partition of its batch, so a batch that is committed again after a failure
 counts once; batches may arrive in any order.  The totals are the sums over all
-committed batches; ``compact`` folds old batches into one partition.
+committed batches; ``compact`` folds old batches into one partition, number -1,
+and keeps the highest number folded as a watermark in that partition's mark row.  A
+batch at or below the watermark is closed: committing it again changes nothing.
 
 Groups are summed before the shuffle, so a source with a third of all rows
 costs a row per task.
@@ -24,6 +26,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,14 +56,35 @@ class TokenLedger:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
-    def commit(self, batch_id: int, signed: DataFrame) -> None:
-        """Write the sums of a batch; the same batch again replaces itself."""
+    def commit(self, batch_id: int, signed: DataFrame) -> bool:
+        """Write the sums of a batch; the same batch again replaces itself.
+
+        A batch that ``compact`` has folded is left as it is; the result says
+        whether the batch was written.  Negative numbers are reserved."""
+        if batch_id < 0:
+            raise ValueError("batch numbers start at 0")
+        if batch_id <= self.watermark():
+            return False
         sums = (signed.select("source", "lang", F.coalesce("tokenizer", F.lit("")).alias("tokenizer"), "docs", "tokens")
                 .groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")))
-        # A row without a tokenizer marks the batch, so that an empty batch has a partition too.
-        mark = self.spark.range(1).select(*[F.lit(None).cast("string").alias(k) for k in KEYS],
-                                          F.lit(0).cast("long").alias("docs"), F.lit(0).cast("long").alias("tokens"))
-        self._replace(sums.unionByName(mark).withColumn("batch_id", F.lit(batch_id).cast("long")))
+        self._replace(sums.unionByName(self._mark(0)).withColumn("batch_id", F.lit(batch_id).cast("long")))
+        return True
+
+    def _mark(self, value: int) -> DataFrame:
+        """A row without a tokenizer marks a batch, so that an empty batch has a partition too."""
+        return self.spark.range(1).select(*[F.lit(None).cast("string").alias(k) for k in KEYS],
+                                          F.lit(0).cast("long").alias("docs"), F.lit(value).cast("long").alias("tokens"))
+
+    def watermark(self) -> int:
+        """Highest batch number that was compacted (-1: none); reads one small partition."""
+        try:
+            marks = self.batches().where((F.col("batch_id") == -1) & F.col("tokenizer").isNull())
+            found = marks.agg(F.max("tokens")).first()[0]
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            found = None
+        return -1 if found is None else found
 
     def _replace(self, rows: DataFrame) -> None:
         (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -80,12 +104,13 @@ class TokenLedger:
 
         It is written to a folder of its own, so readers of the old one are not
         disturbed; batches after ``upto`` keep their identity and may still be
-        committed again."""
-        rows = self.batches()
-        at = F.when(F.col("batch_id") <= upto, F.lit(-1).cast("long")).otherwise(F.col("batch_id"))
+        committed again, earlier ones are closed."""
+        closed = max(upto, self.watermark())
+        at = F.when(F.col("batch_id") <= closed, F.lit(-1).cast("long")).otherwise(F.col("batch_id"))
+        rows = (self.batches().withColumn("batch_id", at).where((F.col("batch_id") >= 0) | F.col("tokenizer").isNotNull())
+                .groupBy(*KEYS, "batch_id").agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")))
         out = TokenLedger(self.spark, path)
-        out._replace(rows.withColumn("batch_id", at).groupBy(*KEYS, "batch_id")
-                     .agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")))
+        out._replace(rows.unionByName(self._mark(closed).withColumn("batch_id", F.lit(-1).cast("long"))))
         return out
 
 
