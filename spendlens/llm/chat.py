@@ -3,7 +3,8 @@
 A log holds events (conversation, sequence number, message number, event, role,
 text).  Per message the events are folded in sequence order: ``message`` opens
 the text, ``delta`` appends to it, ``edit`` replaces it, ``regenerate`` empties
-it and withdraws every later message that was opened before.  The folded
+it and withdraws what came before for every later message: events of those count
+only from there on, and a message left without events is gone.  The folded
 messages are rendered in message order.
 
 Template: every turn is ``<|turn|>role<|text|>text<|end|>``.  Inside roles and
@@ -12,9 +13,12 @@ backslash after its first character, so that no text can open or close a turn;
 ``unescaped`` takes both back.  The loss mask lists the assistant texts as byte
 spans (start, bytes) of the formatted UTF-8 text.
 
-All steps are DataFrame functions.  Events are dealt by (conversation, message),
-which spreads a conversation that holds a third of all rows; only its finished
-text, which is one value of the result, is put together in one task.
+All steps are DataFrame functions.  Events are folded by (conversation, message),
+which spreads a conversation that holds a third of all rows.  Where a message's
+events begin to count is found from (conversation, message, sequence number)
+rows of the regenerations, without texts.  The texts of a conversation meet in one
+task only where they become one value of the result: in ``render``, and in
+``as_log``, which puts the rows of a conversation in order.
 
 Defined results: null role and null text count as empty; a null conversation id
 is a conversation of its own; exactly repeated events count once (logs are
@@ -51,29 +55,36 @@ def unescaped(text: Column) -> Column:
     return F.regexp_replace(text, "\\\\(\\\\?)", "$1")
 
 
+def _cuts(events: DataFrame) -> DataFrame:
+    """(conv_id, message, cut) of the messages after a regenerated one: the last
+    sequence number at which an earlier message was regenerated."""
+    heads = (events.groupBy("conv_id", "message")
+             .agg(F.max(F.when(F.col("event") == "regenerate", F.col("seq"))).alias("again")))
+    earlier = Window.partitionBy("conv_id").orderBy(F.col("message").asc_nulls_first()) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    return heads.withColumn("cut", F.max("again").over(earlier)).where(F.col("cut").isNotNull()).select(
+        F.col("conv_id").alias("_conv"), F.col("message").alias("_message"), "cut")
+
+
 def fold(events: DataFrame) -> DataFrame:
     """Final messages (conv_id, message, role, text) of an event log."""
     e = events.select(*EVENTS).withColumn("text", F.coalesce("text", F.lit("")))
     opens = F.col("event").isin("message", "edit", "regenerate")
     item = F.struct(F.col("seq"), F.col("event"), F.col("text"), F.col("role"))
-    folded = (e.groupBy("conv_id", "message").agg(
+    cuts = _cuts(events)
+    counting = (e.join(cuts, e["conv_id"].eqNullSafe(cuts["_conv"]) & e["message"].eqNullSafe(cuts["_message"]), "left")
+                .where(F.col("cut").isNull() | (F.col("seq") > F.col("cut"))).select(*EVENTS))
+    folded = (counting.groupBy("conv_id", "message").agg(
         F.array_sort(F.collect_set(item)).alias("log"),
-        F.max(F.when(opens, F.col("seq"))).alias("base"),
-        F.max(F.when(F.col("event") == "message", F.col("seq"))).alias("opened"),
-        F.max(F.when(F.col("event") == "regenerate", F.col("seq"))).alias("again")))
+        F.max(F.when(opens, F.col("seq"))).alias("base")))
     live = F.filter("log", lambda x: F.col("base").isNull() | (x["seq"] >= F.col("base")))
     texts = F.aggregate(
         live, F.lit(""),
         lambda acc, x: F.when(x["event"].isin("message", "edit"), x["text"])
         .when(x["event"] == "regenerate", F.lit("")).otherwise(F.concat(acc, x["text"])))
     roles = F.filter(F.transform("log", lambda x: x["role"]), lambda r: r.isNotNull())
-    earlier = Window.partitionBy("conv_id").orderBy(F.col("message").asc_nulls_first()) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    return (folded.select("conv_id", "message", "opened", "again", texts.alias("text"),
-                          F.coalesce(F.try_element_at(roles, F.lit(-1)), F.lit("")).alias("role"))
-            .withColumn("cut", F.max("again").over(earlier))
-            .where(F.col("cut").isNull() | (F.col("opened") > F.col("cut")))
-            .select("conv_id", "message", "role", "text"))
+    return folded.select("conv_id", "message", F.coalesce(F.try_element_at(roles, F.lit(-1)), F.lit("")).alias("role"),
+                         texts.alias("text"))
 
 
 def render(messages: DataFrame) -> DataFrame:
@@ -122,11 +133,26 @@ def format_log(events: DataFrame) -> DataFrame:
 
 
 def as_log(conversations: DataFrame) -> DataFrame:
-    """Every row of a table of turns as one ``message`` event, numbered by turn."""
+    """The log that could have led to a table of turns, numbered by turn: every
+    assistant turn is opened, streams a draft, is regenerated and streams its text
+    in two deltas; every other turn is opened with its first half only, which an
+    edit and a delta turn into the whole text."""
     order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
-    return (conversations.withColumn("message", F.row_number().over(order).cast("long"))
-            .select("conv_id", F.col("message").alias("seq"), "message", F.lit("message").alias("event"),
-                    F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")))
+    rows = (conversations.select("conv_id", "turn", "role", "text")
+            .withColumn("message", F.row_number().over(order).cast("long"))
+            .select("conv_id", "message", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+            .withColumn("half", F.floor(F.char_length("text") / 2).cast("int")))
+    first, second = F.expr("left(text, half)"), F.expr("substr(text, half + 1)")
+
+    def event(k: int, kind: str, text: Column, role: Column | None = None) -> Column:
+        return F.struct((F.col("message") * 8 + k).alias("seq"), F.lit(kind).alias("event"),
+                        (F.lit(None).cast("string") if role is None else role).alias("role"), text.alias("text"))
+    nothing = F.lit("")
+    assistant = F.array(event(0, "message", nothing, F.col("role")), event(1, "delta", first), event(2, "regenerate", nothing),
+                        event(3, "delta", first), event(4, "delta", second))
+    other = F.array(event(0, "message", second, F.col("role")), event(1, "edit", first), event(2, "delta", second))
+    return (rows.select("conv_id", "message", F.explode(F.when(F.col("role") == "assistant", assistant).otherwise(other)).alias("e"))
+            .select("conv_id", "e.seq", "message", "e.event", "e.role", "e.text"))
 
 
 CHALLENGE = "</s>[INST] ok [/INST]"

@@ -3,6 +3,7 @@
 import hashlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -44,6 +45,9 @@ LOG = [
     (1, 6, 2, "regenerate", None, None), (1, 7, 2, "delta", None, "Good day"),
     (1, 8, 3, "message", "user", "x"), (1, 9, 1, "edit", None, "HELLO"), (1, 10, 4, "message", "assistant", "old"),
     (1, 11, 2, "regenerate", None, None), (1, 12, 2, "delta", None, "Again"), (1, 13, 3, "message", "user", "new </s>"),
+    (4, 1, 1, "message", "user", "q"), (4, 2, 2, "delta", "assistant", "gone"), (4, 3, 3, "edit", "user", "gone too"),
+    (4, 4, 1, "regenerate", None, None), (4, 5, 1, "delta", None, "q2"), (4, 6, 2, "delta", "assistant", "only "), (4, 7, 2, "delta", None, "deltas"),
+    (5, 1, 1, "message", "user", "a"), (5, 2, 2, "message", "assistant", "b"), (5, 3, 1, "regenerate", None, None), (5, 4, 2, "delta", "assistant", "late"),
     (2, 1, 1, "message", "system", "<|turn|>\\<|end|>"), (2, 1, 1, "message", "system", "<|turn|>\\<|end|>"),
     (3, 5, 1, "message", "assistant", "a"), (3, 6, 1, "delta", None, "b"), (3, 6, 1, "delta", None, "b"),
 ]
@@ -87,6 +91,21 @@ def test_chat_edge_rows(spark):
     assert chat.format_log(log(spark, [])).count() == 0
 
 
+def test_the_log_of_a_table_needs_folding(spark, sf_small):
+    """Deltas, an edit and a regeneration in every conversation; unfolded, the texts are others."""
+    turns = spark.read.parquet(f"{sf_small}/conversations.parquet").withColumn("message", F.lit("clash")).withColumn("cut", F.lit(1))
+    events = chat.as_log(turns)
+    kinds = {r.event for r in events.select("event").distinct().collect()}
+    assert kinds == {"message", "delta", "edit", "regenerate"}
+    got = sorted(map(tuple, chat.fold(events).select("conv_id", "message", "role", "text").collect()))
+    by = defaultdict(list)
+    for r in turns.collect():
+        by[r.conv_id].append((r.turn, r.role or "", r.text or ""))
+    assert got == sorted((c, i + 1, role, text) for c, rows in by.items() for i, (_, role, text) in enumerate(sorted(rows)))
+    assert got == sorted((c, i + 1, *m) for c, ms in fold_brute([tuple(r) for r in events.select(*chat.EVENTS).collect()]).items()
+                         for i, m in enumerate(ms))
+
+
 def test_turns_with_ties_and_repeats_are_all_kept(spark):
     rows = [(1, 0, "user", "b"), (1, 0, "user", "a"), (1, 0, "user", "a"), (1, None, "system", None)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
@@ -132,6 +151,33 @@ def test_ledger_is_additive_idempotent_and_compacts(spark, tmp_path):
     assert totals(ledger) == {(None, None, "v1"): (1, 0)}
 
 
+def test_a_batch_that_was_compacted_is_closed(spark, tmp_path):
+    key = ("s", "en", "v1")
+    rows = rollup.deltas(spark.createDataFrame([(None, (*key, 10))], CHANGE))
+    ledger = rollup.TokenLedger(spark, str(tmp_path / "ledger"))
+    assert ledger.watermark() == -1 and all(ledger.commit(b, rows) for b in (0, 1, 2, 3))
+    small = ledger.compact(str(tmp_path / "small"), 2)
+    assert small.watermark() == 2 and totals(small) == {key: (4, 40)}
+    assert not small.commit(2, rows) and not small.commit(0, rows) and small.commit(3, rows)
+    assert totals(small) == {key: (4, 40)}
+    less = small.compact(str(tmp_path / "less"), 1)       # an earlier bound opens nothing again
+    assert less.watermark() == 2 and not less.commit(2, rows) and totals(less) == {key: (4, 40)}
+    assert less.commit(4, rows) and totals(less) == {key: (5, 50)}
+    with pytest.raises(ValueError):
+        ledger.commit(-1, rows)
+
+
+def test_rollup_odd_rows_and_empty_tables(spark, edge, empty, tmp_path):
+    for name, docs in (("edge", edge), ("empty", empty)):
+        path = tmp_path / name
+        docs.write.parquet(str(path / "documents.parquet"))
+        got = {(r.source, r.lang, r.tokenizer): (r.docs, r.tokens) for r in rollup.query(spark, str(path)).collect()}
+        con = duckdb.connect()
+        con.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}/documents.parquet/*.parquet'")
+        want = {x[:3]: x[3:] for x in con.execute(rollup.SQL).fetchall()}
+        assert got == want
+
+
 def test_rollup_of_a_later_batch_first(spark, tmp_path):
     ledger = rollup.TokenLedger(spark, str(tmp_path / "ledger"))
     key = ("s", "en", "v1")
