@@ -24,12 +24,14 @@ class SegmentEncoder:
     stand behind one another in one text, whose ids are cut by these lengths."""
 
     def __init__(self, encode: Callable[[list[str]], list], weight: np.ndarray, size: Callable[[str], int],
-                 joins: Callable[[str], bool], held: int = HELD):
+                 joins: Callable[[str], bool], held: int = HELD, on_clear: Callable[[], None] = lambda: None):
         self.encode, self.weight, self.length, self.joins, self.held = encode, weight, size, joins, held
+        self.on_clear = on_clear
         self.clear()
 
     def clear(self):
         """Give the store's memory back (tasks do so when they end)."""
+        self.on_clear()
         self.slot: dict[str, int] = {}
         self.flat = np.zeros(1 << 16, np.uint32)
         self.used = 0

@@ -10,9 +10,16 @@ reaches from one marked word into the next; then each distinct segment is
 encoded once (``segments``), which changes no id.  Other models are encoded text
 by text.
 
-Parity: every distinct segment that is encoded is also encoded by the
-sentencepiece library, and every text is decoded again; the result says for each
-document whether both agree.
+Parity: the result says for each document whether the sentencepiece library gives
+the same ids.  Where pieces cannot cross words in a merge model that leaves the
+text as it is, every distinct segment is compared when it is encoded; for all other
+models (unigram scores, a character map, removed blanks) every whole text is.
+Segmentations of equal score are told apart by the tokenizers library's own rule,
+which on long texts, whose 32-bit sums round, may differ from the other library's;
+the flag is false there.  Every text is decoded again, too.
+
+Texts are handled in slices of ``SLICE_CHARS`` characters, so a worker holds the
+segments of one slice, not those of a whole batch.
 
 Defined results: null and empty texts have no ids; repeated rows have equal ids;
 a text that holds the marker character itself decodes to blanks there, as with
@@ -38,6 +45,8 @@ from .segments import SegmentEncoder
 from .tables import fresh, read
 
 MARK = "▁"
+#: Characters of texts whose segments are held at a time.
+SLICE_CHARS = 1 << 20
 # Fixed values of the model format: piece types, model types.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
@@ -174,13 +183,15 @@ class Codec:
         if verify:
             import sentencepiece
             self.other = sentencepiece.SentencePieceProcessor(model_proto=raw)
-        self.differing: set[str] = set()
+        # Whether comparing each distinct segment says as much as comparing the whole text.
+        self.by_segment = (self.independent and m.model_type == BPE and not m.charsmap and not m.remove_extra_whitespaces)
+        self.differing: set[str] = set()          # segments of the store on which the libraries differ
         # Lengths in bytes of the normalised text.
         weight = np.array([1 if p.type == BYTE else len(p.text.encode()) for p in m.pieces], np.int64)
         # Ids of unknown characters have no length of their own: without byte fallback nothing is joined.
         joins = self.independent and m.byte_fallback and m.add_dummy_prefix
         self.encoder = SegmentEncoder(self._encode_segments, weight, lambda x: len(x.encode("utf-8")),
-                                      lambda x: joins and x[0] == MARK and x[-1] != MARK)
+                                      lambda x: joins and x[0] == MARK and x[-1] != MARK, on_clear=self.differing.clear)
 
     @staticmethod
     def _spelled(p: Piece) -> bytes:
@@ -204,7 +215,7 @@ class Codec:
 
     def _encode_segments(self, segments: list[str]) -> list[list[int]]:
         ids = [e.ids for e in self.tokenizer.encode_batch_fast(segments, add_special_tokens=False)]
-        if self.other is not None:
+        if self.other is not None and self.by_segment:
             # The library puts the dummy prefix in front itself.
             drop = 1 if self.model.add_dummy_prefix else 0
             theirs = self.other.encode([s[drop:].replace(MARK, " ") for s in segments])
@@ -220,9 +231,22 @@ class Codec:
 
     def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, bool]]:
         """(ids, whether both libraries agree) of each text."""
+        at = 0
+        while at < len(texts):
+            stop, size = at + 1, len(texts[at])
+            while stop < len(texts) and size + len(texts[stop]) <= SLICE_CHARS:
+                size += len(texts[stop])
+                stop += 1
+            yield from self._encode_slice(texts[at:stop])
+            at = stop
+
+    def _encode_slice(self, texts: list[str]) -> Iterator[tuple[np.ndarray, bool]]:
         split = [self.split(self.normalise(t)) for t in texts]
-        for segments, ids in zip(split, self.encoder.texts(split)):
-            yield ids, not self.differing or self.differing.isdisjoint(segments)
+        for text, segments, ids in zip(texts, split, self.encoder.texts(split)):
+            if self.other is None or self.by_segment:
+                yield ids, not self.differing or self.differing.isdisjoint(segments)
+            else:
+                yield ids, self.other.encode(text) == ids.tolist()
 
     def decode(self, ids) -> str:
         text = b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
@@ -275,17 +299,20 @@ def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """All columns of ``docs`` and the column ``piece_ids`` (another name where that is taken)."""
+    """All columns of ``docs`` and the columns ``piece_ids`` and ``parity`` (other names where those are taken)."""
     path = path or default_model()
-    name, = fresh(docs, "piece_ids")
+    ids_name, parity_name, both = fresh(docs, "piece_ids", "parity", "encoded")
 
-    @F.pandas_udf("array<int>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("piece_ids array<int>, parity boolean")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         c = codec(path)
         for texts in batches:
-            yield pd.Series([ids.astype(np.int32) for ids, _ in c.encode([t or "" for t in texts])], dtype=object)
+            found = [(ids.astype(np.int32), same) for ids, same in c.encode([t or "" for t in texts])]
+            yield pd.DataFrame({"piece_ids": pd.Series([x for x, _ in found], dtype=object),
+                                "parity": np.array([x for _, x in found], bool)})
         c.encoder.clear()
-    return docs.withColumn(name, run(F.col("text")))
+    return docs.withColumn(both, run(F.col("text"))).select(
+        *[F.col(f"`{c}`") for c in docs.columns], F.col(f"{both}.piece_ids").alias(ids_name), F.col(f"{both}.parity").alias(parity_name))
 
 
 def decode(encoded: DataFrame, ids_col: str = "piece_ids", path: str | None = None) -> DataFrame:
