@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at a time.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def by_bytes(batches: Iterable[pa.RecordBatch], column: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
