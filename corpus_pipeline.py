@@ -3,7 +3,7 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which ``run``
 writes to the shared checkpoint folder as Parquet and reads again as the next
 stage's documents.  All stages but the last return the columns of the documents;
-the last adds the piece ids and their number.  Rows with null or empty text are
+the last adds the piece ids, their parity and their number.  Rows with null or empty text are
 ordinary rows of every stage (the quality rules reject them); an empty table
 passes through all stages.
 """
@@ -37,9 +37,9 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with their piece ids and the number of these."""
+    """The documents with their piece ids, whether both libraries agree on them, and the number of ids."""
     out = spm.encode(docs)
-    ids = out.columns[-1]
+    ids = out.columns[-2]
     n, = tables.fresh(out, "n_pieces")
     return out.withColumn(n, F.size(ids).cast("long"))
 
