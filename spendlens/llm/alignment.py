@@ -19,11 +19,11 @@ Steps (exact-text deduplication)
    thousand, are joined by broadcast; so no key of the shuffled join is hot.
 
 Most of a text are words that occur again and again.  Neither tokenizer has a
-token that reaches from a non-blank into a blank after it (for B: where no piece
-holds that blank behind its first characters, which is read off the model), so the
-text falls into segments there, each distinct segment is aligned once while it is
-held, and a text's result is put together from those of its segments.  The store
-is cleared at a bound.
+token that reaches from a non-blank into a blank after it, or from a letter into
+one of certain marks after it (for B: where no piece holds the two in a row, which
+is read off the model).  The text falls into segments there, each distinct segment
+is aligned once while it is held, and a text's result is put together from those
+of its segments.  The store is cleared at a bound.
 
 The table of pair counts is read by the tasks from the shared folder, in slices of
 ``SLICE_PAIRS`` pairs; with more pairs than that, step 3 runs once per slice and
@@ -42,6 +42,7 @@ import hashlib
 import re
 import uuid
 from dataclasses import dataclass
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -52,7 +53,7 @@ from ..session import scratch_path
 from .chunks import by_bytes
 from .spm import BYTE, CONTROL, MARK, NORMAL, UNKNOWN, parse_model
 from .tables import read, written
-from .tokenbin import BLANKS, _filesystem
+from .tokenbin import BLANKS, LETTER, POINT, _filesystem
 
 #: Segments and bytes of segments held, segments encoded as one text, bytes of texts at a time, pairs read at a time.
 HELD, HELD_BYTES, JOINED, TEXT_BYTES, SLICE_PAIRS = 200_000, 16 << 20, 500, 2 << 20, 4_000_000
@@ -106,10 +107,15 @@ class Aligner:
         cut = {c for c in BLANKS if c not in inside and c != " "} | ({" "} if independent else set())
         blank, stuck = re.escape("".join(sorted(BLANKS))), re.escape("".join(sorted(BLANKS - cut)))
         more = f"(?:[{stuck}][{blank}]*+[^{blank}]*+)*+" if stuck else ""
-        self.split = re.compile(f"[{blank}]*+[^{blank}]++{more}|[{blank}]++").findall
+        points = "".join(c for c in POINT if not any(re.search(f"[{LETTER}]{re.escape(c)}", t) for t in several))
+        word = f"[{blank}]*+[{LETTER}]++(?=[{re.escape(points)}])|" if points else ""
+        self.split = re.compile(f"{word}[{blank}]*+[^{blank}]++{more}|[{blank}]++").findall
+        self.first = cut | {" "}                  # first characters of segments that may follow any that end in no blank
+        self.before = self.b.encode("a")
         self.len_a = np.array([len(x) for x in self.bytes_a], np.int64)
         self.len_b = np.array([len(x) for x in self.bytes_b], np.int64)
-        self.pairs = None
+        self.names = [str(i) for i in range(max(len(self.len_a), len(self.len_b)))]
+        self.pairs, self.told = None, False
         self.clear()
 
     def clear(self) -> None:
@@ -122,29 +128,33 @@ class Aligner:
         self.keys: list[np.ndarray] = []          # pairs of the links, in order of the segments
         self.weight = np.zeros(1 << 12, np.int64)
 
-    def beside(self, pairs) -> None:
-        """Counts to look links up in: sorted keys, counts, whether best (None: no look-up)."""
-        if pairs is not self.pairs:
-            self.clear()
-            self.pairs = pairs
+    def begin(self, pairs=None, told: bool = False) -> None:
+        """Clear the store.  ``pairs``: counts to look links up in (sorted keys, counts,
+        whether best); ``told``: whether the groups are wanted as text."""
+        self.pairs, self.told = pairs, told
+        self.clear()
 
     def _encoded(self, text: str) -> tuple[list[int], list[int]]:
-        """Ids of A and B of a segment or several; blank-first texts lose their blank to B's own."""
-        a = self.a.encode(text, add_special_tokens=False).ids
+        """Ids of A and B of a segment or several in a row.  B puts a blank in front by itself."""
+        a = self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids
         if text == " ":
             return a, [self.mark]
         if text[0] == " ":
             return a, self.b.encode(text[1:])
-        b = self.b.encode(text)
-        return a, b[1:] if b and b[0] == self.mark else []
+        if text[0] in BLANKS:
+            b = self.b.encode(text)
+            return a, b[1:] if b and b[0] == self.mark else []
+        b = self.b.encode("a" + text)             # a mark, cut off behind a letter
+        return a, b[len(self.before):] if b[:len(self.before)] == self.before else []
 
     def _reads(self, a, b, raw: bytes) -> bool:
         return (b"".join(map(self.bytes_a.__getitem__, a)) == raw and b"".join(map(self.bytes_b.__getitem__, b)) == raw)
 
     def _add(self, new: list[str]) -> None:
-        joined = [x for x in new if x[0] == " " and x[-1] not in BLANKS and MARK not in x]
+        ok = [x[0] in self.first and x[-1] not in BLANKS and MARK not in x for x in new]
+        joined = [x for x, y in zip(new, ok) if y]
         groups = [joined[i:i + JOINED] for i in range(0, len(joined), JOINED)]
-        groups += [[x] for x in new if x[0] != " " or x[-1] in BLANKS or MARK in x]
+        groups += [[x] for x, y in zip(new, ok) if not y]
         order, sizes, all_a, all_b, good = [], [], [], [], []
         while groups:
             g = groups.pop()
@@ -178,7 +188,8 @@ class Aligner:
         """Figures, link pairs and groups of segments that end at the given bytes of one line of tokens."""
         la, lb = self.len_a[a], self.len_b[b]
         end_a, end_b = np.cumsum(la), np.cumsum(lb)
-        both_a, both_b = np.isin(end_a, end_b), np.isin(end_b, end_a)
+        both_a = end_b[np.minimum(np.searchsorted(end_b, end_a), len(b) - 1)] == end_a if len(b) else np.zeros(len(a), bool)
+        both_b = end_a[np.minimum(np.searchsorted(end_a, end_b), len(a) - 1)] == end_b if len(a) else np.zeros(len(b), bool)
         low, high = np.searchsorted(end_b, end_a - la, "right"), np.searchsorted(end_b - lb, end_a, "left")
         n = high - low
         total = np.cumsum(n)
@@ -197,23 +208,24 @@ class Aligner:
             hit = known[at] == pairs if len(known) else np.zeros(len(pairs), bool)
             stats[:, 4] = np.diff(np.concatenate([[0], np.cumsum(hit & best[at])])[upto_links], prepend=0)
             stats[:, 5] = np.diff(np.concatenate([[0], np.cumsum(np.where(hit, count[at], 0))])[upto_links], prepend=0)
+        if not self.told:
+            return stats, pairs, []
         # Groups as text: ids with commas, A|B.
-        names_a, names_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
+        name = self.names.__getitem__
+        names_a, names_b = list(map(name, a.tolist())), list(map(name, b.tolist()))
         cut_a, cut_b = (np.flatnonzero(both_a) + 1).tolist(), (np.flatnonzero(both_b) + 1).tolist()
         told, i, j = [], 0, 0
         for x, y in zip(cut_a, cut_b):
-            told.append(f"{','.join(names_a[i:x])}|{','.join(names_b[j:y])}")
+            told.append(f"{names_a[i] if x == i + 1 else ','.join(names_a[i:x])}|{names_b[j] if y == j + 1 else ','.join(names_b[j:y])}")
             i, j = x, y
         stops = np.cumsum(stats[:, 2]).tolist()
-        texts = [";".join(told[i:j]) for i, j in zip([0, *stops], stops)]
-        return stats, pairs, texts
+        return stats, pairs, [";".join(told[i:j]) for i, j in zip([0, *stops], stops)]
 
     def slots(self, split: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """(segment numbers of the texts in one line, ends of the texts)."""
-        line = [s for one in split for s in one]
+        line = list(chain.from_iterable(split))
         ends = np.cumsum(np.fromiter(map(len, split), np.int64, len(split)))
-        get = self.slot.get
-        at = np.fromiter((get(s, -1) for s in line), np.int64, len(line))
+        at = np.fromiter(map(self.slot.get, line, repeat(-1)), np.int64, len(line))
         unknown = np.flatnonzero(at < 0)
         if len(unknown):
             new = list(dict.fromkeys(line[i] for i in unknown.tolist()))
@@ -278,8 +290,7 @@ def text_key(text: str):
 def _counts(models: Models):
     def run(batches):
         al = aligner(models)
-        al.clear()
-        al.beside(None)
+        al.begin()
 
         def out():
             keys, n = al.counted()
@@ -328,7 +339,7 @@ FIGURES = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
 def _measured(models: Models, folder: str, with_groups: bool):
     def run(batches):
         al = aligner(models)
-        al.beside(_pair_table(folder))
+        al.begin(_pair_table(folder), told=True)
         for b in by_bytes(batches, 1, TEXT_BYTES):
             figures, groups = al.measures(b.column(1).to_pylist())
             cols = [b.column(0), *(pa.array(figures[:, i]) for i in range(6)),
