@@ -120,15 +120,23 @@ def web_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
                  _count_if(F.col("l_linestatus") == "F").alias("nb_of_poslite_items_ordered")))
 
 
-def leads_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    q, tax, k = F.col("l_quantity"), F.col("l_tax"), F.col("k")
-    done = F.col("l_linestatus") == "F"
+LEAD_TEXT = ("campaign_name", "channel_3", "channel_4", "channel_5")
+
+
+def _with_lead_text(lines: DataFrame) -> DataFrame:
+    k = F.col("k")
     m = k % 3
-    lines = _fact_lines(spark, sf_dir, True).withColumns({
+    return lines.withColumns({
         "campaign_name": F.when(k % 4 == 0, F.concat(F.lit("Lead  Campaign_"), k.cast("string"))),
         "channel_3": F.when(m == 0, "Search ").when(m == 1, "fb"),
         "channel_4": F.when(m == 0, "search  prospecting").when(m == 1, "fb\u00a0prospecting"),
         "channel_5": F.when(m == 0, "search  prospecting  Generic ").when(m == 1, "fb prospecting Video")})
+
+
+def leads_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q, tax = F.col("l_quantity"), F.col("l_tax")
+    done = F.col("l_linestatus") == "F"
+    lines = _with_lead_text(_fact_lines(spark, sf_dir, True))
     return (lines.groupBy("date", "country_code", "campaign_id", "campaign_name", "channel_3", "channel_4",
                           "channel_5")
             .agg(_money(F.col("l_extendedprice"), tax).alias("total_spend"),
@@ -179,6 +187,31 @@ def web_load_history(spark: SparkSession, sf_dir: str) -> DataFrame:
                      + F.make_dt_interval(F.col("l.v"), F.lit(6))).alias("_etl_loaded_at")))
 
 
+def leads_load_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads (column ``load``) of the leads fact: finished lines one day after
+    the date, all lines two days after it, and for every fifth campaign a third load
+    with the second one's time that counts one lead more."""
+    q, k = F.col("l_quantity"), F.col("k")
+    done = F.col("l_linestatus") == "F"
+    amount = F.col("l_extendedprice").cast("decimal(12,2)") * F.col("l_tax").cast("decimal(4,2)")
+    lines = _with_lead_text(_fact_lines(spark, sf_dir, True))
+    agg = (lines.groupBy("date", "country_code", "campaign_id", *LEAD_TEXT)
+           .agg(F.count(F.when(done, 1)).alias("n1"), F.max(k % 5 == 0).cast("long").alias("n3"),
+                F.sum(F.when(done, amount)).cast("decimal(18,4)").alias("s1"), F.sum(amount).cast("decimal(18,4)").alias("s2"),
+                F.sum(F.when(done, q)).cast("bigint").alias("q1"), F.sum(q).cast("bigint").alias("q2")))
+
+    def load(number: int, n: str, spend: str, count: str, days: int, more: int = 0) -> Column:
+        return F.struct(F.lit(f"load-{number}").alias("load"), F.col(n).alias("n"), F.col(spend).alias("total_spend"),
+                        (F.col(count) * 100).alias("total_impressions"), (F.col(count) + more).alias("total_leads"),
+                        F.lit(days).alias("days"))
+    loads = F.array(load(1, "n1", "s1", "q1", 1), load(2, "n2", "s2", "q2", 2), load(3, "n3", "s2", "q2", 2, 1))
+    return (agg.withColumn("n2", F.lit(1).cast("long")).select("date", "country_code", "campaign_id", *LEAD_TEXT, F.explode(loads).alias("l"))
+            .where(F.col("l.n") > 0)
+            .select("date", "country_code", "campaign_id", *LEAD_TEXT, "l.total_spend", "l.total_impressions", "l.total_leads",
+                    (F.col("date").cast("timestamp_ntz") + F.make_dt_interval(F.col("l.days"), F.lit(6))).alias("_etl_loaded_at"),
+                    "l.load"))
+
+
 def raw_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dirty id spellings derived from every part key: float suffixes, blanks,
     scientific notation, NA spellings and text with digits."""

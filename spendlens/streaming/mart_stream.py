@@ -27,9 +27,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..plans.incremental import on_dates, path_exists, read_target, replace_dates, write_target
+from ..plans.incremental import on_dates, read_target, replace_dates, write_target
 from ..plans.mart import build_mart
 from ..session import cut_lineage, scratch_path
+from ..sources.versions import VersionedTable
 from ..sources.schemas import LEADS_FUNNEL, WEB_ORDERS
 
 WEB_COLS = [f.name for f in WEB_ORDERS.fields]
@@ -72,7 +73,7 @@ def refresh_batch(spark: SparkSession, batch: DataFrame, epoch: int, channels: D
     web = stored.where(F.col("source") == "web").select(*WEB_COLS)
     leads = stored.where(F.col("source") == "leads").select(*LEADS_COLS)
     new = build_mart(web, leads, channels)
-    if path_exists(spark, target_path):
+    if VersionedTable(spark, target_path).current() is not None:
         replace_dates(spark, target_path, new, dates)
     else:
         write_target(spark, new, target_path)

@@ -8,7 +8,7 @@ import regex
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from spendlens.plans.incremental import (build_target, changed_dates, date_marks, incremental_refresh, marks_path,
+from spendlens.plans.incremental import (build_target, changed_dates, date_marks, incremental_refresh, keyless_side, marks_path,
                                          path_exists, read_target)
 from spendlens.plans.mart import MART_COLUMNS, build_mart
 from spendlens.session import scratch_path
@@ -27,7 +27,7 @@ def test_entry_smoke(spark):
 
 def test_mart_unique_on_country_grain(spark, sf_small):
     m = build_mart(*_sources(spark, sf_small))
-    dup = m.groupBy("date", "campaign_id", "country_code").count().where("count > 1")
+    dup = m.groupBy("date", "campaign_id", "country_code", keyless_side(m).alias("side")).count().where("count > 1")
     assert dup.isEmpty()
     # every fact row is represented: web rows + leads rows - matched pairs
     web, leads, _ = _sources(spark, sf_small)
@@ -153,7 +153,8 @@ def test_point_lookup_pushes_filters(spark, sf_small):
 
 
 def test_run_daily_order_and_outputs(spark, sf_small):
-    from spendlens.plans.daily import ChecksFailed, run_daily
+    from spendlens.plans.daily import ChecksFailed, LoadedSource, run_daily
+    from spendlens.sources.versions import VersionedTable
     web, leads, ch = _sources(spark, sf_small)
     base = scratch_path(spark, f"daily_{uuid.uuid4().hex}")
     paths = {k: f"{base}/{k}" for k in ("report", "web_history", "leads_history", "mart")}
@@ -161,7 +162,7 @@ def test_run_daily_order_and_outputs(spark, sf_small):
     w, l = fx.with_loaded_at(web), fx.with_loaded_at(leads)
     with pytest.raises(ChecksFailed) as stopped:
         run_daily(spark, w, l, ch, paths, now)
-    assert not path_exists(spark, paths["mart"]) and not path_exists(spark, paths["web_history"])
+    assert VersionedTable(spark, paths["mart"]).current() is None and not path_exists(spark, paths["web_history"])
     known = stopped.value.rows + [("freshness", t, "_etl_loaded_at") for t in ("web_orders", "leads_funnel")]
     half = F.col("date") < F.lit(dt.date(1996, 1, 1))
     # A delta first, then a full copy, which is run twice: no row is lost, none counts twice.
@@ -170,7 +171,7 @@ def test_run_daily_order_and_outputs(spark, sf_small):
         out = run_daily(spark, w, l, ch, paths, now, "load-2", known)
         assert _sorted(out["mart"]) == _sorted(build_mart(web, leads, ch))
         assert out["web_history"].where("is_current").count() == web.count() == out["web_history"].count()
-    assert spark.read.parquet(paths["web_history"]).count() == web.count() + web.where(half).count()
+    assert LoadedSource(spark, paths["web_history"], (), ()).landing.read().count() == web.count() + web.where(half).count()
 
 
 def test_csv_by_header_quotes_and_corrupt_rows(spark, tmp_path):
