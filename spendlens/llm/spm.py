@@ -40,13 +40,15 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructType
 
+from .chunks import by_bytes
 from .segments import SegmentEncoder
 from .tables import fresh, read
 
 MARK = "▁"
-#: Characters of texts whose segments are held at a time.
-SLICE_CHARS = 1 << 20
+#: Characters of texts whose segments are held at a time, distinct segments kept.
+SLICE_CHARS, HELD = 1 << 20, 150_000
 # Fixed values of the model format: piece types, model types.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
@@ -191,7 +193,7 @@ class Codec:
         # Ids of unknown characters have no length of their own: without byte fallback nothing is joined.
         joins = self.independent and m.byte_fallback and m.add_dummy_prefix
         self.encoder = SegmentEncoder(self._encode_segments, weight, lambda x: len(x.encode("utf-8")),
-                                      lambda x: joins and x[0] == MARK and x[-1] != MARK, on_clear=self.differing.clear)
+                                      lambda x: joins and x[0] == MARK and x[-1] != MARK, held=HELD, on_clear=self.differing.clear)
 
     @staticmethod
     def _spelled(p: Piece) -> bytes:
@@ -284,7 +286,7 @@ def _digests(path: str):
     def run(batches):
         c = codec(path)
         is_byte = np.array([p.type == BYTE for p in c.model.pieces])
-        for b in batches:
+        for b in by_bytes(batches, 1):
             doc_ids, texts = b.column(0).to_pylist(), [t or "" for t in b.column(1).to_pylist()]
             rows = [(d, len(t), len(ids), int(is_byte[ids].sum()), zlib.crc32(ids.astype("<u4").tobytes()), same,
                      c.decode(ids.tolist()) == c.plain(t)) for d, t, (ids, same) in zip(doc_ids, texts, c.encode(texts))]
@@ -301,18 +303,21 @@ def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
 def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     """All columns of ``docs`` and the columns ``piece_ids`` and ``parity`` (other names where those are taken)."""
     path = path or default_model()
-    ids_name, parity_name, both = fresh(docs, "piece_ids", "parity", "encoded")
+    ids_name, parity_name = fresh(docs, "piece_ids", "parity")
+    names = [*docs.columns, ids_name, parity_name]
+    at = docs.columns.index("text")
 
-    @F.pandas_udf("piece_ids array<int>, parity boolean")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def run(batches):
         c = codec(path)
-        for texts in batches:
-            found = [(ids.astype(np.int32), same) for ids, same in c.encode([t or "" for t in texts])]
-            yield pd.DataFrame({"piece_ids": pd.Series([x for x, _ in found], dtype=object),
-                                "parity": np.array([x for _, x in found], bool)})
+        for b in by_bytes(batches, at):
+            found = list(c.encode([t or "" for t in b.column(at).to_pylist()]))
+            ends = np.cumsum([0, *(len(ids) for ids, _ in found)])
+            ids = np.concatenate([np.zeros(0, np.uint32), *(ids for ids, _ in found)]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids)),
+                                              pa.array([same for _, same in found], pa.bool_())], names)
         c.encoder.clear()
-    return docs.withColumn(both, run(F.col("text"))).select(
-        *[F.col(f"`{c}`") for c in docs.columns], F.col(f"{both}.piece_ids").alias(ids_name), F.col(f"{both}.parity").alias(parity_name))
+    schema = StructType(docs.schema.fields).add(ids_name, ArrayType(IntegerType())).add(parity_name, "boolean")
+    return docs.mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, ids_col: str = "piece_ids", path: str | None = None) -> DataFrame:
