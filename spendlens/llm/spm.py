@@ -316,7 +316,7 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids)),
                                               pa.array([same for _, same in found], pa.bool_())], names)
         c.encoder.clear()
-    schema = StructType(docs.schema.fields).add(ids_name, ArrayType(IntegerType())).add(parity_name, "boolean")
+    schema = StructType(list(docs.schema.fields)).add(ids_name, ArrayType(IntegerType())).add(parity_name, "boolean")
     return docs.mapInArrow(run, schema)
 
 
