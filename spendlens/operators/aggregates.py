@@ -2,7 +2,7 @@
 
 All are hash/sort aggregates with partial (map-side) aggregation, so a key
 holding a large share of the rows is reduced before it is shuffled.  Lists of
-values are only built over already-distinct (key, value) pairs.
+values are built over already-distinct (key, value) pairs, and only up to a bound.
 """
 
 from __future__ import annotations
@@ -13,6 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import null_sentinel
+from ..session import cut_lineage
+from .joins import broadcast_if_small
+
+#: Values of one key and column that are listed in one row.
+LIST_MAX = 10_000
 
 
 def mode_non_null(c) -> Column:
@@ -57,6 +62,19 @@ def count_distinct(c, approx: bool = False, rsd: float = 0.01) -> Column:
     return F.approx_count_distinct(col, rsd) if approx else F.count_distinct(col)
 
 
+def distinct_sketches(df: DataFrame, by: Sequence[str], cols: Sequence[str], lg_k: int = 12) -> DataFrame:
+    """HyperLogLog sketches of the distinct values of ``cols`` per group (A-9): a few
+    KB a group, mergeable, so coarser groups come from these rows without the facts.
+    Relative standard error about 1.04 / sqrt(2 ** lg_k): 1.6 % at 12."""
+    return df.groupBy(*by).agg(*[F.hll_sketch_agg(F.col(c), lg_k).alias(f"{c}_sketch") for c in cols])
+
+
+def roll_up_sketches(sketches: DataFrame, by: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """Estimated distinct values per coarser group, from merged sketches (A-9)."""
+    return sketches.groupBy(*by).agg(*[F.hll_sketch_estimate(F.hll_union_agg(f"{c}_sketch")).alias(f"{c}_distinct")
+                                       for c in cols])
+
+
 def distinct_values(c, sep: str | None = None) -> Column:
     """Sorted distinct values with null shown as ``<<NaN>>`` (A-10); joined by
     ``sep`` when given."""
@@ -64,42 +82,58 @@ def distinct_values(c, sep: str | None = None) -> Column:
     return F.array_join(arr, sep) if sep is not None else arr
 
 
+def value_counts(df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
+    """Profile in long form: (key, profile_col, value, n), one row for each distinct
+    value of each column under each key (A-10 .. A-13, U-4); nulls show as ``<<NaN>>``.
+
+    One pass, one exchange.  Rows are counted before it, and it deals by value as
+    well as key, so the null key's values spread over all tasks.
+    """
+    return (df.select(null_sentinel(key).alias(key), *[null_sentinel(c).alias(f"_v_{c}") for c in cols])
+            .select(key, F.explode(F.array(*[F.struct(F.lit(c).alias("profile_col"), F.col(f"_v_{c}").alias("value"))
+                                             for c in cols])).alias("_x"))
+            .groupBy(key, F.col("_x.profile_col").alias("profile_col"), F.col("_x.value").alias("value"))
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+def listed(counts: DataFrame, key: str, sep: str | None = None, max_list: int = LIST_MAX) -> DataFrame:
+    """(key, profile_col, col_values, col_nunique) from the long form.
+
+    A list is built only where it has at most ``max_list`` values; longer ones are
+    null (their number is given, and the long form has the values).  Numbers are
+    counted before the exchange, so no task sees the values of a large group.
+    """
+    counts = cut_lineage(counts)
+    over = (counts.groupBy(key, "profile_col").agg(F.count(F.lit(1)).alias("col_nunique"))
+            .where(F.col("col_nunique") > max_list))
+    keys = broadcast_if_small(over.select(key, "profile_col"))
+    values = F.sort_array(F.collect_list("value"))
+    short = (counts.join(keys, [key, "profile_col"], "left_anti").groupBy(key, "profile_col")
+             .agg((F.array_join(values, sep) if sep is not None else values).alias("col_values"),
+                  F.count(F.lit(1)).alias("col_nunique")))
+    return short.unionByName(over, allowMissingColumns=True)
+
+
 def profile_by(df: DataFrame, key: str, profile_cols: Sequence[str], other: str,
-               sep: str | None = None) -> DataFrame:
-    """Profile of several columns against a key in one pass (A-11, A-12, U-4).
+               sep: str | None = None, max_list: int = LIST_MAX) -> DataFrame:
+    """Profile of several columns against a key (A-11, A-12, U-4).
 
     Output per (profile_col, key): distinct values/count of the profiled column
-    and of ``other``; nulls count as ``<<NaN>>`` and a null key is kept.
-    The columns are unpivoted once, deduplicated to distinct (key, value)
-    pairs, then listed.
+    and of ``other``; nulls count as ``<<NaN>>`` and a null key is kept.  Lists of
+    more than ``max_list`` values are null (``value_counts`` has them all).
     """
-    k = null_sentinel(key).alias(key)
-    stacked = (df.select(k, null_sentinel(other).alias("_other"),
-                         *[null_sentinel(c).alias(c) for c in profile_cols])
-               .unpivot([key, "_other"], list(profile_cols), "profile_col", "_val"))
-    vals = stacked.select(key, "profile_col", "_val").distinct()
-    others = df.select(k, null_sentinel(other).alias("_other")).distinct()
-    v = (vals.groupBy(key, "profile_col")
-         .agg(F.sort_array(F.collect_list("_val")).alias("col_values"),
-              F.count(F.lit(1)).alias("col_nunique")))
-    o = (others.groupBy(key)
-         .agg(F.sort_array(F.collect_list("_other")).alias(f"{other}_values"),
-              F.count(F.lit(1)).alias(f"{other}_nunique")))
-    out = v.join(o, key, "left")
-    if sep is not None:
-        out = out.withColumns({"col_values": F.array_join("col_values", sep),
-                               f"{other}_values": F.array_join(f"{other}_values", sep)})
-    return out
-
-
-def cardinality(df: DataFrame, key: str, value: str, sep: str | None = None) -> DataFrame:
-    """Per key (null as ``<<NaN>>``): distinct values of ``value`` and their
-    count (A-13); values only listed after a distinct (key, value) pass."""
-    pairs = df.select(null_sentinel(key).alias(key), null_sentinel(value).alias(value)).distinct()
-    arr = F.sort_array(F.collect_list(value))
-    return (pairs.groupBy(key)
-            .agg((F.array_join(arr, sep) if sep is not None else arr).alias(f"{value}_values"),
-                 F.count(F.lit(1)).alias(f"{value}_nunique")))
+    prof = listed(value_counts(df, key, [*profile_cols, other]), key, sep, max_list)
+    o = prof.where(F.col("profile_col") == other).select(
+        F.col(key).alias("_key"), F.col("col_values").alias(f"{other}_values"), F.col("col_nunique").alias(f"{other}_nunique"))
+    v = prof.where(F.col("profile_col") != other)
+    return v.join(o, v[key] == o["_key"], "left").drop("_key")
+
+
+def cardinality(df: DataFrame, key: str, value: str, sep: str | None = None, max_list: int = LIST_MAX) -> DataFrame:
+    """Per key (null as ``<<NaN>>``): distinct values of ``value`` and their count
+    (A-13); a list of more than ``max_list`` values is null."""
+    return listed(value_counts(df, key, [value]), key, sep, max_list).select(
+        key, F.col("col_values").alias(f"{value}_values"), F.col("col_nunique").alias(f"{value}_nunique"))
 
 
 def duplicate_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -7,8 +7,10 @@ Design rules
 * Funnel combination never emits all pairs of a key: each side contributes at
   most its best row per key, chosen by a partial (map-side) aggregate, so a
   hot key is reduced before the shuffle.
-* Rows whose equi-key is null can never match; they bypass the shuffle instead
-  of piling into the single partition that hashes null.
+* Rows whose equi-key is null can never match; past the broadcast bound they
+  bypass the shuffle instead of piling into the one partition that hashes null, and
+  keys that hold more than a thousandth of the rows, of which there are fewer than
+  a thousand, are joined by broadcast (``left_lookup``).
 """
 
 from __future__ import annotations
@@ -18,11 +20,23 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 # Bounds of a side to be broadcast (dimension tables, maps keyed by campaign).
 BROADCAST_MAX_ROWS = 250_000
 BROADCAST_MAX_BYTES = 64 << 20
 
 
+def _sized(df: DataFrame, max_rows: int, materialize: bool, max_bytes: int = BROADCAST_MAX_BYTES) -> tuple[bool, DataFrame]:
+    """(whether ``df`` is within the bounds, ``df``, checkpointed with ``materialize``)."""
+    if materialize:
+        df = cut_lineage(df)
+    text = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 16 for c in df.columns]
+    size = (df.limit(max_rows + 1).select(sum(text, F.lit(0)).alias("b"))
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("b")).first())
+    return size.n <= max_rows and (size.b or 0) <= max_bytes, df
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
                        materialize: bool = False, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Broadcast hint only when ``df`` has at most ``max_rows`` rows and
@@ -33,13 +47,44 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
     check nor the join recomputes its (long) lineage.  Without the hint the
     facts would be shuffled before AQE could see that the other side is small.
     """
-    if materialize:
-        from ..session import cut_lineage
-        df = cut_lineage(df)
-    text = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 16 for c in df.columns]
-    size = (df.limit(max_rows + 1).select(sum(text, F.lit(0)).alias("b"))
-            .agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("b")).first())
-    return F.broadcast(df) if size.n <= max_rows and (size.b or 0) <= max_bytes else df
+    small, df = _sized(df, max_rows, materialize, max_bytes)
+    return F.broadcast(df) if small else df
+
+
+#: A key with more than this share of the rows is hot; fewer keys than its inverse can be.
+HOT_SHARE = 0.001
+
+
+def left_lookup(df: DataFrame, ref: DataFrame, key: str, ref_key: str, null_safe: bool = False,
+                max_rows: int = BROADCAST_MAX_ROWS, materialize: bool = False) -> DataFrame:
+    """Left join to a reference that is unique per ``ref_key`` (dropped again).
+
+    A reference within the bound is broadcast.  Beyond it the streamed side is split
+    in three: rows without key get nulls without an exchange (they match nothing,
+    or with ``null_safe`` the one row without key); rows of hot keys, found by a
+    counting pass with sums before the exchange, meet their few reference rows by
+    broadcast; only the rest is shuffled, in which no key is hot.
+    """
+    small, ref = _sized(ref, max_rows, materialize)
+    if small:
+        cond = df[key].eqNullSafe(ref[ref_key]) if null_safe else df[key] == ref[ref_key]
+        return df.join(F.broadcast(ref), cond, "left").drop(ref_key)
+    known = df.where(F.col(key).isNotNull())
+    counts = cut_lineage(known.groupBy(F.col(key).alias("_hot_key")).agg(F.count(F.lit(1)).alias("_n")))
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    # Counts over HOT_SHARE of all rows: fewer than 1 / HOT_SHARE keys.
+    hot = F.broadcast(counts.where(F.col("_n") > HOT_SHARE * total).select("_hot_key"))
+    hot_ref = F.broadcast(ref.join(hot, ref[ref_key] == hot["_hot_key"], "left_semi"))
+    heavy = known.join(hot, known[key] == hot["_hot_key"], "left_semi")
+    light = known.join(hot, known[key] == hot["_hot_key"], "left_anti")
+    none = df.where(F.col(key).isNull())
+    if null_safe:
+        own = F.broadcast(ref.where(F.col(ref_key).isNull()))
+        nulls = none.join(own, F.lit(True), "left")
+    else:
+        nulls = none.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in ref.schema.fields])
+    parts = [heavy.join(hot_ref, heavy[key] == hot_ref[ref_key], "left"), light.join(ref, light[key] == ref[ref_key], "left"), nulls]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).drop(ref_key)
 
 
 def combine_funnels(web: DataFrame, leads: DataFrame,
@@ -120,10 +165,7 @@ def attach_dim(facts: DataFrame, dim: DataFrame, key: str = "campaign_id",
     The dimension is materialised once (checkpoint), its row count bounded,
     and only then broadcast; a larger dimension stays a shuffle join.
     """
-    d = broadcast_if_small(dim.withColumnRenamed(key, "_dim_key"), max_rows, materialize=True)
-    cond = (facts[key].eqNullSafe(d["_dim_key"]) if null_safe
-            else facts[key] == d["_dim_key"])
-    return facts.join(d, cond, "left").drop("_dim_key")
+    return left_lookup(facts, dim.withColumnRenamed(key, "_dim_key"), key, "_dim_key", null_safe, max_rows, materialize=True)
 
 
 def update_from_lookup(df: DataFrame, ref: DataFrame, key: str,
@@ -132,12 +174,9 @@ def update_from_lookup(df: DataFrame, ref: DataFrame, key: str,
     """Overwrite shared columns with the lookup's non-null values (J-5,
     ``DataFrame.update`` semantics): ``coalesce(ref.c, df.c)``."""
     cols = [c for c in (cols or ref.columns) if c != key and c in df.columns and c in ref.columns]
-    r = broadcast_if_small(ref.select(F.col(key).alias("_k"),
-                                      *[F.col(c).alias(f"_r_{c}") for c in cols]), max_rows,
-                           materialize=True)
-    out = df.join(r, df[key] == r["_k"], "left")
-    return out.select(*[F.coalesce(F.col(f"_r_{c}"), df[c]).alias(c) if c in cols else df[c]
-                        for c in df.columns])
+    r = ref.select(F.col(key).alias("_k"), *[F.col(c).alias(f"_r_{c}") for c in cols])
+    out = left_lookup(df, r, key, "_k", max_rows=max_rows, materialize=True)
+    return out.select(*[F.coalesce(f"_r_{c}", c).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
 def fill_from_reference(df: DataFrame, ref: DataFrame, key: str,
@@ -149,12 +188,9 @@ def fill_from_reference(df: DataFrame, ref: DataFrame, key: str,
     cols = [c for c in (cols or ref.columns) if c != key and c in df.columns and c in ref.columns]
     if not cols:
         return df
-    r = broadcast_if_small(ref.select(F.col(key).alias("_k"),
-                                      *[F.col(c).alias(f"_r_{c}") for c in cols]), max_rows,
-                           materialize)
-    out = df.join(r, df[key] == r["_k"], "left")
-    return out.select(*[F.coalesce(df[c], F.col(f"_r_{c}")).alias(c) if c in cols else df[c]
-                        for c in df.columns])
+    r = ref.select(F.col(key).alias("_k"), *[F.col(c).alias(f"_r_{c}") for c in cols])
+    out = left_lookup(df, r, key, "_k", max_rows=max_rows, materialize=materialize)
+    return out.select(*[F.coalesce(c, f"_r_{c}").alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
 def restrict_to_overlap(df: DataFrame, other: DataFrame,

@@ -408,6 +408,52 @@ def profile_channels_by_name(spark, sf_dir):
                         ["channel_3", "channel_4", "channel_5"], "campaign_id", sep="|")
 
 
+def _long_sql(src: str, key: str, cols) -> str:
+    return " UNION ALL ".join(
+        f"SELECT coalesce(CAST({key} AS VARCHAR), '<<NaN>>') AS {key}, '{c}' AS profile_col, "
+        f"coalesce(CAST({c} AS VARCHAR), '<<NaN>>') AS value, count(*) AS n FROM {src} GROUP BY ALL" for c in cols)
+
+
+_PROFILED = ("channel_3", "channel_4", "channel_5")
+
+
+@register("profile_leads_long", with_fixtures(*O.PREP_CTES, body=_long_sql("leads_p", "campaign_id", (*_PROFILED, "campaign_name", "country_code"))))
+def profile_leads_long(spark, sf_dir):
+    """Every distinct value of every profiled column per campaign, with its number of rows."""
+    return A.value_counts(I.prepare_leads(fx.leads_funnel(spark, sf_dir)), "campaign_id", [*_PROFILED, "campaign_name", "country_code"])
+
+
+@register("profile_channels_long", with_fixtures(body=_long_sql("channels", "campaign_name", (*_PROFILED, "campaign_id"))))
+def profile_channels_long(spark, sf_dir):
+    return A.value_counts(fx.channels(spark, sf_dir), "campaign_name", [*_PROFILED, "campaign_id"])
+
+
+@register("distinct_rollup", with_fixtures(body="""
+SELECT country_code, count(DISTINCT campaign_id) AS campaigns, count(DISTINCT date) AS days,
+       true AS campaigns_within, true AS days_within
+FROM web GROUP BY country_code"""))
+def distinct_rollup(spark, sf_dir):
+    """Campaigns and days per country: exact, and from daily sketches that are merged
+    without the facts; the estimates lie within five standard errors (8 %)."""
+    web = fx.web_orders(spark, sf_dir)
+    daily = cut_lineage(A.distinct_sketches(web.withColumn("day", F.unix_date("date")), ["date", "country_code"], ["campaign_id", "day"]))
+    est = A.roll_up_sketches(daily, ["country_code"], ["campaign_id", "day"]).withColumnRenamed("country_code", "_c")
+    exact = web.groupBy("country_code").agg(A.count_distinct("campaign_id").alias("campaigns"), A.count_distinct("date").alias("days"))
+    near = lambda e, x: F.abs(F.coalesce(e, F.lit(0)) - x) <= 0.08 * x
+    return (exact.join(est, exact["country_code"].eqNullSafe(est["_c"]))
+            .select("country_code", "campaigns", "days", near(F.col("campaign_id_distinct"), F.col("campaigns")).alias("campaigns_within"),
+                    near(F.col("day_distinct"), F.col("days")).alias("days_within")))
+
+
+@register("attach_dim_large", with_fixtures(*O.DIM_CTES, body="""
+SELECT w.*, d.* EXCLUDE (campaign_id) FROM web w LEFT JOIN dim d ON w.campaign_id = d.campaign_id"""))
+def attach_dim_large(spark, sf_dir):
+    """The channel dimension joined as if it were past the broadcast bound: rows
+    without id apart, hot campaigns by broadcast, the rest shuffled."""
+    dim = dim_campaign_channels(fx.channels(spark, sf_dir))
+    return J.attach_dim(fx.web_orders(spark, sf_dir), dim, max_rows=0)
+
+
 @register("name_id_cardinality", with_fixtures(body="""
 SELECT campaign_name, string_agg(campaign_id, '|' ORDER BY campaign_id) AS campaign_id_values,
        count(*) AS campaign_id_nunique

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from spendlens.operators import aggregates as A
@@ -143,6 +144,67 @@ def test_duplicates_and_profiles(spark):
     assert rows(card, "ch") == [("<<NaN>>", "2", 1), ("x", "1", 1)]
 
 
+def test_profile_of_a_hot_null_key(spark):
+    """A third of the rows have no key, each with a value of its own: counted in all tasks, listed nowhere."""
+    n = 30_000
+    df = spark.range(n).select(F.when(F.col("id") % 3 != 0, F.col("id") % 50).alias("k"), F.col("id").cast("string").alias("v"))
+    long = A.value_counts(df, "k", ["v"])
+    sizes = [r[0] for r in long.repartition(1).groupBy().agg(F.count("*")).collect()]
+    assert sizes == [n]
+    spread = long.where("k = '<<NaN>>'").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in spread) == n // 3
+    got = {r.k: (r.col_values, r.col_nunique) for r in A.listed(long, "k", max_list=1000).collect()}
+    assert got["<<NaN>>"] == (None, n // 3) and len(got) == 51
+    assert sorted(got["7"][0]) == got["7"][0] and len(got["7"][0]) == got["7"][1]
+    prof = A.profile_by(df.withColumn("w", F.lit(None).cast("string")), "k", ["w"], "v", sep="|", max_list=1000)
+    assert {(r.k, r.col_values, r.v_nunique) for r in prof.where("k = '<<NaN>>'").collect()} == {("<<NaN>>", "<<NaN>>", n // 3)}
+
+
+def test_value_counts_deal_by_value(spark):
+    """The exchange of the long form hashes the value, so a null key is no single task."""
+    df = spark.createDataFrame([(None, "x")], "k string, v string")
+    plan = A.value_counts(df, "k", ["v"])._jdf.queryExecution().executedPlan().toString()
+    dealt_by = plan.split("Exchange hashpartitioning(")[1].split(")")[0].split(", ")
+    assert plan.count("Exchange hashpartitioning(") == 1 and len(dealt_by) == 4      # key, column, value; number of partitions
+
+
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_large_lookup_equals_a_plain_join(spark, monkeypatch, null_safe):
+    """Null keys, a hot key with a third of the rows, keys without reference row, a reference row without key."""
+    monkeypatch.setattr(J, "HOT_SHARE", 0.05)
+    n = 3000
+    df = spark.range(n).select("id", F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 3 == 1, "hot")
+                               .otherwise((F.col("id") % 40).cast("string")).alias("k"))
+    ref = spark.createDataFrame([("hot", "H", 1), (None, "N", 2), *[(str(i), f"r{i}", i) for i in range(0, 40, 2)]], "k string, name string, x int")
+    small = J.attach_dim(df, ref, "k", null_safe=null_safe)
+    large = J.attach_dim(df, ref, "k", null_safe=null_safe, max_rows=3)
+    assert small.columns == large.columns and rows(large, "id") == rows(small, "id")
+    assert rows(J.fill_from_reference(df.withColumn("name", F.lit(None).cast("string")), ref, "k", max_rows=3), "id") == rows(
+        J.fill_from_reference(df.withColumn("name", F.lit(None).cast("string")), ref, "k"), "id")
+    assert rows(J.update_from_lookup(df.withColumn("name", F.lit("old")), ref, "k", max_rows=3), "id") == rows(
+        J.update_from_lookup(df.withColumn("name", F.lit("old")), ref, "k"), "id")
+
+
+def test_large_lookup_shuffles_neither_null_nor_hot_keys(spark, monkeypatch):
+    monkeypatch.setattr(J, "HOT_SHARE", 0.05)
+    df = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 3 == 1, "hot").otherwise(F.col("id").cast("string")).alias("k"))
+    ref = spark.range(3000).select(F.col("id").cast("string").alias("k"), F.lit("n").alias("name"))
+    plan = J.attach_dim(df, ref, "k", max_rows=3)._jdf.queryExecution().optimizedPlan().toString()
+    # Three parts; the one without key has no join at all, the hot one and the split by hot keys are broadcast.
+    assert plan.count("Union") >= 1 and plan.count("strategy=broadcast") >= 4
+
+
+def test_sketches_merge_to_any_grain(spark):
+    df = spark.range(40_000).select((F.col("id") % 20).alias("d"), (F.col("id") % 2).alias("g"), (F.col("id") % 7000).alias("v"),
+                                    F.lit(None).cast("long").alias("none"))
+    daily = A.distinct_sketches(df, ["d", "g"], ["v", "none"])
+    for by, exact in ((["g"], 3500), ([], 7000)):
+        for r in A.roll_up_sketches(daily, by, ["v", "none"]).collect():
+            assert abs(r.v_distinct - exact) <= 5 * 0.016 * exact and r.none_distinct == 0
+    # Sketches of sketches: the same as merging all at once.
+    assert rows(A.roll_up_sketches(daily, ["g"], ["v"]), "g") == rows(A.roll_up_sketches(daily.repartition(7), ["g"], ["v"]), "g")
+
+
 def test_best_by_and_snapshot(spark):
     df = spark.createDataFrame([("k", None, "b"), ("k", 3, "a"), ("k", 3, "c"), ("j", None, "z")],
                                "k string, spend int, t string")
