@@ -56,7 +56,7 @@ from .tables import read, written
 from .tokenbin import BLANKS, LETTER, POINT, _filesystem
 
 #: Segments and bytes of segments held, segments encoded as one text, bytes of texts at a time, pairs read at a time.
-HELD, HELD_BYTES, JOINED, TEXT_BYTES, SLICE_PAIRS = 200_000, 16 << 20, 500, 2 << 20, 4_000_000
+HELD, HELD_BYTES, JOINED, TEXT_BYTES, SLICE_PAIRS = 300_000, 16 << 20, 500, 2 << 20, 4_000_000
 
 
 @dataclass(frozen=True)
