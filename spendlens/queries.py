@@ -31,8 +31,8 @@ from .plans import impute as I
 from .plans.facts import dim_campaign_channels, fct_leads, fct_web
 from .plans.daily import LEADS_KEY, LEADS_TRACKED, LOADED_AT, REQUIRED, WEB_KEY, run_daily
 from .plans.history import History
-from .plans.incremental import build_target, incremental_refresh, read_target, refresh_landed, write_target
-from .plans.landing import Landing, MaxState
+from .plans.incremental import build_target, incremental_refresh, lookup, read_target, refresh_landed, write_target
+from .plans.landing import Landing, MaxState, QualityState
 from .plans.mart import build_mart
 from .registry import register
 from .session import cut_lineage, scratch_path
@@ -1047,6 +1047,41 @@ def daily_run(spark, sf_dir):
     return out["mart"]
 
 
+@register("mart_lookup", O.with_fixtures(*O.mart_ctes("country"), body="""
+SELECT * FROM mart WHERE campaign_id = '17' AND date BETWEEN DATE '1995-02-10' AND DATE '1995-04-20'"""))
+def mart_lookup(spark, sf_dir):
+    """One campaign over ten weeks, looked up in the published mart (P-11, P-13)."""
+    path = scratch_path(spark, f"mart_lookup_{uuid.uuid4().hex}")
+    write_target(spark, mart(spark, sf_dir), path)
+    return lookup(spark, path, "17", dt.date(1995, 2, 10), dt.date(1995, 4, 20))
+
+
+@register("quality_by_partition", with_fixtures("""landed_rows AS (
+  SELECT *, CAST(date AS TIMESTAMP) + INTERVAL 30 HOUR AS ts FROM leads
+  UNION ALL SELECT *, CAST(date AS TIMESTAMP) + INTERVAL 54 HOUR FROM leads WHERE date >= DATE '1998-01-01')""",
+    """repeated AS (
+  SELECT count(*) AS n FROM landed_rows WHERE campaign_id IS NOT NULL AND date IS NOT NULL AND country_code IS NOT NULL
+  GROUP BY campaign_id, date, country_code HAVING count(*) > 1)""", body="""
+SELECT 'freshness' AS "check", 'leads' AS table_name, '_etl_loaded_at' AS column_name, CAST(0 AS BIGINT) AS n_violations,
+       CASE WHEN (epoch(TIMESTAMP '2001-08-03 00:00:00') - epoch(max(ts))) / 3600.0 >= 24 THEN 'error'
+            WHEN (epoch(TIMESTAMP '2001-08-03 00:00:00') - epoch(max(ts))) / 3600.0 >= 12 THEN 'warn' ELSE 'pass' END AS status FROM landed_rows
+UNION ALL SELECT 'not_null', 'leads', 'campaign_id', count(*), CASE WHEN count(*) > 0 THEN 'error' ELSE 'pass' END FROM landed_rows WHERE campaign_id IS NULL
+UNION ALL SELECT 'not_null', 'leads', 'country_code', count(*), CASE WHEN count(*) > 0 THEN 'error' ELSE 'pass' END FROM landed_rows WHERE country_code IS NULL
+UNION ALL SELECT 'unique', 'leads', 'campaign_id,date,country_code', count(*), CASE WHEN count(*) > 0 THEN 'error' ELSE 'pass' END FROM repeated"""))
+def quality_by_partition(spark, sf_dir):
+    """Quality figures kept by landed partition: a full load, then the last year again
+    under another load, which repeats its keys (Q-1 .. Q-3)."""
+    path = scratch_path(spark, f"quality_{uuid.uuid4().hex}")
+    leads = cut_lineage(fx.leads_funnel(spark, sf_dir))
+    landing = Landing(spark, f"{path}/landing")
+    state = QualityState(spark, f"{path}/figures", ["campaign_id", "date", "country_code"], ["campaign_id", "country_code"])
+    landing.land(fx.with_loaded_at(leads), "1")
+    state.update(landing)
+    landing.land(fx.with_loaded_at(leads, 54).where(F.col("date") >= F.lit(dt.date(1998, 1, 1))), "2")
+    state.update(landing)
+    return state.report("leads", dt.datetime(2001, 8, 3))
+
+
 @register("landed_refresh", O.mart_sql("country"))
 def landed_refresh(spark, sf_dir):
     """The mart refreshed from landed partitions only: rows that come months late, a
