@@ -22,6 +22,20 @@ def _mark(links: DataFrame) -> tuple:
     return row.n, row.s
 
 
+#: A node with more than this share of all link ends is a hub; fewer nodes than its inverse can be.
+HUB_SHARE = 0.001
+
+
+def _beside_least(edges: DataFrame, least: DataFrame, ends: int) -> DataFrame:
+    """``edges`` (a, b) with the value ``m`` of ``least`` (a, m, degree) beside each.
+    The few hubs are joined by broadcast, so that no key of the shuffled join is hot."""
+    hub = F.col("degree") > HUB_SHARE * ends
+    hubs = F.broadcast(least.where(hub).select("a", "m"))
+    return (edges.join(hubs, "a").select("a", "b", "m")
+            .unionByName(edges.join(hubs.select("a"), "a", "left_anti").join(least.where(~hub).select("a", "m"), "a")
+                         .select("a", "b", "m")))
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, label) of every node of ``links`` (a, b); the label is the
     smallest node of its component."""
@@ -30,11 +44,13 @@ def components(links: DataFrame) -> DataFrame:
     now = written(oriented(links), "links")
     mark = _mark(now)
     while mark[0]:
+        ends = 2 * mark[0]
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = (large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        degree = F.count(F.lit(1)).alias("degree")
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), degree)
+        large = _beside_least(both.where("b > a"), least, ends).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
+        least = large.groupBy("a").agg(F.min("b").alias("m"), degree)
+        small = (_beside_least(large, least, ends).select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(least.select("a", F.col("m").alias("b"))))
         now = written(oriented(small), "links")
         before, mark = mark, _mark(now)

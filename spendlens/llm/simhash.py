@@ -6,13 +6,15 @@ bits.  Only distinct fingerprints are compared.
 
 Index.  The top nodes are shared bit patterns under a mask: the 64 bits are cut
 into blocks, and for every choice of ``blocks - max_bits`` blocks the
-fingerprints that agree on them form a group.  Two linked fingerprints differ in
-at most ``max_bits`` blocks, so they meet in at least one group.  Inside a group
-the fingerprints are sorted by Gray rank, where neighbours share most bits.
-Leaves are runs of that order; every node keeps the bits that all its members
-share and that its parent does not already hold, and upper nodes are built the
-same way.  A search walks down with the accumulated number of differing bits and
-drops a whole node as soon as it exceeds ``max_bits``.
+fingerprints that agree on (the first bits of) them form a group.  Two linked
+fingerprints differ in at most ``max_bits`` blocks, so they meet in at least one
+group.  The masks only deal the work out: they are as coarse as groups of about
+``NODE`` random fingerprints allow, and up to ``NODE`` fingerprints are one group.
+Inside a group the fingerprints are sorted by Gray rank, where neighbours share
+most bits.  Leaves are runs of that order; every node keeps the bits that all its
+members share and that its parent does not already hold, and upper nodes are built
+the same way.  A search walks down with the accumulated number of differing bits
+and drops a whole node as soon as it exceeds ``max_bits``.
 
 A group does not return its pairs but a forest that connects the same members,
 at most one link per member.  A group with more than ``GROUP`` members is not
@@ -43,7 +45,7 @@ from pyspark.sql.window import Window
 from .components import components
 from .tables import fresh, read, written
 
-GROUP, CHUNK, LEAF, FAN = 40_000, 20_000, 16, 8
+GROUP, CHUNK, LEAF, FAN, NODE = 40_000, 20_000, 8, 8, 8192
 SHINGLES_AT_ONCE = 200_000
 
 
@@ -99,15 +101,19 @@ def gray_rank(v: np.ndarray) -> np.ndarray:
     return g
 
 
-def masks(max_bits: int, n: int) -> list[int]:
-    """Masks of the top nodes: all choices of exact blocks, with enough exact
-    bits that a group of random fingerprints stays small at ``n`` fingerprints."""
+def masks(max_bits: int, n: int, node: int = NODE) -> list[int]:
+    """Masks of the top nodes: all choices of exact blocks, each cut to as many bits
+    as make groups of about ``node`` random fingerprints out of ``n``."""
+    bits = max(0, (max(n, 1) - 1) // node).bit_length()
+    if not bits:
+        return [0]
     for extra in (1, 2, 3, 4):
         blocks = max_bits + extra
-        if (1 << (64 * extra // blocks)) * 4 >= n:
+        if 64 * extra // blocks >= bits:
             break
     edges = [64 * i // blocks for i in range(blocks + 1)]
-    parts = [((1 << (edges[i + 1] - edges[i])) - 1) << edges[i] for i in range(blocks)]
+    each = -(-bits // extra)
+    parts = [((1 << min(each, edges[i + 1] - edges[i])) - 1) << edges[i] for i in range(blocks)]
     return [sum(parts[i] for i in c) for c in combinations(range(blocks), extra)]
 
 
@@ -116,6 +122,7 @@ class GrayIndex:
 
     def __init__(self, fps: np.ndarray):
         self.values = fps[np.argsort(gray_rank(fps), kind="stable")]
+        self.met = self.dropped = 0             # nodes that searches met, and dropped with all below them
         self.levels = []          # leaves first: (pattern, residual mask), child c of node i: FAN*i <= c
         size = LEAF
         ands, ors = self._reduce(self.values, self.values, LEAF)
@@ -145,6 +152,8 @@ class GrayIndex:
                 pattern, mask = self.levels[depth]
                 acc = acc + np.bitwise_count((q[who] ^ pattern[node]) & mask[node])
                 ok = acc <= max_bits
+                self.met += len(ok)
+                self.dropped += len(ok) - int(ok.sum())
                 who, node, acc = who[ok], node[ok], acc[ok]
                 if depth:
                     child = (node[:, None] * FAN + np.arange(FAN)).ravel()

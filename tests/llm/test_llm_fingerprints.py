@@ -163,6 +163,48 @@ def test_masks_cover_all_pairs_within_four_bits(n):
         assert any(m & x == 0 for m in ms)
 
 
+@pytest.mark.parametrize("n", [1, 8192, 8193, 10**5, 10**7, 10**10])
+def test_groups_are_as_large_as_a_node(n):
+    """Random fingerprints meet in groups of about a node, not in groups too small to index."""
+    ms = simhash.masks(4, n)
+    bits = {m.bit_count() for m in ms}
+    assert all(n / 2**b <= 2 * simhash.NODE and (b == 0 or n / 2**b > simhash.NODE / 8) for b in bits)
+
+
+def test_the_index_carries_the_search_of_the_query(spark):
+    """The groups of the query on the fingerprints of sf0.1: all members are in groups of
+    many leaves, and searches drop two nodes in five with all below them."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    prints = docs.select(simhash.fingerprint_udf(simhash.SimHashParams())(F.col("text")).alias("fp")).distinct()
+    fps = np.array(sorted(r.fp % 2**64 for r in prints.collect()), np.uint64)
+    met = dropped = indexed = compared = pairs = 0
+    ms = simhash.masks(4, len(fps))
+    for m in ms:
+        key = fps & np.uint64(m)
+        for k in np.unique(key):
+            group = fps[key == k]
+            if len(group) <= simhash.LEAF:
+                continue
+            index = simhash.GrayIndex(group)
+            for who, _ in index.search(index.values, 4):
+                pass
+            met, dropped, indexed, pairs = met + index.met, dropped + index.dropped, indexed + len(group), pairs + len(group) ** 2
+    assert indexed == len(fps) * len(ms)
+    assert dropped > 0.35 * met and met < 0.2 * pairs
+
+
+def test_components_with_hubs(spark, monkeypatch):
+    """Stars and chains whose hubs go the broadcast way."""
+    monkeypatch.setattr(components, "HUB_SHARE", 0.05)
+    rng = np.random.default_rng(3)
+    edges = [(0, i) for i in range(1, 150)] + [(200, i) for i in range(140, 260) if i != 200] + [(int(a), int(b)) for a, b in rng.integers(300, 400, (60, 2))]
+    nodes = sorted({x for e in edges if e[0] != e[1] for x in e})
+    got = dict(components.components(spark.createDataFrame(edges, "a long, b long")).collect())
+    at = {v: i for i, v in enumerate(nodes)}
+    want = unions(range(len(nodes)), [(at[a], at[b]) for a, b in edges if a != b])
+    assert got == {v: nodes[want[i]] for v, i in at.items()}
+
+
 @pytest.mark.parametrize("group,chunk", [(40_000, 20_000), (30, 16)])
 def test_links_connect_as_all_pairs_do(spark, group, chunk):
     """The second case sends every larger group through the chunked path."""
