@@ -8,11 +8,14 @@ the product of the marginals of its words and of the end, and a word's marginal
 comes from a forward recursion in log space.  Characters without a piece take
 the byte pieces of their UTF-8 bytes.
 
-Piece probabilities.  A unigram vocabulary's scores are its log probabilities.
-The scores of a merge vocabulary are ranks; they become probabilities by Zipf's
-law, 1 / (rank + 10).  From there expectation maximisation over the training
-words (forward and backward recursion, expected piece counts) fits them to the
-training part of the corpus.  The vocabulary itself is never changed.
+Piece probabilities.  A unigram vocabulary's scores are its log probabilities and
+stay as they are (scaled by the probability that a text does not end).  The scores
+of a merge vocabulary are no probabilities but ranks; they start as Zipf's law,
+1 / (rank + 10), and expectation maximisation over the training words (forward and
+backward recursion, expected piece counts) fits them to the training part of the
+corpus, until the probabilities move by less than ``tolerance`` in all or
+``iterations`` passes are done.  ``refit`` asks for either way with any vocabulary.
+The pieces themselves are never changed.
 
 Work at scale.  Words are counted per task before the shuffle.  The recursion
 runs once per distinct word, in tasks, vectorised over words of one length.
@@ -50,12 +53,21 @@ LONG_WORD = 48
 class LatticeParams:
     vocabulary: str = ""          # path of a SentencePiece model; empty: the public 32k pieces
     held_out_of: int = 10
+    refit: bool | None = None     # whether to fit the scores to the corpus; None: those of merge vocabularies only
     iterations: int = 3
+    tolerance: float = 0.01
     share: float = 0.0005
     max_broadcast: int = 2_000_000
     smoothing: float = 0.1
 
 
+def has_scores(path: str) -> bool:
+    """Whether the scores of a model file are log probabilities."""
+    from . import spm
+    with open(path, "rb") as f:
+        return spm.parse_model(f.read()).model_type == spm.UNIGRAM
+
+
 def vocabulary(path: str) -> tuple[list[str], np.ndarray, dict[int, int]]:
     """(pieces, initial natural-log probabilities, byte value -> piece) of a model file."""
     from . import spm
@@ -285,6 +297,10 @@ def fit(counts: DataFrame, path: str, train_docs: int, p: LatticeParams):
     sc = counts.sparkSession.sparkContext
     texts, logp, bytes_ = vocabulary(path)
     train = counts.where("trained > 0").select("word", "trained")
+    if not (p.refit if p.refit is not None else not has_scores(path)):
+        words = train.agg(F.sum("trained")).first()[0] or 0
+        share = (train_docs + p.smoothing) / (words + train_docs + 2 * p.smoothing)
+        return texts, logp + math.log1p(-share), bytes_, math.log10(share)
     end = 0.0
     for _ in range(p.iterations):
         rows = (train.mapInArrow(_expected(sc.broadcast((texts, logp, bytes_)), len(texts)), "piece int, mass double")
@@ -293,8 +309,11 @@ def fit(counts: DataFrame, path: str, train_docs: int, p: LatticeParams):
         for r in rows:
             mass[r.piece] += r.mass
         total = mass.sum() + train_docs + p.smoothing
+        moved = np.abs(np.exp(logp) - mass / total).sum()
         logp = np.log(mass / total)
         end = math.log10((train_docs + p.smoothing) / total)
+        if moved < p.tolerance:
+            break
     return texts, logp, bytes_, end
 
 

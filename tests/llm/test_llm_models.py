@@ -260,7 +260,10 @@ def brute_scores(rows, p):
     for _ in range(p.iterations):
         mass = lattice.Lattice(texts, logp, bytes_).run(words, np.array([c[w] for w in words], float))[1] + p.smoothing
         total = mass.sum() + len(train) + p.smoothing
+        moved = np.abs(np.exp(logp) - mass / total).sum()
         logp, end = np.log(mass / total), math.log10((len(train) + p.smoothing) / total)
+        if moved < p.tolerance:
+            break
     model = lattice.Lattice(texts, logp, bytes_)
     floor = math.log10(n + 0.1 * (v + 1))
     out = []
@@ -284,6 +287,23 @@ def test_scores_equal_brute_force(spark, docs, edge, max_broadcast):
     assert np.allclose([r[5:] for r in got], [r[5:] for r in want], rtol=1e-9)
 
 
+def test_scores_of_a_unigram_vocabulary_stay(spark, docs, tmp_path):
+    """No refit: every text scores the sum over its words of the lattice under the file's own scores."""
+    path = unigram_model(tmp_path / "u.model")
+    some = docs.where("length(text) < 2000").select("doc_id", "text")
+    rows = [(r.doc_id, r.text) for r in some.collect()]
+    texts, logp, bytes_ = lattice.vocabulary(path)
+    train = [t for d, t in rows if zlib.crc32(str(d).encode()) % 10]
+    words = sum(len(lattice.tokens(t)) for t in train)
+    share = (len(train) + 0.1) / (words + len(train) + 0.2)
+    model = lattice.Lattice(texts, logp + math.log1p(-share), bytes_)
+    want = {d: (sum(model.run(lattice.tokens(t))[0]) if lattice.tokens(t) else 0.0) / math.log(10) + math.log10(share) for d, t in rows}
+    got = {r.doc_id: r.score for r in lattice.score(some, lattice.LatticeParams(vocabulary=path)).collect()}
+    assert got.keys() == want.keys() and np.allclose([got[d] for d in want], list(want.values()), rtol=1e-9)
+    fitted = lattice.score(some, lattice.LatticeParams(vocabulary=path, refit=True)).agg(F.sum("score")).first()[0]
+    assert fitted > sum(want.values())
+
+
 def test_lattice_edge_tables(spark, empty):
     assert lattice.score(empty.select("doc_id", "text")).count() == 0
     one = lattice.score(spark.createDataFrame([(1, None), (1, LONG)], "doc_id long, text string")).collect()
