@@ -2,7 +2,10 @@
 
 The token mass of the corpus is summed into cells (source, lang, topic).
 Raking scales the cell weights to the target shares of one dimension after the
-other until the marginals of all dimensions agree with their targets.  The size
+other until the marginals of all dimensions agree with their targets, or until
+their gaps no longer fall (targets that no weights of the cells there are can
+meet); the gap left of each dimension is returned with the cells, and ``mix`` can
+be told to refuse a gap (``max_gap``).  The size
 of the sample is a parameter (``keep``, a share of the tokens): a document of a
 cell is kept with probability min(1, c * weight / mass), and the cells below one
 are raked to what the full cells leave of the targets, so the expected token
@@ -36,7 +39,9 @@ from .tables import fresh, read, word_count, written
 
 DIMS = ("source", "lang", "topic")
 SMALL_CELLS = 50_000
-SWEEPS, SWEEPS_PER_STEP, TOLERANCE = 60, 6, 1e-9
+SWEEPS_PER_STEP, TOLERANCE = 6, 1e-9
+#: Steps without a gap below this share of the least one so far, after which raking ends; most steps at all.
+STALLED, FALLING, STEPS = 10, 0.9, 100
 #: Flattening exponents of the query: a category with share s gets a target in proportion to s ** exponent.
 FLATTEN = {"source": 0.5, "lang": 0.7, "topic": 0.8}
 #: Share of the tokens that the sample has (the expected value).
@@ -86,9 +91,11 @@ def _scale(held: Column, free: Column, to: Column) -> Column:
             .otherwise(F.lit(1.0)))
 
 
-def rake(cell: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS,
-         tolerance: float = TOLERANCE, keep: float | None = None) -> DataFrame:
-    """The cells with their raked ``weight`` (all weights sum to one).
+def rake(cell: DataFrame, targets: dict[str, DataFrame], tolerance: float = TOLERANCE,
+         keep: float | None = None) -> DataFrame:
+    """The cells with their raked ``weight`` (all weights sum to one) and, the same in
+    every row, the largest gap between a target and its marginal in each dimension
+    (``gap_source`` ..): at most ``tolerance``, or what cannot be met.
 
     ``targets`` has a table (value, share) for each dimension; shares need not
     sum to one.  ``keep`` is the share of the tokens (of cells with targets) that
@@ -120,8 +127,8 @@ def rake(cell: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS,
         rows = rows.withColumn(f"to_{d}", F.least(F.col(f"to_{d}") * F.lit(factors.get(d, 1.0)),
                                                   F.sum("room").over(Window.partitionBy(d))))
     taken = F.least("weight", "room")
-    done = 0
-    while True:
+    least, idle = float("inf"), 0
+    for _ in range(STEPS):
         for _ in range(SWEEPS_PER_STEP):
             for d in targets:
                 # Full cells keep to their room; the others share what is left of the target.  A full
@@ -133,13 +140,15 @@ def rake(cell: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS,
                 by = F.transform(sums, lambda x: _scale(x["held"], x["free"], x["to"]))[0]
                 rows = rows.withColumn("weight", F.when(F.col("weight") > 0, F.col("weight") * by).otherwise(F.lit(0.0)))
         rows = written(rows, "raking-step")
-        done += SWEEPS_PER_STEP
-        gaps = [F.max(F.abs(F.col(f"have_{d}") - F.col(f"to_{d}"))) for d in targets]
+        gaps = [F.coalesce(F.max(F.abs(F.col(f"have_{d}") - F.col(f"to_{d}"))), F.lit(0.0)).alias(d) for d in targets]
         seen = rows.coalesce(1) if small else rows
         for d in targets:
             seen = seen.withColumn(f"have_{d}", F.sum(taken).over(Window.partitionBy(d)))
-        gap = seen.where("weight > 0").agg(F.greatest(*gaps, F.lit(0.0)).alias("gap")).first()["gap"] or 0.0
-        if gap <= tolerance or done >= sweeps:
+        gap = seen.where("weight > 0").agg(*gaps).first().asDict()
+        largest = max(gap.values())
+        idle = 0 if largest < FALLING * least else idle + 1
+        least = min(least, largest)
+        if largest <= tolerance or idle == STALLED:
             break
         rows = rows.coalesce(1) if small else rows
     if keep is not None:
@@ -147,7 +156,25 @@ def rake(cell: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS,
         last = _factors(rows.where("weight > 0").select(F.lit("all").alias("dim"), F.col("weight").alias("share"), "room"))
         rows = rows.withColumn("weight", F.when(F.col("weight") > 0, F.least(
             F.col("weight") * F.lit(last.get("all", 1.0)), F.col("room"))).otherwise(F.lit(0.0)))
-    return rows.select(*DIMS, "mass", "docs", "room", "weight")
+    return rows.select(*DIMS, "mass", "docs", "room", "weight", *[F.lit(gap[d]).alias(f"gap_{d}") for d in targets])
+
+
+class TargetsNotMet(ValueError):
+    """Raked marginals that are off their targets; ``gaps`` by dimension."""
+
+    def __init__(self, gaps: dict[str, float]):
+        super().__init__(f"targets cannot be met: largest gaps {gaps}")
+        self.gaps = gaps
+
+
+def refuse(raked: DataFrame, max_gap: float) -> DataFrame:
+    """``raked``, unless a dimension is off its targets by more than ``max_gap``."""
+    cols = [c for c in raked.columns if c.startswith("gap_")]
+    row = raked.select(*cols).first()
+    gaps = {} if row is None else {c.removeprefix("gap_"): row[c] for c in cols}
+    if any(g > max_gap for g in gaps.values()):
+        raise TargetsNotMet(gaps)
+    return raked
 
 
 def probabilities(raked: DataFrame) -> DataFrame:
@@ -179,14 +206,16 @@ def with_probability(docs: DataFrame, chances: DataFrame, keys: dict[str, Column
 
 
 def mix(docs: DataFrame, topic: Column | None = None, targets: dict[str, DataFrame] | None = None,
-        seed: int = 17, keep: float = KEEP) -> DataFrame:
+        seed: int = 17, keep: float = KEEP, max_gap: float | None = None) -> DataFrame:
     """The sampled rows of ``docs`` (all its columns), with target shares
     ``targets`` or the flattened shares of the corpus; ``keep`` is the expected
-    share of the tokens in the sample."""
+    share of the tokens in the sample.  With ``max_gap``, targets that cannot be met
+    within it raise ``TargetsNotMet``."""
     keys = {"source": F.col("source"), "lang": F.col("lang"), "topic": form_topic(F.col("text")) if topic is None else topic}
     tokens = docs.select(*[keys[d].alias(d) for d in DIMS], word_count("text").alias("tokens"))
     cell = written(cells(tokens), "cells")
-    chances = probabilities(rake(cell, targets or flattened(cell), keep=keep))
+    raked = rake(cell, targets or flattened(cell), keep=keep)
+    chances = probabilities(raked if max_gap is None else refuse(raked, max_gap))
     p, = fresh(docs, "keep_p")
     return (with_probability(docs, chances, keys, p)
             .where(uniform(F.col("doc_id"), seed) < F.col(p)).drop(p))

@@ -1,6 +1,7 @@
 """Chat formatting, token rollups, raking and host rules."""
 
 import hashlib
+import re
 from collections import Counter, defaultdict
 
 import duckdb
@@ -262,6 +263,86 @@ def test_full_cells_leave_their_targets_to_the_others(spark):
     assert np.allclose([got["b", "en"], got["c", "de"], got["a", "en"], got["a", "de"]], [90, 10, 110, 190], atol=1e-4)
 
 
+def tables_of(spark, targets):
+    return {d: spark.createDataFrame(list(t.items()), "value string, share double") for d, t in targets.items()}
+
+
+def test_targets_that_cannot_be_met_are_reported(spark):
+    """Two cells on a diagonal: source asks for halves, language for 9 to 1."""
+    df = spark.createDataFrame([("a", "en", "x", 10.0, 1), ("b", "de", "x", 10.0, 1)], "source string, lang string, topic string, mass double, docs long")
+    raked = raking.rake(df, tables_of(spark, {"source": {"a": 1.0, "b": 1.0}, "lang": {"en": 9.0, "de": 1.0}, "topic": {"x": 1.0}}))
+    row = raked.first()
+    assert max(row.gap_source, row.gap_lang) > 0.3 and row.gap_topic < 1e-9
+    with pytest.raises(raking.TargetsNotMet) as off:
+        raking.refuse(raked, 0.01)
+    assert set(off.value.gaps) == {"source", "lang", "topic"}
+
+
+def test_targets_met_only_in_the_limit_end_with_their_gap(spark):
+    """A cell would have to vanish: the gap falls ever more slowly and is told."""
+    cells = [("a", "en", "x", 10.0, 1), ("b", "en", "x", 10.0, 1), ("b", "de", "x", 10.0, 1)]
+    df = spark.createDataFrame(cells, "source string, lang string, topic string, mass double, docs long")
+    targets = {"source": {"a": 0.5, "b": 0.5}, "lang": {"en": 0.5, "de": 0.5}, "topic": {"x": 1.0}}
+    rows = raking.rake(df, tables_of(spark, targets)).collect()
+    have = sum(r.weight for r in rows if r.source == "a")
+    assert abs(abs(have - 0.5) - rows[0].gap_source) < 1e-12 and raking.TOLERANCE < max(rows[0].gap_source, rows[0].gap_lang) < 0.05
+
+
+def capped_brute(mass, targets, keep, sweeps=3000):
+    """Raking with rooms in numpy: cell -> probability of its documents."""
+    cells = sorted(mass, key=str)
+    w = np.array([mass[c] if all(targets[d].get(c[k], 0) > 0 for k, d in enumerate(raking.DIMS)) else 0.0 for c in cells], float)
+    room = w / (keep * w.sum())
+    live = w > 0
+
+    def fill(share, cap):                 # shares in proportion, none above its cap, one in all
+        f = 0.0
+        for _ in range(1000):
+            full = cap <= f * share
+            free = share[~full].sum()
+            g = max(1 - cap[full].sum(), 0) / free if free > 0 else np.inf
+            if g <= f * (1 + 1e-13):
+                break
+            f = g
+        return np.minimum(f * share, cap)
+    goals = []
+    for k, d in enumerate(raking.DIMS):
+        names = sorted({c[k] for c, x in zip(cells, live) if x}, key=str)
+        groups = [np.array([live[i] and c[k] == n for i, c in enumerate(cells)]) for n in names]
+        goals.append(list(zip(groups, fill(np.array([targets[d][n] for n in names]), np.array([room[g].sum() for g in groups])))))
+    for _ in range(sweeps):
+        for dim in goals:
+            for g, to in dim:
+                full = g & (w >= room)
+                held, free = room[full].sum(), w[g & ~full].sum()
+                by = (to - held) / free if free > 0 and to > held else to / (held + free) if to < held + free else 1.0
+                w[g] *= by
+    w[live] = fill(w[live], room[live])
+    return {c: (min(x / r, 1.0) if r > 0 else 0.0) for c, x, r in zip(cells, w, room)}
+
+
+def test_op4_query_equals_brute_force(spark, sf_small):
+    """The whole query: cells, targets, probabilities and decisions, worked out row by row."""
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet")
+    rows = docs.select("doc_id", "source", "lang", raking.form_topic(F.col("text")).alias("topic"), "text",
+                       raking.uniform(F.col("doc_id"), 17).alias("u")).collect()
+    mass = defaultdict(float)
+    for r in rows:
+        mass[r.source, r.lang, r.topic] += len([w for w in re.split("[\x20\x09-\x0D]+", r.text or "") if w])
+    targets = {}
+    for k, d in enumerate(raking.DIMS):
+        total = defaultdict(float)
+        for c, m in mass.items():
+            total[c[k]] += m
+        targets[d] = {v: m ** raking.FLATTEN[d] for v, m in total.items() if m > 0}
+    p = capped_brute(mass, targets, raking.KEEP)
+    got = {r.doc_id: r for r in raking.query(spark, sf_small).collect()}
+    sure = [r for r in rows if abs(p[r.source, r.lang, r.topic] - r.u) > 1e-5]
+    assert len(sure) > 0.99 * len(rows)
+    assert all((r.doc_id in got) == (r.u < p[r.source, r.lang, r.topic]) for r in sure)
+    assert all(abs(r.keep_p - p[r.source, r.lang, r.topic]) < 1e-5 for r in got.values())
+
+
 def test_mix_edge_rows(edge, empty):
     got = raking.mix(edge)
     assert got.columns == edge.columns
