@@ -48,7 +48,7 @@ from .tables import fresh, read
 
 MARK = "▁"
 #: Characters of texts whose segments are held at a time, distinct segments kept.
-SLICE_CHARS, HELD = 1 << 20, 150_000
+SLICE_CHARS, HELD = 1 << 20, 250_000
 # Fixed values of the model format: piece types, model types.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2

@@ -5,6 +5,8 @@ unused column name."""
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +22,9 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_OPEN: list[list[str]] = []       # folders written inside each open ``temporary`` block
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage with a Parquet table in the shared checkpoint folder.
 
@@ -27,10 +32,32 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    if _OPEN:
+        _OPEN[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[list[str]]:
+    """A block whose written tables are removed at its end, but for the folders that
+    are taken out of the list it gives.  Nothing may read the others after it."""
+    folders: list[str] = []
+    _OPEN.append(folders)
+    try:
+        yield folders
+    finally:
+        _OPEN.remove(folders)
+        for path in folders:
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the shared storage."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names that do not clash with the columns of ``df``."""
     have = {c.lower() for c in df.columns}

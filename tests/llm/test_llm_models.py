@@ -380,6 +380,14 @@ def test_pipeline_equals_its_stages_one_by_one(spark, sf_small):
     assert all(other.encode(t) == ids for t, ids in want.values())
 
 
+def test_pipeline_leaves_its_result_only(spark, sf_small, tmp_path, monkeypatch):
+    from spendlens.llm import tables
+    monkeypatch.setattr(tables, "scratch_path", lambda s, name: str(tmp_path / name))
+    out = corpus_pipeline.run(spark, sf_small)
+    assert [d.name.rsplit("-", 1)[0] for d in tmp_path.iterdir()] == ["stage-sentencepiece"]
+    assert out.count() > 0 and not tables._OPEN
+
+
 def test_pipeline_stages_take_odd_rows(spark, edge, empty, sf_small):
     for name, stage in corpus_pipeline.STAGES:
         out = stage(spark, edge, sf_small)
