@@ -57,7 +57,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = tables.read(spark, sf_dir, "documents")
+    """All stages in order.  When a stage's table is written, what it worked with (its
+    own tables and the table before) is removed; the last stage's table stays."""
+    docs, before = tables.read(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = tables.written(stage(spark, docs, sf_dir), "stage-" + name.split()[0].lower())
+        with tables.temporary(spark) as folders:
+            docs = tables.written(stage(spark, docs, sf_dir), "stage-" + name.split()[0].lower())
+            own = folders.pop()
+        if before:
+            tables.remove(spark, before)
+        before = own
     return docs
