@@ -28,7 +28,7 @@ from .operators import windows as W
 from .operators.reshape import LEADS_STAGES, WEB_STAGES
 from .plans import extract as X
 from .plans import impute as I
-from .plans.facts import dim_campaign_channels, fct_leads, fct_web
+from .plans.facts import dim_campaign_channels, fct_leads, fct_web, stg_leads_funnel, stg_web_orders
 from .plans.daily import LEADS_KEY, LEADS_TRACKED, LOADED_AT, REQUIRED, WEB_KEY, run_daily
 from .plans.history import History
 from .plans.incremental import build_target, incremental_refresh, lookup, read_target, refresh_landed, write_target
@@ -1140,6 +1140,65 @@ def csv_roundtrip_final(spark, sf_dir):
     return read_source(spark, path, final.schema, fmt="csv")
 
 
+@register("export_final", O.FINAL_SQL)
+def export_final(spark, sf_dir):
+    """The guarded export: written only because the final table is unique on its grain
+    (S-6, W-4), and read back."""
+    path = scratch_path(spark, f"export_{uuid.uuid4().hex}")
+    final = cut_lineage(extract(spark, sf_dir)["final"])
+    X.write_extract({"final": final}, path)
+    return read_source(spark, f"{path}/final", final.schema, fmt="csv")
+
+
+_SHOWN = ("campaign_id", "date", "pathway", "country_code", "channel")
+
+
+@register("sorted_duplicates", _final_cte_sql(f"""
+SELECT f.* FROM final f JOIN (SELECT campaign_id, date, pathway FROM final
+  GROUP BY ALL HAVING count(*) > 1) d
+  ON f.campaign_id IS NOT DISTINCT FROM d.campaign_id AND f.date IS NOT DISTINCT FROM d.date
+ AND f.pathway IS NOT DISTINCT FROM d.pathway
+ORDER BY {', '.join(f'f.{c} ASC NULLS FIRST' for c in _SHOWN)} LIMIT 200"""))
+def sorted_duplicates(spark, sf_dir):
+    """The first 200 duplicates in the order of the report: by key, then country and channel (T-4)."""
+    return W.top_n(grain_duplicates(spark, sf_dir), [F.asc_nulls_first(c) for c in _SHOWN], 200)
+
+
+@register("stg_leads", with_fixtures(body=f"""
+SELECT * REPLACE (trim(CAST(campaign_id AS VARCHAR)) AS campaign_id, {O.duck_clean('campaign_name')} AS campaign_name,
+  {', '.join(f"{O.duck_clean(c)} AS {c}" for c in O.CH)}) FROM leads"""))
+def stg_leads(spark, sf_dir):
+    return stg_leads_funnel(fx.leads_funnel(spark, sf_dir))
+
+
+@register("stg_web", with_fixtures(body="SELECT * REPLACE (trim(CAST(campaign_id AS VARCHAR)) AS campaign_id) FROM web"))
+def stg_web(spark, sf_dir):
+    return stg_web_orders(fx.web_orders(spark, sf_dir))
+
+
+_MASKED = tuple(str(k) for k in range(11, 200, 22))
+
+
+@register("masked_repair", with_fixtures(f"""c AS (
+  SELECT * REPLACE (trim(campaign_id) AS campaign_id, {', '.join(f"CASE WHEN lower(trim({x})) <> 'unknown' THEN {x} END AS {x}" for x in O.CH)})
+  FROM channels)""", f"""best AS (SELECT campaign_id, {', '.join(f'min({x}) AS l_{x}' for x in O.CH)} FROM c GROUP BY campaign_id)""", body=f"""
+SELECT c.* REPLACE ({', '.join(f"CASE WHEN c.campaign_id IN {_MASKED} THEN coalesce(c.{x}, b.l_{x}) ELSE c.{x} END AS {x}" for x in O.CH)})
+FROM c LEFT JOIN best b ON c.campaign_id = b.campaign_id"""))
+def masked_repair(spark, sf_dir):
+    """Missing channels filled for some campaigns only (P-12); the others keep their nulls."""
+    ch = fx.channels(spark, sf_dir).withColumn("campaign_id", cast_id("campaign_id"))
+    return D.repair_channels(ch, ids=_MASKED, fill=False)
+
+
+@register("row_filters", with_fixtures(body="""
+SELECT * FROM leads WHERE total_leads > 20 AND country_code IS NOT NULL AND coalesce(channel_3, '') <> 'fb'"""))
+def row_filters(spark, sf_dir):
+    """Rows that pass every named condition (Q-16)."""
+    return Q.apply_row_filters(fx.leads_funnel(spark, sf_dir), {
+        "enough leads": F.col("total_leads") > 20, "known country": F.col("country_code").isNotNull(),
+        "not social": F.coalesce("channel_3", F.lit("")) != F.lit("fb")})
+
+
 @register("stream_mart", O.mart_sql("country"))
 def stream_mart_q(spark, sf_dir):
     """The mart produced by the streaming job from date-ordered fact drops."""
