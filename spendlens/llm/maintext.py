@@ -56,14 +56,15 @@ DROPPED = frozenset("""aside audio button canvas dialog fieldset footer form hea
     noscript object option script search select style svg template textarea title video xmp""".split())
 ROLES = frozenset("""alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search status
     toolbar tooltip""".split())
-READERS = re.compile(r"comments?(list|area|section|box|form|thread|er|ers)?|commentlists?|disqus\w*|respond|repl(y|ies)")
+READERS = re.compile(r"comments?(list|area|section|box|form|thread|er|ers)?|commentlists?|disqus\w*|respond|responses?|reactions?"
+                     r"|repl(y|ies)|kommentare?|commentaires?|comentarios?")
 OTHERS = re.compile(
     r"ads?|adv|adverts?|advertis\w+|adsense|ad(box|slot|banner|container|unit|wrapper)|adsby\w+|sponsor\w*|promo\w*|banners?"
     r"|(top|sub|main|site|foot|side|global)?nav(bar|igation|s)?|(top|sub|main|side)?menu(bar|s)?|breadcrumbs?|side_?bars?"
     r"|(site|page)?footers?|masthead|top_?bar|toolbar|skip(links?|nav)?|cookies?\w*|consent|gdpr|notices?|notifications?|alerts?"
     r"|popups?|popovers?|modals?|overlays?|share|sharing|share(bar|links|this)|social(media|bar|links|share|icons)?|related"
     r"|recommend(ed|ations?)|newsletters?|subscri(be|ption)|sign(up|in)|login|paywall|pagination|pager|search(box|form|bar)?"
-    r"|copyright|outbrain|taboola|trending|feedback")
+    r"|copyright|outbrain|taboola|trending|feedback|announcements?|werbung|anzeigen?|hinweise?|publicite|publicidad|anuncios?|avisos?")
 ARTICLE_WORDS = frozenset("article body content entry hentry main post story text".split())
 QUALIFIERS = frozenset("has hide is no not show with without".split())
 STATES = frozenset("open closed enabled disabled count off on".split())

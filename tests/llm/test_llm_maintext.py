@@ -38,6 +38,8 @@ PAGES = {
     "hidden": (f"<article>{BODY}<p hidden>no</p><p style='display: none'>no</p><span aria-hidden=true>no</span></article>", TEXT),
     "advert inside": (f"<article><p>{P1}</p><div class='ad ad-slot'><p>Buy now, today, here.</p></div><p>{P2}</p><div id=adsense-1>Buy</div><p>{P3}</p></article>", TEXT),
     "share and related": (f"<article>{BODY}<div class=share-bar><a href=x>Share</a></div><div class='related'><h2>More</h2><p>{P1}</p></div></article>", TEXT),
+    "names in other languages": (f"<div class=werbung><p>{P1}</p></div><div class=inhalt>{BODY}</div><div id=kommentare><p>{LONG_COMMENT}</p></div><div class='commentaires-lecteurs'><p>{P2}</p></div>", TEXT),
+    "reactions and announcements": (f"<div class=announcement><p>{P2}</p></div><div class=main-content>{BODY}</div><section id=reader-reactions><p>{LONG_COMMENT}</p></section><ins class=adsbygoogle>Buy</ins>", TEXT),
     "class that only mentions": (f"<body class='has-sidebar no-comments'><div class='content with-ads'>{BODY}</div></body>", TEXT),
     "cut off": (f"<html><body><nav>{MENU}</nav><article><p>{P1}</p><p>{P2[:40]}</p><p>A &am", f"{P1} {P2[:40].strip()} A &am"),
     "cut off in a tag": (f"<article><p>{P1}</p><p>{P2}</p><a hre", f"{P1} {P2}"),
