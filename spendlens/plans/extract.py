@@ -99,9 +99,16 @@ def build_extract(web: DataFrame, leads: DataFrame) -> dict[str, DataFrame]:
     ww, lw = facts_to_wide(wd, FUNNEL_INDEX, WEB_STAGES), facts_to_wide(ld, FUNNEL_INDEX,
                                                                        LEADS_STAGES)
     all_wide = union_by_name(ww, lw)
+    # A grain holds rows of one pathway only, so each fact is reduced by itself, on the rows that its
+    # wide table was dealt by: one exchange a fact for both aggregates (the pathway is a constant there).
+    dealt = [c for c in GRAIN if c != "pathway"]
+    grains = [final_grain(facts_to_wide(d, FUNNEL_INDEX, stages, dealt_by=dealt))
+              for d, stages in ((wd, WEB_STAGES), (ld, LEADS_STAGES))]
+    final = union_by_name(*grains)
+    final = final.select(*GRAIN, *present(final, FINAL_DIMS), *present(final, FINAL_METRICS))
     return {"web_long": wl, "leads_long": ll, "web_wide": ww, "leads_wide": lw,
             "all_long": union_by_name(wl, ll), "all_wide": all_wide,
-            "final": final_grain(all_wide)}
+            "final": final}
 
 
 def write_extract(outputs: dict[str, DataFrame], folder: str, unique: tuple = GRAIN) -> None:

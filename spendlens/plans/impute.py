@@ -26,7 +26,7 @@ from ..functions.ids import fix_campaign_id
 from ..functions.text import clean_string, normalize_na
 from ..operators.aggregates import build_reference
 from ..operators.dims import dedupe_dim, repair_channels
-from ..operators.joins import BROADCAST_MAX_ROWS, attach_dim, broadcast_if_small, fill_from_reference
+from ..operators.joins import BROADCAST_MAX_ROWS, attach_dim, broadcast_if_small, fill_from_reference, sized
 from ..session import cut_lineage
 from ..sources.schemas import CHANNEL_COLS
 
@@ -57,11 +57,27 @@ def prepare_web(raw_web: DataFrame, channels: DataFrame) -> DataFrame:
     return attach_dim(web, prepare_channels(channels), KEY_ID, null_safe=True)
 
 
+def clean_texts(df: DataFrame, cols: Sequence[str], max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``clean_string`` of ``cols``, worked out once for each combination of their values.
+
+    The combinations are found by one pass over these columns and joined back by
+    broadcast; past the broadcast bound every row is cleaned for itself.
+    """
+    texts = (df.select(*[F.col(c).alias(f"_raw_{c}") for c in cols]).distinct()
+             .withColumns({f"_clean_{c}": clean_string(f"_raw_{c}") for c in cols}))
+    small, texts = sized(texts, max_rows, materialize=True)
+    if not small:
+        return df.withColumns({c: clean_string(c) for c in cols})
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & df[c].eqNullSafe(texts[f"_raw_{c}"])
+    return (df.join(F.broadcast(texts), cond, "left")
+            .select(*[F.col(f"_clean_{c}").alias(c) if c in cols else df[c] for c in df.columns]))
+
+
 def prepare_leads(raw_leads: DataFrame) -> DataFrame:
     """Leads fact with repaired ids and cleaned name/channels."""
-    return raw_leads.withColumns({KEY_ID: fix_campaign_id(KEY_ID),
-                                  KEY_NAME: clean_string(KEY_NAME),
-                                  **{c: clean_string(c) for c in CHANNEL_COLS}})
+    return clean_texts(raw_leads, (KEY_NAME, *CHANNEL_COLS)).withColumn(KEY_ID, fix_campaign_id(KEY_ID))
 
 
 def normalize_frame(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -286,3 +286,46 @@ def test_surrogate_key_parts_do_not_run_together(spark):
     from spendlens.functions import surrogate_key
     df = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), (None, "c"), ("<null>", "c")], "x string, y string")
     assert df.select(surrogate_key("x", "y").alias("k")).distinct().count() == 4
+
+
+def test_max_by_grain_ranks_rows_that_lack_a_dim(spark):
+    """Complete rows and rows that lack a dim: each dim is the first non-null in order; one struct is carried for all dims."""
+    df = spark.createDataFrame([("g", 2, "b2", "x2", 5), ("g", 1, None, "x1", 7), ("g", 3, "b3", None, 1),
+                                ("h", 1, None, None, None), ("h", 2, None, "y", 2), ("i", 1, "c", "z", 3), ("i", None, "d", None, 9)],
+                               "g string, o int, b string, x string, m int")
+    out = A.max_by_grain(df, ["g"], ["m"], ["b", "x"], order=["o", "b"])
+    assert rows(out, "g") == [("g", "b2", "x1", 7), ("h", None, "y", 2), ("i", "d", "z", 9)]
+    assert "min_by(" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_large_lookup_without_hot_keys_reads_the_rows_once(spark, null_safe):
+    df = spark.range(3000).select("id", F.when(F.col("id") % 3 != 0, (F.col("id") % 1500).cast("string")).alias("k"))
+    ref = spark.range(0, 1500, 2).select(F.col("id").cast("string").alias("k"), F.col("id").alias("x")).union(
+        spark.createDataFrame([(None, -1)], "k string, x long"))
+    small, large = J.attach_dim(df, ref, "k", null_safe=null_safe), J.attach_dim(df, ref, "k", null_safe=null_safe, max_rows=3)
+    assert small.columns == large.columns and rows(large, "id") == rows(small, "id")
+    assert large._jdf.queryExecution().optimizedPlan().toString().count("Range (") == 1
+
+
+def test_leads_text_is_cleaned_by_value(spark):
+    """Equal to cleaning every row, nulls included; the rows themselves meet no pattern of the cleaning."""
+    df = spark.createDataFrame([(1, " 12.0 ", "A  b", "fb ", None, None), (2, None, None, None, None, None), (3, "12", "A  b", "fb ", None, None)],
+                               "id int, campaign_id string, campaign_name string, channel_3 string, channel_4 string, channel_5 string")
+    from spendlens.plans import impute as I
+    out = I.prepare_leads(df)
+    assert rows(out, "id") == [(1, "12", "a_b", "fb", None, None), (2, None, None, None, None, None), (3, "12", "a_b", "fb", None, None)]
+    assert rows(I.clean_texts(df, ["campaign_name", "channel_3"], max_rows=1), "id") == rows(I.clean_texts(df, ["campaign_name", "channel_3"]), "id")
+    assert "p\\s*r\\s*o" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_final_grain_is_one_exchange_a_fact(spark):
+    from spendlens.plans import extract as X
+    from spendlens.operators.reshape import FUNNEL_INDEX, WEB_STAGES
+    stages = {m: s for m, s in WEB_STAGES.items()}
+    wide = spark.range(10).select(*[(F.to_date(F.lit("2024-01-01")) if c == "date" else F.lit("w") if c == "pathway"
+                                     else F.col("id").cast("string")).alias(c) for c in FUNNEL_INDEX],
+                                  *[F.col("id").alias(m) for m in stages])
+    from spendlens.operators.reshape import facts_to_wide
+    out = X.final_grain(facts_to_wide(wide, FUNNEL_INDEX, stages, dealt_by=[c for c in X.GRAIN if c != "pathway"]))
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1 and out.count() == 10
