@@ -65,3 +65,13 @@ def test_imputation_writes_no_fact(spark):
     df = entry.queries()["impute_web"](spark, SF)
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert "lineitem" in plan or "l_extendedprice" in plan
+
+
+def test_incremental_queries_derive_their_facts_once(spark):
+    """The refresh queries read stored facts; the lines are not joined and aggregated again for each step."""
+    from spendlens import queries as q
+    stored, lazy = q.stored_sources(spark, SF)[:2], q.sources(spark, SF)[:2]
+    for a, b in zip(stored, lazy):
+        plan = a._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "Aggregate" not in plan
+        assert a.columns == b.columns and a.exceptAll(b).isEmpty() and a.count() == b.count()
