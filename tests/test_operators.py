@@ -320,12 +320,12 @@ def test_leads_text_is_cleaned_by_value(spark):
 
 
 def test_final_grain_is_one_exchange_a_fact(spark):
+    from spendlens.operators.reshape import FUNNEL_INDEX, WEB_STAGES, facts_to_wide
     from spendlens.plans import extract as X
-    from spendlens.operators.reshape import FUNNEL_INDEX, WEB_STAGES
-    stages = {m: s for m, s in WEB_STAGES.items()}
-    wide = spark.range(10).select(*[(F.to_date(F.lit("2024-01-01")) if c == "date" else F.lit("w") if c == "pathway"
-                                     else F.col("id").cast("string")).alias(c) for c in FUNNEL_INDEX],
-                                  *[F.col("id").alias(m) for m in stages])
-    from spendlens.operators.reshape import facts_to_wide
-    out = X.final_grain(facts_to_wide(wide, FUNNEL_INDEX, stages, dealt_by=[c for c in X.GRAIN if c != "pathway"]))
+    text = [c for c in FUNNEL_INDEX if c not in ("date", "pathway")]
+    df = spark.createDataFrame([(dt.date(2024, 1, 1), *[f"{c}{i}" for c in text], *[i for _ in WEB_STAGES]) for i in range(10)],
+                               "date date, " + ", ".join(f"{c} string" for c in text) + ", " + ", ".join(f"{m} long" for m in WEB_STAGES))
+    wide = facts_to_wide(df.withColumn("pathway", F.lit("w")), FUNNEL_INDEX, WEB_STAGES,
+                         dealt_by=[c for c in X.GRAIN if c != "pathway"])
+    out = X.final_grain(wide)
     assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1 and out.count() == 10
