@@ -144,10 +144,11 @@ def duplicate_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def max_by_grain(df: DataFrame, keys: Sequence[str], metrics: Sequence[str],
                  dims: Sequence[str], order: Sequence[str] = (),
-                 drop_null_keys: bool = True) -> DataFrame:
+                 drop_null_keys: bool = True, complete_dims: bool = False) -> DataFrame:
     """Column-wise max of every metric per grain; dims take the first non-null
     value in ``order`` (A-5, A-6).  Null keys are dropped like pandas
-    ``groupby`` unless ``drop_null_keys=False``.
+    ``groupby`` unless ``drop_null_keys=False``.  ``complete_dims`` says that no
+    row lacks a dim: then the first row alone is carried.
     """
     src = df
     if drop_null_keys:
@@ -159,16 +160,18 @@ def max_by_grain(df: DataFrame, keys: Sequence[str], metrics: Sequence[str],
     # One value holds all dims of the first complete row; only rows that lack a dim, if any, are
     # ranked for each dim by itself, so the aggregate carries one row of text and not one a dim.
     complete = F.lit(True)
-    for d in dims:
+    for d in () if complete_dims else dims:
         complete = complete & F.col(d).isNotNull()
     o = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)])
     aggs.append(F.min(F.when(complete, F.struct(o.alias("o"), *[F.col(d) for d in dims if d not in order]))).alias("_first"))
-    for i, d in enumerate(dims):
+    for i, d in enumerate(() if complete_dims else dims):
         aggs.append(F.min(F.when(~complete & F.col(d).isNotNull(), F.struct(o.alias("o"), F.col(d).alias("d")))).alias(f"_part{i}"))
     order = list(order)
 
     def first(i: int, d: str) -> Column:
         value = F.col("_first.o")[f"o{order.index(d)}"] if d in order else F.col(f"_first.{d}")
+        if complete_dims:
+            return value.alias(d)
         whole = F.when(F.col("_first").isNotNull(), F.struct(F.col("_first.o").alias("o"), value.alias("d")))
         return F.when(F.col(f"_part{i}").isNull(), value).otherwise(F.least(whole, F.col(f"_part{i}"))["d"]).alias(d)
     return src.groupBy(*keys).agg(*aggs).select(*keys, *[first(i, d) for i, d in enumerate(dims)], *metrics)

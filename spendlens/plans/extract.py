@@ -3,12 +3,15 @@ tables, and the final per-grain table (F-9 .. F-15, R-1 .. R-3, A-5, A-6,
 A-14, U-2, P-9, P-15, P-16, S-5, S-6, Q-8).
 
 Plan: everything up to the final table is narrow except the two wide tables
-(one hash aggregate each on the 18 index columns, partial aggregation first,
-computed straight from the derived facts) and the final grain aggregate.
+(one hash aggregate each on those of the 18 index columns that decide the others,
+partial aggregation first, computed straight from the derived facts) and the final
+grain aggregate.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +31,9 @@ FINAL_METRICS = ("spend_value", "orders", "poslite_items_ordered", "sessions", "
 FINAL_DIMS = ("country_name", "channel_3", "channel_4", "channel_5", "channel_6", "channel_7",
               "test")
 DUPLICATE_KEY = ("campaign_id", "date", "pathway")
+# Index columns that are worked out from another index column, or are a constant.
+FROM_OTHERS = ("pathway", "country_name", "year", "month", "week", "day_of_year", "week_start", "channel",
+               "channel_6", "channel_7")
 
 
 def derive_channel_viz(df: DataFrame, name_col: str = "campaign_name", test_col: str = "test",
@@ -86,6 +92,39 @@ def final_grain(all_wide: DataFrame) -> DataFrame:
                         present(all_wide, FINAL_DIMS), order=order)
 
 
+def fact_groups(df: DataFrame, pathway: str, spend_prefer: tuple[str, str], stages: Mapping[str, str],
+                dealt_by: Sequence[str] = ()) -> DataFrame:
+    """The groups of one fact's wide table with their stages, keyed by the index columns that decide
+    the others (``FROM_OTHERS``; a label that the fact brings along decides for itself)."""
+    full = prep_frame(derive_all(df), pathway, spend_prefer)
+    brought = {c.strip().lower() for c in df.columns} & {"channel"}
+    own = [c for c in FUNNEL_INDEX if c not in FROM_OTHERS or c in brought]
+    # The rest of the index is null only with the column that it is worked out from.
+    rows = full.na.drop(how="any", subset=[*own, "channel_6", "channel_7"])
+    return facts_to_wide(rows, own, stages, dealt_by=dealt_by)
+
+
+def fact_wide(df: DataFrame, pathway: str, spend_prefer: tuple[str, str], stages: Mapping[str, str]) -> DataFrame:
+    """The wide table of one fact: ``facts_to_wide`` of its derived rows over the whole index.  What
+    other index columns decide is worked out again from each group's key, not shuffled as text."""
+    groups = fact_groups(df, pathway, spend_prefer, stages)
+    wide = derive_all(groups).withColumn("pathway", F.lit(pathway))
+    return wide.select(*FUNNEL_INDEX, *[c for c in groups.columns if c not in FUNNEL_INDEX])
+
+
+def fact_final(df: DataFrame, pathway: str, spend_prefer: tuple[str, str], stages: Mapping[str, str]) -> DataFrame:
+    """``final_grain`` of one fact's wide table: one exchange, by the grain, for both aggregates.
+
+    A grain holds rows of one pathway, and its calendar and country are the same in all of them, so
+    only the columns that may differ are ranked; what they decide is worked out from the first row."""
+    dealt = [c for c in GRAIN if c not in FROM_OTHERS]
+    groups = derive_channel_viz(fact_groups(df, pathway, spend_prefer, stages, dealt_by=dealt))
+    order = [c for c in groups.columns if c in FUNNEL_INDEX and c not in GRAIN and c not in FROM_OTHERS]
+    best = max_by_grain(groups, [c for c in GRAIN if c != "pathway"], present(groups, FINAL_METRICS),
+                        [c for c in order if c in FINAL_DIMS], order=order, complete_dims=True)
+    return add_country_name(derive_channel_viz(best)).withColumn("pathway", F.lit(pathway))
+
+
 def build_extract(web: DataFrame, leads: DataFrame) -> dict[str, DataFrame]:
     """All notebook outputs from imputed web and leads facts.
 
@@ -93,18 +132,13 @@ def build_extract(web: DataFrame, leads: DataFrame) -> dict[str, DataFrame]:
     an unpivot is a group-by), so the long rows are only produced for the long
     outputs themselves.
     """
-    wd = prep_frame(derive_all(web), WEB_PATHWAY, ("total_spend_eur", "total_spend"))
-    ld = prep_frame(derive_all(leads), SALES_PATHWAY, ("total_spend", "total_spend_eur"))
-    wl, ll = to_long(wd, FUNNEL_INDEX, WEB_STAGES), to_long(ld, FUNNEL_INDEX, LEADS_STAGES)
-    ww, lw = facts_to_wide(wd, FUNNEL_INDEX, WEB_STAGES), facts_to_wide(ld, FUNNEL_INDEX,
-                                                                       LEADS_STAGES)
+    facts = ((web, WEB_PATHWAY, ("total_spend_eur", "total_spend"), WEB_STAGES),
+             (leads, SALES_PATHWAY, ("total_spend", "total_spend_eur"), LEADS_STAGES))
+    wl, ll = [to_long(prep_frame(derive_all(df), pathway, prefer), FUNNEL_INDEX, stages)
+              for df, pathway, prefer, stages in facts]
+    ww, lw = [fact_wide(*fact) for fact in facts]
     all_wide = union_by_name(ww, lw)
-    # A grain holds rows of one pathway only, so each fact is reduced by itself, on the rows that its
-    # wide table was dealt by: one exchange a fact for both aggregates (the pathway is a constant there).
-    dealt = [c for c in GRAIN if c != "pathway"]
-    grains = [final_grain(facts_to_wide(d, FUNNEL_INDEX, stages, dealt_by=dealt))
-              for d, stages in ((wd, WEB_STAGES), (ld, LEADS_STAGES))]
-    final = union_by_name(*grains)
+    final = union_by_name(*[fact_final(*fact) for fact in facts])
     final = final.select(*GRAIN, *present(final, FINAL_DIMS), *present(final, FINAL_METRICS))
     return {"web_long": wl, "leads_long": ll, "web_wide": ww, "leads_wide": lw,
             "all_long": union_by_name(wl, ll), "all_wide": all_wide,

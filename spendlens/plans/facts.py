@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import cast_id, clean_string, normalize_country
 from ..operators.dims import dedupe_dim, repair_channels
+from ..session import worked_once
 from ..sources.schemas import CHANNEL_COLS, LEADS_METRICS, WEB_METRICS
 
 DIM_COLS = ("campaign_id", "campaign_name", "campaign_period_budget_category", *CHANNEL_COLS)
@@ -40,8 +41,8 @@ def stg_web_orders(df: DataFrame) -> DataFrame:
 def dim_campaign_channels(channels: DataFrame) -> DataFrame:
     """One row per campaign id: cleaned, channels repaired from the id's other
     rows, first row in (channel_3, channel_4, channel_5, name, budget) order."""
-    staged = stg_channels(channels).withColumn(
-        "campaign_period_budget_category", F.trim("campaign_period_budget_category"))
+    staged = worked_once(channels, lambda d: stg_channels(d).withColumn(
+        "campaign_period_budget_category", F.trim("campaign_period_budget_category")))
     repaired = repair_channels(staged, "campaign_id", CHANNEL_COLS, fill=False)
     return dedupe_dim(repaired.select(*DIM_COLS), "campaign_id",
                       [*CHANNEL_COLS, "campaign_name", "campaign_period_budget_category"])

@@ -10,24 +10,27 @@ by name.
 Scale: both facts are reduced once to a summary, the row count of every
 combination of id, name and attributes.  The maps come from the summary, the
 maps are applied to the summary, and the references are modes over it weighted by
-its counts.  Only the summary, the maps and the references are materialised;
-each fact is read once more for the fill itself, through joins with these small
-tables (broadcast behind a size check), and is never written.
+its counts.  What a row is filled with follows from its id and name alone, so the
+maps and references are joined to the pairs of id and name of each fact, and the
+fact, read once more, meets only these pairs: one join (broadcast behind a size
+check).  Only the summary, the maps, the references and the pairs are
+materialised; no fact is written.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ids import fix_campaign_id
 from ..functions.text import clean_string, normalize_na
 from ..operators.aggregates import build_reference
 from ..operators.dims import dedupe_dim, repair_channels
-from ..operators.joins import BROADCAST_MAX_ROWS, attach_dim, broadcast_if_small, fill_from_reference, sized
-from ..session import cut_lineage
+from ..operators.joins import (BROADCAST_MAX_ROWS, attach_dim, broadcast_if_small, fill_from_reference, left_lookup,
+                               sized)
+from ..session import cut_lineage, worked_once
 from ..sources.schemas import CHANNEL_COLS
 
 KEY_ID = "campaign_id"
@@ -41,11 +44,11 @@ def prepare_channels(raw: DataFrame) -> DataFrame:
     """Channel table as the notebook uses it: ids repaired, text cleaned,
     missing channels taken from the id's other rows (``unknown`` when none),
     one row per id (first in channel order), exact duplicates removed."""
-    ch = raw.select(
+    ch = worked_once(raw, lambda d: d.select(
         fix_campaign_id(KEY_ID).alias(KEY_ID),
         clean_string(KEY_NAME).alias(KEY_NAME),
         F.col("campaign_period_budget_category"),
-        *[clean_string(c).alias(c) for c in CHANNEL_COLS])
+        *[clean_string(c).alias(c) for c in CHANNEL_COLS]))
     ch = repair_channels(ch, KEY_ID, CHANNEL_COLS, fill=True)
     return dedupe_dim(ch, KEY_ID, [*CHANNEL_COLS, KEY_NAME, "campaign_period_budget_category"])
 
@@ -57,22 +60,29 @@ def prepare_web(raw_web: DataFrame, channels: DataFrame) -> DataFrame:
     return attach_dim(web, prepare_channels(channels), KEY_ID, null_safe=True)
 
 
-def clean_texts(df: DataFrame, cols: Sequence[str], max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``clean_string`` of ``cols``, worked out once for each combination of their values.
+def by_value(df: DataFrame, cols: Sequence[str], work: Callable[[DataFrame], DataFrame],
+             max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``work(df)``, done once for each combination of values of ``cols``, where ``work``
+    changes or adds columns that follow from ``cols`` alone.
 
     The combinations are found by one pass over these columns and joined back by
-    broadcast; past the broadcast bound every row is cleaned for itself.
+    broadcast; past the broadcast bound every row is worked on for itself.
     """
-    texts = (df.select(*[F.col(c).alias(f"_raw_{c}") for c in cols]).distinct()
-             .withColumns({f"_clean_{c}": clean_string(f"_raw_{c}") for c in cols}))
-    small, texts = sized(texts, max_rows, materialize=True)
+    values = df.select(*cols).distinct().withColumns({f"_raw_{c}": F.col(c) for c in cols})
+    small, values = sized(work(values), max_rows, materialize=True)
     if not small:
-        return df.withColumns({c: clean_string(c) for c in cols})
+        return work(df)
     cond = F.lit(True)
     for c in cols:
-        cond = cond & df[c].eqNullSafe(texts[f"_raw_{c}"])
-    return (df.join(F.broadcast(texts), cond, "left")
-            .select(*[F.col(f"_clean_{c}").alias(c) if c in cols else df[c] for c in df.columns]))
+        cond = cond & df[c].eqNullSafe(values[f"_raw_{c}"])
+    added = [c for c in values.columns if c not in df.columns and c not in {f"_raw_{x}" for x in cols}]
+    return (df.join(F.broadcast(values), cond, "left")
+            .select(*[values[c] if c in cols else df[c] for c in df.columns], *[values[c] for c in added]))
+
+
+def clean_texts(df: DataFrame, cols: Sequence[str], max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``clean_string`` of ``cols``, worked out once for each combination of their values."""
+    return by_value(df, cols, lambda d: d.withColumns({c: clean_string(c) for c in cols}), max_rows)
 
 
 def prepare_leads(raw_leads: DataFrame) -> DataFrame:
@@ -85,6 +95,20 @@ def normalize_frame(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.withColumns({c: normalize_na(c) for c in cols if c in df.columns})
 
 
+def normalized_by_value(web: DataFrame, leads: DataFrame, channels: DataFrame,
+                        attrs: Sequence[str] = ATTR_COLS, max_rows: int = BROADCAST_MAX_ROWS) -> list[DataFrame]:
+    """``normalized(prepare_web(web, channels), prepare_leads(leads))``, the text and id work
+    done once for each combination of values (``by_value``).  Reads each fact twice: for
+    stored facts."""
+    text = [KEY_ID, KEY_NAME, *[c for c in attrs if c not in web.columns]]
+    names = [KEY_NAME, *CHANNEL_COLS]
+    web = by_value(web, [KEY_ID], lambda d: normalize_frame(prepare_web(d, channels), text), max_rows)
+    leads = by_value(leads, [KEY_ID, *names], lambda d: normalize_frame(
+        d.withColumns({KEY_ID: fix_campaign_id(KEY_ID), **{c: clean_string(c) for c in names}}), [KEY_ID, *names]), max_rows)
+    rest = [[c for c in attrs if c not in done] for done in (text, names)]
+    return [normalize_frame(df, cols) for df, cols in zip((web, leads), rest)]
+
+
 def summarize(frames: Sequence[DataFrame], attrs: Sequence[str] = ATTR_COLS) -> DataFrame:
     """Row count ``n`` of every (id, name, attributes) over all frames; columns
     that a frame lacks count as null."""
@@ -136,7 +160,12 @@ def references(frames: Sequence[DataFrame], attrs: Sequence[str] = ATTR_COLS
                ) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """(id->name, name->id, attributes by id, attributes by name) of normalised
     frames, all from one summary (M-2 .. M-4)."""
-    summary = cut_lineage(summarize(frames, attrs))
+    return references_of(cut_lineage(summarize(frames, attrs)), attrs)
+
+
+def references_of(summary: DataFrame, attrs: Sequence[str] = ATTR_COLS
+                  ) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """``references`` from a materialised summary."""
     id_to_name, name_to_id = map(cut_lineage, campaign_maps(summary))
     mapped = cut_lineage(apply_campaign_maps(summary, id_to_name, name_to_id))
     return (id_to_name, name_to_id, *[cut_lineage(build_reference(mapped, None, k, attrs, weight="n"))
@@ -154,10 +183,38 @@ def impute_campaigns(web: DataFrame, leads: DataFrame, attrs: Sequence[str] = AT
     Returns (web, leads, ref_by_id); ``ref_by_id`` is the exported
     id -> attributes map (M-6).
     """
-    frames = normalized(web, leads, attrs)
-    id_to_name, name_to_id, by_id, by_name = references(frames, attrs)
-
-    def fill(df: DataFrame) -> DataFrame:
-        df = apply_campaign_maps(df, id_to_name, name_to_id)
-        return fill_from_reference(fill_from_reference(df, by_id, KEY_ID, attrs), by_name, KEY_NAME, attrs)
-    return fill(frames[0]), fill(frames[1]), by_id
+    return impute_normalized(normalized(web, leads, attrs), attrs)
+
+
+def impute_normalized(frames: Sequence[DataFrame], attrs: Sequence[str] = ATTR_COLS
+                      ) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``impute_campaigns`` of the two normalised facts."""
+    # One pass over both facts; a row of the summary knows its fact.
+    sides = [summarize([df], attrs).withColumn("_side", F.lit(i)) for i, df in enumerate(frames)]
+    summary = cut_lineage(sides[0].unionByName(sides[1]))
+    id_to_name, name_to_id, by_id, by_name = references_of(summary, attrs)
+
+    def fill(i: int) -> DataFrame:
+        pairs = summary.where(F.col("_side") == i).select(KEY_ID, KEY_NAME).distinct()
+        blank = pairs.withColumns({"_pair": id_name_pair(KEY_ID, KEY_NAME), **{c: F.lit(None).cast("string") for c in attrs}})
+        known = apply_campaign_maps(blank.where(F.col("_pair").isNotNull()), id_to_name, name_to_id)
+        known = fill_from_reference(fill_from_reference(known, by_id, KEY_ID, attrs), by_name, KEY_NAME, attrs)
+        return fill_by_pair(frames[i], known, attrs)
+    return fill(0), fill(1), by_id
+
+
+def id_name_pair(campaign_id: str, campaign_name: str) -> Column:
+    """Id and name as one key, in which either may be null; null where both are."""
+    i, n = F.col(campaign_id), F.col(campaign_name)
+    return F.when(i.isNotNull() | n.isNotNull(), F.struct(i.alias("id"), n.alias("name")))
+
+
+def fill_by_pair(df: DataFrame, known: DataFrame, attrs: Sequence[str] = ATTR_COLS,
+                 max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Fill nulls of id, name and ``attrs`` from ``known``, which holds the values of
+    each pair of id and name (M-3, M-7 in one join)."""
+    cols = [c for c in (KEY_ID, KEY_NAME, *attrs) if c in df.columns]
+    ref = known.select(F.col("_pair").alias("_k"), *[F.col(c).alias(f"_r_{c}") for c in cols])
+    out = left_lookup(df.withColumn("_pair", id_name_pair(KEY_ID, KEY_NAME)), ref, "_pair", "_k", max_rows=max_rows,
+                      materialize=True)
+    return out.select(*[F.coalesce(c, f"_r_{c}").alias(c) if c in cols else F.col(c) for c in df.columns])

@@ -72,7 +72,8 @@ def imputed(spark, sf_dir):
 
 
 def extract(spark, sf_dir):
-    w, l, _ = imputed(spark, sf_dir)
+    # The facts are read three times: for their texts, the summary and the fill.
+    w, l, _ = I.impute_normalized(I.normalized_by_value(*stored_sources(spark, sf_dir)))
     return X.build_extract(w, l)
 
 

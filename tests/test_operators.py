@@ -329,3 +329,69 @@ def test_final_grain_is_one_exchange_a_fact(spark):
                          dealt_by=[c for c in X.GRAIN if c != "pathway"])
     out = X.final_grain(wide)
     assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1 and out.count() == 10
+
+
+ID_TEXT = "campaign_id string, campaign_name string, campaign_period_budget_category string, country_code string, channel_3 string, channel_4 string, channel_5 string"
+
+
+def test_a_fact_is_filled_by_one_join(spark):
+    """Equal to the maps and references applied one by one; each fact meets one table only."""
+    from spendlens.plans import impute as I
+    web = spark.createDataFrame([("1", "n1", "c", "ES", "fb", None, None), ("1", "n1", None, None, None, "x4", None), (None, "n1", None, None, None, None, "y"),
+                                 ("2", None, None, None, None, None, None), (None, None, None, None, None, None, None), ("9", "n2", "d", "GB", "fb", "z", None)], ID_TEXT)
+    leads = spark.createDataFrame([("2", "n2", None, "IE", "max", "m", "v"), (None, "n3", None, None, "q", None, None), ("3", "n3", None, None, None, None, None)], ID_TEXT)
+    i2n, n2i, by_id, by_name = I.references([web, leads])
+    key = list(web.columns)
+    for got, df in zip(I.impute_normalized([web, leads]), (web, leads)):
+        step = J.fill_from_reference(I.apply_campaign_maps(df, i2n, n2i), by_id, "campaign_id", I.ATTR_COLS)
+        want = J.fill_from_reference(step, by_name, "campaign_name", I.ATTR_COLS)
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty() and got.columns == key
+        assert got._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter") == 1
+        pairs = want.withColumn("_pair", I.id_name_pair("campaign_id", "campaign_name")).where("_pair IS NOT NULL").dropDuplicates(["_pair"])
+        assert rows(I.fill_by_pair(df, pairs, max_rows=0).where("campaign_id = '9'")) == rows(I.fill_by_pair(df, pairs).where("campaign_id = '9'"))
+
+
+@pytest.mark.parametrize("max_rows", [0, 1000])
+def test_facts_are_prepared_by_value(spark, max_rows):
+    from spendlens.plans import impute as I
+    ch = spark.createDataFrame([("1", "N  a", "always", "fb ", "x  y", None), (" 1 ", "N  a", None, "fb", None, "u"), (None, "none", None, "unknown", None, None)],
+                               "campaign_id string, campaign_name string, campaign_period_budget_category string, channel_3 string, channel_4 string, channel_5 string")
+    web = spark.createDataFrame([(1, " es ", " 1.0"), (1, " es ", " 1.0"), (2, None, None), (3, "unknown", "1"), (4, "GB", "7")], "n int, country_code string, campaign_id string")
+    leads = spark.createDataFrame([(1, "nan", "1.0", "A  b", "none", None, "Z"), (2, "GB", None, None, None, None, None), (2, "GB", None, None, None, None, None)],
+                                  "n int, country_code string, campaign_id string, campaign_name string, channel_3 string, channel_4 string, channel_5 string")
+    want = I.normalized(I.prepare_web(web, ch), I.prepare_leads(leads))
+    for got, w in zip(I.normalized_by_value(web, leads, ch, max_rows=max_rows), want):
+        assert got.columns == w.columns and got.exceptAll(w).isEmpty() and w.exceptAll(got).isEmpty()
+        assert max_rows == 0 or "regexp_replace" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_channel_text_is_worked_once_on_all_cores(spark):
+    """The channel table comes as one small task; its text is cleaned in several, and not again by the repair."""
+    from spendlens.plans import facts, impute as I
+    ch = spark.createDataFrame([(f" {i % 40} ", f"N  {i}", "c", "fb ", None, "x  y") for i in range(80)], "campaign_id string, campaign_name string, "
+                               "campaign_period_budget_category string, channel_3 string, channel_4 string, channel_5 string").coalesce(1)
+    for out in (I.prepare_channels(ch), facts.dim_campaign_channels(ch)):
+        assert "regexp_replace" not in out._jdf.queryExecution().optimizedPlan().toString()
+        assert out.count() == 40 and out.where("channel_5 = 'x_y'").count() == 40
+
+
+def test_extract_groups_by_the_deciding_columns(spark):
+    """The wide and final tables of the whole index; the exchange carries nothing that another column decides."""
+    from spendlens.operators.reshape import FUNNEL_INDEX, LEADS_STAGES, WEB_STAGES, facts_to_wide
+    from spendlens.plans import extract as X
+    attrs = "date date, country_code string, campaign_id string, campaign_name string, channel_3 string, channel_4 string, channel_5 string, "
+    base = [(dt.date(2024, 1, 1 + i % 3), ("ES", "XX", None)[i % 7 % 3], f"{i % 2}", ("a test", "b", None)[i % 5 % 3], ("fb", "max")[i % 2], f"c{i % 3}",
+             ("a_b_c", "a_b_d", "a_b", None, "p_q_r_s")[i % 11 % 5]) for i in range(200)]
+    web = spark.createDataFrame([(*r, float(i % 4), i, None, 1, 2) for i, r in enumerate(base)], attrs + "total_spend_eur double, " + ", ".join(f"{m} long" for m in WEB_STAGES))
+    leads = spark.createDataFrame([(*r, float(i % 3), *[i] * 8) for i, r in enumerate(base)], attrs + "total_spend double, " + ", ".join(f"{m} long" for m in LEADS_STAGES))
+    out = X.build_extract(web, leads)
+    full = [facts_to_wide(X.prep_frame(X.derive_all(d), p, (s, s)), FUNNEL_INDEX, st)
+            for d, p, s, st in ((web, X.WEB_PATHWAY, "total_spend_eur", WEB_STAGES), (leads, X.SALES_PATHWAY, "total_spend", LEADS_STAGES))]
+    wide = full[0].unionByName(full[1], allowMissingColumns=True)
+    for got, want in ((out["web_wide"], full[0]), (out["leads_wide"], full[1]), (out["all_wide"], wide), (out["final"], X.final_grain(wide))):
+        assert sorted(got.columns) == sorted(want.columns) and got.count() == want.count() > 0
+        assert got.exceptAll(want.select(got.columns)).isEmpty()
+    for name in ("all_wide", "final"):
+        plan = out[name]._jdf.queryExecution().executedPlan().toString()
+        keys = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+        assert len(keys) == 2 and not any(c in k for k in keys for c in ("country_name", "week", "channel_6", "channel_7"))

@@ -75,3 +75,10 @@ def test_incremental_queries_derive_their_facts_once(spark):
         plan = a._jdf.queryExecution().optimizedPlan().toString()
         assert "Join" not in plan and "Aggregate" not in plan
         assert a.columns == b.columns and a.exceptAll(b).isEmpty() and a.count() == b.count()
+
+
+def test_extract_derives_its_facts_once(spark):
+    from spendlens import queries as q
+    for name in ("all_wide", "final"):
+        plan = q.extract(spark, SF)[name]._jdf.queryExecution().optimizedPlan().toString()
+        assert "l_extendedprice" not in plan and "l_orderkey" not in plan
