@@ -28,10 +28,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans.incremental import on_dates, read_target, replace_dates, write_target
+from ..plans.impute import clean_texts
 from ..plans.mart import build_mart
-from ..session import cut_lineage, scratch_path
+from ..session import scratch_path
 from ..sources.versions import VersionedTable
-from ..sources.schemas import LEADS_FUNNEL, WEB_ORDERS
+from ..sources.schemas import CHANNEL_COLS, LEADS_FUNNEL, WEB_ORDERS
 
 WEB_COLS = [f.name for f in WEB_ORDERS.fields]
 LEADS_COLS = [f.name for f in LEADS_FUNNEL.fields]
@@ -53,26 +54,30 @@ def to_landing(web: DataFrame, leads: DataFrame) -> DataFrame:
 
 def store_batch(batch: DataFrame, epoch: int, facts_dir: str) -> None:
     """Add the rows of one micro-batch; the same batch again replaces itself."""
+    # Dealt by month, so that a month has few files; adaptive execution splits a large one.
     (batch.withColumns({"month": F.trunc("date", "month"), "batch": F.lit(epoch).cast("long")})
-     .repartition("month", "campaign_id")
+     .hint("rebalance", F.col("month"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("month", "batch").parquet(facts_dir))
 
 
 def refresh_batch(spark: SparkSession, batch: DataFrame, epoch: int, channels: DataFrame,
                   target_path: str, facts_dir: str) -> None:
-    """One micro-batch: store it, then recompute and replace the dates it touched."""
-    dates = [r[0] for r in batch.select("date").distinct().collect()]   # one value per day
-    if not dates:
-        return
+    """One micro-batch: store it, then recompute and replace the dates it touched.
+    The batch is read once; its dates are those of its stored rows."""
     store_batch(batch, epoch, facts_dir)
     schema = landing_schema().add("month", T.DateType()).add("batch", T.LongType())
+    stored = spark.read.schema(schema).parquet(facts_dir)
+    own = stored.where(F.col("batch") == epoch)
+    dates = [r[0] for r in own.select("date").distinct().collect()]     # one value per day
+    if not dates:
+        return
     months = {None if d is None else d.replace(day=1) for d in dates}
-    stored = on_dates(on_dates(spark.read.schema(schema).parquet(facts_dir), months, "month"), dates)
+    stored = on_dates(on_dates(stored, months, "month"), dates)
     stored = stored.where(F.col("batch") <= epoch)
     web = stored.where(F.col("source") == "web").select(*WEB_COLS)
     leads = stored.where(F.col("source") == "leads").select(*LEADS_COLS)
-    new = build_mart(web, leads, channels)
+    new = build_mart(web, clean_texts(leads, CHANNEL_COLS), channels, clean_leads=True)
     if VersionedTable(spark, target_path).current() is not None:
         replace_dates(spark, target_path, new, dates)
     else:
@@ -109,7 +114,8 @@ def stream_mart(spark: SparkSession, web: DataFrame, leads: DataFrame, channels:
     """
     base = scratch_path(spark, f"mart_stream_{uuid.uuid4().hex}")
     landing, target = f"{base}/landing", f"{base}/target"
-    rows = cut_lineage(to_landing(web, leads))
+    to_landing(web, leads).write.parquet(f"{base}/rows")
+    rows = spark.read.schema(landing_schema()).parquet(f"{base}/rows")
     ends = rows.agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()
     days = (ends.hi - ends.lo).days + 1
     part = F.least(F.floor(F.date_diff("date", F.lit(ends.lo)) * n_drops / days), F.lit(n_drops - 1))

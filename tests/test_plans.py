@@ -206,3 +206,35 @@ def test_export_is_guarded_by_uniqueness(spark, tmp_path):
     with pytest.raises(AssertionError):
         write_extract({"final": good.union(good)}, str(tmp_path / "bad"), unique=DUPLICATE_KEY)
     assert not (tmp_path / "bad").exists()
+
+
+def test_stream_batch_is_stored_in_few_files_and_read_once(spark, sf_small, tmp_path):
+    """A month has one file a batch, however many tasks deal it; the leads' texts are clean in the mart."""
+    import glob
+    from spendlens.streaming.mart_stream import refresh_batch, to_landing
+    web = spark.createDataFrame([(dt.date(2024, 1 + i % 3, 5), "GB", str(i), i, 1, 1, 1, 1) for i in range(300)],
+                                "date date, country_code string, campaign_id string, total_spend_eur int, nb_of_sessions int, nb_of_signups int, "
+                                "nb_of_orders int, nb_of_poslite_items_ordered int")
+    leads = spark.createDataFrame([(dt.date(2024, 1, 5), "GB", "x", "N", "Fb  A", None, " p o s lite", 1, *[2] * 8)],
+                                  "date date, country_code string, campaign_id string, campaign_name string, channel_3 string, channel_4 string, "
+                                  "channel_5 string, total_spend int, total_impressions int, total_clicks int, total_leads int, total_sqls int, "
+                                  "total_meeting_done int, total_signed_leads int, total_pos_lite_deals int, total_fake_leads int")
+    from spendlens.plans.incremental import read_target
+    from spendlens.sources import fixtures as fx
+    target, facts = str(tmp_path / "t"), str(tmp_path / "f")
+    ch = fx.channels(spark, sf_small)
+    batch = to_landing(web, leads)
+    merge = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merge, "false")                         # as many tasks as a large batch has
+    try:
+        for _ in range(2):                                 # a retried batch replaces itself
+            refresh_batch(spark, batch, 0, ch, target, facts)
+        refresh_batch(spark, batch.limit(0), 1, ch, target, facts)
+    finally:
+        spark.conf.set(merge, "true")
+    out = read_target(spark, target)
+    assert out.count() == 301
+    assert [tuple(r) for r in out.where("campaign_id = 'x'").select("channel_3", "channel_4", "channel_5").collect()] == [("fb_a", None, "pos-lite")]
+    assert len(glob.glob(f"{facts}/month=*/batch=0/*.parquet")) == 3
+    plan = build_mart(web, leads, ch, clean_leads=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace" not in plan
