@@ -395,3 +395,48 @@ def test_extract_groups_by_the_deciding_columns(spark):
         plan = out[name]._jdf.queryExecution().executedPlan().toString()
         keys = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
         assert len(keys) == 2 and not any(c in k for k in keys for c in ("country_name", "week", "channel_6", "channel_7"))
+
+
+CHANNELS_TEXT = "campaign_id string, campaign_name string, campaign_period_budget_category string, channel_3 string, channel_4 string, channel_5 string"
+
+
+def _mart_facts(spark):
+    """Facts of two days: negative and missing spend, ids that no dimension row has, rows without id, repeated rows."""
+    from spendlens.sources.schemas import LEADS_METRICS, WEB_METRICS
+    d = [dt.date(2024, 1, 1), dt.date(2024, 1, 2)]
+    web = [(d[0], " es ", "1", -5), (d[0], "GB", "1", 7), (d[0], "GB", "1", 7), (d[0], None, "2", None), (d[1], "GB", None, 3), (d[1], "ES", None, -1), (None, "ES", "1", 2)]
+    leads = [(d[0], "ES", " 1", 9, "A  b", None), (d[0], "IE", "1", -3, None, " "), (d[0], "GB", "3", 4, None, "x  y"), (d[1], "GB", None, 2, "fb ", None), (d[1], "GB", None, 2, "fb ", None)]
+    w = spark.createDataFrame([(*r, *[r[3] or 0 for _ in WEB_METRICS]) for r in web],
+                              "date date, country_code string, campaign_id string, total_spend_eur long, " + ", ".join(f"{m} long" for m in WEB_METRICS))
+    l = spark.createDataFrame([(*r[:4], *[i + r[3] for i, _ in enumerate(LEADS_METRICS)], r[4], None, r[5]) for r in leads],
+                              "date date, country_code string, campaign_id string, total_spend long, " + ", ".join(f"{m} long" for m in LEADS_METRICS)
+                              + ", channel_3 string, channel_4 string, channel_5 string")
+    ch = spark.createDataFrame([("1", "N  a", "always", "fb ", "x  y", None), (" 1 ", "N  a", None, "fb", None, "u"), ("2", " ", None, None, "q", None), (None, "none", None, "max", None, None)], CHANNELS_TEXT)
+    return w, l, ch
+
+
+def test_campaign_ranking_comes_before_the_dimension(spark):
+    """The ranking's rows hold no text of the dimension; the result is that of ranking the enriched rows."""
+    from spendlens.plans import mart as M
+    from spendlens.plans.facts import dim_campaign_channels, fct_leads, fct_web
+    web, leads, ch = _mart_facts(spark)
+    got = M.build_mart(web, leads, ch, grain="campaign")
+    plan = got._jdf.queryExecution().analyzed().toString()
+    assert 0 <= plan.find("Join LeftOuter") < plan.find("AS _p_date")
+    enriched = M.enrich(J.combine_funnels(fct_web(web), fct_leads(leads, clean=False)), dim_campaign_channels(ch))
+    want = M.finalize(M.recombine_best(enriched, ("campaign_id", "campaign_name", "date")))
+    assert got.columns == want.columns and got.count() > 4 and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+@pytest.mark.parametrize("grain", ["country", "campaign"])
+def test_large_dimension_combines_the_funnels_once(spark, monkeypatch, grain):
+    """Beyond the broadcast bound the counting of hot keys and the join read the combined rows from where they were written."""
+    from spendlens.plans import mart as M
+    web, leads, ch = _mart_facts(spark)
+    want = M.build_mart(web, leads, ch, grain=grain)
+    monkeypatch.setattr(J, "sized", lambda df, *a, **k: (False, df))
+    for share in (0.2, 1):                       # with and without hot keys
+        monkeypatch.setattr(J, "HOT_SHARE", share)
+        got = M.build_mart(web, leads, ch, grain=grain)
+        assert "_rank" not in got._jdf.queryExecution().optimizedPlan().toString()
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
