@@ -30,7 +30,7 @@ from ..operators.aggregates import build_reference
 from ..operators.dims import dedupe_dim, repair_channels
 from ..operators.joins import (BROADCAST_MAX_ROWS, attach_dim, broadcast_if_small, fill_from_reference, left_lookup,
                                sized)
-from ..session import cut_lineage, worked_once
+from ..session import cut_lineage, stored, worked_once
 from ..sources.schemas import CHANNEL_COLS
 
 KEY_ID = "campaign_id"
@@ -109,16 +109,18 @@ def normalized_by_value(web: DataFrame, leads: DataFrame, channels: DataFrame,
     return [normalize_frame(df, cols) for df, cols in zip((web, leads), rest)]
 
 
-def summarize(frames: Sequence[DataFrame], attrs: Sequence[str] = ATTR_COLS) -> DataFrame:
+def summarize(frames: Sequence[DataFrame], attrs: Sequence[str] = ATTR_COLS, weight: str | None = None) -> DataFrame:
     """Row count ``n`` of every (id, name, attributes) over all frames; columns
-    that a frame lacks count as null."""
+    that a frame lacks count as null; ``weight`` names a column that says how many
+    rows a row stands for."""
     cols = [KEY_ID, KEY_NAME, *attrs]
-    parts = [df.select(*[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in cols])
+    n = F.lit(1).cast("long") if weight is None else F.col(weight)
+    parts = [df.select(*[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in cols], n.alias("_rows"))
              for df in frames]
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p)
-    return rows.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
+    return rows.groupBy(*cols).agg(F.sum("_rows").alias("n"))
 
 
 def campaign_maps(a: DataFrame, b: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
@@ -186,11 +188,38 @@ def impute_campaigns(web: DataFrame, leads: DataFrame, attrs: Sequence[str] = AT
     return impute_normalized(normalized(web, leads, attrs), attrs)
 
 
-def impute_normalized(frames: Sequence[DataFrame], attrs: Sequence[str] = ATTR_COLS
+def impute_by_value(web: DataFrame, leads: DataFrame, channels: DataFrame, attrs: Sequence[str] = ATTR_COLS,
+                    max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``impute_campaigns(prepare_web(web, channels), prepare_leads(leads))``.
+
+    What a row is filled with follows from its own id, name and attributes.  So each
+    fact is reduced to their combinations and how many rows each stands for; all text
+    work, the dimension's join, the maps and the references run over these, and the
+    fact meets the filled combinations by one join.  Reads each fact twice, and at first
+    these columns only: for stored facts.
+    """
+    facts, sides = (web, leads), []
+    decide = [[c for c in (KEY_ID, KEY_NAME, *attrs, *CHANNEL_COLS) if c in df.columns] for df in facts]
+    decide = [list(dict.fromkeys(cols)) for cols in decide]
+    for df, cols in zip(facts, decide):
+        sides.append(stored(df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n")).withColumn("_raw", F.struct(*cols))))
+    frames = normalized(prepare_web(sides[0], channels), prepare_leads(sides[1]), attrs)
+    *filled, by_id = impute_normalized(frames, attrs, weight="_n")
+
+    def fill(i: int) -> DataFrame:
+        out = [*facts[i].columns, *[c for c in filled[i].columns if c not in (*facts[i].columns, "_n", "_raw")]]
+        values = stored(filled[i].select(F.col("_raw").alias("_k"), *[c for c in filled[i].columns if c not in ("_n", "_raw")]))
+        rest = [c for c in facts[i].columns if c not in decide[i]]
+        rows = facts[i].select(F.struct(*decide[i]).alias("_raw"), *rest)
+        return left_lookup(rows, values, "_raw", "_k", max_rows=max_rows, counts=sides[i].select("_raw", "_n")).select(*out)
+    return fill(0), fill(1), by_id
+
+
+def impute_normalized(frames: Sequence[DataFrame], attrs: Sequence[str] = ATTR_COLS, weight: str | None = None
                       ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``impute_campaigns`` of the two normalised facts."""
+    """``impute_campaigns`` of the two normalised facts (``weight``: see ``summarize``)."""
     # One pass over both facts; a row of the summary knows its fact.
-    sides = [summarize([df], attrs).withColumn("_side", F.lit(i)) for i, df in enumerate(frames)]
+    sides = [summarize([df], attrs, weight).withColumn("_side", F.lit(i)) for i, df in enumerate(frames)]
     summary = cut_lineage(sides[0].unionByName(sides[1]))
     id_to_name, name_to_id, by_id, by_name = references_of(summary, attrs)
 

@@ -65,8 +65,8 @@ def imputed(spark, sf_dir):
 
 
 def extract(spark, sf_dir):
-    # The facts are read three times: for their texts, the summary and the fill.
-    w, l, _ = I.impute_normalized(I.normalized_by_value(*stored_sources(spark, sf_dir)))
+    # The facts are read twice: for what decides the fill, and for the fill.
+    w, l, _ = I.impute_by_value(*stored_sources(spark, sf_dir))
     return X.build_extract(w, l)
 
 
@@ -371,7 +371,7 @@ SELECT f.* FROM final f JOIN (SELECT campaign_id, date, pathway FROM final
  AND f.pathway IS NOT DISTINCT FROM d.pathway"""))
 def grain_duplicates(spark, sf_dir):
     # the final table is read twice (count + semi join): materialise it once
-    final = cut_lineage(extract(spark, sf_dir)["final"])
+    final = stored(extract(spark, sf_dir)["final"])
     return W.duplicate_rows(final, X.DUPLICATE_KEY)
 
 
@@ -1151,7 +1151,7 @@ def export_final(spark, sf_dir):
     """The guarded export: written only because the final table is unique on its grain
     (S-6, W-4), and read back."""
     path = scratch_path(spark, f"export_{uuid.uuid4().hex}")
-    final = cut_lineage(extract(spark, sf_dir)["final"])
+    final = stored(extract(spark, sf_dir)["final"])
     X.write_extract({"final": final}, path)
     return read_source(spark, f"{path}/final", final.schema, fmt="csv")
 

@@ -440,3 +440,26 @@ def test_large_dimension_combines_the_funnels_once(spark, monkeypatch, grain):
         got = M.build_mart(web, leads, ch, grain=grain)
         assert "_rank" not in got._jdf.queryExecution().optimizedPlan().toString()
         assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+@pytest.mark.parametrize("max_rows", [0, 1000])
+def test_facts_are_imputed_by_value(spark, max_rows):
+    """Equal to preparing and filling every row; no row is cleaned by itself, however many values there are."""
+    from spendlens.plans import impute as I
+    ch = spark.createDataFrame([("1", "N  a", "always", "fb ", "x  y", None), (" 1 ", "N  a", None, "fb", None, "u"), (None, "none", None, "unknown", None, None)], CHANNELS_TEXT)
+    web = spark.createDataFrame([(1, " es ", " 1.0"), (1, " es ", " 1.0"), (2, None, None), (2, None, None), (3, "unknown", "1"), (4, "GB", "7"), (5, "GB", "x")],
+                                "n int, country_code string, campaign_id string")
+    leads = spark.createDataFrame([(1, "nan", "1.0", "A  b", "none", None, "Z"), (2, "GB", None, None, None, None, None), (2, "GB", None, None, None, None, None),
+                                   (3, None, "7", "A  c", "fb ", " ", None), (4, "IE", None, "a_c", None, "q", "Z"), (5, "IE", "7", None, None, None, None)],
+                                  "n int, country_code string, campaign_id string, campaign_name string, channel_3 string, channel_4 string, channel_5 string")
+    want = I.impute_campaigns(I.prepare_web(web, ch), I.prepare_leads(leads))
+    for got, w in zip(I.impute_by_value(web, leads, ch, max_rows=max_rows), want):
+        assert got.columns == w.columns and got.exceptAll(w).isEmpty() and w.exceptAll(got).isEmpty()
+        assert "regexp_replace" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_final_table_is_kept_as_parquet(spark):
+    """What reads the final table twice reads stored columns, not a checkpoint of all of them."""
+    import __spark_entry__ as entry
+    plan = entry.queries()["sorted_duplicates"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "LogicalRDD" not in plan and plan.count("parquet") >= 2
