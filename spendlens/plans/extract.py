@@ -145,8 +145,9 @@ def build_extract(web: DataFrame, leads: DataFrame) -> dict[str, DataFrame]:
             "final": final}
 
 
-def write_extract(outputs: dict[str, DataFrame], folder: str, unique: tuple = GRAIN) -> None:
-    """Long/wide tables as ``;`` CSV (S-5) and the final table as ``,`` CSV (S-6).
+def write_extract(outputs: dict[str, DataFrame], folder: str, unique: tuple = GRAIN, compression: str | None = None) -> None:
+    """Long/wide tables as ``;`` CSV (S-5) and the final table as ``,`` CSV (S-6),
+    with ``compression`` as ``write_csv`` takes it.
 
     Nothing is written unless the final table is unique on ``unique`` (those of
     its columns that the table has; Q-8)."""
@@ -154,4 +155,4 @@ def write_extract(outputs: dict[str, DataFrame], folder: str, unique: tuple = GR
         final = outputs["final"]
         assert_unique(final, [c for c in unique if c in final.columns])
     for name, df in outputs.items():
-        write_csv(df, f"{folder.rstrip('/')}/{name}", sep="," if name == "final" else ";")
+        write_csv(df, f"{folder.rstrip('/')}/{name}", sep="," if name == "final" else ";", compression=compression)

@@ -1142,7 +1142,7 @@ def csv_roundtrip_final(spark, sf_dir):
     """The final table written as the export writes it, read back with its schema."""
     path = scratch_path(spark, f"final_csv_{uuid.uuid4().hex}")
     final = extract(spark, sf_dir)["final"]
-    write_csv(final, path)
+    write_csv(final, path, compression="gzip")
     return read_source(spark, path, final.schema, fmt="csv")
 
 
@@ -1152,7 +1152,7 @@ def export_final(spark, sf_dir):
     (S-6, W-4), and read back."""
     path = scratch_path(spark, f"export_{uuid.uuid4().hex}")
     final = stored(extract(spark, sf_dir)["final"])
-    X.write_extract({"final": final}, path)
+    X.write_extract({"final": final}, path, compression="gzip")
     return read_source(spark, f"{path}/final", final.schema, fmt="csv")
 
 

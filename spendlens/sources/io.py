@@ -69,12 +69,13 @@ def normalize_headers(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.strip().lower() for c in df.columns])
 
 
-def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite") -> None:
+def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite", compression: str | None = None) -> None:
     """Headered CSV, one folder of part files (S-5 with ``sep=';'``, S-6 with ``','``).
-    Values are written as they are: blanks kept, quotes doubled."""
+    Values are written as they are: blanks kept, quotes doubled.  ``compression``
+    (``gzip`` …) names the codec of the part files, which readers know by their ending."""
     (df.write.mode(mode).options(header=True, sep=sep, quote='"', escape='"',
                                  ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-     .csv(path))
+     .csv(path, compression=compression))
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = (),

@@ -463,3 +463,14 @@ def test_final_table_is_kept_as_parquet(spark):
     import __spark_entry__ as entry
     plan = entry.queries()["sorted_duplicates"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "LogicalRDD" not in plan and plan.count("parquet") >= 2
+
+
+def test_compressed_csv_is_read_back(spark, tmp_path):
+    from spendlens.sources.io import read_source, write_csv
+    df = spark.createDataFrame([(i % 3, f' a "{i % 5}", b', None if i % 2 else dt.date(2024, 1, 1)) for i in range(2000)], "i int, t string, d date")
+    for codec in (None, "gzip"):
+        write_csv(df.coalesce(1), str(tmp_path / str(codec)), compression=codec)
+        back = read_source(spark, str(tmp_path / str(codec)), df.schema, fmt="csv")
+        assert back.exceptAll(df).isEmpty() and df.exceptAll(back).isEmpty()
+    size = {c: sum(p.stat().st_size for p in (tmp_path / str(c)).glob(f"*{e}")) for c, e in ((None, ".csv"), ("gzip", ".csv.gz"))}
+    assert 0 < 5 * size["gzip"] < size[None]
