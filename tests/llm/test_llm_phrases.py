@@ -77,6 +77,15 @@ def test_a_full_bitmap_changes_no_count(spark, monkeypatch):
     assert phrases(df, p) == brute_phrases(PHRASES, p)
 
 
+def test_each_bitmap_is_sent_once(spark, monkeypatch):
+    """One bitmap in a broadcast: of the frequent phrases of each length but the last once, of the hot prefixes of each level."""
+    sent, send = [], type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda sc, value: sent.append(value) or send(sc, value))
+    df = spark.createDataFrame([(t, lang) for lang, t in PHRASES], "text string, lang string")
+    levels = collocations.stripes(df, Params(least=2, longest=4))
+    assert len(levels) == 4 and all(isinstance(v, bytes) for v in sent) and len(sent) == 3 + 3
+
+
 def test_stripe_totals(spark):
     df = spark.createDataFrame([(t, lang) for lang, t in PHRASES], "text string, lang string")
     first = collocations.stripes(df, Params(least=4))[0].collect()
